@@ -1,0 +1,225 @@
+"""Transaction messages made from the ``events`` table, some of them broken on purpose.
+
+One message per event, no randomness: everything follows from the event's columns,
+so the same messages can be rebuilt in SQL. Every tenth message is faulty.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallygate.functions.event_model import CONTRACT, EVENT_FIELDS
+from tallygate.functions.lifecycle import FAILURE_REASONS, is_failure, lifecycle_status, lookup
+from tallygate.sources.messages import TOPIC, envelope
+
+PARTITIONS = 4
+
+# --- Fixed values: what the simulated payloads contain ---------------------
+CURRENCIES = ("USD", "INR", "EUR")
+PAYMENT_METHODS = ("card", "ach", "wire", "wallet")
+TRANSACTION_TYPES = ("purchase", "refund", "payout", "transfer")
+LIFECYCLE_OF_EVENT = {
+    "signup": "transaction_created",
+    "view": "transaction_authorized",
+    "click": "transaction_authorized",
+    "error": "transaction_failed",
+    "purchase": "transaction_settled",
+}
+DROPPABLE = ("amount", "currency", "status", "event_time", "transaction_id")
+UNEXPECTED = '"unexpected_field": {"nested": true}'
+
+# --- Fixed values: payload faults that exercise each contract rule ---------
+REQUIRED = tuple(rule.name for rule in CONTRACT if rule.required)
+TEXTS = tuple(rule.name for rule in CONTRACT if rule.kind == "string")
+INTEGERS = tuple(rule.name for rule in CONTRACT if rule.kind == "integer")
+BAD_AMOUNTS = ("-5.00", "1e3", "12.5", ".50", "12.345", "1,000.00")
+BAD_CURRENCIES = ("usd", "US", "USDX", "U5D")
+BAD_TIMES = (
+    "2024-13-01T00:00:00Z",
+    "2024-02-30T00:00:00Z",
+    "2024-01-01 00:00:00Z",
+    "2024-01-01",
+    "2024-01-01T24:00:00Z",
+    "yesterday",
+)
+CONTRACT_FAULTS = 17
+
+
+def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events``, dealt out when it comes as fewer pieces than there are cores.
+
+    The test tables are one Parquet row group each, which is one task however many
+    cores there are. A table big enough for a cluster has more splits than that and
+    is left as it is, so no shuffle is added there.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() < cores:
+        return events.repartition(cores, "event_id")
+    return events
+
+
+def fault_mode(event_id: Column) -> Column:
+    """0 for an intact message, 1 to 5 for the kind of damage done to it.
+
+    1 a required field dropped, 2 amount as a number, 3 a bad code, 4 an unknown
+    field, 5 the text cut short.
+    """
+    damaged = F.floor(event_id / 10) % 5 + 1
+    return F.when(event_id % 10 != 0, 0).otherwise(damaged).cast("int")
+
+
+def contract_fault(event_id: Column) -> Column:
+    """-1 for an intact message, otherwise which contract fault it has."""
+    fault = F.floor(event_id / 10) % CONTRACT_FAULTS
+    return F.when(event_id % 10 != 0, -1).otherwise(fault).cast("int")
+
+
+def _quoted(text: Column) -> Column:
+    return F.concat(F.lit('"'), text, F.lit('"'))
+
+
+def _pick(values: tuple[str, ...], number: Column) -> Column:
+    """values[number % len(values)]"""
+    options = F.array(*[F.lit(value) for value in values])
+    return F.element_at(options, (number % len(values)).cast("int") + 1)
+
+
+def _iso(moment: Column) -> Column:
+    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def _intact() -> dict[str, Column]:
+    """Field name to its JSON text, for an undamaged message."""
+    event_id = F.col("event_id")
+    number = event_id.cast("string")
+    lifecycle = lookup(F.col("event_type"), LIFECYCLE_OF_EVENT)
+    moment = F.col("ts").cast("timestamp")
+    arrival = moment + F.make_dt_interval(secs=event_id % 7)
+    reason = F.when(is_failure(lifecycle), _quoted(_pick(FAILURE_REASONS, event_id)))
+    risk = F.when(event_id % 13 != 0, (event_id % 101).cast("string"))
+    return {
+        "event_id": _quoted(F.concat(F.lit("evt_"), number)),
+        "transaction_id": _quoted(F.concat(F.lit("txn_"), number)),
+        "user_id": _quoted(F.concat(F.lit("usr_"), F.col("user_id").cast("string"))),
+        "merchant_id": _quoted(F.concat(F.lit("mrc_"), (F.col("user_id") % 50).cast("string"))),
+        "amount": _quoted(F.col("value").cast("decimal(18,2)").cast("string")),
+        "currency": _quoted(_pick(CURRENCIES, event_id)),
+        "payment_method": _quoted(_pick(PAYMENT_METHODS, event_id)),
+        "transaction_type": _quoted(_pick(TRANSACTION_TYPES, F.floor(event_id / 4))),
+        "status": _quoted(lifecycle_status(lifecycle)),
+        "failure_reason": F.coalesce(reason, F.lit("null")),
+        "event_time": _quoted(_iso(moment)),
+        "ingested_at": _quoted(_iso(arrival)),
+        "risk_score": F.coalesce(risk, F.lit("null")),
+        "source_system": _quoted(F.lit("sim")),
+        "schema_version": F.lit("1"),
+    }
+
+
+def _damage(fields: dict[str, Column], name: str, when: Column, text: Column) -> None:
+    """Replace a field's JSON text on the rows ``when`` holds; null text drops the field."""
+    fields[name] = F.when(when, text).otherwise(fields[name])
+
+
+def _payload(fields: dict[str, Column], extra: Column | None = None) -> Column:
+    """Fields in order as one JSON object; fields whose text is null are left out."""
+    members = [F.concat(F.lit(f'"{name}": '), fields[name]) for name in EVENT_FIELDS]
+    if extra is not None:
+        members.append(extra)
+    return F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
+
+
+def _cut(text: Column) -> Column:
+    return F.substring(text, F.lit(1), F.length(text) - 1)
+
+
+def simulated_payload() -> Column:
+    """Payload with the five kinds of damage ``fault_mode`` names."""
+    event_id = F.col("event_id")
+    mode = fault_mode(event_id)
+    choice = F.floor(event_id / 50)
+    fields = _intact()
+    bare_amount = F.col("value").cast("decimal(18,2)").cast("string")
+    for index, name in enumerate(DROPPABLE):
+        drop = (mode == 1) & (choice % len(DROPPABLE) == index)
+        _damage(fields, name, drop, F.lit(None).cast("string"))
+    _damage(fields, "amount", mode == 2, bare_amount)
+    _damage(fields, "currency", (mode == 3) & (choice % 2 == 0), F.lit('"usd"'))
+    _damage(fields, "status", (mode == 3) & (choice % 2 == 1), F.lit('"authorised"'))
+    text = _payload(fields, F.when(mode == 4, F.lit(UNEXPECTED)))
+    return F.when(mode == 5, _cut(text)).otherwise(text)
+
+
+def contract_payload() -> Column:
+    """Payload with faults that between them break every contract rule."""
+    event_id = F.col("event_id")
+    fault = contract_fault(event_id)
+    choice = F.floor(event_id / (10 * CONTRACT_FAULTS))
+    fields = _intact()
+    gone = F.lit(None).cast("string")
+
+    def spread(number: int, names: tuple[str, ...], text: Column) -> None:
+        for index, name in enumerate(names):
+            _damage(fields, name, (fault == number) & (choice % len(names) == index), text)
+
+    spread(0, REQUIRED, gone)
+    spread(1, TEXTS, F.lit("12.5"))
+    spread(2, REQUIRED, F.lit("null"))
+    spread(3, INTEGERS, F.lit('"7"'))
+    spread(4, INTEGERS, F.lit("80.5"))
+    spread(5, INTEGERS, F.lit("80.0"))
+    _damage(fields, "amount", fault == 6, _quoted(_pick(BAD_AMOUNTS, choice)))
+    _damage(fields, "currency", fault == 7, _quoted(_pick(BAD_CURRENCIES, choice)))
+    spread(8, ("payment_method", "transaction_type", "status"), F.lit('"unheard_of"'))
+    _damage(fields, "event_time", fault == 9, _quoted(_pick(BAD_TIMES, choice)))
+    _damage(fields, "ingested_at", fault == 10, _quoted(_pick(BAD_TIMES, choice)))
+    _damage(fields, "risk_score", fault == 11, _pick(("-1", "101"), choice))
+    _damage(fields, "schema_version", fault == 12, _pick(("0", "-3"), choice))
+    # 13 is one or two unknown fields, 14 the whole text; see below.
+    _damage(fields, "amount", fault == 15, gone)
+    _damage(fields, "currency", fault == 15, F.lit('"usd"'))
+    _damage(fields, "risk_score", fault == 15, F.lit("101"))
+    unreasoned = F.when(fields["failure_reason"] == "null", F.lit('"network_error"'))
+    _damage(fields, "failure_reason", fault == 16, F.coalesce(unreasoned, F.lit("null")))
+
+    two = F.lit('"channel": "web", ' + UNEXPECTED)
+    extra = F.when(fault == 13, F.when(choice % 2 == 0, F.lit(UNEXPECTED)).otherwise(two))
+    extra = F.when(fault == 15, F.lit(UNEXPECTED)).otherwise(extra)
+    text = _payload(fields, extra)
+    whole = (
+        F.when(choice % 4 == 0, _cut(text))
+        .when(choice % 4 == 1, F.concat(F.lit("["), text, F.lit("]")))
+        .when(choice % 4 == 2, F.lit('"hello"'))
+        .otherwise(F.lit("null"))
+    )
+    return F.when(fault == 14, whole).otherwise(text)
+
+
+PAYLOADS = {"simulated": simulated_payload, "contract": contract_payload}
+
+
+def messages_from_events(events: DataFrame, payload: str = "simulated") -> DataFrame:
+    """The events as Kafka messages keyed by transaction. Works on a stream too."""
+    event_id = F.col("event_id")
+    moment = F.col("ts").cast("timestamp")
+    return events.select(
+        F.concat(F.lit("txn_"), event_id.cast("string")).cast("binary").alias("key"),
+        PAYLOADS[payload]().cast("binary").alias("value"),
+        F.lit(TOPIC).alias("topic"),
+        (event_id % PARTITIONS).cast("int").alias("partition"),
+        event_id.alias("offset"),
+        (moment + F.make_dt_interval(secs=event_id % 11)).alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+
+
+def landing_time() -> Column:
+    """When a fixture message landed: up to a minute after Kafka had it."""
+    return F.col("timestamp") + F.make_dt_interval(secs=F.col("offset") % 60)
+
+
+def bronze_from_events(events: DataFrame, payload: str = "simulated") -> DataFrame:
+    """The events as Bronze rows, with a landing time that is the same on every run."""
+    return envelope(messages_from_events(events, payload), landing_time())
