@@ -1,39 +1,38 @@
 """The event contract as column expressions.
 
 ``from_json`` cannot tell ``12.5`` from ``"12.5"``, so types are read from a
-variant. A message is judged in two steps, both plain column expressions:
+variant. A message is judged in two steps:
 
 1. ``is_plain``: one comparison of the document's whole schema text (which keys,
    which JSON types) plus the value rules. Nearly every message ends here.
-2. ``explain``: all rules one by one, each broken rule giving a reason code. It
+2. ``reasons``: all rules one by one, each broken rule giving a reason code. It
    alone decides; step 1 only answers early for messages with nothing to explain.
    It sits in a CASE branch, so plain rows never evaluate it.
+
+The rules are compiled to SQL expression text and parsed once, which is far quicker
+than building some three hundred small expressions one call at a time.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import product
-from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallygate.functions.event_model import CONTRACT, EVENT_FIELDS, FieldRule
 
-# Reason codes without a field, and the prefixes of those with one.
+# --- Reason codes: two whole codes, and the families that name a field -----
 MALFORMED = "MALFORMED_JSON"
 ROOT_TYPE = "ROOT_TYPE"
-MISSING, TYPE, PATTERN, ENUM, FORMAT, RANGE, EXTRA, COND = (
-    "MISSING",
-    "TYPE",
-    "PATTERN",
-    "ENUM",
-    "FORMAT",
-    "RANGE",
-    "EXTRA",
-    "COND",
-)
+MISSING = "MISSING"
+TYPE = "TYPE"
+PATTERN = "PATTERN"
+ENUM = "ENUM"
+FORMAT = "FORMAT"
+RANGE = "RANGE"
+EXTRA = "EXTRA"
+COND = "COND"
 
 # RFC 3339 date-time; the day of the month is checked against the calendar too.
 DATE_TIME = (
@@ -43,72 +42,55 @@ DATE_TIME = (
 )
 
 
-def document(raw: Column) -> Column:
-    """The message as a one-element variant array, null when it does not parse.
+def document() -> Column:
+    """``raw_value`` as a one-element variant array, null when it does not parse.
 
     Wrapped, because a bare parse stops after the first value and would accept
     trailing text.
     """
-    return F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
-
-
-def is_one_value(raw: Column, doc: Column) -> Column:
-    """The whole message is exactly one JSON value.
-
-    Text such as ``{...}]x`` closes the wrapping array early. Only a message with a
-    ``]`` in it can, so only those are parsed again, inside an object; no text
-    can close both wrappings early.
-    """
-    single = (
-        F.try_variant_get(doc, "$[0]", "variant").isNotNull()
-        & F.try_variant_get(doc, "$[1]", "variant").isNull()
-    )
-    in_object = F.concat(F.lit('{"value":'), raw, F.lit("}"))
-    whole = ~F.contains(raw, F.lit("]")) | F.try_parse_json(in_object).isNotNull()
-    return doc.isNotNull() & single & whole
-
-
-def _path(field: str) -> str:
-    return f"$[0].{field}"
+    return F.expr("try_parse_json(concat('[', raw_value, ']'))")
 
 
-def _kind(doc: Column, field: str) -> Column:
-    """JSON type name of a field, SQL null when the key is absent."""
-    return F.schema_of_variant(F.try_variant_get(doc, _path(field), "variant"))
+# The whole message is exactly one JSON value. Text such as {...}]x closes the
+# wrapping array early. Only a message with a ] in it can, so only those are parsed
+# again, inside an object; no text can close both wrappings early.
+ONE_VALUE = """(
+  doc IS NOT NULL
+  AND try_variant_get(doc, '$[0]', 'variant') IS NOT NULL
+  AND try_variant_get(doc, '$[1]', 'variant') IS NULL
+  AND (NOT contains(raw_value, ']')
+       OR try_parse_json(concat('{"value":', raw_value, '}')) IS NOT NULL)
+)"""
 
 
-def _text(doc: Column, field: str) -> Column:
-    return F.try_variant_get(doc, _path(field), "string")
+def _quoted(texts) -> str:
+    return ", ".join(f"'{text}'" for text in texts)
 
 
-def _number(doc: Column, field: str) -> Column:
-    return F.try_variant_get(doc, _path(field), "double")
+def _get(field: str, as_type: str) -> str:
+    return f"try_variant_get(doc, '$[0].{field}', '{as_type}')"
 
 
-def _value_rules(rule: FieldRule, value: Column) -> dict[str, Column]:
-    """Rules on a field's value by reason prefix; true or null means it holds."""
+def _value_rules(rule: FieldRule, value: str) -> dict[str, str]:
+    """Rules on a field's value by reason family; true or null means it holds."""
     rules = {}
     if rule.pattern:
-        rules[PATTERN] = F.rlike(value, F.lit(rule.pattern))
+        rules[PATTERN] = f"{value} RLIKE r'{rule.pattern}'"
     if rule.allowed:
-        rules[ENUM] = value.isin(*rule.allowed)
+        rules[ENUM] = f"{value} IN ({_quoted(rule.allowed)})"
     if rule.date_time:
-        on_calendar = F.substring(value, 1, 10).try_cast("date").isNotNull()
-        rules[FORMAT] = F.rlike(value, F.lit(DATE_TIME)) & on_calendar
+        on_calendar = f"try_cast(substring({value}, 1, 10) AS date) IS NOT NULL"
+        rules[FORMAT] = f"({value} RLIKE r'{DATE_TIME}' AND {on_calendar})"
     bounds = []
     if rule.minimum is not None:
-        bounds.append(value >= rule.minimum)
+        bounds.append(f"{value} >= {rule.minimum}")
     if rule.maximum is not None:
-        bounds.append(value <= rule.maximum)
+        bounds.append(f"{value} <= {rule.maximum}")
     if bounds:
-        rules[RANGE] = reduce(and_, bounds)
+        rules[RANGE] = f"({' AND '.join(bounds)})"
     return rules
 
 
-def _value(doc: Column, rule: FieldRule) -> Column:
-    return _text(doc, rule.name) if rule.kind == "string" else _number(doc, rule.name)
-
-
 def plain_signatures() -> list[str]:
     """Schema texts of a document that has all it must, and nothing else.
 
@@ -124,83 +106,76 @@ def plain_signatures() -> list[str]:
     return [f"ARRAY<OBJECT<{', '.join(filter(None, choice))}>>" for choice in product(*forms)]
 
 
-def is_plain(raw: Column, doc: Column, conditional: bool = False) -> Column:
+def is_plain(conditional: bool = False) -> Column:
     """True for a message that plainly keeps every rule; false or null if it needs a look.
 
-    Texts are taken from the flattened event columns next to ``doc``, which hold the
-    same text once the schema text matches. Integers are not: a whole number beyond
-    32 bits is null there.
+    Needs ``raw_value``, ``doc`` and the flattened event columns. Texts come from the
+    latter, which hold the same text once the schema text matches. Integers do not: a
+    whole number beyond 32 bits is null there.
     """
-    checks = [is_one_value(raw, doc), F.schema_of_variant(doc).isin(*plain_signatures())]
+    checks = [ONE_VALUE, f"schema_of_variant(doc) IN ({_quoted(plain_signatures())})"]
     for rule in CONTRACT:
-        value = F.col(rule.name) if rule.kind == "string" else _number(doc, rule.name)
+        value = rule.name if rule.kind == "string" else _get(rule.name, "double")
         for holds in _value_rules(rule, value).values():
-            checks.append(F.coalesce(holds, F.lit(True)) if rule.nullable else holds)
+            checks.append(f"coalesce({holds}, true)" if rule.nullable else holds)
     if conditional:
-        checks.append((F.col("status") == "failed") == F.col("failure_reason").isNotNull())
-    return reduce(and_, checks)
+        checks.append("(status = 'failed') = (failure_reason IS NOT NULL)")
+    return F.expr(" AND ".join(checks))
 
 
-def _type_holds(rule: FieldRule, kind: Column, doc: Column) -> Column:
+def _type_holds(rule: FieldRule) -> str:
+    kind = f"kinds.{rule.name}"
     if rule.kind == "string":
-        holds = kind == "STRING"
+        holds = f"{kind} = 'STRING'"
     else:
         # 80.0 and 1e2 are integers too: judged by value, not by spelling.
-        number = _number(doc, rule.name)
+        number = _get(rule.name, "double")
         holds = (
-            (kind == "BIGINT")
-            | F.rlike(kind, F.lit(r"\ADECIMAL\([0-9]+,0\)\z"))
-            | ((kind == "DOUBLE") & (number == F.floor(number)))
+            f"({kind} = 'BIGINT' OR {kind} RLIKE r'\\ADECIMAL\\([0-9]+,0\\)\\z' "
+            f"OR ({kind} = 'DOUBLE' AND {number} = floor({number})))"
         )
-    return (holds | (kind == "VOID")) if rule.nullable else holds
+    return f"({holds} OR {kind} = 'VOID')" if rule.nullable else holds
 
 
-def _broken(kinds: Column, raw: Column, doc: Column, conditional: bool) -> Column:
-    """Every broken rule of an object, in a fixed order, as an array of reason codes."""
+def _broken_rules(conditional: bool) -> list[str]:
+    """Per rule, an expression that gives its reason code where the rule is broken."""
     missing, types, values = [], [], []
     for rule in CONTRACT:
-        kind = kinds[rule.name]
-        type_holds = _type_holds(rule, kind, doc)
+        kind = f"kinds.{rule.name}"
+        holds = _type_holds(rule)
         if rule.required:
-            missing.append(F.when(kind.isNull(), F.lit(f"{MISSING}:{rule.name}")))
-        types.append(F.when(kind.isNotNull() & ~type_holds, F.lit(f"{TYPE}:{rule.name}")))
-        for prefix, holds in _value_rules(rule, _value(doc, rule)).items():
+            missing.append((f"{MISSING}:{rule.name}", f"{kind} IS NULL"))
+        types.append((f"{TYPE}:{rule.name}", f"{kind} IS NOT NULL AND NOT ({holds})"))
+        value = _get(rule.name, "string" if rule.kind == "string" else "double")
+        for family, value_holds in _value_rules(rule, value).items():
             # A value is judged only where its type is right.
-            values.append(F.when(type_holds & ~holds, F.lit(f"{prefix}:{rule.name}")))
+            values.append((f"{family}:{rule.name}", f"({holds}) AND NOT ({value_holds})"))
     if conditional:
-        reason_kind = F.coalesce(kinds["failure_reason"], F.lit("VOID"))
-        agrees = (_text(doc, "status") == "failed") == (reason_kind == "STRING")
-        judged = (kinds["status"] == "STRING") & reason_kind.isin("STRING", "VOID")
-        values.append(F.when(judged & ~agrees, F.lit(f"{COND}:failure_reason")))
-
-    known = F.array(*[F.lit(name) for name in EVENT_FIELDS])
-    unknown = F.array_sort(F.array_except(F.json_object_keys(raw), known))
-    extra = F.transform(unknown, lambda key: F.concat(F.lit(f"{EXTRA}:"), key))
-    return F.concat(F.array_compact(F.array(*missing, *types, *values)), extra)
-
+        given = "coalesce(kinds.failure_reason, 'VOID')"
+        judged = f"kinds.status = 'STRING' AND {given} IN ('STRING', 'VOID')"
+        agrees = f"({_get('status', 'string')} = 'failed') = ({given} = 'STRING')"
+        values.append((f"{COND}:failure_reason", f"{judged} AND NOT ({agrees})"))
+    return [f"CASE WHEN {when} THEN '{code}' END" for code, when in missing + types + values]
 
-def explain(raw: Column, doc: Column, conditional: bool = False) -> Column:
-    """Reason codes of a message that is one JSON object."""
-    # transform over a one-element array names the field types once for all rules.
-    kinds = F.transform(
-        F.array(doc),
-        lambda d: F.struct(*[_kind(d, field).alias(field) for field in EVENT_FIELDS]),
-    )
-    broken = F.transform(kinds, lambda k: _broken(k, raw, doc, conditional))
-    return F.element_at(broken, 1)
 
+def reasons(conditional: bool = False) -> Column:
+    """All the reasons a message breaks the contract, in a fixed order; empty if none.
 
-def reasons(raw: Column, doc: Column, plain: Column, conditional: bool = False) -> Column:
-    """All the reasons a message breaks the contract; empty when it keeps it.
-
-    ``plain`` is the message's ``is_plain`` answer, computed beforehand.
+    Needs ``raw_value``, ``doc`` and ``plain``, the message's ``is_plain`` answer.
     """
-    none = F.array().cast("array<string>")
-    one_value = F.coalesce(is_one_value(raw, doc), F.lit(False))
-    is_object = F.startswith(F.schema_of_variant(doc), F.lit("ARRAY<OBJECT<"))
-    return (
-        F.when(plain, none)
-        .when(~one_value, F.array(F.lit(MALFORMED)))
-        .when(~is_object, F.array(F.lit(ROOT_TYPE)))
-        .otherwise(explain(raw, doc, conditional))
+    kind_fields = ", ".join(
+        f"'{field}', schema_of_variant({_get(field, 'variant')})" for field in EVENT_FIELDS
     )
+    broken = ", ".join(_broken_rules(conditional))
+    unknown = f"array_except(json_object_keys(raw_value), array({_quoted(EVENT_FIELDS)}))"
+    # transform over a one-element array names the field types once for all rules.
+    explained = f"""element_at(transform(
+        array(named_struct({kind_fields})),
+        kinds -> concat(
+          array_compact(array({broken})),
+          transform(array_sort({unknown}), key -> concat('{EXTRA}:', key)))), 1)"""
+    return F.expr(f"""CASE
+        WHEN plain THEN cast(array() AS array<string>)
+        WHEN NOT coalesce({ONE_VALUE}, false) THEN array('{MALFORMED}')
+        WHEN NOT startswith(schema_of_variant(doc), 'ARRAY<OBJECT<') THEN array('{ROOT_TYPE}')
+        ELSE {explained} END""")

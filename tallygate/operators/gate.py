@@ -41,40 +41,36 @@ def parse(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("parsed", F.from_json("raw_value", EVENT_SCHEMA))
 
 
-def flatten(bronze: DataFrame) -> DataFrame:
+def flatten(bronze: DataFrame, **also: Column) -> DataFrame:
     """Message columns and the 15 event fields side by side, parsed once.
 
     Bronze's ``ingested_at`` becomes ``bronze_ingested_at``: the event has its own.
+    ``also`` names further columns to compute from Bronze.
     """
     carried = bronze.select(
         "raw_value",
         *POSITION,
         "kafka_timestamp",
         F.col("ingested_at").alias("bronze_ingested_at"),
+        *[column.alias(name) for name, column in also.items()],
     )
     return evaluate_once(carried, F.from_json("raw_value", EVENT_SCHEMA))
 
 
 def missing_required() -> Column:
     """True when any field the lenient gate requires is null; never null itself."""
-    flags = [F.col(field).isNull() for field in LENIENT_REQUIRED]
-    verdict = flags[0]
-    for flag in flags[1:]:
-        verdict = verdict | flag
-    return verdict
+    return F.expr(" OR ".join(f"{field} IS NULL" for field in LENIENT_REQUIRED))
 
 
 def lenient_gate(bronze: DataFrame) -> DataFrame:
     """Flattened rows, ``is_bad``, and the one reason code the lenient gate knows."""
-    return (
-        flatten(bronze)
-        .withColumn("is_bad", missing_required())
-        .withColumn(
-            "reasons",
-            F.when(F.col("is_bad"), F.array(F.lit(LENIENT_REASON))).otherwise(
-                F.array().cast("array<string>")
-            ),
-        )
+    bad = missing_required()
+    none = F.array().cast("array<string>")
+    return flatten(bronze).withColumns(
+        {
+            "reasons": F.when(bad, F.array(F.lit(LENIENT_REASON))).otherwise(none),
+            "is_bad": bad,
+        }
     )
 
 
@@ -84,18 +80,11 @@ def strict_gate(bronze: DataFrame, conditional: bool = False) -> DataFrame:
     ``conditional`` also asks for a failure reason exactly when the status is
     failed; the contract states that only in words, so it is off by default.
     """
-    raw, doc = F.col("raw_value"), F.col("doc")
-    read = (
-        flatten(bronze)
-        .withColumn("doc", contract.document(raw))
-        .withColumn("plain", contract.is_plain(raw, doc, conditional))
-    )
-    reasons = contract.reasons(raw, doc, F.col("plain"), conditional)
-    return (
-        evaluate_once(read, F.struct(reasons.alias("reasons")))
-        .drop("doc", "plain")
-        .withColumn("is_bad", F.size("reasons") > 0)
+    read = flatten(bronze, doc=contract.document()).withColumn(
+        "plain", contract.is_plain(conditional)
     )
+    judged = evaluate_once(read, F.struct(contract.reasons(conditional).alias("reasons")))
+    return judged.select(*FLATTENED, "reasons", (F.size("reasons") > 0).alias("is_bad"))
 
 
 GATES = {"lenient": lenient_gate, "strict": strict_gate}

@@ -39,8 +39,7 @@ def total_amount(amount: Column) -> Column:
 
 def avg_amount(amount: Column) -> Column:
     # From the exact sum, so the mean does not depend on row order either.
-    mean = F.try_divide(F.sum(amount).cast("double"), F.count(amount))
-    return F.round(mean, 6).alias("avg_amount")
+    return F.try_divide(F.sum(amount).cast("double"), F.count(amount)).alias("avg_amount")
 
 
 def high_risk_count(risk_score: Column) -> Column:

@@ -80,8 +80,11 @@ def _event_columns() -> list[Column]:
 
 
 def bronze_fixture_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bronze(spark, sf_dir).select(
-        "offset", fixture.fault_mode(F.col("offset")).alias("mode"), "raw_value"
+    mode = F.expr(fixture.MODE).alias("mode")
+    return (
+        _bronze(spark, sf_dir)
+        .withColumn("event_id", F.col("offset"))
+        .select("offset", mode, "raw_value")
     )
 
 
@@ -215,8 +218,9 @@ def gold_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_daily_metrics_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = gold.daily_metrics(_silver(spark, sf_dir), amounts="double")
+    # Sums of doubles depend on row order in their last digits.
     return metrics.withColumns(
-        {name: F.round(name, 4) for name in ("total_amount", "avg_amount")}
+        {"total_amount": F.round("total_amount", 4), "avg_amount": F.round("avg_amount", 8)}
     )
 
 
@@ -357,12 +361,7 @@ def gold_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a stream of messages; the file source stands in for Kafka."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
-    return fixture.messages_from_events(events)
+    return fixture.messages_from_events(fixture.event_stream(spark, sf_dir))
 
 
 def _landed(spark: SparkSession, sf_dir: str, runs: int = 1) -> str:

@@ -295,10 +295,8 @@ judged AS (
       WHEN doc IS NULL THEN ['MALFORMED_JSON']
       WHEN json_type(doc) <> 'OBJECT' THEN ['ROOT_TYPE']
       ELSE list_concat(
-        list_filter([{broken}], x -> x IS NOT NULL),
-        list_transform(
-          list_sort(list_filter(json_keys(doc), k -> k NOT IN {_in(FIELDS)})),
-          k -> 'EXTRA:' || k))
+        [x FOR x IN [{broken}] IF x IS NOT NULL],
+        ['EXTRA:' || k FOR k IN list_sort(json_keys(doc)) IF k NOT IN {_in(FIELDS)}])
     END AS reasons
   FROM flat
 )"""
@@ -314,8 +312,7 @@ SELECT "offset", reason FROM broken WHERE split_part(reason, ':', 1) IN {_in(pre
 _MEASURES = {
     "transaction_count": "count(*) AS transaction_count",
     "total_amount": "CAST(sum(amount_num) AS DOUBLE) AS total_amount",
-    "avg_amount": "round(CAST(sum(amount_num) AS DOUBLE) / nullif(count(amount_num), 0), 6)"
-    " AS avg_amount",
+    "avg_amount": "CAST(sum(amount_num) AS DOUBLE) / nullif(count(amount_num), 0) AS avg_amount",
     "high_risk_txn_count": "CAST(sum(CASE WHEN risk_score >= 80 THEN 1 ELSE 0 END) AS BIGINT)"
     " AS high_risk_txn_count",
 }
@@ -467,7 +464,7 @@ FROM ev""",
     "gold_daily_metrics_double": f"""{_LENIENT}
 SELECT event_date, currency, status, count(*) AS transaction_count,
   round(sum(TRY_CAST(amount AS DOUBLE)), 4) AS total_amount,
-  round(avg(TRY_CAST(amount AS DOUBLE)), 4) AS avg_amount,
+  round(avg(TRY_CAST(amount AS DOUBLE)), 8) AS avg_amount,
   CAST(sum(CASE WHEN risk_score >= 80 THEN 1 ELSE 0 END) AS BIGINT) AS high_risk_txn_count
 FROM silver GROUP BY event_date, currency, status""",
     "gold_strict_metrics": f"""WITH {_judged('simulated')},

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.functions.event_model import CONTRACT, EVENT_FIELDS
-from tallygate.functions.lifecycle import FAILURE_REASONS, is_failure, lifecycle_status, lookup
+from tallygate.functions.event_model import CONTRACT
+from tallygate.functions.lifecycle import FAILURE_REASONS, LIFECYCLE_STATUS
 from tallygate.sources.messages import TOPIC, envelope
 
 PARTITIONS = 4
@@ -46,6 +46,12 @@ BAD_TIMES = (
 CONTRACT_FAULTS = 17
 
 
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string"
+)
+
+
 def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events``, dealt out when it comes as fewer pieces than there are cores.
 
@@ -53,165 +59,171 @@ def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     cores there are. A table big enough for a cluster has more splits than that and
     is left as it is, so no shuffle is added there.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
     cores = spark.sparkContext.defaultParallelism
     if events.rdd.getNumPartitions() < cores:
         return events.repartition(cores, "event_id")
     return events
 
 
-def fault_mode(event_id: Column) -> Column:
-    """0 for an intact message, 1 to 5 for the kind of damage done to it.
+# 0 for an intact message, otherwise the kind of damage: 1 a required field
+# dropped, 2 amount as a number, 3 a bad code, 4 an unknown field, 5 text cut short.
+MODE = "CAST(CASE WHEN event_id % 10 = 0 THEN event_id div 10 % 5 + 1 ELSE 0 END AS int)"
 
-    1 a required field dropped, 2 amount as a number, 3 a bad code, 4 an unknown
-    field, 5 the text cut short.
-    """
-    damaged = F.floor(event_id / 10) % 5 + 1
-    return F.when(event_id % 10 != 0, 0).otherwise(damaged).cast("int")
+# -1 for an intact message, otherwise which contract fault it has.
+FAULT = f"CASE WHEN event_id % 10 = 0 THEN event_id div 10 % {CONTRACT_FAULTS} ELSE -1 END"
 
+# Payloads are written as SQL text: one parse instead of hundreds of small calls.
+Damage = tuple[str, str, str]  # field, condition, JSON text (NULL leaves the field out)
 
-def contract_fault(event_id: Column) -> Column:
-    """-1 for an intact message, otherwise which contract fault it has."""
-    fault = F.floor(event_id / 10) % CONTRACT_FAULTS
-    return F.when(event_id % 10 != 0, -1).otherwise(fault).cast("int")
 
+def _pick(values: tuple[str, ...], number: str) -> str:
+    """values[number % len(values)]"""
+    options = ", ".join(f"'{value}'" for value in values)
+    return f"element_at(array({options}), CAST({number} % {len(values)} AS int) + 1)"
 
-def _quoted(text: Column) -> Column:
-    return F.concat(F.lit('"'), text, F.lit('"'))
 
+def _quoted(text: str) -> str:
+    return f"""concat('"', {text}, '"')"""
 
-def _pick(values: tuple[str, ...], number: Column) -> Column:
-    """values[number % len(values)]"""
-    options = F.array(*[F.lit(value) for value in values])
-    return F.element_at(options, (number % len(values)).cast("int") + 1)
+
+def _status() -> str:
+    cases = " ".join(
+        f"WHEN '{event}' THEN '{LIFECYCLE_STATUS[lifecycle]}'"
+        for event, lifecycle in LIFECYCLE_OF_EVENT.items()
+    )
+    return f"CASE event_type {cases} END"
 
 
-def _iso(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+def _iso(moment: str) -> str:
+    return f"""date_format({moment}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")"""
 
 
-def _intact() -> dict[str, Column]:
+def _intact() -> dict[str, str]:
     """Field name to its JSON text, for an undamaged message."""
-    event_id = F.col("event_id")
-    number = event_id.cast("string")
-    lifecycle = lookup(F.col("event_type"), LIFECYCLE_OF_EVENT)
-    moment = F.col("ts").cast("timestamp")
-    arrival = moment + F.make_dt_interval(secs=event_id % 7)
-    reason = F.when(is_failure(lifecycle), _quoted(_pick(FAILURE_REASONS, event_id)))
-    risk = F.when(event_id % 13 != 0, (event_id % 101).cast("string"))
+    reason = _quoted(_pick(FAILURE_REASONS, "event_id"))
     return {
-        "event_id": _quoted(F.concat(F.lit("evt_"), number)),
-        "transaction_id": _quoted(F.concat(F.lit("txn_"), number)),
-        "user_id": _quoted(F.concat(F.lit("usr_"), F.col("user_id").cast("string"))),
-        "merchant_id": _quoted(F.concat(F.lit("mrc_"), (F.col("user_id") % 50).cast("string"))),
-        "amount": _quoted(F.col("value").cast("decimal(18,2)").cast("string")),
-        "currency": _quoted(_pick(CURRENCIES, event_id)),
-        "payment_method": _quoted(_pick(PAYMENT_METHODS, event_id)),
-        "transaction_type": _quoted(_pick(TRANSACTION_TYPES, F.floor(event_id / 4))),
-        "status": _quoted(lifecycle_status(lifecycle)),
-        "failure_reason": F.coalesce(reason, F.lit("null")),
-        "event_time": _quoted(_iso(moment)),
-        "ingested_at": _quoted(_iso(arrival)),
-        "risk_score": F.coalesce(risk, F.lit("null")),
-        "source_system": _quoted(F.lit("sim")),
-        "schema_version": F.lit("1"),
+        "event_id": _quoted("'evt_', event_id"),
+        "transaction_id": _quoted("'txn_', event_id"),
+        "user_id": _quoted("'usr_', user_id"),
+        "merchant_id": _quoted("'mrc_', user_id % 50"),
+        "amount": _quoted("CAST(value AS decimal(18,2))"),
+        "currency": _quoted(_pick(CURRENCIES, "event_id")),
+        "payment_method": _quoted(_pick(PAYMENT_METHODS, "event_id")),
+        "transaction_type": _quoted(_pick(TRANSACTION_TYPES, "event_id div 4")),
+        "status": _quoted("status"),
+        "failure_reason": f"CASE WHEN status = 'failed' THEN {reason} ELSE 'null' END",
+        "event_time": _quoted(_iso("ts")),
+        "ingested_at": _quoted(_iso("ts + make_dt_interval(0, 0, 0, event_id % 7)")),
+        "risk_score": "CASE WHEN event_id % 13 = 0 THEN 'null' "
+        "ELSE CAST(event_id % 101 AS string) END",
+        "source_system": _quoted("'sim'"),
+        "schema_version": "'1'",
     }
 
 
-def _damage(fields: dict[str, Column], name: str, when: Column, text: Column) -> None:
-    """Replace a field's JSON text on the rows ``when`` holds; null text drops the field."""
-    fields[name] = F.when(when, text).otherwise(fields[name])
-
-
-def _payload(fields: dict[str, Column], extra: Column | None = None) -> Column:
-    """Fields in order as one JSON object; fields whose text is null are left out."""
-    members = [F.concat(F.lit(f'"{name}": '), fields[name]) for name in EVENT_FIELDS]
-    if extra is not None:
-        members.append(extra)
-    return F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
-
-
-def _cut(text: Column) -> Column:
-    return F.substring(text, F.lit(1), F.length(text) - 1)
-
-
-def simulated_payload() -> Column:
-    """Payload with the five kinds of damage ``fault_mode`` names."""
-    event_id = F.col("event_id")
-    mode = fault_mode(event_id)
-    choice = F.floor(event_id / 50)
-    fields = _intact()
-    bare_amount = F.col("value").cast("decimal(18,2)").cast("string")
-    for index, name in enumerate(DROPPABLE):
-        drop = (mode == 1) & (choice % len(DROPPABLE) == index)
-        _damage(fields, name, drop, F.lit(None).cast("string"))
-    _damage(fields, "amount", mode == 2, bare_amount)
-    _damage(fields, "currency", (mode == 3) & (choice % 2 == 0), F.lit('"usd"'))
-    _damage(fields, "status", (mode == 3) & (choice % 2 == 1), F.lit('"authorised"'))
-    text = _payload(fields, F.when(mode == 4, F.lit(UNEXPECTED)))
-    return F.when(mode == 5, _cut(text)).otherwise(text)
-
-
-def contract_payload() -> Column:
-    """Payload with faults that between them break every contract rule."""
-    event_id = F.col("event_id")
-    fault = contract_fault(event_id)
-    choice = F.floor(event_id / (10 * CONTRACT_FAULTS))
-    fields = _intact()
-    gone = F.lit(None).cast("string")
-
-    def spread(number: int, names: tuple[str, ...], text: Column) -> None:
-        for index, name in enumerate(names):
-            _damage(fields, name, (fault == number) & (choice % len(names) == index), text)
-
-    spread(0, REQUIRED, gone)
-    spread(1, TEXTS, F.lit("12.5"))
-    spread(2, REQUIRED, F.lit("null"))
-    spread(3, INTEGERS, F.lit('"7"'))
-    spread(4, INTEGERS, F.lit("80.5"))
-    spread(5, INTEGERS, F.lit("80.0"))
-    _damage(fields, "amount", fault == 6, _quoted(_pick(BAD_AMOUNTS, choice)))
-    _damage(fields, "currency", fault == 7, _quoted(_pick(BAD_CURRENCIES, choice)))
-    spread(8, ("payment_method", "transaction_type", "status"), F.lit('"unheard_of"'))
-    _damage(fields, "event_time", fault == 9, _quoted(_pick(BAD_TIMES, choice)))
-    _damage(fields, "ingested_at", fault == 10, _quoted(_pick(BAD_TIMES, choice)))
-    _damage(fields, "risk_score", fault == 11, _pick(("-1", "101"), choice))
-    _damage(fields, "schema_version", fault == 12, _pick(("0", "-3"), choice))
-    # 13 is one or two unknown fields, 14 the whole text; see below.
-    _damage(fields, "amount", fault == 15, gone)
-    _damage(fields, "currency", fault == 15, F.lit('"usd"'))
-    _damage(fields, "risk_score", fault == 15, F.lit("101"))
-    unreasoned = F.when(fields["failure_reason"] == "null", F.lit('"network_error"'))
-    _damage(fields, "failure_reason", fault == 16, F.coalesce(unreasoned, F.lit("null")))
-
-    two = F.lit('"channel": "web", ' + UNEXPECTED)
-    extra = F.when(fault == 13, F.when(choice % 2 == 0, F.lit(UNEXPECTED)).otherwise(two))
-    extra = F.when(fault == 15, F.lit(UNEXPECTED)).otherwise(extra)
-    text = _payload(fields, extra)
-    whole = (
-        F.when(choice % 4 == 0, _cut(text))
-        .when(choice % 4 == 1, F.concat(F.lit("["), text, F.lit("]")))
-        .when(choice % 4 == 2, F.lit('"hello"'))
-        .otherwise(F.lit("null"))
+def _payload(damages: list[Damage], extra: str) -> str:
+    """Fields in order as one JSON object; members whose text is null are left out."""
+    members = []
+    for name, intact in _intact().items():
+        cases = [f"WHEN {when} THEN {text}" for field, when, text in damages if field == name]
+        text = f"CASE {' '.join(cases)} ELSE {intact} END" if cases else intact
+        members.append(f"""concat('"{name}": ', {text})""")
+    return f"concat('{{', concat_ws(', ', {', '.join(members)}, {extra}), '}}')"
+
+
+_CUT = "substring(body, 1, length(body) - 1)"
+
+
+def simulated_payload() -> tuple[str, str]:
+    """Body and sent text, with the five kinds of damage MODE names."""
+    choice = "event_id div 50"
+    damages = [
+        (name, f"mode = 1 AND {choice} % {len(DROPPABLE)} = {index}", "NULL")
+        for index, name in enumerate(DROPPABLE)
+    ]
+    damages += [
+        ("amount", "mode = 2", "CAST(CAST(value AS decimal(18,2)) AS string)"),
+        ("currency", f"mode = 3 AND {choice} % 2 = 0", _quoted("'usd'")),
+        ("status", f"mode = 3 AND {choice} % 2 = 1", _quoted("'authorised'")),
+    ]
+    body = _payload(damages, f"CASE WHEN mode = 4 THEN '{UNEXPECTED}' END")
+    return body, f"CASE WHEN mode = 5 THEN {_CUT} ELSE body END"
+
+
+def contract_payload() -> tuple[str, str]:
+    """Body and sent text, with faults that between them break every contract rule."""
+    choice = f"event_id div {10 * CONTRACT_FAULTS}"
+
+    def in_turn(fault: int, names: tuple[str, ...], text: str) -> list[Damage]:
+        return [
+            (name, f"fault = {fault} AND {choice} % {len(names)} = {index}", text)
+            for index, name in enumerate(names)
+        ]
+
+    def one_of(fault: int, name: str, values: tuple[str, ...]) -> Damage:
+        return name, f"fault = {fault}", _quoted(_pick(values, choice))
+
+    damages = [
+        *in_turn(0, REQUIRED, "NULL"),
+        *in_turn(1, TEXTS, "'12.5'"),
+        *in_turn(2, REQUIRED, "'null'"),
+        *in_turn(3, INTEGERS, _quoted("'7'")),
+        *in_turn(4, INTEGERS, "'80.5'"),
+        *in_turn(5, INTEGERS, "'80.0'"),
+        one_of(6, "amount", BAD_AMOUNTS),
+        one_of(7, "currency", BAD_CURRENCIES),
+        *in_turn(8, ("payment_method", "transaction_type", "status"), _quoted("'unheard_of'")),
+        one_of(9, "event_time", BAD_TIMES),
+        one_of(10, "ingested_at", BAD_TIMES),
+        ("risk_score", "fault = 11", _pick(("-1", "101"), choice)),
+        ("schema_version", "fault = 12", _pick(("0", "-3"), choice)),
+        # 13 is one or two unknown fields, 14 spoils the whole text.
+        ("amount", "fault = 15", "NULL"),
+        ("currency", "fault = 15", _quoted("'usd'")),
+        ("risk_score", "fault = 15", "'101'"),
+        (
+            "failure_reason",
+            "fault = 16",
+            f"CASE WHEN status = 'failed' THEN 'null' ELSE {_quoted("'network_error'")} END",
+        ),
+    ]
+    extra = (
+        f"CASE WHEN fault = 13 AND {choice} % 2 = 1 THEN '\"channel\": \"web\", {UNEXPECTED}' "
+        f"WHEN fault IN (13, 15) THEN '{UNEXPECTED}' END"
+    )
+    sent = (
+        f"CASE WHEN fault <> 14 THEN body WHEN {choice} % 4 = 0 THEN {_CUT} "
+        f"WHEN {choice} % 4 = 1 THEN concat('[', body, ']') "
+        f"WHEN {choice} % 4 = 2 THEN {_quoted("'hello'")} ELSE 'null' END"
     )
-    return F.when(fault == 14, whole).otherwise(text)
+    return _payload(damages, extra), sent
 
 
 PAYLOADS = {"simulated": simulated_payload, "contract": contract_payload}
 
 
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a stream; the file source stands in for a message broker."""
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
+    return reader.parquet(sf_dir)
+
+
 def messages_from_events(events: DataFrame, payload: str = "simulated") -> DataFrame:
     """The events as Kafka messages keyed by transaction. Works on a stream too."""
-    event_id = F.col("event_id")
-    moment = F.col("ts").cast("timestamp")
-    return events.select(
-        F.concat(F.lit("txn_"), event_id.cast("string")).cast("binary").alias("key"),
-        PAYLOADS[payload]().cast("binary").alias("value"),
-        F.lit(TOPIC).alias("topic"),
-        (event_id % PARTITIONS).cast("int").alias("partition"),
-        event_id.alias("offset"),
-        (moment + F.make_dt_interval(secs=event_id % 11)).alias("timestamp"),
-        F.lit(0).alias("timestampType"),
+    body, sent = PAYLOADS[payload]()
+    return (
+        events.selectExpr("*", f"{MODE} AS mode", f"{FAULT} AS fault", f"{_status()} AS status")
+        .selectExpr("*", f"{body} AS body")
+        .selectExpr(
+            "CAST(concat('txn_', event_id) AS binary) AS key",
+            f"CAST({sent} AS binary) AS value",
+            f"'{TOPIC}' AS topic",
+            f"CAST(event_id % {PARTITIONS} AS int) AS partition",
+            "event_id AS offset",
+            "CAST(ts AS timestamp) + make_dt_interval(0, 0, 0, event_id % 11) AS timestamp",
+            "0 AS timestampType",
+        )
     )
 
 
