@@ -51,16 +51,17 @@ def document() -> Column:
     return F.expr("try_parse_json(concat('[', raw_value, ']'))")
 
 
-# The whole message is exactly one JSON value. Text such as {...}]x closes the
-# wrapping array early. Only a message with a ] in it can, so only those are parsed
-# again, inside an object; no text can close both wrappings early.
-ONE_VALUE = """(
-  doc IS NOT NULL
-  AND try_variant_get(doc, '$[0]', 'variant') IS NOT NULL
-  AND try_variant_get(doc, '$[1]', 'variant') IS NULL
+# Nothing follows the first value. Text such as {...}]x closes the wrapping array
+# early. Only a message with a ] in it can, so only those are parsed again, inside an
+# object; no text can close both wrappings early.
+NOTHING_FOLLOWS = """(
+  try_variant_get(doc, '$[1]', 'variant') IS NULL
   AND (NOT contains(raw_value, ']')
        OR try_parse_json(concat('{"value":', raw_value, '}')) IS NOT NULL)
 )"""
+ONE_VALUE = f"""(
+  doc IS NOT NULL AND try_variant_get(doc, '$[0]', 'variant') IS NOT NULL AND {NOTHING_FOLLOWS}
+)"""
 
 
 def _quoted(texts) -> str:
@@ -113,7 +114,7 @@ def is_plain(conditional: bool = False) -> Column:
     latter, which hold the same text once the schema text matches. Integers do not: a
     whole number beyond 32 bits is null there.
     """
-    checks = [ONE_VALUE, f"schema_of_variant(doc) IN ({_quoted(plain_signatures())})"]
+    checks = [f"schema_of_variant(doc) IN ({_quoted(plain_signatures())})", NOTHING_FOLLOWS]
     for rule in CONTRACT:
         value = rule.name if rule.kind == "string" else _get(rule.name, "double")
         for holds in _value_rules(rule, value).values():
