@@ -7,7 +7,13 @@ variant. A message is judged in two steps:
    which JSON types) plus the value rules. Nearly every message ends here.
 2. ``reasons``: all rules one by one, each broken rule giving a reason code. It
    alone decides; step 1 only answers early for messages with nothing to explain.
-   It sits in a CASE branch, so plain rows never evaluate it.
+   Its parts sit in CASE branches, so plain rows never evaluate them.
+
+Each part is a column of its own that the next one reads (``operators.gate`` adds them
+in order). That way a value many rules use is computed once, and the long list of
+rules stays out of higher-order functions, whose arguments Spark interprets. The
+rules share a select with ``extra_keys``, which has such a function: Spark then
+compiles that select by itself, in pieces small enough for the JVM to optimise.
 
 The rules are compiled to SQL expression text and parsed once, which is far quicker
 than building some three hundred small expressions one call at a time.
@@ -138,7 +144,7 @@ def _type_holds(rule: FieldRule) -> str:
     return f"({holds} OR {kind} = 'VOID')" if rule.nullable else holds
 
 
-def _broken_rules(conditional: bool) -> list[str]:
+def _rule_codes(conditional: bool) -> list[str]:
     """Per rule, an expression that gives its reason code where the rule is broken."""
     missing, types, values = [], [], []
     for rule in CONTRACT:
@@ -159,24 +165,39 @@ def _broken_rules(conditional: bool) -> list[str]:
     return [f"CASE WHEN {when} THEN '{code}' END" for code, when in missing + types + values]
 
 
-def reasons(conditional: bool = False) -> Column:
-    """All the reasons a message breaks the contract, in a fixed order; empty if none.
-
-    Needs ``raw_value``, ``doc`` and ``plain``, the message's ``is_plain`` answer.
-    """
-    kind_fields = ", ".join(
+def kinds() -> Column:
+    """JSON type name of each field, null where the key is absent; null for plain rows."""
+    fields = ", ".join(
         f"'{field}', schema_of_variant({_get(field, 'variant')})" for field in EVENT_FIELDS
     )
-    broken = ", ".join(_broken_rules(conditional))
-    unknown = f"array_except(json_object_keys(raw_value), array({_quoted(EVENT_FIELDS)}))"
-    # transform over a one-element array names the field types once for all rules.
-    explained = f"""element_at(transform(
-        array(named_struct({kind_fields})),
-        kinds -> concat(
-          array_compact(array({broken})),
-          transform(array_sort({unknown}), key -> concat('{EXTRA}:', key)))), 1)"""
+    return F.expr(f"CASE WHEN NOT coalesce(plain, false) THEN named_struct({fields}) END")
+
+
+def broken_rules(conditional: bool = False) -> Column:
+    """One entry per rule, the reason code where it is broken and null where it holds.
+
+    Needs ``raw_value``, ``doc``, ``plain`` and ``kinds``; null for plain rows.
+    """
     return F.expr(f"""CASE
-        WHEN plain THEN cast(array() AS array<string>)
+        WHEN plain THEN NULL
         WHEN NOT coalesce({ONE_VALUE}, false) THEN array('{MALFORMED}')
         WHEN NOT startswith(schema_of_variant(doc), 'ARRAY<OBJECT<') THEN array('{ROOT_TYPE}')
-        ELSE {explained} END""")
+        ELSE array({", ".join(_rule_codes(conditional))}) END""")
+
+
+def extra_keys() -> Column:
+    """A reason code for each key the contract does not know, sorted; null for plain rows."""
+    unknown = f"array_except(json_object_keys(raw_value), array({_quoted(EVENT_FIELDS)}))"
+    return F.expr(f"""CASE WHEN NOT coalesce(plain, false)
+        THEN transform(sort_array({unknown}), key -> concat('{EXTRA}:', key)) END""")
+
+
+def reasons() -> Column:
+    """All the reasons a message breaks the contract, in a fixed order; empty if none.
+
+    Needs ``broken`` (broken_rules) and ``extra`` (extra_keys).
+    """
+    return F.expr(f"""CASE
+        WHEN broken IS NULL THEN cast(array() AS array<string>)
+        WHEN broken[0] IN ('{MALFORMED}', '{ROOT_TYPE}') THEN broken
+        ELSE concat(array_compact(broken), extra) END""")

@@ -80,10 +80,15 @@ def strict_gate(bronze: DataFrame, conditional: bool = False) -> DataFrame:
     ``conditional`` also asks for a failure reason exactly when the status is
     failed; the contract states that only in words, so it is off by default.
     """
-    read = flatten(bronze, doc=contract.document()).withColumn(
-        "plain", contract.is_plain(conditional)
+    read = (
+        flatten(bronze, doc=contract.document())
+        .withColumn("plain", contract.is_plain(conditional))
+        .withColumn("kinds", contract.kinds())
+        .withColumns(
+            {"broken": contract.broken_rules(conditional), "extra": contract.extra_keys()}
+        )
     )
-    judged = evaluate_once(read, F.struct(contract.reasons(conditional).alias("reasons")))
+    judged = evaluate_once(read, F.struct(contract.reasons().alias("reasons")))
     return judged.select(*FLATTENED, "reasons", (F.size("reasons") > 0).alias("is_bad"))
 
 
