@@ -1,4 +1,9 @@
-"""Every query by name: a callable from a session and a table folder to a DataFrame."""
+"""Every query by name: a callable from a session and a table folder to a DataFrame.
+
+Each reads the tables in the folder it is given, mostly ``events``, from which the
+fixture makes the transaction messages. The operators themselves live elsewhere; a
+query here is a short composition of them.
+"""
 
 from __future__ import annotations
 
@@ -248,27 +253,40 @@ def quarantine_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Checks -----------------------------------------------------------------
 
 
-def _datasets(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, tuple]]:
-    return {
-        checks.SILVER: (gate.typed(_silver(spark, sf_dir)), checks.SILVER_CHECKS),
-        checks.QUARANTINE: (_quarantine(spark, sf_dir), checks.QUARANTINE_CHECKS),
-        checks.GOLD: (_gold(spark, sf_dir), checks.GOLD_CHECKS),
-    }
+def _stored_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Silver, Quarantine and Gold as tables: one pass over Bronze for all that look at them."""
+    path, gold_path = shared_folder(spark, "layers"), shared_folder(spark, "gold")
+    jobs.split_layers(_bronze(spark, sf_dir), path, as_of=_load_time())
+    silver = jobs.read_layer(spark, path, "silver")
+    jobs.build_gold(silver, gold_path)
+    quarantine = jobs.read_layer(spark, path, "quarantine")
+    return silver, quarantine, tables.read_table(spark, gold_path)
 
 
-def _scan_one(name: str) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        dataset, its_checks = _datasets(spark, sf_dir)[name]
-        return checks.scan(name, dataset, its_checks)
+def dq_scan_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = gate.typed(_silver(spark, sf_dir))
+    return checks.scan(checks.SILVER, rows, checks.SILVER_CHECKS)
+
+
+def dq_scan_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.scan(checks.QUARANTINE, _quarantine(spark, sf_dir), checks.QUARANTINE_CHECKS)
 
-    return query
+
+def dq_scan_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.scan(checks.GOLD, _gold(spark, sf_dir), checks.GOLD_CHECKS)
 
 
 def _scan_metric(metric: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        silver, quarantine, gold_rows = _stored_layers(spark, sf_dir)
+        datasets = {
+            checks.SILVER: (gate.typed(silver), checks.SILVER_CHECKS),
+            checks.QUARANTINE: (quarantine, checks.QUARANTINE_CHECKS),
+            checks.GOLD: (gold_rows, checks.GOLD_CHECKS),
+        }
         chosen = {
             name: (dataset, checks.of_metric(its_checks, metric))
-            for name, (dataset, its_checks) in _datasets(spark, sf_dir).items()
+            for name, (dataset, its_checks) in datasets.items()
         }
         return checks.scan_all({name: pair for name, pair in chosen.items() if pair[1]})
 
@@ -294,12 +312,7 @@ def dq_scan_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reliability.conservation(
-        _bronze(spark, sf_dir),
-        _silver(spark, sf_dir),
-        _quarantine(spark, sf_dir),
-        _gold(spark, sf_dir),
-    )
+    return reliability.conservation(_bronze(spark, sf_dir), *_stored_layers(spark, sf_dir))
 
 
 def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -455,9 +468,9 @@ QUERIES: dict[str, Query] = {
     "dq_missing_count": _scan_metric(checks.MISSING_COUNT),
     "dq_invalid_min": _scan_metric(checks.INVALID_COUNT),
     "dq_freshness": dq_freshness,
-    "dq_scan_silver": _scan_one(checks.SILVER),
-    "dq_scan_quarantine": _scan_one(checks.QUARANTINE),
-    "dq_scan_gold": _scan_one(checks.GOLD),
+    "dq_scan_silver": dq_scan_silver,
+    "dq_scan_quarantine": dq_scan_quarantine,
+    "dq_scan_gold": dq_scan_gold,
     "dq_scan_customer": dq_scan_customer,
     "layer_conservation": layer_conservation,
     "silver_incremental": silver_incremental,

@@ -28,13 +28,33 @@ def split_days(
 ) -> None:
     """The same for whole landing days, replacing those days: rerunning changes nothing.
 
-    Needs no join with what is loaded already. Give it complete days.
+    Needs no join with what is loaded already. Give it complete days, and keep to one
+    gate per path: a day that had bad rows under one gate and has none under another
+    would keep the old ones.
     """
     gated = gate.GATES[gate_name](bronze_slice)
     rows = gate.labelled(gated, as_of).withColumn("ingest_date", F.to_date("bronze_ingested_at"))
     tables.overwrite_partitions(rows, path, "layer", "ingest_date")
 
 
+def split_tables(
+    bronze: DataFrame,
+    silver_path: str,
+    quarantine_path: str,
+    gate_name: str = "lenient",
+    as_of: Column | None = None,
+) -> None:
+    """Append the two sides to two tables in unrelated places.
+
+    Reads and parses Bronze once per side, and a failure in between leaves only Silver
+    written, so ``split_layers`` is the better choice where one path will do. The few
+    quarantined rows are gathered into files of a sensible size.
+    """
+    gated = gate.GATES[gate_name](bronze)
+    tables.append_table(gate.silver(gated, as_of), silver_path)
+    tables.append_table(gate.quarantine(gated, as_of).hint("rebalance"), quarantine_path)
+
+
 def read_layer(spark: SparkSession, path: str, layer: str) -> DataFrame:
     """Silver or Quarantine out of a split written by either job; reads that side only."""
     columns = {

@@ -33,6 +33,20 @@ def test_rerunning_days_changes_nothing(spark, tmp_path):
     assert silver.columns == list(gate.SILVER_COLUMNS)
 
 
+def test_two_tables_equal_the_single_write(spark, tmp_path):
+    bronze, as_of = small_bronze(spark), F.timestamp_micros(F.lit(0))
+    one, silver_path, quarantine_path = (str(tmp_path / name) for name in ("one", "s", "q"))
+    jobs.split_layers(bronze, one, "strict", as_of)
+    jobs.split_tables(bronze, silver_path, quarantine_path, "strict", as_of)
+    assert rows(tables.read_table(spark, silver_path)) == rows(
+        jobs.read_layer(spark, one, "silver")
+    )
+    assert rows(tables.read_table(spark, quarantine_path)) == rows(
+        jobs.read_layer(spark, one, "quarantine")
+    )
+    assert len(list((tmp_path / "q").glob("part-*"))) == 1
+
+
 def test_append_twice_is_caught_by_conservation(spark, tmp_path):
     path = str(tmp_path / "layers")
     bronze = small_bronze(spark)
