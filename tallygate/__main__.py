@@ -1,4 +1,4 @@
-"""The jobs from the command line: ``spark-submit ... -m tallygate <job> ...``.
+"""The jobs from the command line: ``spark-submit run_job.py <job> ...``.
 
 Paths may be on any file system the cluster is set up for.
 """

@@ -205,8 +205,9 @@ PAYLOADS = {"simulated": simulated_payload, "contract": contract_payload}
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a stream; the file source stands in for a message broker."""
-    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(sf_dir)
+    # A pattern, as a stream does not take the path of a single file; it matches the
+    # table whether that is one file or a folder of them.
+    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet*")
 
 
 def messages_from_events(events: DataFrame, payload: str = "simulated") -> DataFrame:
