@@ -73,9 +73,6 @@ MODE = "CAST(CASE WHEN event_id % 10 = 0 THEN event_id div 10 % 5 + 1 ELSE 0 END
 # -1 for an intact message, otherwise which contract fault it has.
 FAULT = f"CASE WHEN event_id % 10 = 0 THEN event_id div 10 % {CONTRACT_FAULTS} ELSE -1 END"
 
-# Payloads are written as SQL text: one parse instead of hundreds of small calls.
-Damage = tuple[str, str, str]  # field, condition, JSON text (NULL leaves the field out)
-
 
 def _pick(values: tuple[str, ...], number: str) -> str:
     """values[number % len(values)]"""
@@ -122,85 +119,96 @@ def _intact() -> dict[str, str]:
     }
 
 
-def _payload(damages: list[Damage], extra: str) -> str:
-    """Fields in order as one JSON object; members whose text is null are left out."""
+def _body(extra: str) -> str:
+    """Fields in order as one JSON object; members whose text is null are left out.
+
+    ``target`` names the field to damage and ``damage`` the JSON text it gets. The
+    target "several" damages three fields at once. ``extra`` is an array of members to
+    add. (Its array_compact also makes Spark compile this long select by itself, in
+    pieces the JVM can optimise.)
+    """
+    several = {"amount": "NULL", "currency": _quoted("'usd'"), "risk_score": "'101'"}
     members = []
     for name, intact in _intact().items():
-        cases = [f"WHEN {when} THEN {text}" for field, when, text in damages if field == name]
-        text = f"CASE {' '.join(cases)} ELSE {intact} END" if cases else intact
+        also = f"WHEN target = 'several' THEN {several[name]} " if name in several else ""
+        text = f"CASE WHEN target = '{name}' THEN damage {also}ELSE {intact} END"
         members.append(f"""concat('"{name}": ', {text})""")
     return f"concat('{{', concat_ws(', ', {', '.join(members)}, {extra}), '}}')"
 
 
+def _by(selector: str, outcomes: dict[int, str]) -> str:
+    cases = " ".join(f"WHEN {number} THEN {outcome}" for number, outcome in outcomes.items())
+    return f"CASE {selector} {cases} END"
+
+
 _CUT = "substring(body, 1, length(body) - 1)"
 
 
-def simulated_payload() -> tuple[str, str]:
-    """Body and sent text, with the five kinds of damage MODE names."""
+def simulated_faults() -> dict[str, str]:
+    """The five kinds of damage MODE names."""
     choice = "event_id div 50"
-    damages = [
-        (name, f"mode = 1 AND {choice} % {len(DROPPABLE)} = {index}", "NULL")
-        for index, name in enumerate(DROPPABLE)
-    ]
-    damages += [
-        ("amount", "mode = 2", "CAST(CAST(value AS decimal(18,2)) AS string)"),
-        ("currency", f"mode = 3 AND {choice} % 2 = 0", _quoted("'usd'")),
-        ("status", f"mode = 3 AND {choice} % 2 = 1", _quoted("'authorised'")),
-    ]
-    body = _payload(damages, f"CASE WHEN mode = 4 THEN '{UNEXPECTED}' END")
-    return body, f"CASE WHEN mode = 5 THEN {_CUT} ELSE body END"
-
-
-def contract_payload() -> tuple[str, str]:
-    """Body and sent text, with faults that between them break every contract rule."""
-    choice = f"event_id div {10 * CONTRACT_FAULTS}"
+    targets = {1: _pick(DROPPABLE, choice), 2: "'amount'", 3: _pick(("currency", "status"), choice)}
+    damages = {
+        2: "CAST(CAST(value AS decimal(18,2)) AS string)",
+        3: _quoted(_pick(("usd", "authorised"), choice)),
+    }
+    return {
+        "target": _by("mode", targets),
+        "damage": _by("mode", damages),
+        "extra": f"array_compact(array(CASE WHEN mode = 4 THEN '{UNEXPECTED}' END))",
+        "sent": f"CASE WHEN mode = 5 THEN {_CUT} ELSE body END",
+    }
+
 
-    def in_turn(fault: int, names: tuple[str, ...], text: str) -> list[Damage]:
-        return [
-            (name, f"fault = {fault} AND {choice} % {len(names)} = {index}", text)
-            for index, name in enumerate(names)
-        ]
-
-    def one_of(fault: int, name: str, values: tuple[str, ...]) -> Damage:
-        return name, f"fault = {fault}", _quoted(_pick(values, choice))
-
-    damages = [
-        *in_turn(0, REQUIRED, "NULL"),
-        *in_turn(1, TEXTS, "'12.5'"),
-        *in_turn(2, REQUIRED, "'null'"),
-        *in_turn(3, INTEGERS, _quoted("'7'")),
-        *in_turn(4, INTEGERS, "'80.5'"),
-        *in_turn(5, INTEGERS, "'80.0'"),
-        one_of(6, "amount", BAD_AMOUNTS),
-        one_of(7, "currency", BAD_CURRENCIES),
-        *in_turn(8, ("payment_method", "transaction_type", "status"), _quoted("'unheard_of'")),
-        one_of(9, "event_time", BAD_TIMES),
-        one_of(10, "ingested_at", BAD_TIMES),
-        ("risk_score", "fault = 11", _pick(("-1", "101"), choice)),
-        ("schema_version", "fault = 12", _pick(("0", "-3"), choice)),
+def contract_faults() -> dict[str, str]:
+    """Faults that between them break every contract rule."""
+    choice = f"event_id div {10 * CONTRACT_FAULTS}"
+    targets = {
+        0: _pick(REQUIRED, choice),
+        1: _pick(TEXTS, choice),
+        2: _pick(REQUIRED, choice),
+        3: _pick(INTEGERS, choice),
+        4: _pick(INTEGERS, choice),
+        5: _pick(INTEGERS, choice),
+        6: "'amount'",
+        7: "'currency'",
+        8: _pick(("payment_method", "transaction_type", "status"), choice),
+        9: "'event_time'",
+        10: "'ingested_at'",
+        11: "'risk_score'",
+        12: "'schema_version'",
         # 13 is one or two unknown fields, 14 spoils the whole text.
-        ("amount", "fault = 15", "NULL"),
-        ("currency", "fault = 15", _quoted("'usd'")),
-        ("risk_score", "fault = 15", "'101'"),
-        (
-            "failure_reason",
-            "fault = 16",
-            f"CASE WHEN status = 'failed' THEN 'null' ELSE {_quoted("'network_error'")} END",
-        ),
-    ]
-    extra = (
-        f"CASE WHEN fault = 13 AND {choice} % 2 = 1 THEN '\"channel\": \"web\", {UNEXPECTED}' "
-        f"WHEN fault IN (13, 15) THEN '{UNEXPECTED}' END"
-    )
-    sent = (
-        f"CASE WHEN fault <> 14 THEN body WHEN {choice} % 4 = 0 THEN {_CUT} "
-        f"WHEN {choice} % 4 = 1 THEN concat('[', body, ']') "
-        f"WHEN {choice} % 4 = 2 THEN {_quoted("'hello'")} ELSE 'null' END"
-    )
-    return _payload(damages, extra), sent
+        15: "'several'",
+        16: "'failure_reason'",
+    }
+    damages = {
+        # 0 drops the field.
+        1: "'12.5'",
+        2: "'null'",
+        3: _quoted("'7'"),
+        4: "'80.5'",
+        5: "'80.0'",
+        6: _quoted(_pick(BAD_AMOUNTS, choice)),
+        7: _quoted(_pick(BAD_CURRENCIES, choice)),
+        8: _quoted("'unheard_of'"),
+        9: _quoted(_pick(BAD_TIMES, choice)),
+        10: _quoted(_pick(BAD_TIMES, choice)),
+        11: _pick(("-1", "101"), choice),
+        12: _pick(("0", "-3"), choice),
+        16: f"CASE WHEN status = 'failed' THEN 'null' ELSE {_quoted("'network_error'")} END",
+    }
+    channel = f"""CASE WHEN fault = 13 AND {choice} % 2 = 1 THEN '"channel": "web"' END"""
+    unexpected = f"CASE WHEN fault IN (13, 15) THEN '{UNEXPECTED}' END"
+    whole = {0: _CUT, 1: "concat('[', body, ']')", 2: _quoted("'hello'"), 3: "'null'"}
+    return {
+        "target": _by("fault", targets),
+        "damage": _by("fault", damages),
+        "extra": f"array_compact(array({channel}, {unexpected}))",
+        "sent": f"CASE WHEN fault = 14 THEN {_by(f'({choice}) % 4', whole)} ELSE body END",
+    }
 
 
-PAYLOADS = {"simulated": simulated_payload, "contract": contract_payload}
+FAULTS = {"simulated": simulated_faults, "contract": contract_faults}
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,14 +219,18 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages_from_events(events: DataFrame, payload: str = "simulated") -> DataFrame:
-    """The events as Kafka messages keyed by transaction. Works on a stream too."""
-    body, sent = PAYLOADS[payload]()
+    """The events as Kafka messages keyed by transaction. Works on a stream too.
+
+    Payloads are written as SQL text: one parse instead of hundreds of small calls.
+    """
+    faults = FAULTS[payload]()
     return (
         events.selectExpr("*", f"{MODE} AS mode", f"{FAULT} AS fault", f"{_status()} AS status")
-        .selectExpr("*", f"{body} AS body")
+        .selectExpr("*", f"{faults['target']} AS target", f"{faults['damage']} AS damage")
+        .selectExpr("*", f"{_body(faults['extra'])} AS body")
         .selectExpr(
             "CAST(concat('txn_', event_id) AS binary) AS key",
-            f"CAST({sent} AS binary) AS value",
+            f"CAST({faults['sent']} AS binary) AS value",
             f"'{TOPIC}' AS topic",
             f"CAST(event_id % {PARTITIONS} AS int) AS partition",
             "event_id AS offset",
