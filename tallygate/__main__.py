@@ -27,7 +27,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     land.add_argument("--topic", default=messages.TOPIC)
     land.add_argument("--starting-offsets", default=messages.STARTING_OFFSETS)
     land.add_argument(
-        "--max-offsets-per-trigger", type=int, default=messages.MAX_OFFSETS_PER_TRIGGER
+        "--max-offsets-per-trigger",
+        type=int,
+        default=messages.MAX_OFFSETS_PER_TRIGGER,
+        help="intake cap of one micro-batch; 0 for none",
     )
     land.add_argument("--bronze", required=True)
     land.add_argument("--checkpoint", required=True)
@@ -80,7 +83,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
             options.bootstrap_servers,
             options.topic,
             options.starting_offsets,
-            options.max_offsets_per_trigger,
+            options.max_offsets_per_trigger or None,
         )
         landing.land(stream, options.bronze, options.checkpoint).awaitTermination()
     elif options.job == "split":

@@ -139,7 +139,7 @@ def _type_holds(rule: FieldRule) -> str:
         number = _get(rule.name, "double")
         holds = (
             f"({kind} = 'BIGINT' OR {kind} RLIKE r'\\ADECIMAL\\([0-9]+,0\\)\\z' "
-            f"OR ({kind} = 'DOUBLE' AND {number} = floor({number})))"
+            f"OR ({kind} = 'DOUBLE' AND {number} % 1 = 0))"
         )
     return f"({holds} OR {kind} = 'VOID')" if rule.nullable else holds
 
