@@ -143,9 +143,8 @@ def bronze_day_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = gate.parse(_bronze(spark, sf_dir, "contract"))
-    return gate.evaluate_once(parsed.select("partition", "offset", "parsed"), F.col("parsed")).select(
-        *_event_columns()
-    )
+    rows = parsed.select("partition", "offset", "parsed")
+    return gate.evaluate_once(rows, F.col("parsed")).select(*_event_columns())
 
 
 # --- The gate ---------------------------------------------------------------

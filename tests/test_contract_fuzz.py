@@ -21,7 +21,7 @@ VALUES = [
     "2024-01-01T00:00:00+24:00", "é", '"', "\\", "a\tb", None, True, False, 0, 1, -1, 100, 101,
     3000000000, 10**25, 12.5, 80.0, 1e2, 1e300, -0.0, [], [1], {}, {"a": [None]}, [[{"k": "]"}]],
 ]
-KEYS = ["zeta", "alpha", "a b", "a.b", "é", "", "Amount", "amount ", "a: BIGINT, b", "$", "[0]", "'"]
+KEYS = ["zeta", "alpha", "a b", "a.b", "é", "", "Amount", "amount ", "a: BIGINT, b", "$", "[0]"]
 TAILS = ["", " ", "\n\t", "]", "}", ",", " {}", ",{}", "]x", "}x", "x", "]]", ']}', ', "q": 1}']
 HEADS = ["", " ", "\n", "[", "x", "1],[", '"a",', "null "]
 

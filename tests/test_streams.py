@@ -81,7 +81,9 @@ def test_closed_days_equal_batch(spark, inbox, tmp_path):
     bronze = messages.envelope(stream, fixture.landing_time())
     metrics = daily.windowed_metrics(gate.silver(gate.lenient_gate(bronze)), delay="40 days")
     # With a delay longer than the data nothing is late, and nothing closes either.
-    daily.publish(metrics, f"{tmp_path}/open", f"{tmp_path}/c1", until_drained=True).awaitTermination()
+    daily.publish(
+        metrics, f"{tmp_path}/open", f"{tmp_path}/c1", until_drained=True
+    ).awaitTermination()
     assert tables.read_table(spark, f"{tmp_path}/open").count() == 0
 
     stream = messages.message_files(spark, inbox)
