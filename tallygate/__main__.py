@@ -18,6 +18,14 @@ from tallygate.sources import messages, tables
 from tallygate.streaming import landing, splitting
 
 
+def _layer_paths(command: argparse.ArgumentParser, *layers: str) -> None:
+    """Either the one path of a split, or a path per layer."""
+    command.add_argument("--layers", help="path with both layers")
+    for layer in layers:
+        command.add_argument(f"--{layer}", help=f"{layer} in a place of its own")
+    command.set_defaults(needs=layers)
+
+
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tallygate", description=__doc__)
     commands = parser.add_subparsers(dest="job", required=True)
@@ -37,7 +45,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
     split = commands.add_parser("split", help="Bronze to Silver and Quarantine")
     split.add_argument("--bronze", required=True)
-    split.add_argument("--layers", required=True)
+    _layer_paths(split, "silver", "quarantine")
     split.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
     split.add_argument("--first-day", type=datetime.date.fromisoformat)
     split.add_argument("--last-day", type=datetime.date.fromisoformat)
@@ -52,7 +60,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     follow.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
 
     metrics = commands.add_parser("metrics", help="Silver to Gold")
-    metrics.add_argument("--layers", required=True)
+    _layer_paths(metrics, "silver")
     metrics.add_argument("--gold", required=True)
     metrics.add_argument("--amounts", choices=("decimal", "double"), default="decimal")
 
@@ -61,15 +69,28 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     export.add_argument("--csv", required=True)
 
     scan = commands.add_parser("scan", help="check report over all layers")
-    scan.add_argument("--layers", required=True)
+    _layer_paths(scan, "silver", "quarantine")
     scan.add_argument("--gold", required=True)
     scan.add_argument("--report", help="where to keep the report, as Parquet")
 
     show_gold = commands.add_parser("show-gold", help="first rows of Gold")
     show_gold.add_argument("--gold", required=True)
     show_quarantine = commands.add_parser("show-quarantine", help="first quarantined messages")
-    show_quarantine.add_argument("--layers", required=True)
-    return parser.parse_args(argv)
+    _layer_paths(show_quarantine, "quarantine")
+
+    options = parser.parse_args(argv)
+    needed = getattr(options, "needs", ())
+    if needed and not options.layers and not all(getattr(options, name) for name in needed):
+        parser.error("give --layers, or " + " and ".join(f"--{name}" for name in needed))
+    if options.job == "split" and options.replace_days and not options.layers:
+        parser.error("--replace-days needs --layers")
+    return options
+
+
+def _layer(spark: SparkSession, options: argparse.Namespace, name: str) -> DataFrame:
+    if options.layers:
+        return jobs.read_layer(spark, options.layers, name)
+    return tables.read_table(spark, getattr(options, name))
 
 
 def _show(df: DataFrame, width: int | bool) -> None:
@@ -88,8 +109,12 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         landing.land(stream, options.bronze, options.checkpoint).awaitTermination()
     elif options.job == "split":
         bronze = jobs.bronze_slice(spark, options.bronze, options.first_day, options.last_day)
-        write = jobs.split_days if options.replace_days else jobs.split_layers
-        write(bronze, options.layers, options.gate)
+        if options.replace_days:
+            jobs.split_days(bronze, options.layers, options.gate)
+        elif options.layers:
+            jobs.split_layers(bronze, options.layers, options.gate)
+        else:
+            jobs.split_tables(bronze, options.silver, options.quarantine, options.gate)
     elif options.job == "follow":
         schema = tables.read_table(spark, options.bronze).schema
         bronze = splitting.bronze_stream(spark, options.bronze, schema)
@@ -97,14 +122,13 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
             bronze, options.layers, options.checkpoint, options.gate
         ).awaitTermination()
     elif options.job == "metrics":
-        silver = jobs.read_layer(spark, options.layers, "silver")
-        jobs.build_gold(silver, options.gold, options.amounts)
+        jobs.build_gold(_layer(spark, options, "silver"), options.gold, options.amounts)
     elif options.job == "export":
         tables.export_csv(tables.read_table(spark, options.gold), options.csv)
     elif options.job == "scan":
         report = jobs.scan_layers(
-            jobs.read_layer(spark, options.layers, "silver"),
-            jobs.read_layer(spark, options.layers, "quarantine"),
+            _layer(spark, options, "silver"),
+            _layer(spark, options, "quarantine"),
             tables.read_table(spark, options.gold),
             F.current_timestamp(),
         )
@@ -115,8 +139,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
     elif options.job == "show-gold":
         _show(gold.gold_preview(tables.read_table(spark, options.gold)), False)
     elif options.job == "show-quarantine":
-        quarantined = jobs.read_layer(spark, options.layers, "quarantine")
-        _show(gold.quarantine_preview(quarantined), 120)
+        _show(gold.quarantine_preview(_layer(spark, options, "quarantine")), 120)
 
 
 def main() -> None:

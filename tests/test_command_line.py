@@ -53,3 +53,32 @@ def test_one_day_only(spark, tmp_path):
     )
     days = tables.read_table(spark, layers).select("ingest_date").distinct().collect()
     assert [str(row.ingest_date) for row in days] == ["2024-01-05"]
+
+
+def test_layers_in_places_of_their_own(spark, tmp_path, capsys):
+    bronze, silver, quarantine, gold_path = (str(tmp_path / name) for name in "bsqg")
+    tables.overwrite_table(small_bronze(spark), bronze, "ingest_date")
+    places = ["--silver", silver, "--quarantine", quarantine]
+    for argv in (
+        ["split", "--bronze", bronze, *places],
+        ["metrics", "--silver", silver, "--gold", gold_path, "--amounts", "double"],
+        ["scan", *places, "--gold", gold_path],
+        ["show-quarantine", "--quarantine", quarantine],
+    ):
+        run(spark, arguments(argv))
+    assert tables.read_table(spark, silver).count() == 960
+    assert tables.read_table(spark, quarantine).count() == 40
+    assert "PASS" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize(
+    "argv",
+    [
+        ["metrics", "--gold", "g"],
+        ["split", "--bronze", "b", "--silver", "s"],
+        ["split", "--bronze", "b", "--silver", "s", "--quarantine", "q", "--replace-days"],
+    ],
+)
+def test_missing_places_are_refused(argv):
+    with pytest.raises(SystemExit):
+        arguments(argv)
