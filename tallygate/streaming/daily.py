@@ -12,7 +12,8 @@ from tallygate.operators import gate, gold
 def windowed_metrics(silver: DataFrame, delay: str = "1 day") -> DataFrame:
     """Daily metrics by event time; a day is final ``delay`` after the latest event seen.
 
-    Rows later than that are too late for their day. Days are UTC days.
+    Rows later than that are too late for their day, and rows without a readable time
+    have none; batch Gold counts both. Days are UTC days.
     """
     rows = (
         gate.typed(silver)

@@ -141,6 +141,11 @@ CASES = {
     "starts by closing the wrap": (f"1],[{TEXT}", False, ["MALFORMED_JSON"]),
     "duplicate key": (TEXT[:-1] + ', "amount": "9.00"}', True, ["MALFORMED_JSON"]),
     "single quotes": (TEXT.replace('"', "'"), True, ["MALFORMED_JSON"]),
+    "not a number": (with_number("risk_score", "NaN"), True, ["MALFORMED_JSON"]),
+    "leading zeros": (with_number("risk_score", "007"), False, ["MALFORMED_JSON"]),
+    "control character": (TEXT.replace("usr_1", "usr\x01"), False, ["MALFORMED_JSON"]),
+    "escaped control character": (changed(user_id="usr\x01"), True, []),
+    "escaped key": (TEXT.replace('"amount"', '"\\u0061mount"'), True, []),
     "empty text": ("", False, ["MALFORMED_JSON"]),
     "only spaces": ("  ", False, ["MALFORMED_JSON"]),
     "tombstone": (None, False, ["MALFORMED_JSON"]),
@@ -176,6 +181,19 @@ def test_payload(verdicts, name):
     assert strict.is_bad is bool(reasons)
 
 
+@pytest.mark.parametrize("setting, value", [("spark.sql.ansi.enabled", "false")])
+def test_verdicts_do_not_depend_on_settings(spark, verdicts, setting, value):
+    messages = bronze(spark, [text for text, _, _ in CASES.values()])
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, value)
+    try:
+        for make, expected in zip((gate.lenient_gate, gate.strict_gate), verdicts):
+            found = {r.offset: r.reasons for r in make(messages).collect()}
+            assert found == {offset: row.reasons for offset, row in expected.items()}
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_lenient_values(spark):
     """What the lenient parse makes of values that do not fit."""
     texts = [
