@@ -425,6 +425,18 @@ def stream_gold_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_double(tables.read_table(spark, f"{root}/gold"), "total_amount")
 
 
+def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event sent twice; the stream keeps one message of each."""
+    root = shared_folder(spark, "stream")
+    once = _message_stream(spark, sf_dir)
+    again = once.withColumn("partition", F.col("partition") + fixture.PARTITIONS)
+    bronze = fixture.envelope(once.unionByName(again), fixture.landing_time())
+    kept = splitting.first_deliveries_stream(gate.silver(gate.lenient_gate(bronze)), "2 days")
+    tables.append_stream(kept, f"{root}/once", f"{root}/checkpoint", True).awaitTermination()
+    # Which of the two messages came first is up to the stream, so no positions here.
+    return tables.read_table(spark, f"{root}/once").select(*_event_columns()[2:])
+
+
 # --- Registry ---------------------------------------------------------------
 
 QUERIES: dict[str, Query] = {
@@ -481,4 +493,5 @@ QUERIES: dict[str, Query] = {
     "stream_restart_exactly_once": stream_restart_exactly_once,
     "stream_silver_split": stream_silver_split,
     "stream_gold_windowed": stream_gold_windowed,
+    "stream_first_deliveries": stream_first_deliveries,
 }

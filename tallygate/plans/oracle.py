@@ -537,6 +537,7 @@ SELECT "partition", "offset", kafka_key, raw_value, ingest_date FROM bronze""",
 SELECT CASE WHEN len(reasons) > 0 THEN 'quarantine' ELSE 'silver' END AS layer,
   CASE WHEN len(reasons) > 0 THEN array_to_string(reasons, ',') END AS error_reason,
   raw_value, "offset" FROM judged""",
+    "stream_first_deliveries": f"{_LENIENT} SELECT {_SHOWN} FROM silver",
     "stream_gold_windowed": f"""{_LENIENT},
 final AS (
   SELECT * FROM silver WHERE event_date + INTERVAL 1 DAY <=

@@ -10,6 +10,7 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -20,6 +21,26 @@ def append_table(df: DataFrame, path: str, *partition_by: str) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def append_stream(
+    df: DataFrame, path: str, checkpoint: str, until_drained: bool, *partition_by: str
+) -> StreamingQuery:
+    """Append a stream to a Parquet table, each row once across restarts and retries.
+
+    That rests on the checkpoint and the sink's file log, so both paths must be durable.
+    With ``until_drained`` the query ends when it has caught up; otherwise it runs until
+    stopped.
+    """
+    writer = (
+        df.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .partitionBy(*partition_by)
+    )
+    if until_drained:
+        writer = writer.trigger(availableNow=True)
+    return writer.start(path)
+
+
 def overwrite_table(df: DataFrame, path: str, *partition_by: str) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallygate.operators import gate, gold
+from tallygate.sources.tables import append_stream
 
 
 def windowed_metrics(silver: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -33,11 +34,4 @@ def publish(
     metrics: DataFrame, path: str, checkpoint: str, until_drained: bool = False
 ) -> StreamingQuery:
     """Append each day's metrics once the day is final."""
-    writer = (
-        metrics.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-    )
-    if until_drained:
-        writer = writer.trigger(availableNow=True)
-    return writer.start(path)
+    return append_stream(metrics, path, checkpoint, until_drained)

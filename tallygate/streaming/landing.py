@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tallygate.sources.messages import envelope
+from tallygate.sources.tables import append_stream
 
 
 def land(
@@ -15,20 +16,6 @@ def land(
     until_drained: bool = False,
     ingested_at: Column | None = None,
 ) -> StreamingQuery:
-    """Append every message to Bronze, one folder per landing day.
-
-    Map-only. The checkpoint and the sink's file log make each message land once
-    across restarts, so the checkpoint must be on durable storage. With
-    ``until_drained`` the query ends when it has caught up; otherwise it runs until
-    stopped.
-    """
-    writer = (
-        envelope(messages, ingested_at)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("ingest_date")
-    )
-    if until_drained:
-        writer = writer.trigger(availableNow=True)
-    return writer.start(path)
+    """Append every message to Bronze once, one folder per landing day. Map-only."""
+    rows = envelope(messages, ingested_at)
+    return append_stream(rows, path, checkpoint, until_drained, "ingest_date")

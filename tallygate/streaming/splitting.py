@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallygate.operators import gate
+from tallygate.sources.tables import append_stream
 
 
 def bronze_stream(
@@ -34,21 +35,21 @@ def split(
     the result from ``path`` (``plans.jobs.read_layer``), where Spark honours that log.
     """
     rows = gate.labelled(gate.GATES[gate_name](bronze), as_of)
-    writer = (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("layer")
-    )
-    if until_drained:
-        writer = writer.trigger(availableNow=True)
-    return writer.start(path)
+    return append_stream(rows, path, checkpoint, until_drained, "layer")
+
 
+def first_deliveries_stream(rows: DataFrame, delay: str, salts: int = 32) -> DataFrame:
+    """Drop repeats of an event that arrive within ``delay`` of its first message.
 
-def first_deliveries_stream(rows: DataFrame, delay: str) -> DataFrame:
-    """Drop repeats of an event that arrive within ``delay`` of its first message."""
+    In two steps, as one event may make up much of the stream: repeats are first
+    dropped within each of ``salts`` shares of an event's messages, on as many tasks,
+    which leaves the second step at most that many rows of any event to compare.
+    """
     return (
         rows.withColumn("event_time_ts", F.try_to_timestamp("event_time"))
+        .withColumn("salt", F.col("offset") % salts)
         .withWatermark("event_time_ts", delay)
+        .dropDuplicatesWithinWatermark(["event_id", "salt"])
+        .drop("salt")
         .dropDuplicatesWithinWatermark(["event_id"])
     )

@@ -99,18 +99,29 @@ def test_closed_days_equal_batch(spark, inbox, tmp_path):
     assert rows(closed.select(*batch.columns)) == rows(batch.filter(F.col("event_date") <= days))
 
 
-def test_repeats_are_dropped_within_the_delay(spark, inbox, tmp_path):
-    batch = tables.read_table(spark, inbox)
-    batch.withColumn("partition", F.col("partition") + 4).write.mode("append").parquet(inbox)
-    stream = messages.message_files(spark, inbox)
+def first_deliveries(spark, inbox, root, files_per_batch):
+    stream = messages.message_files(spark, inbox, max_files_per_trigger=files_per_batch)
     silver = gate.silver(gate.lenient_gate(messages.envelope(stream, fixture.landing_time())))
-    query = (
-        splitting.first_deliveries_stream(silver, "2 days")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{tmp_path}/checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{tmp_path}/once")
-    )
-    query.awaitTermination()
-    once = tables.read_table(spark, f"{tmp_path}/once")
+    splitting.first_deliveries_stream(silver, "40 days").writeStream.format("parquet").option(
+        "checkpointLocation", f"{root}/checkpoint"
+    ).trigger(availableNow=True).start(f"{root}/once").awaitTermination()
+    return tables.read_table(spark, f"{root}/once")
+
+
+@pytest.mark.parametrize("files_per_batch", [None, 2])
+def test_repeats_are_dropped_within_the_delay(spark, inbox, tmp_path, files_per_batch):
+    batch = tables.read_table(spark, inbox)
+    again = batch.withColumn("partition", F.col("partition") + 4)
+    again.withColumn("offset", F.col("offset") + 1_000_001).write.mode("append").parquet(inbox)
+    once = first_deliveries(spark, inbox, tmp_path, files_per_batch)
     assert once.count() == once.select("event_id").distinct().count() == 960
+
+
+def test_an_event_sent_most_often_is_kept_once(spark, inbox, tmp_path):
+    one = tables.read_table(spark, inbox).filter("offset = 1")
+    offsets = F.sequence(F.lit(10_000).cast("long"), F.lit(11_999).cast("long"))
+    flood = one.withColumn("offset", F.explode(offsets))
+    flood.select(*one.columns).write.mode("append").parquet(inbox)
+    once = first_deliveries(spark, inbox, tmp_path, 3)
+    assert once.count() == 960
+    assert once.filter("event_id = 'evt_1'").count() == 1
