@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -67,3 +68,10 @@ def ranked(df: DataFrame, order: list[Column], group: str | None = None) -> Data
         .select("l.*", (F.col("_at") + F.col("_before")).alias("rank"))
         .drop("_range", "_at")
     )
+
+
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new place in the shared folder, and read again."""
+    path = f"{shared_base(df.sparkSession)}/{name.replace(' ', '-')}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
