@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from tallygate.llm import simhash
+from tallygate.llm import mixing, quality_rules, sentencepiece_bpe, simhash
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
+    "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op8_mixing_sources": mixing.op8_mixing_sources,
+    "op9_sentencepiece": sentencepiece_bpe.op9_sentencepiece,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op4_quality_rules": quality_rules.OP4_SQL,
+    "op8_mixing_sources": mixing.OP8_SQL,
+}
