@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tallygate.llm import mixing, quality_rules, sentencepiece_bpe, simhash
+from tallygate.llm import mixing, quality_cnn, quality_rules, sentencepiece_bpe, simhash
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op8_mixing_sources": mixing.op8_mixing_sources,
     "op9_sentencepiece": sentencepiece_bpe.op9_sentencepiece,
+    "op10_quality_classifier": quality_cnn.op10_quality_classifier,
 }
 
 ORACLES = {

@@ -219,69 +219,48 @@ class Encoder:
         return spelled.removeprefix(b" ").decode("utf-8", errors="replace")
 
 
-def encoded(
+def tokens(
     docs: DataFrame,
     model_path: str,
     id_column: str = "doc_id",
     text_column: str = "text",
+    with_ids: bool = True,
 ) -> DataFrame:
-    """(doc_id, ids) for every row of ``docs``: ids of the whole text, none for null or empty."""
-    vocabulary = read_vocabulary(model_path)
-
-    def batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
-        for rows in batches:
-            ids = [encoder.encode(t.as_py() or "") for t in rows.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"]
-            )
-
-    kind = docs.schema[id_column].dataType.simpleString()
-    narrow = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    return narrow.mapInArrow(batch, f"doc_id {kind}, ids array<int>")
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]) for every row of ``docs``.
 
-
-def digests(
-    docs: DataFrame,
-    model_path: str,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) for every row of ``docs``.
-
-    Null counts as empty: no tokens, digests of nothing. Texts are taken whole, segment by
-    segment, so a very long one needs no more memory than itself and its ids.
+    The digests are those of the decimal ids joined by commas, and of the text that the ids
+    decode to. Null counts as empty: no ids, digests of nothing. Texts are taken whole,
+    segment by segment, so a very long one needs no more memory than itself and its ids.
     """
     vocabulary = read_vocabulary(model_path)
 
-    def one(encoder: Encoder, text: str | None) -> tuple[int, str, str]:
-        found = [encoder.look_up(s) for s in encoder.split(text or "")]
-        decoded = b"".join([f[2] for f in found]).removeprefix(b" ")
-        return (
-            sum([f[1] for f in found]),
-            hashlib.sha256(b",".join([f[0] for f in found])).hexdigest(),
-            hashlib.sha256(decoded).hexdigest(),
-        )
-
     def batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for rows in batches:
-            counts, ids, texts = [], [], []
+            counts, id_digests, text_digests, ids = [], [], [], []
             for text in rows.column(1):
-                count, id_digest, text_digest = one(encoder, text.as_py())
-                counts.append(count)
-                ids.append(id_digest)
-                texts.append(text_digest)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(counts, pa.int64()), pa.array(ids), pa.array(texts)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+                found = [encoder.look_up(s) for s in encoder.split(text.as_py() or "")]
+                joined = b",".join([f[0] for f in found])
+                decoded = b"".join([f[2] for f in found]).removeprefix(b" ")
+                counts.append(sum([f[1] for f in found]))
+                id_digests.append(hashlib.sha256(joined).hexdigest())
+                text_digests.append(hashlib.sha256(decoded).hexdigest())
+                if with_ids:
+                    ids.append([int(i) for i in joined.split(b",")] if joined else [])
+            columns = {
+                "doc_id": rows.column(0),
+                "n_tokens": pa.array(counts, pa.int64()),
+                "ids_sha256": pa.array(id_digests, pa.string()),
+                "decoded_sha256": pa.array(text_digests, pa.string()),
+            }
+            if with_ids:
+                columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     kind = docs.schema[id_column].dataType.simpleString()
+    schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     narrow = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    return narrow.mapInArrow(
-        batch, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    )
+    return narrow.mapInArrow(batch, schema + (", ids array<int>" if with_ids else ""))
 
 
 def default_model() -> str:
@@ -293,4 +272,5 @@ def default_model() -> str:
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of every document."""
-    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), default_model())
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return tokens(docs, default_model(), with_ids=False)
