@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from tallygate.llm import mixing, quality_cnn, quality_rules, sentencepiece_bpe, simhash
+from tallygate.llm import (
+    mixing,
+    quality_cnn,
+    quality_rules,
+    sentencepiece_bpe,
+    simhash,
+    url_filters,
+    warc,
+)
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
+    "op2_warc": warc.op2_warc,
+    "op3_url_filters": url_filters.op3_url_filters,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op8_mixing_sources": mixing.op8_mixing_sources,
     "op9_sentencepiece": sentencepiece_bpe.op9_sentencepiece,
@@ -13,6 +23,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_warc": warc.OP2_SQL,
+    "op3_url_filters": url_filters.OP3_SQL,
     "op4_quality_rules": quality_rules.OP4_SQL,
     "op8_mixing_sources": mixing.OP8_SQL,
 }
