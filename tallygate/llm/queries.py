@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from tallygate.llm import (
+    html_text,
+    licenses,
     mixing,
     quality_cnn,
     quality_rules,
@@ -17,6 +19,8 @@ QUERIES = {
     "op2_warc": warc.op2_warc,
     "op3_url_filters": url_filters.op3_url_filters,
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op5_license_scans": licenses.op5_license_scans,
+    "op7_html_extraction": html_text.op7_html_extraction,
     "op8_mixing_sources": mixing.op8_mixing_sources,
     "op9_sentencepiece": sentencepiece_bpe.op9_sentencepiece,
     "op10_quality_classifier": quality_cnn.op10_quality_classifier,
@@ -26,5 +30,7 @@ ORACLES = {
     "op2_warc": warc.OP2_SQL,
     "op3_url_filters": url_filters.OP3_SQL,
     "op4_quality_rules": quality_rules.OP4_SQL,
+    "op5_license_scans": licenses.op5_license_scans,
+    "op7_html_extraction": html_text.op7_html_extraction,
     "op8_mixing_sources": mixing.OP8_SQL,
 }
