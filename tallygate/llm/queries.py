@@ -10,6 +10,7 @@ from tallygate.llm import (
     quality_rules,
     sentencepiece_bpe,
     simhash,
+    spotsigs,
     url_filters,
     warc,
 )
@@ -20,6 +21,7 @@ QUERIES = {
     "op3_url_filters": url_filters.op3_url_filters,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_license_scans": licenses.op5_license_scans,
+    "op6_document_fingerprints": spotsigs.op6_document_fingerprints,
     "op7_html_extraction": html_text.op7_html_extraction,
     "op8_mixing_sources": mixing.op8_mixing_sources,
     "op9_sentencepiece": sentencepiece_bpe.op9_sentencepiece,
@@ -31,6 +33,7 @@ ORACLES = {
     "op3_url_filters": url_filters.OP3_SQL,
     "op4_quality_rules": quality_rules.OP4_SQL,
     "op5_license_scans": licenses.op5_license_scans,
+    "op6_document_fingerprints": spotsigs.op6_document_fingerprints,
     "op7_html_extraction": html_text.op7_html_extraction,
     "op8_mixing_sources": mixing.OP8_SQL,
 }
