@@ -22,7 +22,8 @@ from tallygate.operators import gate, gold
 from tallygate.plans import jobs
 from tallygate.plans.catalog import QUERIES
 from tallygate.session import SETTINGS, shared_folder
-from tallygate.sources import fixture, tables
+from tallygate.simulation import fixture
+from tallygate.sources import tables
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -78,14 +79,14 @@ def main() -> None:
     tables.overwrite_table(reduce(DataFrame.unionAll, [once] * COPIES), bronze_path)
     bronze = tables.read_table(spark, bronze_path)
     layers_path = shared_folder(spark, "layers")
-    jobs.split_layers(bronze, layers_path)
+    jobs.split_days(bronze, layers_path)
     silver = jobs.read_layer(spark, layers_path, "silver")
 
     work = {
         "gate_lenient": lambda: drain(gate.lenient_gate(bronze)),
         "gate_strict": lambda: drain(gate.strict_gate(bronze)),
-        "split_lenient": lambda: jobs.split_layers(bronze, shared_folder(spark, "split")),
-        "split_strict": lambda: jobs.split_layers(bronze, shared_folder(spark, "split"), "strict"),
+        "split_lenient": lambda: jobs.split_days(bronze, shared_folder(spark, "split")),
+        "split_strict": lambda: jobs.split_days(bronze, shared_folder(spark, "split"), "strict"),
         "gold_from_silver": lambda: drain(gold.daily_metrics(silver)),
     }
     for name in HEADLINE:

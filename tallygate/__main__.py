@@ -7,23 +7,16 @@ from __future__ import annotations
 
 import argparse
 import datetime
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.operators import gold
+from tallygate.operators import gate, gold, reliability
 from tallygate.plans import jobs
 from tallygate.session import build_session
 from tallygate.sources import messages, tables
-from tallygate.streaming import landing, splitting
-
-
-def _layer_paths(command: argparse.ArgumentParser, *layers: str) -> None:
-    """Either the one path of a split, or a path per layer."""
-    command.add_argument("--layers", help="path with both layers")
-    for layer in layers:
-        command.add_argument(f"--{layer}", help=f"{layer} in a place of its own")
-    command.set_defaults(needs=layers)
+from tallygate.streaming import daily, landing, splitting
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -35,118 +28,180 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     land.add_argument("--topic", default=messages.TOPIC)
     land.add_argument("--starting-offsets", default=messages.STARTING_OFFSETS)
     land.add_argument(
-        "--max-offsets-per-trigger",
-        type=int,
-        default=messages.MAX_OFFSETS_PER_TRIGGER,
-        help="intake cap of one micro-batch; 0 for none",
+        "--max-offsets-per-trigger", type=int, help="intake cap of one micro-batch, if any"
     )
     land.add_argument("--bronze", required=True)
     land.add_argument("--checkpoint", required=True)
 
-    split = commands.add_parser("split", help="Bronze to Silver and Quarantine")
+    split = commands.add_parser("split", help="Bronze to Silver and Quarantine, whole days anew")
     split.add_argument("--bronze", required=True)
-    _layer_paths(split, "silver", "quarantine")
+    split.add_argument("--layers", required=True)
     split.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
     split.add_argument("--first-day", type=datetime.date.fromisoformat)
     split.add_argument("--last-day", type=datetime.date.fromisoformat)
-    split.add_argument(
-        "--replace-days", action="store_true", help="rerunnable: replace the days read"
-    )
 
-    follow = commands.add_parser("follow", help="the same as a stream, until stopped")
+    load = commands.add_parser("load", help="split the days that are not loaded, update Gold")
+    load.add_argument("--bronze", required=True)
+    load.add_argument("--layers", required=True)
+    load.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
+    load.add_argument("--partials", help="sums by landing day, from which Gold is updated")
+    load.add_argument("--gold")
+    load.add_argument("--date-basis", choices=("written", "utc"), default="written")
+
+    follow = commands.add_parser("follow", help="split as a stream, until stopped")
     follow.add_argument("--bronze", required=True)
     follow.add_argument("--layers", required=True)
     follow.add_argument("--checkpoint", required=True)
     follow.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
 
-    metrics = commands.add_parser("metrics", help="Silver to Gold")
-    _layer_paths(metrics, "silver")
+    follow_gold = commands.add_parser("follow-gold", help="Bronze to Gold as a stream")
+    follow_gold.add_argument("--bronze", required=True)
+    follow_gold.add_argument("--partials", required=True)
+    follow_gold.add_argument("--gold", required=True)
+    follow_gold.add_argument("--checkpoint", required=True)
+    follow_gold.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
+    follow_gold.add_argument("--date-basis", choices=("written", "utc"), default="written")
+
+    metrics = commands.add_parser("metrics", help="Silver to Gold, all of it anew")
+    metrics.add_argument("--layers", required=True)
     metrics.add_argument("--gold", required=True)
     metrics.add_argument("--amounts", choices=("decimal", "double"), default="decimal")
+    metrics.add_argument("--date-basis", choices=("written", "utc"), default="written")
+
+    dedup = commands.add_parser("dedup", help="Silver with one message for each event")
+    dedup.add_argument("--layers", required=True)
+    dedup.add_argument("--out", required=True)
 
     export = commands.add_parser("export", help="Gold to CSV")
     export.add_argument("--gold", required=True)
     export.add_argument("--csv", required=True)
 
-    scan = commands.add_parser("scan", help="check report over all layers")
-    _layer_paths(scan, "silver", "quarantine")
+    scan = commands.add_parser("scan", help="check report over all layers; ends with 1 on a FAIL")
+    scan.add_argument("--layers", required=True)
     scan.add_argument("--gold", required=True)
-    scan.add_argument("--report", help="where to keep the report, as Parquet")
+    scan.add_argument("--bronze", help="to tell whether Quarantine must have rows")
+    scan.add_argument("--report", help="Parquet table to which the report is added")
+
+    for name, text in (
+        ("conserve", "whether no row was lost between the layers; ends with 1 on a FAIL"),
+        ("lag", "seconds from layer to layer"),
+        ("reasons", "how many messages failed for each reason"),
+    ):
+        command = commands.add_parser(name, help=text)
+        command.add_argument("--layers", required=True)
+        if name == "conserve":
+            command.add_argument("--bronze", required=True)
+            command.add_argument("--gold", required=True)
 
     show_gold = commands.add_parser("show-gold", help="first rows of Gold")
     show_gold.add_argument("--gold", required=True)
     show_quarantine = commands.add_parser("show-quarantine", help="first quarantined messages")
-    _layer_paths(show_quarantine, "quarantine")
+    show_quarantine.add_argument("--layers", required=True)
 
     options = parser.parse_args(argv)
-    needed = getattr(options, "needs", ())
-    if needed and not options.layers and not all(getattr(options, name) for name in needed):
-        parser.error("give --layers, or " + " and ".join(f"--{name}" for name in needed))
-    if options.job == "split" and options.replace_days and not options.layers:
-        parser.error("--replace-days needs --layers")
+    if options.job == "load" and bool(options.partials) != bool(options.gold):
+        parser.error("--partials and --gold go together")
     return options
 
 
-def _layer(spark: SparkSession, options: argparse.Namespace, name: str) -> DataFrame:
-    if options.layers:
-        return jobs.read_layer(spark, options.layers, name)
-    return tables.read_table(spark, getattr(options, name))
-
-
 def _show(df: DataFrame, width: int | bool) -> None:
     df.show(gold.PREVIEW_ROWS, truncate=width)
 
 
-def run(spark: SparkSession, options: argparse.Namespace) -> None:
+def run(spark: SparkSession, options: argparse.Namespace) -> bool:
+    """Do the job; False if it is a report that something FAILs in."""
+
+    def layer(name: str) -> DataFrame:
+        return jobs.read_layer(spark, options.layers, name)
+
     if options.job == "land":
         stream = messages.kafka_messages(
             spark,
             options.bootstrap_servers,
             options.topic,
             options.starting_offsets,
-            options.max_offsets_per_trigger or None,
+            options.max_offsets_per_trigger,
         )
         landing.land(stream, options.bronze, options.checkpoint).awaitTermination()
     elif options.job == "split":
-        bronze = jobs.bronze_slice(spark, options.bronze, options.first_day, options.last_day)
-        if options.replace_days:
-            jobs.split_days(bronze, options.layers, options.gate)
-        elif options.layers:
-            jobs.split_layers(bronze, options.layers, options.gate)
-        else:
-            jobs.split_tables(bronze, options.silver, options.quarantine, options.gate)
+        bronze = tables.bronze_days(spark, options.bronze, options.first_day, options.last_day)
+        jobs.split_days(bronze, options.layers, options.gate)
+    elif options.job == "load":
+        days = jobs.load_new_days(spark, options.bronze, options.layers, options.gate)
+        if options.gold:
+            jobs.update_gold(
+                spark, options.layers, days, options.partials, options.gold, options.date_basis
+            )
     elif options.job == "follow":
-        schema = tables.read_table(spark, options.bronze).schema
-        bronze = splitting.bronze_stream(spark, options.bronze, schema)
+        bronze = splitting.bronze_stream(spark, options.bronze)
         splitting.split(
             bronze, options.layers, options.checkpoint, options.gate
         ).awaitTermination()
+    elif options.job == "follow-gold":
+        gated = gate.GATES[options.gate](splitting.bronze_stream(spark, options.bronze))
+        daily.publish(
+            gate.silver(gated),
+            options.partials,
+            options.gold,
+            options.checkpoint,
+            date_basis=options.date_basis,
+        ).awaitTermination()
     elif options.job == "metrics":
-        jobs.build_gold(_layer(spark, options, "silver"), options.gold, options.amounts)
+        jobs.build_gold(layer("silver"), options.gold, options.amounts, options.date_basis)
+    elif options.job == "dedup":
+        tables.overwrite_table(reliability.first_deliveries(layer("silver")), options.out)
     elif options.job == "export":
-        tables.export_csv(tables.read_table(spark, options.gold), options.csv)
+        tables.export_csv(jobs.read_gold(spark, options.gold), options.csv)
     elif options.job == "scan":
+        due = not options.bronze or jobs.quarantine_is_due(
+            tables.read_table(spark, options.bronze), layer("silver")
+        )
         report = jobs.scan_layers(
-            _layer(spark, options, "silver"),
-            _layer(spark, options, "quarantine"),
-            tables.read_table(spark, options.gold),
+            layer("silver"),
+            layer("quarantine"),
+            jobs.read_gold(spark, options.gold),
             F.current_timestamp(),
+            due,
+        ).withColumn("scanned_at", F.current_timestamp())
+        return _reported(report, options.report)
+    elif options.job == "conserve":
+        return _reported(
+            reliability.conservation(
+                tables.read_table(spark, options.bronze),
+                layer("silver"),
+                layer("quarantine"),
+                jobs.read_gold(spark, options.gold),
+            )
         )
-        if options.report:
-            tables.overwrite_table(report, options.report)
-            report = tables.read_table(spark, options.report)
-        _show(report, False)
+    elif options.job == "lag":
+        _show(reliability.layer_lag(gate.typed(layer("silver"))), False)
+    elif options.job == "reasons":
+        _show(gate.reason_counts(layer("quarantine")), False)
     elif options.job == "show-gold":
-        _show(gold.gold_preview(tables.read_table(spark, options.gold)), False)
+        _show(gold.gold_preview(jobs.read_gold(spark, options.gold)), False)
     elif options.job == "show-quarantine":
-        _show(gold.quarantine_preview(_layer(spark, options, "quarantine")), 120)
+        _show(gold.quarantine_preview(layer("quarantine")), 120)
+    return True
+
+
+def _reported(report: DataFrame, path: str | None = None) -> bool:
+    report = report.persist()  # a few rows, looked at three times
+    try:
+        if path:
+            tables.append_table(report, path)
+        _show(report, False)
+        return report.filter("outcome = 'FAIL'").isEmpty()
+    finally:
+        report.unpersist()
 
 
 def main() -> None:
     options = arguments()
     spark = build_session(f"tallygate-{options.job}")
-    run(spark, options)
+    passed = run(spark, options)
     spark.stop()
+    if not passed:
+        sys.exit(1)
 
 
 if __name__ == "__main__":

@@ -50,36 +50,36 @@ class Check:
         subject = f"{self.metric}({self.column})" if self.column else self.metric
         return f"{subject} {self.op} {self.threshold:g}"
 
-    def measure(self, as_of: Column | None) -> Column:
-        """The metric as an aggregate. Nulls are missing, never invalid."""
+    def measure(self, as_of: Column | None, rows: Column) -> Column:
+        """The metric as an aggregate over the rows where ``rows`` holds.
+
+        Nulls are missing, never invalid; a value that is not a number is invalid.
+        """
         if self.metric == ROW_COUNT:
-            return F.count("*")
+            return F.count_if(rows)
         column = F.col(self.column)
         if self.metric == MISSING_COUNT:
-            return F.count_if(column.isNull())
+            return F.count_if(rows & column.isNull())
         if self.metric == INVALID_COUNT:
-            out_of_range = F.lit(False)
+            invalid = F.isnan(column.cast("double"))
             if self.valid_min is not None:
-                out_of_range = out_of_range | (column < self.valid_min)
+                invalid |= column < self.valid_min
             if self.valid_max is not None:
-                out_of_range = out_of_range | (column > self.valid_max)
-            return F.count_if(out_of_range)
+                invalid |= column > self.valid_max
+            return F.count_if(rows & invalid)
         if self.metric == FRESHNESS:
             if as_of is None:
                 as_of = F.current_timestamp()
             # Null on an empty dataset, which fails the check.
-            return (F.unix_micros(as_of) - F.unix_micros(F.max(column))) / 1e6
+            latest = F.max(F.when(rows, column))
+            return (F.unix_micros(as_of) - F.unix_micros(latest)) / 1e6
         raise ValueError(f"unknown metric {self.metric!r}")
 
 
-def dataset_name(layer: str, table: str) -> str:
-    return f"{layer}_{table}"
-
-
 # --- Fixed values: the datasets and the checks on each of them -------------
-SILVER = dataset_name("silver", "fintech_transactions")
-QUARANTINE = dataset_name("quarantine", "fintech_transactions")
-GOLD = dataset_name("gold", "daily_transaction_metrics")
+SILVER = "silver_fintech_transactions"
+QUARANTINE = "quarantine_fintech_transactions"
+GOLD = "gold_daily_transaction_metrics"
 
 SILVER_CHECKS = (
     Check(ROW_COUNT, ">", 0),
@@ -119,17 +119,34 @@ def scan(
     name: str, dataset: DataFrame, checks: tuple[Check, ...], as_of: Column | None = None
 ) -> DataFrame:
     """One PASS/FAIL row per check. All metrics come from a single pass over the dataset."""
-    measured = dataset.agg(
+    return scan_together(dataset, {name: (F.lit(True), checks)}, as_of)
+
+
+def scan_together(
+    rows: DataFrame,
+    datasets: dict[str, tuple[Column, tuple[Check, ...]]],
+    as_of: Column | None = None,
+) -> DataFrame:
+    """The report of several datasets that lie in one table, in a single pass over it.
+
+    Each dataset is the rows where its condition holds.
+    """
+    listed = [
+        (name, condition, check)
+        for name, (condition, checks) in datasets.items()
+        for check in checks
+    ]
+    measured = rows.agg(
         *[
-            check.measure(as_of).cast("double").alias(f"value_{position}")
-            for position, check in enumerate(checks)
+            check.measure(as_of, condition).cast("double").alias(f"value_{position}")
+            for position, (_, condition, check) in enumerate(listed)
         ]
     )
-    rows = []
-    for position, check in enumerate(checks):
+    report = []
+    for position, (name, _, check) in enumerate(listed):
         value = F.col(f"value_{position}")
         holds = F.coalesce(OPERATORS[check.op](value, check.threshold), F.lit(False))
-        rows.append(
+        report.append(
             F.struct(
                 F.lit(name).alias("dataset"),
                 F.lit(check.check_id).alias("check_id"),
@@ -141,7 +158,7 @@ def scan(
                 F.when(holds, "PASS").otherwise("FAIL").alias("outcome"),
             )
         )
-    return measured.select(F.inline(F.array(*rows)))
+    return measured.select(F.inline(F.array(*report)))
 
 
 def scan_all(

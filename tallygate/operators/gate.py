@@ -3,7 +3,7 @@
 The verdict is a column. Filtering on columns of a ``from_json`` struct lets
 Catalyst push the filter below the parse and repeat the parse for every field it
 mentions; ``evaluate_once`` keeps the parse where it is. A job that needs both
-sides writes them in one pass (``plans.jobs.split_layers``).
+sides writes them in one pass (``plans.jobs.split_days``).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallygate.functions import contract
 from tallygate.functions.casts import instant, money, stamp, utc_date, written_date
 from tallygate.functions.event_model import (
+    CONTRACT,
     EVENT_FIELDS,
     EVENT_SCHEMA,
     LENIENT_REASON,
@@ -23,6 +24,7 @@ from tallygate.functions.event_model import (
 POSITION = ("topic", "partition", "offset")
 CARRIED = ("raw_value", *POSITION, "kafka_timestamp", "bronze_ingested_at")
 FLATTENED = (*CARRIED, *EVENT_FIELDS)
+WHOLE_NUMBERS = tuple(rule.name for rule in CONTRACT if rule.kind == "integer")
 SILVER_COLUMNS = (*FLATTENED, "silver_loaded_at")
 QUARANTINE_COLUMNS = (*FLATTENED, "error_reason", "quarantined_at")
 
@@ -41,20 +43,27 @@ def parse(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("parsed", F.from_json("raw_value", EVENT_SCHEMA))
 
 
-def flatten(bronze: DataFrame, **also: Column) -> DataFrame:
-    """Message columns and the 15 event fields side by side, parsed once.
+def carried(bronze: DataFrame, **also: Column) -> DataFrame:
+    """Bronze's columns that go on. ``also`` names further columns to compute from Bronze.
 
     Bronze's ``ingested_at`` becomes ``bronze_ingested_at``: the event has its own.
-    ``also`` names further columns to compute from Bronze.
     """
-    carried = bronze.select(
+    return bronze.select(
         "raw_value",
         *POSITION,
         "kafka_timestamp",
         F.col("ingested_at").alias("bronze_ingested_at"),
         *[column.alias(name) for name, column in also.items()],
     )
-    return evaluate_once(carried, F.from_json("raw_value", EVENT_SCHEMA))
+
+
+def flatten(bronze: DataFrame) -> DataFrame:
+    """Message columns and the 15 event fields side by side, parsed once.
+
+    Whole numbers are read as 32-bit ones, and kept as bigint, as both gates show them.
+    """
+    rows = evaluate_once(carried(bronze), F.from_json("raw_value", EVENT_SCHEMA))
+    return rows.withColumns({name: F.col(name).cast("bigint") for name in WHOLE_NUMBERS})
 
 
 def missing_required() -> Column:
@@ -80,16 +89,18 @@ def strict_gate(bronze: DataFrame, conditional: bool = False) -> DataFrame:
     ``conditional`` also asks for a failure reason exactly when the status is
     failed; the contract states that only in words, so it is off by default.
     """
-    read = (
-        flatten(bronze, doc=contract.document())
-        .withColumn("plain", contract.is_plain(conditional))
-        .withColumn("kinds", contract.kinds())
-        .withColumns(
-            {"broken": contract.broken_rules(conditional), "extra": contract.extra_keys()}
-        )
-    )
+    documents = carried(bronze, doc=contract.document())
+    sorted_out = documents.withColumn("plain", contract.is_plain(conditional))
+    read = evaluate_once(
+        sorted_out.withColumn("kinds", contract.kinds()), contract.event()
+    ).withColumns({"broken": contract.broken_rules(conditional), "extra": contract.extra_keys()})
     judged = evaluate_once(read, F.struct(contract.reasons().alias("reasons")))
-    return judged.select(*FLATTENED, "reasons", (F.size("reasons") > 0).alias("is_bad"))
+    bad = F.size("reasons") > 0
+    exact = {
+        name: F.when(bad, F.col(name)).otherwise(number)
+        for name, number in contract.whole_numbers().items()
+    }
+    return judged.withColumns(exact).select(*FLATTENED, "reasons", bad.alias("is_bad"))
 
 
 GATES = {"lenient": lenient_gate, "strict": strict_gate}

@@ -14,8 +14,16 @@ from tallygate.functions.casts import (
 )
 
 GOLD_KEYS = ("event_date", "currency", "status")
+GOLD_COLUMNS = (
+    *GOLD_KEYS,
+    "transaction_count",
+    "total_amount",
+    "avg_amount",
+    "high_risk_txn_count",
+)
 PREVIEW_ROWS = 50
 
+# --- Fixed values: what the preview of Quarantine shows --------------------
 QUARANTINE_PREVIEW = (
     "error_reason",
     "raw_value",
@@ -75,6 +83,39 @@ def daily_metrics(
     )
 
 
+def partial_metrics(
+    silver_rows: DataFrame, date_basis: str = "written", slice_columns: tuple[str, ...] = ()
+) -> DataFrame:
+    """Sums per slice of Silver (a landing day, a micro-batch) and Gold key, to be added up."""
+    day = {"written": written_date, "utc": utc_date}[date_basis]
+    amount = money(F.col("amount"))
+    rows = silver_rows.select(
+        *slice_columns,
+        day(F.col("event_time")).alias("event_date"),
+        "currency",
+        "status",
+        amount.alias("amount_num"),
+        "risk_score",
+    )
+    return rows.groupBy(*slice_columns, *GOLD_KEYS).agg(
+        F.count("*").alias("transaction_count"),
+        F.sum("amount_num").alias("total_amount"),
+        F.count("amount_num").alias("amounts"),
+        F.sum(high_risk(F.col("risk_score"))).alias("high_risk_txn_count"),
+    )
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Daily metrics out of the sums of all slices; the same as over all their rows."""
+    total = F.sum("total_amount")
+    return partials.groupBy(*GOLD_KEYS).agg(
+        F.sum("transaction_count").alias("transaction_count"),
+        total.alias("total_amount"),
+        F.try_divide(total.cast("double"), F.sum("amounts")).alias("avg_amount"),
+        F.sum("high_risk_txn_count").alias("high_risk_txn_count"),
+    )
+
+
 def gold_preview(gold: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
     """First rows in key order."""
     return gold.orderBy(*GOLD_KEYS).limit(rows)

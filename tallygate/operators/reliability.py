@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -36,15 +37,27 @@ def conservation(
     return sizes.withColumn("outcome", F.when(routed & counted, "PASS").otherwise("FAIL"))
 
 
-def not_yet_loaded(bronze: DataFrame, *loaded: DataFrame) -> DataFrame:
-    """Bronze rows whose message position is in none of the loaded tables.
+def days_to_load(bronze: DataFrame, loaded: DataFrame | None) -> list[datetime.date]:
+    """Landing days whose messages in Bronze are not the ones that are loaded.
 
-    Positions are unique, so the join has no hot key, and only the three position
-    columns of the loaded tables are read. To keep it to the days in question, pass
-    day slices on both sides; ``plans.jobs.split_days`` needs no join at all.
+    Both need ``ingest_date`` and the message position. Days are told apart by counts and
+    sums of positions per topic partition: a few rows for each day, nothing else is read
+    or shuffled, and the result is a list of days to filter partitions by.
     """
-    positions = reduce(DataFrame.unionByName, [table.select(*POSITION) for table in loaded])
-    return bronze.join(positions, list(POSITION), "left_anti").select(*bronze.columns)
+    keys = ["ingest_date", "topic", "partition"]
+
+    def summary(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(
+            F.count("*").alias("n"),
+            F.min("offset").alias("first"),
+            F.max("offset").alias("last"),
+            F.sum(F.col("offset").cast("decimal(38,0)")).alias("total"),
+        )
+
+    wanted = summary(bronze)
+    if loaded is not None:
+        wanted = wanted.exceptAll(summary(loaded))
+    return sorted(row.ingest_date for row in wanted.select("ingest_date").distinct().collect())
 
 
 def first_deliveries(rows: DataFrame, key: str = "event_id") -> DataFrame:
@@ -62,8 +75,13 @@ def first_deliveries(rows: DataFrame, key: str = "event_id") -> DataFrame:
     )
 
 
-def layer_lag(typed_silver: DataFrame) -> DataFrame:
-    """Seconds from event to Kafka, to Bronze and to Silver, per topic."""
+def layer_lag(typed_silver: DataFrame, rank: float = 0.95) -> DataFrame:
+    """Seconds from event to Kafka, to Bronze and to Silver, per topic.
+
+    Rows are first counted by topic and lag in whole milliseconds, which every map task
+    does for its own; the percentile is then read off the counts, so that one busy topic
+    does not bring its rows together.
+    """
     stages = {
         "event_to_kafka": ("event_time_ts", "kafka_timestamp"),
         "kafka_to_bronze": ("kafka_timestamp", "bronze_ingested_at"),
@@ -71,16 +89,38 @@ def layer_lag(typed_silver: DataFrame) -> DataFrame:
     }
     lags = typed_silver.select(
         "topic",
-        *[
-            ((F.unix_micros(F.col(end)) - F.unix_micros(F.col(start))) / 1e6).alias(stage)
-            for stage, (start, end) in stages.items()
-        ],
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(stage).alias("stage"),
+                        (F.unix_micros(F.col(end)) - F.unix_micros(F.col(start))).alias("micros"),
+                    )
+                    for stage, (start, end) in stages.items()
+                ]
+            )
+        ),
+    )
+    counted = lags.groupBy("topic", "stage", F.expr("micros div 1000").alias("millis")).agg(
+        F.count("*").alias("n"),
+        F.count("micros").alias("known"),
+        F.sum(F.col("micros").cast("decimal(38,0)")).alias("micros"),
+        F.max("micros").alias("most"),
+    )
+    group = Window.partitionBy("topic", "stage")
+    up_to = group.orderBy("millis").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = counted.withColumn(
+        "reached", F.sum("known").over(up_to) >= F.sum("known").over(group) * rank
     )
-    measures = []
+    measures = [F.sum(F.when(F.col("stage") == next(iter(stages)), F.col("n"))).alias("row_count")]
     for stage in stages:
+        own = F.col("stage") == stage
+        known = F.sum(F.when(own, F.col("known")))
+        mean = F.sum(F.when(own, F.col("micros"))).cast("double") / F.nullif(known, F.lit(0)) / 1e6
+        at_rank = own & F.col("reached") & F.col("millis").isNotNull()
         measures += [
-            F.round(F.avg(stage), 3).alias(f"{stage}_avg"),
-            F.percentile_approx(stage, 0.95).alias(f"{stage}_p95"),
-            F.max(stage).alias(f"{stage}_max"),
+            F.round(mean, 3).alias(f"{stage}_avg"),
+            (F.min(F.when(at_rank, F.col("millis"))) / 1e3).alias(f"{stage}_p95"),
+            (F.max(F.when(own, F.col("most"))) / 1e6).alias(f"{stage}_max"),
         ]
-    return lags.groupBy("topic").agg(F.count("*").alias("row_count"), *measures)
+    return reached.groupBy("topic").agg(*measures)

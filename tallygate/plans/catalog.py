@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from tallygate.functions import casts, contract
 from tallygate.functions.event_model import EVENT_FIELDS, LENIENT_REQUIRED
-from tallygate.functions.lifecycle import is_failure, lifecycle_status, lookup
 from tallygate.operators import checks, gate, gold, reliability
 from tallygate.plans import jobs
 from tallygate.session import shared_folder
-from tallygate.sources import fixture, tables
+from tallygate.simulation import fixture
+from tallygate.simulation.lifecycle import is_failure, lifecycle_status, lookup
+from tallygate.sources import messages, tables
 from tallygate.streaming import daily, landing, splitting
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,7 +145,9 @@ def bronze_day_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = gate.parse(_bronze(spark, sf_dir, "contract"))
     rows = parsed.select("partition", "offset", "parsed")
-    return gate.evaluate_once(rows, F.col("parsed")).select(*_event_columns())
+    whole = {name: F.col(name).cast("bigint") for name in gate.WHOLE_NUMBERS}
+    parsed = gate.evaluate_once(rows, F.col("parsed")).withColumns(whole)
+    return parsed.select(*_event_columns())
 
 
 # --- The gate ---------------------------------------------------------------
@@ -174,6 +177,18 @@ def silver_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.silver(_strict(spark, sf_dir)).select(*_event_columns())
 
 
+def silver_strict_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that the strict gate accepts has a date and an instant, however it is spelled."""
+    return gate.typed(gate.silver(_strict(spark, sf_dir))).select(
+        "offset", F.unix_micros("event_time_ts").alias("event_time_micros"), "event_date"
+    )
+
+
+def high_risk_count_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = gate.typed(gate.silver(_strict(spark, sf_dir)))
+    return rows.groupBy(*gold.GOLD_KEYS).agg(gold.high_risk_count(F.col("risk_score")))
+
+
 def quarantine_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.quarantine(_strict(spark, sf_dir)).select("offset", "raw_value", "error_reason")
 
@@ -255,11 +270,11 @@ def quarantine_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Silver, Quarantine and Gold as tables: one pass over Bronze for all that look at them."""
     path, gold_path = shared_folder(spark, "layers"), shared_folder(spark, "gold")
-    jobs.split_layers(_bronze(spark, sf_dir), path, as_of=_load_time())
+    jobs.split_days(_bronze(spark, sf_dir), path, as_of=_load_time())
     silver = jobs.read_layer(spark, path, "silver")
     jobs.build_gold(silver, gold_path)
     quarantine = jobs.read_layer(spark, path, "quarantine")
-    return silver, quarantine, tables.read_table(spark, gold_path)
+    return silver, quarantine, jobs.read_gold(spark, gold_path)
 
 
 def dq_scan_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,22 +291,47 @@ def dq_scan_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scan_metric(metric: str) -> Query:
+    """One metric on all layers: Silver and Quarantine in one pass over the judged rows."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        silver, quarantine, gold_rows = _stored_layers(spark, sf_dir)
-        datasets = {
-            checks.SILVER: (gate.typed(silver), checks.SILVER_CHECKS),
-            checks.QUARANTINE: (quarantine, checks.QUARANTINE_CHECKS),
-            checks.GOLD: (gold_rows, checks.GOLD_CHECKS),
+        judged = gate.typed(gate.labelled(_lenient(spark, sf_dir), _load_time()))
+        sides = {
+            checks.SILVER: ("silver", checks.SILVER_CHECKS),
+            checks.QUARANTINE: ("quarantine", checks.QUARANTINE_CHECKS),
         }
-        chosen = {
-            name: (dataset, checks.of_metric(its_checks, metric))
-            for name, (dataset, its_checks) in datasets.items()
-        }
-        return checks.scan_all({name: pair for name, pair in chosen.items() if pair[1]})
+        report = checks.scan_together(
+            judged,
+            {
+                name: (F.col("layer") == layer, checks.of_metric(its_checks, metric))
+                for name, (layer, its_checks) in sides.items()
+            },
+        )
+        metrics = gold.daily_metrics(jobs.layer_of(judged, "silver"))
+        gold_checks = checks.of_metric(checks.GOLD_CHECKS, metric)
+        return report.unionByName(checks.scan(checks.GOLD, metrics, gold_checks))
 
     return query
 
 
+def dq_clean_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nothing bad came in, so nothing is asked of Quarantine but that its rows are whole."""
+    bronze = _bronze(spark, sf_dir).filter("offset % 10 <> 0")
+    gated = gate.lenient_gate(bronze)
+    silver, quarantine = gate.silver(gated, _load_time()), gate.quarantine(gated, _load_time())
+    due = jobs.quarantine_is_due(bronze, silver)
+    return checks.scan(checks.QUARANTINE, quarantine, checks.quarantine_checks(due))
+
+
+def dq_invalid_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts that are no number are invalid, as negative ones are."""
+    odd = F.expr("CASE offset % 97 WHEN 0 THEN 'NaN' WHEN 1 THEN '-1.00' ELSE amount END")
+    rows = _silver(spark, sf_dir).withColumn("amount", odd)
+    rows = rows.withColumn("amount_num", casts.approximate_money(F.col("amount")))
+    return checks.scan(
+        checks.SILVER, rows, checks.of_metric(checks.SILVER_CHECKS, checks.INVALID_COUNT)
+    )
+
+
 def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = gate.typed(_silver(spark, sf_dir))
     return checks.scan(checks.SILVER, rows, checks.FRESHNESS_CHECKS, _report_time())
@@ -315,20 +355,50 @@ def layer_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load Bronze up to one day, then load all of it again without repeats."""
-    bronze = _bronze(spark, sf_dir)
-    path = shared_folder(spark, "incremental")
-    jobs.split_layers(bronze.filter(F.col("ingest_date") <= F.lit(LOADED_THROUGH)), path)
-    loaded = [jobs.read_layer(spark, path, layer) for layer in ("silver", "quarantine")]
-    fresh = reliability.not_yet_loaded(bronze, *loaded)
-    return gate.silver(gate.lenient_gate(fresh)).select(*_event_columns())
+    """Load Bronze up to one day, then what is new in it."""
+    bronze_path, path = _stored_bronze(spark, sf_dir), shared_folder(spark, "incremental")
+    first = tables.bronze_days(spark, bronze_path, last=LOADED_THROUGH)
+    jobs.split_days(first, path)
+    days = jobs.load_new_days(spark, bronze_path, path)
+    rows = tables.read_table(spark, path).filter(F.col("ingest_date").isin(days))
+    return jobs.layer_of(rows, "silver").select(*_event_columns())
+
+
+def layer_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same days split twice, by the strict and then the lenient gate: no row is left over."""
+    bronze_path, path = _stored_bronze(spark, sf_dir), shared_folder(spark, "replay")
+    bronze = tables.read_table(spark, bronze_path)
+    for gate_name in ("strict", "lenient", "lenient"):
+        jobs.split_days(bronze, path, gate_name)
+    return (
+        tables.read_table(spark, path)
+        .groupBy("layer")
+        .agg(F.count("*").alias("row_count"), F.sum("offset").alias("offset_sum"))
+    )
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold kept up to date: two loads, and one of the days replayed by another gate and back."""
+    bronze_path, path = _stored_bronze(spark, sf_dir), shared_folder(spark, "layers")
+    partials, gold_path = shared_folder(spark, "partials"), shared_folder(spark, "gold")
+    jobs.split_days(tables.bronze_days(spark, bronze_path, last=LOADED_THROUGH), path)
+    days = [row[0] for row in tables.read_table(spark, path).select("ingest_date").distinct()
+            .collect()]
+    jobs.update_gold(spark, path, days, partials, gold_path)
+    days = jobs.load_new_days(spark, bronze_path, path)
+    jobs.update_gold(spark, path, days, partials, gold_path)
+    replayed = [SLICE_FIRST]
+    for gate_name in ("strict", "lenient"):
+        jobs.split_days(tables.bronze_of_days(spark, bronze_path, replayed), path, gate_name)
+        jobs.update_gold(spark, path, replayed, partials, gold_path)
+    return _as_double(jobs.read_gold(spark, gold_path), "total_amount")
 
 
 def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event delivered twice; the earlier delivery is kept."""
-    once = _silver(spark, sf_dir)
-    again = once.withColumn("partition", F.col("partition") + fixture.PARTITIONS)
-    return reliability.first_deliveries(once.unionByName(again)).select(*_event_columns())
+    again = F.array(F.col("partition"), F.col("partition") + fixture.PARTITIONS)
+    twice = _silver(spark, sf_dir).withColumn("partition", F.explode(again))
+    return reliability.first_deliveries(twice).select(*_event_columns())
 
 
 def layer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,9 +406,10 @@ def layer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append both layers, overwrite Gold twice, read everything back."""
+    """Write both layers and Gold twice, read everything back."""
     path = shared_folder(spark, "layers")
-    jobs.split_layers(_bronze(spark, sf_dir), path, as_of=_load_time())
+    for _ in range(2):
+        jobs.split_days(_bronze(spark, sf_dir), path, as_of=_load_time())
     silver = jobs.read_layer(spark, path, "silver")
     quarantine = jobs.read_layer(spark, path, "quarantine")
     gold_path = shared_folder(spark, "gold")
@@ -372,67 +443,102 @@ def gold_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Streams ----------------------------------------------------------------
 
 
-def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture.messages_from_events(fixture.event_stream(spark, sf_dir))
+#: Thirds of the month in the order their messages arrive, so that streams see old events
+#: after new ones. A trigger takes one file, so there are several micro-batches.
+ARRIVAL = (2, 0, 1)
 
 
-def _landed(spark: SparkSession, sf_dir: str, runs: int = 1) -> str:
-    root = shared_folder(spark, "stream")
-    for _ in range(runs):
-        landing.land(
-            _message_stream(spark, sf_dir),
-            f"{root}/bronze",
-            f"{root}/checkpoint",
-            until_drained=True,
-            ingested_at=fixture.landing_time(),
-        ).awaitTermination()
+def _arrive(spark: SparkSession, sf_dir: str, inbox: str, third: int, copy: int = 0) -> None:
+    """One third of the messages, as files in an inbox; copies are on partitions of their own."""
+    sent = fixture.messages_from_events(fixture.event_table(spark, sf_dir))
+    of_third = F.least((F.dayofmonth("timestamp") - 1).cast("int"), F.lit(29)) / 10
+    shifted = F.col("partition") + copy * fixture.PARTITIONS
+    tables.append_table(
+        sent.filter(F.floor(of_third) == third).withColumn("partition", shifted), inbox
+    )
+
+
+def _inbox(spark: SparkSession, sf_dir: str, copies: tuple[int, ...] = (0,)) -> str:
+    path = shared_folder(spark, "inbox")
+    for third in ARRIVAL:
+        for copy in copies:
+            _arrive(spark, sf_dir, path, third, copy)
+    return path
+
+
+def _land(spark: SparkSession, inbox: str, root: str) -> str:
+    landing.land(
+        messages.message_files(spark, inbox, max_files_per_trigger=1),
+        f"{root}/bronze",
+        f"{root}/bronze-checkpoint",
+        until_drained=True,
+        ingested_at=fixture.landing_time(),
+    ).awaitTermination()
     return f"{root}/bronze"
 
 
 def stream_bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = tables.read_table(spark, _landed(spark, sf_dir))
-    return landed.select("partition", "offset", "kafka_key", "raw_value", "ingest_date")
+    landed = _land(spark, _inbox(spark, sf_dir), shared_folder(spark, "stream"))
+    rows = tables.read_table(spark, landed)
+    return rows.select("partition", "offset", "kafka_key", "raw_value", "ingest_date")
 
 
 def stream_restart_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _per_partition(tables.read_table(spark, _landed(spark, sf_dir, runs=2)))
+    """Stopped twice, with new messages before each restart and none before the last."""
+    inbox, root = shared_folder(spark, "inbox"), shared_folder(spark, "stream")
+    for third in ARRIVAL:
+        _arrive(spark, sf_dir, inbox, third)
+        landed = _land(spark, inbox, root)
+    _land(spark, inbox, root)
+    return _per_partition(tables.read_table(spark, landed))
 
 
 def stream_silver_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze_path = _landed(spark, sf_dir)
-    schema = tables.read_table(spark, bronze_path).schema
+    """Split as a stream that was started, and stopped, before there was any Bronze."""
     root = shared_folder(spark, "stream")
-    splitting.split(
-        splitting.bronze_stream(spark, bronze_path, schema),
-        f"{root}/layers",
-        f"{root}/checkpoint",
-        gate_name="strict",
-        until_drained=True,
-    ).awaitTermination()
+
+    def split() -> None:
+        splitting.split(
+            splitting.bronze_stream(spark, f"{root}/bronze", max_files_per_trigger=25),
+            f"{root}/layers",
+            f"{root}/checkpoint",
+            gate_name="strict",
+            until_drained=True,
+        ).awaitTermination()
+
+    inbox = shared_folder(spark, "inbox")
+    for third in ARRIVAL:
+        split()
+        _arrive(spark, sf_dir, inbox, third)
+        _land(spark, inbox, root)
+    split()
     return tables.read_table(spark, f"{root}/layers").select(
         "layer", "error_reason", "raw_value", "offset"
     )
 
 
+def _silver_stream(spark: SparkSession, inbox: str) -> DataFrame:
+    stream = messages.message_files(spark, inbox, max_files_per_trigger=1)
+    return gate.silver(gate.lenient_gate(messages.envelope(stream, fixture.landing_time())))
+
+
 def stream_gold_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily Gold kept up to date by a stream, every late row in it."""
     root = shared_folder(spark, "stream")
-    messages = _message_stream(spark, sf_dir)
-    bronze = fixture.envelope(messages, fixture.landing_time())
-    metrics = daily.windowed_metrics(gate.silver(gate.lenient_gate(bronze)))
+    silver = _silver_stream(spark, _inbox(spark, sf_dir))
     daily.publish(
-        metrics, f"{root}/gold", f"{root}/checkpoint", until_drained=True
+        silver, f"{root}/partials", f"{root}/gold", f"{root}/checkpoint", until_drained=True
     ).awaitTermination()
-    return _as_double(tables.read_table(spark, f"{root}/gold"), "total_amount")
+    return _as_double(jobs.read_gold(spark, f"{root}/gold"), "total_amount")
 
 
 def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event sent twice; the stream keeps one message of each."""
     root = shared_folder(spark, "stream")
-    once = _message_stream(spark, sf_dir)
-    again = once.withColumn("partition", F.col("partition") + fixture.PARTITIONS)
-    bronze = fixture.envelope(once.unionByName(again), fixture.landing_time())
-    kept = splitting.first_deliveries_stream(gate.silver(gate.lenient_gate(bronze)), "2 days")
-    tables.append_stream(kept, f"{root}/once", f"{root}/checkpoint", True).awaitTermination()
+    silver = _silver_stream(spark, _inbox(spark, sf_dir, copies=(0, 1)))
+    splitting.keep_first_deliveries(
+        silver, f"{root}/once", f"{root}/checkpoint", until_drained=True
+    ).awaitTermination()
     # Which of the two messages came first is up to the stream, so no positions here.
     return tables.read_table(spark, f"{root}/once").select(*_event_columns()[2:])
 
@@ -451,6 +557,8 @@ QUERIES: dict[str, Query] = {
     "silver_lenient": silver_lenient,
     "quarantine_lenient": quarantine_lenient,
     "silver_strict": silver_strict,
+    "silver_strict_typed": silver_strict_typed,
+    "high_risk_count_strict": high_risk_count_strict,
     "quarantine_strict": quarantine_strict,
     "quarantine_reason_counts": quarantine_reason_counts,
     "contract_malformed": _contract_rule(contract.MALFORMED, contract.ROOT_TYPE),
@@ -483,11 +591,15 @@ QUERIES: dict[str, Query] = {
     "dq_scan_quarantine": dq_scan_quarantine,
     "dq_scan_gold": dq_scan_gold,
     "dq_scan_customer": dq_scan_customer,
+    "dq_clean_load": dq_clean_load,
+    "dq_invalid_nan": dq_invalid_nan,
     "layer_conservation": layer_conservation,
     "silver_incremental": silver_incremental,
     "silver_dedup": silver_dedup,
     "layer_lag": layer_lag,
     "layer_roundtrip": layer_roundtrip,
+    "layer_replay": layer_replay,
+    "gold_incremental": gold_incremental,
     "gold_csv_export": gold_csv_export,
     "stream_bronze_append": stream_bronze_append,
     "stream_restart_exactly_once": stream_restart_exactly_once,

@@ -7,94 +7,139 @@ import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.operators import checks, gate, gold
+from tallygate.operators import checks, gate, gold, reliability
 from tallygate.sources import tables
 
 
-def split_layers(
-    bronze: DataFrame, path: str, gate_name: str = "lenient", as_of: Column | None = None
-) -> None:
-    """Append Bronze's rows to ``path``/layer=silver and ``path``/layer=quarantine.
-
-    One write for both sides: Bronze is read once and every message parsed once.
-    Each side is a table of its own under its ``layer=`` folder.
-    """
-    gated = gate.GATES[gate_name](bronze)
-    tables.append_table(gate.labelled(gated, as_of), path, "layer")
-
-
 def split_days(
     bronze_slice: DataFrame, path: str, gate_name: str = "lenient", as_of: Column | None = None
 ) -> None:
-    """The same for whole landing days, replacing those days: rerunning changes nothing.
+    """Judge whole landing days of Bronze and replace these days in ``path``.
 
-    Needs no join with what is loaded already. Give it complete days, and keep to one
-    gate per path: a day that had bad rows under one gate and has none under another
-    would keep the old ones.
+    One write for both sides: Bronze is read once and every message parsed once. A day is
+    one partition with both sides in its files, sorted so that a reader of one side skips
+    the other's row groups. So a day is replaced as a whole, whatever gate judged it
+    before, and running the job again changes nothing. Give it complete days.
     """
     gated = gate.GATES[gate_name](bronze_slice)
     rows = gate.labelled(gated, as_of).withColumn("ingest_date", F.to_date("bronze_ingested_at"))
-    tables.overwrite_partitions(rows, path, "layer", "ingest_date")
+    tables.overwrite_partitions(
+        rows.sortWithinPartitions("ingest_date", "layer"), path, "ingest_date"
+    )
 
 
-def split_tables(
-    bronze: DataFrame,
-    silver_path: str,
-    quarantine_path: str,
+def load_new_days(
+    spark: SparkSession,
+    bronze_path: str,
+    path: str,
     gate_name: str = "lenient",
     as_of: Column | None = None,
-) -> None:
-    """Append the two sides to two tables in unrelated places.
+) -> list[datetime.date]:
+    """Split the landing days whose messages are not all in ``path`` yet; returns them.
 
-    Reads and parses Bronze once per side, and a failure in between leaves only Silver
-    written, so ``split_layers`` is the better choice where one path will do. The few
-    quarantined rows are gathered into files of a sensible size.
+    Days are compared by counts of positions, so no message text is read for it and none
+    is shuffled; Bronze is then read by a list of days, a filter on its partitions.
     """
-    gated = gate.GATES[gate_name](bronze)
-    tables.append_table(gate.silver(gated, as_of), silver_path)
-    tables.append_table(gate.quarantine(gated, as_of).hint("rebalance"), quarantine_path)
+    bronze = tables.read_table(spark, bronze_path)
+    loaded = tables.read_table(spark, path) if tables.exists(spark, path) else None
+    days = reliability.days_to_load(bronze, loaded)
+    if days:
+        split_days(tables.bronze_of_days(spark, bronze_path, days), path, gate_name, as_of)
+    return days
 
 
 def read_layer(spark: SparkSession, path: str, layer: str) -> DataFrame:
-    """Silver or Quarantine out of a split written by either job; reads that side only."""
+    """Silver or Quarantine out of a split, written by the job or by the stream."""
+    return layer_of(tables.read_table(spark, path), layer)
+
+
+def layer_of(rows: DataFrame, layer: str) -> DataFrame:
+    """One side of labelled rows."""
     columns = {
         "silver": gate.SILVER_COLUMNS,
         "quarantine": (*gate.QUARANTINE_COLUMNS, "reasons"),
     }[layer]
-    return tables.read_table(spark, path).filter(F.col("layer") == layer).select(*columns)
+    return rows.filter(F.col("layer") == layer).select(*columns)
 
 
-def build_gold(silver: DataFrame, path: str, amounts: str = "decimal") -> None:
+def build_gold(
+    silver: DataFrame, path: str, amounts: str = "decimal", date_basis: str = "written"
+) -> None:
     """Replace the Gold table with the daily metrics of all of Silver."""
-    tables.overwrite_table(gold.daily_metrics(silver, amounts=amounts), path)
+    tables.overwrite_table(gold.daily_metrics(silver, date_basis, amounts), path)
+
+
+def update_gold(
+    spark: SparkSession,
+    layers_path: str,
+    days: list[datetime.date],
+    partials_path: str,
+    gold_path: str,
+    date_basis: str = "written",
+) -> None:
+    """Bring Gold up to date after the landing days ``days`` of Silver were replaced.
+
+    Only these days are read. Their sums go to ``partials_path``, a partition for each
+    landing day, and Gold is put together anew, from the sums, for the event days that
+    the landing days have rows for now or had before.
+    """
+    if not days:
+        return
+    rows = tables.read_table(spark, layers_path).filter(F.col("ingest_date").isin(days))
+    sums = gold.partial_metrics(
+        rows.filter(F.col("layer") == "silver"), date_basis, ("ingest_date",)
+    )
+    known = tables.read_table(spark, partials_path) if tables.exists(spark, partials_path) else None
+    touched = sums.select("event_date")
+    if known is not None:
+        before = known.filter(F.col("ingest_date").isin(days)).select("event_date")
+        touched = touched.union(before)
+    touched = touched.distinct().collect()  # one row for each event day
+    tables.replace_partitions(spark, sums, partials_path, "ingest_date", days)
+    publish_gold(spark, partials_path, gold_path, [row.event_date for row in touched])
+
+
+def publish_gold(
+    spark: SparkSession, partials_path: str, gold_path: str, days: list[datetime.date | None]
+) -> None:
+    """Replace these event days in Gold by what the sums of all slices add up to."""
+    of_days = F.col("event_date").isin([d for d in days if d is not None])
+    if None in days:
+        of_days = of_days | F.col("event_date").isNull()
+    sums = tables.read_table(spark, partials_path).filter(of_days)
+    merged = gold.merge_partials(sums).withColumn("day", F.col("event_date"))
+    tables.replace_partitions(spark, merged, gold_path, "day", days)
+
+
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    return tables.read_table(spark, path).select(*gold.GOLD_COLUMNS)
 
 
 def scan_layers(
-    silver: DataFrame, quarantine: DataFrame, gold_rows: DataFrame, as_of: Column | None = None
+    silver: DataFrame,
+    quarantine: DataFrame,
+    gold_rows: DataFrame,
+    as_of: Column | None = None,
+    bad_rows_expected: bool = True,
 ) -> DataFrame:
-    """The full check report over all three layers."""
+    """The full check report over all three layers.
+
+    ``bad_rows_expected``: whether Quarantine must hold rows, as it must where bad data is
+    known to have come in (``quarantine_is_due``).
+    """
     return checks.scan_all(
         {
             checks.SILVER: (
                 gate.typed(silver),
                 checks.SILVER_CHECKS + checks.FRESHNESS_CHECKS,
             ),
-            checks.QUARANTINE: (quarantine, checks.QUARANTINE_CHECKS),
+            checks.QUARANTINE: (quarantine, checks.quarantine_checks(bad_rows_expected)),
             checks.GOLD: (gold_rows, checks.GOLD_CHECKS),
         },
         as_of,
     )
 
 
-def bronze_slice(
-    spark: SparkSession,
-    path: str,
-    first: datetime.date | None = None,
-    last: datetime.date | None = None,
-) -> DataFrame:
-    """All of Bronze, or the landing days asked for."""
-    if first is None and last is None:
-        return tables.read_table(spark, path)
-    return tables.bronze_days(
-        spark, path, first or datetime.date.min, last or datetime.date.max
-    )
+def quarantine_is_due(bronze: DataFrame, silver: DataFrame) -> bool:
+    """Whether messages that came in did not pass, so that Quarantine must have them."""
+    return bronze.count() > silver.count()

@@ -7,17 +7,36 @@ functions, so it shares no code path with the Spark side.
 from __future__ import annotations
 
 # --- Fixed values: the event's fields, as in the contract ------------------
-FIELDS = (
-    "event_id transaction_id user_id merchant_id amount currency payment_method "
-    "transaction_type status failure_reason event_time ingested_at risk_score "
-    "source_system schema_version"
-).split()
+FIELDS = [
+    "event_id",
+    "transaction_id",
+    "user_id",
+    "merchant_id",
+    "amount",
+    "currency",
+    "payment_method",
+    "transaction_type",
+    "status",
+    "failure_reason",
+    "event_time",
+    "ingested_at",
+    "risk_score",
+    "source_system",
+    "schema_version",
+]
 REQUIRED = [name for name in FIELDS if name not in ("failure_reason", "risk_score")]
 INTEGERS = ["risk_score", "schema_version"]
 TEXTS = [name for name in FIELDS if name not in INTEGERS]
-LENIENT_REQUIRED = (
-    "event_id transaction_id user_id merchant_id amount currency status event_time".split()
-)
+LENIENT_REQUIRED = [
+    "event_id",
+    "transaction_id",
+    "user_id",
+    "merchant_id",
+    "amount",
+    "currency",
+    "status",
+    "event_time",
+]
 DROPPABLE = ["amount", "currency", "status", "event_time", "transaction_id"]
 DATE_TIME = (
     "[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])[Tt]([01][0-9]|2[0-3]):[0-5][0-9]:"
@@ -39,8 +58,8 @@ ev AS (
   SELECT *,
     CASE WHEN event_id % 10 <> 0 THEN 0 ELSE (event_id // 10) % 5 + 1 END AS mode,
     event_id // 50 AS pick,
-    CASE WHEN event_id % 10 <> 0 THEN -1 ELSE (event_id // 10) % 17 END AS fault,
-    event_id // 170 AS pick17,
+    CASE WHEN event_id % 10 <> 0 THEN -1 ELSE (event_id // 10) % 19 END AS fault,
+    event_id // 190 AS choice,
     CASE event_type WHEN 'signup' THEN 'transaction_created'
       WHEN 'view' THEN 'transaction_authorized' WHEN 'click' THEN 'transaction_authorized'
       WHEN 'error' THEN 'transaction_failed' WHEN 'purchase' THEN 'transaction_settled'
@@ -80,13 +99,13 @@ _EXTRA = '"unexpected_field": {"nested": true}'
 def _spread(names, fault: int, text: str) -> list[tuple[str, str, str]]:
     """(field, condition, JSON text) for a fault that goes round a list of fields."""
     return [
-        (name, f"fault = {fault} AND pick17 % {len(names)} = {index}", text)
+        (name, f"fault = {fault} AND choice % {len(names)} = {index}", text)
         for index, name in enumerate(names)
     ]
 
 
 def _choice(values) -> str:
-    return f"""'"' || ({_list(values)})[pick17 % {len(values)} + 1] || '"'"""
+    return f"""'"' || ({_list(values)})[choice % {len(values)} + 1] || '"'"""
 
 
 _BAD_TIMES = [
@@ -119,8 +138,8 @@ _DAMAGE = {
         *_spread(["payment_method", "transaction_type", "status"], 8, "'\"unheard_of\"'"),
         ("event_time", "fault = 9", _choice(_BAD_TIMES)),
         ("ingested_at", "fault = 10", _choice(_BAD_TIMES)),
-        ("risk_score", "fault = 11", "(['-1', '101'])[pick17 % 2 + 1]"),
-        ("schema_version", "fault = 12", "(['0', '-3'])[pick17 % 2 + 1]"),
+        ("risk_score", "fault = 11", "(['-1', '101'])[choice % 2 + 1]"),
+        ("schema_version", "fault = 12", "(['0', '-3'])[choice % 2 + 1]"),
         ("amount", "fault = 15", "NULL"),
         ("currency", "fault = 15", "'\"usd\"'"),
         ("risk_score", "fault = 15", "'101'"),
@@ -129,16 +148,28 @@ _DAMAGE = {
             "fault = 16",
             "CASE WHEN life_status = 'failed' THEN 'null' ELSE '\"network_error\"' END",
         ),
+        (
+            "event_time",
+            "fault = 17",
+            """'"' || strftime(ts, '%Y-%m-%d') || (['T23:59:60Z', 't10:00:00z', """
+            """'T10:00:00+23:59', 'T10:00:00.5-18:30'])[choice % 4 + 1] || '"'""",
+        ),
+        (
+            "risk_score",
+            "fault = 18 AND choice % 2 = 0",
+            "(['95.0', '9e1', '1e2', '80.0'])[(choice // 2) % 4 + 1]",
+        ),
+        ("schema_version", "fault = 18 AND choice % 2 = 1", "'9999999999'"),
     ],
 }
 _EXTRA_MEMBER = {
     "simulated": f"CASE WHEN mode = 4 THEN '{_EXTRA}' END",
-    "contract": f"CASE WHEN fault = 15 THEN '{_EXTRA}' WHEN fault = 13 AND pick17 % 2 = 0 "
+    "contract": f"CASE WHEN fault = 15 THEN '{_EXTRA}' WHEN fault = 13 AND choice % 2 = 0 "
     f"THEN '{_EXTRA}' WHEN fault = 13 THEN '\"channel\": \"web\", {_EXTRA}' END",
 }
 _WHOLE = {
     "simulated": "CASE WHEN mode = 5 THEN left(body, length(body) - 1) ELSE body END",
-    "contract": "CASE WHEN fault = 14 THEN CASE pick17 % 4 "
+    "contract": "CASE WHEN fault = 14 THEN CASE choice % 4 "
     "WHEN 0 THEN left(body, length(body) - 1) WHEN 1 THEN '[' || body || ']' "
     "WHEN 2 THEN '\"hello\"' ELSE 'null' END ELSE body END",
 }
@@ -179,7 +210,7 @@ def _flat(payload: str) -> str:
         text = f"json_extract_string(doc, '$.{name}')"
         if name in INTEGERS:
             whole = f"json_type(doc, '$.{name}') IN ('UBIGINT', 'BIGINT')"
-            text = f"CASE WHEN {whole} THEN TRY_CAST({text} AS INTEGER) END"
+            text = f"CASE WHEN {whole} THEN CAST(TRY_CAST({text} AS INTEGER) AS BIGINT) END"
         elif name == "ingested_at":
             # Bronze has a column of that name; the event's own is meant here.
             text = f"json_extract_string(doc, '$.{name}')"
@@ -197,7 +228,7 @@ fields AS (
   FROM docs
 ),
 flat AS (
-  SELECT *, ({_NEEDED}) AS is_bad, TRY_CAST(amount AS DECIMAL(28,2)) AS amount_num,
+  SELECT *, ({_NEEDED}) AS is_bad, TRY_CAST(amount AS DECIMAL(38,2)) AS amount_num,
     TRY_CAST(left(event_time, 10) AS DATE) AS event_date,
     TRY_CAST(replace(event_time, 'Z', '') AS TIMESTAMP) AS event_time_ts
   FROM fields
@@ -289,8 +320,13 @@ def _judged(payload: str, conditional: bool = False) -> str:
             )
         )
     broken = ", ".join(f"CASE WHEN {when} THEN '{code}' END" for code, when in rules)
+    exact = ", ".join(
+        f"CASE WHEN len(reasons) = 0 THEN TRY_CAST({number(name)} AS BIGINT) ELSE {name} END "
+        f"AS {name}"
+        for name in INTEGERS
+    )
     return f"""{_flat(payload)},
-judged AS (
+verdicts AS (
   SELECT *, CASE
       WHEN doc IS NULL THEN ['MALFORMED_JSON']
       WHEN json_type(doc) <> 'OBJECT' THEN ['ROOT_TYPE']
@@ -299,7 +335,8 @@ judged AS (
         ['EXTRA:' || k FOR k IN list_sort(json_keys(doc)) IF k NOT IN {_in(FIELDS)}])
     END AS reasons
   FROM flat
-)"""
+),
+judged AS (SELECT * REPLACE ({exact}) FROM verdicts)"""
 
 
 def _rule(*prefixes: str, conditional: bool = False) -> str:
@@ -538,10 +575,41 @@ SELECT CASE WHEN len(reasons) > 0 THEN 'quarantine' ELSE 'silver' END AS layer,
   CASE WHEN len(reasons) > 0 THEN array_to_string(reasons, ',') END AS error_reason,
   raw_value, "offset" FROM judged""",
     "stream_first_deliveries": f"{_LENIENT} SELECT {_SHOWN} FROM silver",
-    "stream_gold_windowed": f"""{_LENIENT},
-final AS (
-  SELECT * FROM silver WHERE event_date + INTERVAL 1 DAY <=
-    (SELECT max(event_time_ts) - INTERVAL 1 DAY FROM silver)
+    "stream_gold_windowed": f"{_LENIENT} {_gold_select()}",
+    "gold_incremental": f"{_LENIENT} {_gold_select()}",
+    "layer_replay": f"""{_LENIENT}
+SELECT CASE WHEN is_bad THEN 'quarantine' ELSE 'silver' END AS layer, count(*) AS row_count,
+  CAST(sum("offset") AS BIGINT) AS offset_sum FROM flat GROUP BY 1""",
+    "silver_strict_typed": f"""WITH {_judged('contract')},
+parts AS (
+  SELECT "offset", event_time, event_date, substr(event_time, 18, 2) = '60' AS leap,
+    regexp_extract(event_time, '([.][0-9]+)', 1) AS fraction,
+    regexp_extract(event_time, '([+-][0-9]{{2}}:[0-9]{{2}})$', 1) AS zone
+  FROM judged WHERE len(reasons) = 0
 )
-{_gold_select(source='final')}""",
+SELECT "offset", event_date,
+  epoch_us(CAST(left(event_time, 10) || ' ' || substr(event_time, 12, 5) || ':' ||
+      CASE WHEN leap THEN '59' ELSE substr(event_time, 18, 2) END || fraction AS TIMESTAMP))
+    + CASE WHEN leap THEN 1000000 ELSE 0 END
+    - CASE WHEN zone = '' THEN 0 ELSE CASE WHEN left(zone, 1) = '-' THEN -1 ELSE 1 END
+        * (CAST(substr(zone, 2, 2) AS BIGINT) * 3600 + CAST(substr(zone, 5, 2) AS BIGINT) * 60)
+        * 1000000 END AS event_time_micros
+FROM parts""",
+    "high_risk_count_strict": f"""WITH {_judged('contract')},
+kept AS (SELECT * FROM judged WHERE len(reasons) = 0)
+{_gold_select('high_risk_txn_count', source='kept')}""",
+    "dq_clean_load": f"""{_LENIENT},
+none AS (SELECT * FROM quarantine WHERE "offset" % 10 <> 0) """
+    + " UNION ALL ".join(
+        _missing_check(_QUARANTINE_SET, "none", column) for column in ("error_reason", "raw_value")
+    ),
+    "dq_invalid_nan": f"""{_LENIENT},
+odd AS (
+  SELECT CASE "offset" % 97 WHEN 0 THEN CAST('NaN' AS DOUBLE) WHEN 1 THEN -1
+    ELSE TRY_CAST(amount AS DOUBLE) END AS amount_num FROM silver
+) """
+    + _check(
+        _SILVER_SET, "odd", "invalid_count", "amount_num", "=", 0,
+        "count(*) FILTER (WHERE isnan(amount_num) OR amount_num < 0)", "value = 0",
+    ),
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,15 +24,21 @@ def build_session(app_name: str, settings: dict[str, str] | None = None) -> Spar
     return builder.getOrCreate()
 
 
+def shared_base(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir``, or the checkpoint folder that was set on the context."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        folder = spark.sparkContext._jsc.sc().getCheckpointDir()
+        base = folder.get() if folder.isDefined() else None
+    return base.rstrip("/") if base else None
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder every executor can reach, under ``spark.checkpoint.dir``.
+    """A new folder every executor can reach, under the cluster's checkpoint folder.
 
-    A local session without that setting (tests) gets a temporary folder. A cluster
-    must name one: a folder on one machine would be lost with it.
+    There must be one: a folder on one machine would be lost with it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = shared_base(spark)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tallygate-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{base}/{purpose}-{uuid.uuid4().hex}"

@@ -1,5 +1,8 @@
 """Transaction messages made from the ``events`` table, some of them broken on purpose.
 
+This stands in for a producer and is no part of the engine: nothing but the registered
+queries, the benchmark and the tests uses it.
+
 One message per event, no randomness: everything follows from the event's columns,
 so the same messages can be rebuilt in SQL. Every tenth message is faulty.
 """
@@ -10,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygate.functions.event_model import CONTRACT
-from tallygate.functions.lifecycle import FAILURE_REASONS, LIFECYCLE_STATUS
+from tallygate.simulation.lifecycle import FAILURE_REASONS, LIFECYCLE_STATUS
 from tallygate.sources.messages import TOPIC, envelope
 
 PARTITIONS = 4
@@ -43,7 +46,10 @@ BAD_TIMES = (
     "2024-01-01T24:00:00Z",
     "yesterday",
 )
-CONTRACT_FAULTS = 17
+# Spellings the contract allows and a plain cast does not read.
+ODD_TIMES = ("%sT23:59:60Z", "%st10:00:00z", "%sT10:00:00+23:59", "%sT10:00:00.5-18:30")
+WHOLE_NUMBERS = ("95.0", "9e1", "1e2", "80.0")
+CONTRACT_FAULTS = 19
 
 
 EVENTS_SCHEMA = (
@@ -53,17 +59,7 @@ EVENTS_SCHEMA = (
 
 
 def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events``, dealt out when it comes as fewer pieces than there are cores.
-
-    The test tables are one Parquet row group each, which is one task however many
-    cores there are. A table big enough for a cluster has more splits than that and
-    is left as it is, so no shuffle is added there.
-    """
-    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
-        return events.repartition(cores, "event_id")
-    return events
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 # 0 for an intact message, otherwise the kind of damage: 1 a required field
@@ -180,7 +176,12 @@ def contract_faults() -> dict[str, str]:
         # 13 is one or two unknown fields, 14 spoils the whole text.
         15: "'several'",
         16: "'failure_reason'",
+        # 17 and 18 are faults of spelling only: the contract allows them.
+        17: "'event_time'",
+        18: _pick(INTEGERS, choice),
     }
+    odd_times = (_quoted(f"""replace('{time}', '%s', date_format(ts, 'yyyy-MM-dd'))""")
+                 for time in ODD_TIMES)
     damages = {
         # 0 drops the field.
         1: "'12.5'",
@@ -196,6 +197,9 @@ def contract_faults() -> dict[str, str]:
         11: _pick(("-1", "101"), choice),
         12: _pick(("0", "-3"), choice),
         16: f"CASE WHEN status = 'failed' THEN 'null' ELSE {_quoted("'network_error'")} END",
+        17: f"element_at(array({', '.join(odd_times)}), CAST({choice} % 4 AS int) + 1)",
+        18: f"CASE WHEN target = 'risk_score' THEN {_pick(WHOLE_NUMBERS, f'{choice} div 2')}"
+        " ELSE '9999999999' END",
     }
     channel = f"""CASE WHEN fault = 13 AND {choice} % 2 = 1 THEN '"channel": "web"' END"""
     unexpected = f"CASE WHEN fault IN (13, 15) THEN '{UNEXPECTED}' END"
@@ -211,13 +215,6 @@ def contract_faults() -> dict[str, str]:
 FAULTS = {"simulated": simulated_faults, "contract": contract_faults}
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a stream; the file source stands in for a message broker."""
-    # A pattern, as a stream does not take the path of a single file; it matches the
-    # table whether that is one file or a folder of them.
-    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet*")
-
-
 def messages_from_events(events: DataFrame, payload: str = "simulated") -> DataFrame:
     """The events as Kafka messages keyed by transaction. Works on a stream too.
 

@@ -11,7 +11,8 @@ from tallygate.functions.casts import stamp
 # --- Fixed values: stream defaults -----------------------------------------
 TOPIC = "fintech_transactions"
 STARTING_OFFSETS = "earliest"
-MAX_OFFSETS_PER_TRIGGER = 1000
+# A demo's intake cap. Never a default: at scale it would make tiny files and fall behind.
+DEMO_OFFSETS_PER_TRIGGER = 1000
 
 # What Spark's Kafka source delivers; file sources stand in for it with this schema.
 MESSAGE_SCHEMA = T.StructType(
@@ -26,17 +27,21 @@ MESSAGE_SCHEMA = T.StructType(
     ]
 )
 
-BRONZE_COLUMNS = (
-    "topic",
-    "partition",
-    "offset",
-    "kafka_timestamp",
-    "kafka_key",
-    "raw_value",
-    "ingested_at",
-    "ingest_date",
-    "ingest_hour",
+# --- Fixed values: Bronze's columns ----------------------------------------
+BRONZE_SCHEMA = T.StructType(
+    [
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+        T.StructField("kafka_timestamp", T.TimestampType()),
+        T.StructField("kafka_key", T.StringType()),
+        T.StructField("raw_value", T.StringType()),
+        T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("ingest_date", T.DateType()),
+        T.StructField("ingest_hour", T.StringType()),
+    ]
 )
+BRONZE_COLUMNS = tuple(BRONZE_SCHEMA.fieldNames())
 
 
 def kafka_messages(
@@ -44,13 +49,12 @@ def kafka_messages(
     bootstrap_servers: str,
     topic: str = TOPIC,
     starting_offsets: str = STARTING_OFFSETS,
-    max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER,
+    max_offsets_per_trigger: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Messages of a topic as a stream. Needs Spark's Kafka connector on the class path.
 
-    The default intake cap suits a demo; raise it (or pass None) for a real topic,
-    or batches and files stay tiny.
+    A micro-batch takes all there is unless ``max_offsets_per_trigger`` says otherwise.
     """
     reader = (
         spark.readStream.format("kafka")

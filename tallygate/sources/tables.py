@@ -7,6 +7,7 @@ configuration, never here.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,27 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_table(df: DataFrame, path: str, *partition_by: str) -> None:
+    refuse_streamed(df.sparkSession, path)
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """An empty folder, unless there is one: a stream can only follow a folder that exists."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+
+
+def refuse_streamed(spark: SparkSession, path: str) -> None:
+    """A stream's sink keeps a log that readers obey: rows added past it are never seen."""
+    if exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} is written by a stream; batch rows there would be invisible")
+
+
 def append_stream(
     df: DataFrame, path: str, checkpoint: str, until_drained: bool, *partition_by: str
 ) -> StreamingQuery:
@@ -41,12 +60,31 @@ def append_stream(
     return writer.start(path)
 
 
+def each_batch(
+    df: DataFrame,
+    work: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    until_drained: bool,
+) -> StreamingQuery:
+    """Run ``work`` on every micro-batch and its number.
+
+    After a failure the last batch may come again under the same number: ``work`` must
+    then replace what it wrote before.
+    """
+    writer = df.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
+    if until_drained:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def overwrite_table(df: DataFrame, path: str, *partition_by: str) -> None:
+    refuse_streamed(df.sparkSession, path)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
     """Replace only the partitions ``df`` has rows for; running it twice changes nothing."""
+    refuse_streamed(df.sparkSession, path)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -55,11 +93,39 @@ def overwrite_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
     )
 
 
+def replace_partitions(
+    spark: SparkSession, df: DataFrame, path: str, column: str, values: list
+) -> None:
+    """Replace the partitions ``values`` of a table by ``df``, also those it has no rows for.
+
+    ``df`` is a few rows a partition: it is computed again to see which are gone.
+    """
+    overwrite_partitions(df, path, column)
+    there = {row[0] for row in df.select(column).distinct().collect()}
+    for value in set(values) - there:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={name}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def bronze_of_days(spark: SparkSession, path: str, days: list[datetime.date]) -> DataFrame:
+    """Bronze of the landing days listed; other days' files are not opened."""
+    return read_table(spark, path).filter(F.col("ingest_date").isin(days))
+
+
 def bronze_days(
-    spark: SparkSession, path: str, first: datetime.date, last: datetime.date
+    spark: SparkSession,
+    path: str,
+    first: datetime.date | None = None,
+    last: datetime.date | None = None,
 ) -> DataFrame:
     """Bronze of the landing days first..last; other days' files are not opened."""
-    return read_table(spark, path).filter(F.col("ingest_date").between(first, last))
+    bronze = read_table(spark, path)
+    if first is not None:
+        bronze = bronze.filter(F.col("ingest_date") >= F.lit(first))
+    if last is not None:
+        bronze = bronze.filter(F.col("ingest_date") <= F.lit(last))
+    return bronze
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -1,37 +1,39 @@
-"""Daily metrics of a Silver stream."""
+"""Daily metrics of a Silver stream, equal to the batch's at every moment."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallygate.operators import gate, gold
-from tallygate.sources.tables import append_stream
+from tallygate.operators import gold
+from tallygate.plans import jobs
+from tallygate.sources import tables
 
 
-def windowed_metrics(silver: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Daily metrics by event time; a day is final ``delay`` after the latest event seen.
+def publish(
+    silver: DataFrame,
+    partials_path: str,
+    gold_path: str,
+    checkpoint: str,
+    until_drained: bool = False,
+    date_basis: str = "written",
+) -> StreamingQuery:
+    """Keep Gold up to date with every row of a Silver stream, however late it comes.
 
-    Rows later than that are too late for their day, and rows without a readable time
-    have none; batch Gold counts both. Days are UTC days.
+    No watermark: each micro-batch leaves its sums in a folder of its own, and the event
+    days it touched are put together anew from the sums of all micro-batches. Rows without
+    a readable time are the group of the null day, as in batch. A batch that is retried
+    replaces its own sums, so nothing counts twice.
     """
-    rows = (
-        gate.typed(silver)
-        .withWatermark("event_time_ts", delay)
-        .groupBy(F.window("event_time_ts", "1 day").alias("day"), "currency", "status")
-        .agg(
-            gold.transaction_count(),
-            gold.total_amount(F.col("amount_num")),
-            gold.avg_amount(F.col("amount_num")),
-            gold.high_risk_count(F.col("risk_score")),
-        )
-    )
-    return rows.select(F.to_date("day.start").alias("event_date"), "*").drop("day")
-
 
-def publish(
-    metrics: DataFrame, path: str, checkpoint: str, until_drained: bool = False
-) -> StreamingQuery:
-    """Append each day's metrics once the day is final."""
-    return append_stream(metrics, path, checkpoint, until_drained)
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        sums = gold.partial_metrics(batch, date_basis)
+        own = f"{partials_path}/batch_id={batch_id}"
+        tables.overwrite_table(sums, own)
+        touched = tables.read_table(spark, own).select("event_date").distinct().collect()
+        if touched:
+            days = [row.event_date for row in touched]  # the days, not the rows
+            jobs.publish_gold(spark, partials_path, gold_path, days)
+
+    return tables.each_batch(silver, refresh, checkpoint, until_drained)

@@ -6,15 +6,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallygate.operators import gate
+from tallygate.functions.casts import written_date
+from tallygate.operators import gate, reliability
+from tallygate.sources import tables
+from tallygate.sources.messages import BRONZE_SCHEMA
 from tallygate.sources.tables import append_stream
 
+KEPT_IDS = "event_id string, batch_id bigint, event_day date"
+
 
 def bronze_stream(
-    spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """New Bronze files as they appear."""
-    reader = spark.readStream.schema(schema)
+    """New Bronze files as they appear; there need not be any yet."""
+    tables.make_folder(spark, path)
+    reader = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)
@@ -38,18 +44,37 @@ def split(
     return append_stream(rows, path, checkpoint, until_drained, "layer")
 
 
-def first_deliveries_stream(rows: DataFrame, delay: str, salts: int = 32) -> DataFrame:
-    """Drop repeats of an event that arrive within ``delay`` of its first message.
+def keep_first_deliveries(
+    rows: DataFrame, path: str, checkpoint: str, until_drained: bool = False
+) -> StreamingQuery:
+    """Keep one message of every event in ``path``, whatever order messages come in.
 
-    In two steps, as one event may make up much of the stream: repeats are first
-    dropped within each of ``salts`` shares of an event's messages, on as many tasks,
-    which leaves the second step at most that many rows of any event to compare.
+    A repeat is a message with the id and the event day of one kept before. There is no
+    watermark, so only repeats are dropped. Each micro-batch is thinned by itself (see
+    ``first_deliveries``: an event sent most often is cut down in every map task) and
+    compared with the ids kept earlier for the days it has, whose partitions alone are
+    read. A batch goes to a folder of its own: when it is retried it replaces it.
     """
-    return (
-        rows.withColumn("event_time_ts", F.try_to_timestamp("event_time"))
-        .withColumn("salt", F.col("offset") % salts)
-        .withWatermark("event_time_ts", delay)
-        .dropDuplicatesWithinWatermark(["event_id", "salt"])
-        .drop("salt")
-        .dropDuplicatesWithinWatermark(["event_id"])
-    )
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        day = written_date(F.col("event_time"))
+        once = reliability.first_deliveries(batch.withColumn("event_day", day)).persist()
+        try:
+            fresh = once
+            if batch_id and tables.exists(spark, path):
+                span = once.agg(F.min("event_day").alias("a"), F.max("event_day").alias("b")).first()
+                of_days = F.col("event_day").between(span.a, span.b) | F.col("event_day").isNull()
+                kept = (
+                    spark.read.schema(KEPT_IDS)
+                    .parquet(path)
+                    .filter((F.col("batch_id") < batch_id) & of_days)
+                )
+                same = F.col("n.event_id") == F.col("k.event_id")
+                same &= F.col("n.event_day").eqNullSafe(F.col("k.event_day"))
+                fresh = once.alias("n").join(kept.alias("k"), same, "left_anti")
+            tables.overwrite_table(fresh, f"{path}/batch_id={batch_id}", "event_day")
+        finally:
+            once.unpersist()
+
+    return tables.each_batch(rows, keep, checkpoint, until_drained)

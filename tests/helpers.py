@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 
-from tallygate.sources import fixture
+from tallygate.simulation import fixture
 
 SF_DIR = "/root/testdata/sf0.001"
 

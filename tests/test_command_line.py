@@ -6,6 +6,7 @@ import pytest
 
 from helpers import small_bronze
 from tallygate.__main__ import arguments, run
+from tallygate.plans import jobs
 from tallygate.sources import tables
 
 
@@ -15,20 +16,27 @@ def test_bronze_to_csv(spark, tmp_path, capsys, gate_name, kept):
     tables.overwrite_table(small_bronze(spark), bronze, "ingest_date")
 
     def call(*argv):
-        run(spark, arguments([str(word) for word in argv]))
+        return run(spark, arguments([str(word) for word in argv]))
 
     for _ in range(2):
         call(
             *("split", "--bronze", bronze, "--layers", layers),
-            *("--gate", gate_name, "--replace-days"),
+            *("--gate", gate_name),
         )
-    call("metrics", "--layers", layers, "--gold", gold_path)
+    assert call("metrics", "--layers", layers, "--gold", gold_path)
     stored = tables.read_table(spark, gold_path)
     assert stored.groupBy().sum("transaction_count").first()[0] == kept
 
-    call("scan", "--layers", layers, "--gold", gold_path, "--report", tmp_path / "report")
+    scan = ("scan", "--layers", layers, "--gold", gold_path, "--report", tmp_path / "report")
+    for _ in range(2):
+        assert not call(*scan, "--bronze", bronze)  # old events are not fresh
     report = tables.read_table(spark, str(tmp_path / "report")).collect()
-    assert [r.metric for r in report if r.outcome == "FAIL"] == ["freshness"]
+    assert [r.metric for r in report if r.outcome == "FAIL"] == ["freshness"] * 2
+    assert len({r.scanned_at for r in report}) == 2
+    assert call("conserve", "--bronze", bronze, "--layers", layers, "--gold", gold_path)
+    assert call("lag", "--layers", layers) and call("reasons", "--layers", layers)
+    call("dedup", "--layers", layers, "--out", tmp_path / "once")
+    assert tables.read_table(spark, str(tmp_path / "once")).count() == kept
 
     call("export", "--gold", gold_path, "--csv", tmp_path / "csv")
     exported = spark.read.option("header", True).csv(str(tmp_path / "csv"))
@@ -48,35 +56,79 @@ def test_one_day_only(spark, tmp_path):
         spark,
         arguments(
             ["split", "--bronze", bronze, "--layers", layers]
-            + ["--first-day", "2024-01-05", "--last-day", "2024-01-05", "--replace-days"]
+            + ["--first-day", "2024-01-05", "--last-day", "2024-01-05"]
         ),
     )
     days = tables.read_table(spark, layers).select("ingest_date").distinct().collect()
     assert [str(row.ingest_date) for row in days] == ["2024-01-05"]
 
 
-def test_layers_in_places_of_their_own(spark, tmp_path, capsys):
-    bronze, silver, quarantine, gold_path = (str(tmp_path / name) for name in "bsqg")
-    tables.overwrite_table(small_bronze(spark), bronze, "ingest_date")
-    places = ["--silver", silver, "--quarantine", quarantine]
+def test_loading_what_is_new(spark, tmp_path):
+    bronze, layers, sums, gold_path = (str(tmp_path / name) for name in "blsg")
+    rows = small_bronze(spark)
+    load = ["load", "--bronze", bronze, "--layers", layers, "--partials", sums, "--gold", gold_path]
+    for days in ("ingest_date <= '2024-01-10'", "ingest_date > '2024-01-10'", "false"):
+        tables.append_table(rows.filter(days), bronze, "ingest_date")
+        run(spark, arguments(load))
+    stored = jobs.read_gold(spark, gold_path)
+    assert stored.groupBy().sum("transaction_count").first()[0] == 960
+    assert run(
+        spark,
+        arguments(["conserve", "--bronze", bronze, "--layers", layers, "--gold", gold_path]),
+    )
+
+
+def test_a_clean_load_needs_no_quarantine(spark, tmp_path, capsys):
+    bronze, layers, gold_path = (str(tmp_path / name) for name in "blg")
+    tables.overwrite_table(small_bronze(spark).filter("offset % 10 <> 0"), bronze, "ingest_date")
     for argv in (
-        ["split", "--bronze", bronze, *places],
-        ["metrics", "--silver", silver, "--gold", gold_path, "--amounts", "double"],
-        ["scan", *places, "--gold", gold_path],
-        ["show-quarantine", "--quarantine", quarantine],
+        ["split", "--bronze", bronze, "--layers", layers],
+        ["metrics", "--layers", layers, "--gold", gold_path, "--date-basis", "utc"],
     ):
         run(spark, arguments(argv))
-    assert tables.read_table(spark, silver).count() == 960
-    assert tables.read_table(spark, quarantine).count() == 40
-    assert "PASS" in capsys.readouterr().out
+    scan = ["scan", "--layers", layers, "--gold", gold_path]
+    report = str(tmp_path / "report")
+    run(spark, arguments([*scan, "--bronze", bronze, "--report", report]))
+    asked = {(r.dataset, r.metric) for r in tables.read_table(spark, report).collect()}
+    assert ("quarantine_fintech_transactions", "row_count") not in asked
+    run(spark, arguments([*scan, "--report", report + "2"]))
+    failed = tables.read_table(spark, report + "2").filter("outcome = 'FAIL'").collect()
+    assert ("quarantine_fintech_transactions", "row_count") in {
+        (r.dataset, r.metric) for r in failed
+    }
+
+
+def test_a_failed_report_ends_with_one(monkeypatch):
+    from tallygate import __main__ as command
+
+    class Session:
+        def stop(self):
+            pass
+
+    monkeypatch.setattr(command, "build_session", lambda name: Session())
+    monkeypatch.setattr(command.sys, "argv", ["tallygate", "show-gold", "--gold", "g"])
+    for passed in (True, False):
+        monkeypatch.setattr(command, "run", lambda spark, options: passed)
+        if passed:
+            command.main()
+        else:
+            with pytest.raises(SystemExit) as end:
+                command.main()
+            assert end.value.code == 1
+
+
+def test_no_intake_cap_unless_asked_for():
+    land = ["land", "--bootstrap-servers", "b", "--bronze", "x", "--checkpoint", "c"]
+    assert arguments(land).max_offsets_per_trigger is None
+    assert arguments([*land, "--max-offsets-per-trigger", "1000"]).max_offsets_per_trigger == 1000
 
 
 @pytest.mark.parametrize(
     "argv",
     [
         ["metrics", "--gold", "g"],
-        ["split", "--bronze", "b", "--silver", "s"],
-        ["split", "--bronze", "b", "--silver", "s", "--quarantine", "q", "--replace-days"],
+        ["split", "--bronze", "b"],
+        ["load", "--bronze", "b", "--layers", "l", "--gold", "g"],
     ],
 )
 def test_missing_places_are_refused(argv):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallygate.functions.event_model import CONTRACT, LENIENT_REASON
-from tallygate.operators import gate
+from tallygate.operators import gate, gold
 
 GOOD = {
     "event_id": "evt_1",
@@ -211,6 +211,39 @@ def test_lenient_values(spark):
     assert rows[5].amount == "9.00"
 
 
+def test_strict_keeps_what_it_accepts(spark):
+    """Integers by value and times in every spelling RFC 3339 has: nothing becomes null."""
+    texts = [
+        with_number("risk_score", "95.0"),
+        with_number("risk_score", "9e1"),
+        with_number("schema_version", "9999999999"),
+        changed(event_time="2024-03-01t10:00:00z"),
+        changed(event_time="2016-12-31T23:59:60Z"),
+        changed(event_time="2024-03-01T10:00:00+23:59"),
+        changed(event_time="2024-03-01T10:00:00.25-23:59"),
+        changed(amount="9" * 36 + ".99"),
+    ]
+    kept = gate.silver(gate.strict_gate(bronze(spark, texts)))
+    rows = gate.typed(kept).withColumn("micros", F.unix_micros("event_time_ts")).orderBy("offset")
+    found = rows.collect()
+    assert len(found) == len(texts)
+    assert [r.risk_score for r in found[:2]] == [95, 90]
+    assert found[2].schema_version == 9999999999
+    assert all(r.event_date is not None and r.amount_num is not None for r in found)
+    noon = 1709287200
+    seconds = [r.micros / 1e6 for r in found[3:7]]
+    assert seconds == [noon, 1483228800, noon - 86340, noon + 86340.25]
+    assert str(found[7].amount_num) == "9" * 36 + ".99"
+    counted = gold.daily_metrics(kept).agg(F.sum("high_risk_txn_count")).first()[0]
+    assert counted == 2
+
+
+def test_quarantined_numbers_are_shown_as_parsed(spark):
+    texts = [with_number("risk_score", "80.5"), changed(risk_score=101), changed(risk_score="7")]
+    rows = gate.quarantine(gate.strict_gate(bronze(spark, texts))).orderBy("offset").collect()
+    assert [r.risk_score for r in rows] == [None, 101, None]
+
+
 def test_conditional_rule(spark):
     texts = [
         changed(status="failed", failure_reason="network_error"),

@@ -8,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import SF_DIR, rows, small_bronze
-from tallygate.functions import casts, lifecycle
+from tallygate.functions import casts
 from tallygate.operators import checks, gate, gold, reliability
 from tallygate.plans import catalog, jobs
 from tallygate.session import shared_folder
-from tallygate.sources import fixture, messages, tables
+from tallygate.simulation import fixture, lifecycle
+from tallygate.sources import messages, tables
 
 
 def text_frame(spark, values, name="text"):
@@ -33,46 +34,93 @@ def test_rerunning_days_changes_nothing(spark, tmp_path):
     assert silver.columns == list(gate.SILVER_COLUMNS)
 
 
-def test_two_tables_equal_the_single_write(spark, tmp_path):
-    bronze, as_of = small_bronze(spark), F.timestamp_micros(F.lit(0))
-    one, silver_path, quarantine_path = (str(tmp_path / name) for name in ("one", "s", "q"))
-    jobs.split_layers(bronze, one, "strict", as_of)
-    jobs.split_tables(bronze, silver_path, quarantine_path, "strict", as_of)
-    assert rows(tables.read_table(spark, silver_path)) == rows(
-        jobs.read_layer(spark, one, "silver")
-    )
-    assert rows(tables.read_table(spark, quarantine_path)) == rows(
-        jobs.read_layer(spark, one, "quarantine")
-    )
-    assert len(list((tmp_path / "q").glob("part-*"))) == 1
+def sides(spark, path):
+    return [jobs.read_layer(spark, path, layer) for layer in ("silver", "quarantine")]
 
 
-def test_append_twice_is_caught_by_conservation(spark, tmp_path):
+def test_a_replay_by_another_gate_leaves_nothing_behind(spark, tmp_path):
     path = str(tmp_path / "layers")
     bronze = small_bronze(spark)
+    for gate_name, kept in (("strict", 900), ("lenient", 960), ("strict", 900)):
+        jobs.split_days(bronze, path, gate_name)
+        silver, quarantine = sides(spark, path)
+        assert (silver.count(), quarantine.count()) == (kept, 1000 - kept)
+        report = reliability.conservation(bronze, silver, quarantine, gold.daily_metrics(silver))
+        assert report.first().outcome == "PASS"
 
-    def report():
-        silver = jobs.read_layer(spark, path, "silver")
-        quarantine = jobs.read_layer(spark, path, "quarantine")
-        return reliability.conservation(
-            bronze, silver, quarantine, gold.daily_metrics(silver)
-        ).first()
 
-    jobs.split_layers(bronze, path)
-    assert report().outcome == "PASS"
-    jobs.split_layers(bronze, path)
-    assert report().outcome == "FAIL"
+def test_conservation_sees_rows_lost_and_rows_twice(spark):
+    bronze = small_bronze(spark)
+    gated = gate.lenient_gate(bronze)
+    silver, quarantine = gate.silver(gated), gate.quarantine(gated)
+    metrics = gold.daily_metrics(silver)
+    for wrong in (silver.filter("offset <> 1"), silver.unionByName(silver)):
+        assert reliability.conservation(bronze, wrong, quarantine, metrics).first().outcome == "FAIL"
 
 
-def test_incremental_load_adds_only_what_is_new(spark, tmp_path):
-    path = str(tmp_path / "layers")
+def test_both_sides_of_a_day_are_in_the_same_files(spark, tmp_path):
+    path = tmp_path / "layers"
+    jobs.split_days(small_bronze(spark).coalesce(1), str(path))
+    assert {p.name for p in path.iterdir() if p.is_dir()} == {
+        f"ingest_date=2024-01-{day:02d}" for day in range(1, 31)
+    }
+    assert all(len(list(day.glob("*.parquet"))) == 1 for day in path.glob("ingest_date=*"))
+
+
+def test_batch_writes_to_a_streamed_path_are_refused(spark, tmp_path):
+    path = tmp_path / "layers"
+    (path / "_spark_metadata").mkdir(parents=True)
     bronze = small_bronze(spark)
-    jobs.split_layers(bronze.filter("ingest_date <= '2024-01-10'"), path)
-    loaded = [jobs.read_layer(spark, path, layer) for layer in ("silver", "quarantine")]
-    jobs.split_layers(reliability.not_yet_loaded(bronze, *loaded), path)
-    loaded = [jobs.read_layer(spark, path, layer) for layer in ("silver", "quarantine")]
-    assert reliability.not_yet_loaded(bronze, *loaded).count() == 0
-    assert sum(layer.count() for layer in loaded) == 1000
+    for write in (
+        lambda: jobs.split_days(bronze, str(path)),
+        lambda: tables.append_table(bronze, str(path)),
+        lambda: tables.overwrite_table(bronze, str(path)),
+    ):
+        with pytest.raises(ValueError, match="stream"):
+            write()
+
+
+def test_loading_new_days(spark, tmp_path):
+    bronze_path, path = str(tmp_path / "bronze"), str(tmp_path / "layers")
+    bronze = small_bronze(spark)
+    tables.append_table(bronze.filter("ingest_date <= '2024-01-10'"), bronze_path, "ingest_date")
+    assert len(jobs.load_new_days(spark, bronze_path, path)) == 10
+    assert jobs.load_new_days(spark, bronze_path, path) == []
+    later = bronze.filter("ingest_date > '2024-01-10'")
+    tables.append_table(later, bronze_path, "ingest_date")
+    # More messages for a day that was loaded already.
+    more = bronze.filter("ingest_date = '2024-01-04'").withColumn("partition", F.lit(9))
+    tables.append_table(more, bronze_path, "ingest_date")
+    days = jobs.load_new_days(spark, bronze_path, path)
+    assert datetime.date(2024, 1, 4) in days and datetime.date(2024, 1, 5) not in days
+    assert len(days) == 21
+    assert sum(s.count() for s in sides(spark, path)) == 1000 + more.count()
+    assert jobs.load_new_days(spark, bronze_path, path) == []
+
+
+def test_gold_kept_up_to_date_equals_gold_built_anew(spark, tmp_path):
+    layers, partials, gold_path = (str(tmp_path / name) for name in ("layers", "sums", "gold"))
+    bronze = small_bronze(spark)
+    days = [r[0] for r in bronze.select("ingest_date").distinct().collect()]
+
+    def check():
+        silver = jobs.read_layer(spark, layers, "silver")
+        assert rows(jobs.read_gold(spark, gold_path)) == rows(gold.daily_metrics(silver))
+
+    jobs.split_days(bronze, layers)
+    jobs.update_gold(spark, layers, days, partials, gold_path)
+    check()
+    one = days[3]
+    # Other verdicts on a day, then no message at all that passes.
+    jobs.split_days(bronze.filter(F.col("ingest_date") == one), layers, "strict")
+    jobs.update_gold(spark, layers, [one], partials, gold_path)
+    check()
+    bad = bronze.filter(F.col("ingest_date") == one).withColumn("raw_value", F.lit("{"))
+    jobs.split_days(bad, layers)
+    jobs.update_gold(spark, layers, [one], partials, gold_path)
+    check()
+    jobs.update_gold(spark, layers, [], partials, gold_path)
+    check()
 
 
 def test_first_delivery_with_one_event_sent_most_often(spark):
@@ -136,6 +184,9 @@ def test_casts(spark):
     money = text_frame(spark, ["12345678901234567890.12", "1.005", "abc", "1e3"])
     values = [r[0] for r in money.select(casts.money(F.col("text"))).collect()]
     assert [str(v) for v in values] == ["12345678901234567890.12", "1.01", "None", "1000.00"]
+    odd = text_frame(spark, ["2024-03-01t10:00:00z", "2024-02-30t10:00:00z", "2024-03-01t10"])
+    dates = [r[0] for r in odd.select(casts.written_date(F.col("text"))).collect()]
+    assert dates == [datetime.date(2024, 3, 1), None, None]
 
 
 def test_lifecycle(spark):
@@ -186,11 +237,20 @@ def test_freshness(spark, stamps, outcome):
     assert report.outcome == outcome
 
 
+def test_not_a_number_is_invalid(spark):
+    frame = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (-1.0,)], "amount double")
+    check = checks.Check(checks.INVALID_COUNT, "=", 0, "amount", valid_min=0)
+    assert checks.scan("d", frame, (check,)).first().value == 2
+
+
 def test_empty_quarantine(spark, tmp_path):
     """Nothing bad: both layers stay readable, and the conditional check is left out."""
     path = str(tmp_path / "layers")
-    jobs.split_layers(small_bronze(spark).filter("offset % 10 <> 0"), path)
-    quarantine = jobs.read_layer(spark, path, "quarantine")
+    bronze = small_bronze(spark).filter("offset % 10 <> 0")
+    jobs.split_days(bronze, path)
+    silver, quarantine = sides(spark, path)
+    assert not jobs.quarantine_is_due(bronze, silver)
+    assert jobs.quarantine_is_due(small_bronze(spark), silver)
     strict = checks.scan("q", quarantine, checks.quarantine_checks(expect_bad_rows=True))
     relaxed = checks.scan("q", quarantine, checks.quarantine_checks(expect_bad_rows=False))
     assert {r.outcome for r in strict.collect()} == {"PASS", "FAIL"}
@@ -238,6 +298,43 @@ def test_bronze_columns(spark):
     assert stamped.select("ingested_at").distinct().count() == 1
 
 
+class RecordingReader:
+    """Stands in for the stream reader: what it was told, and no broker."""
+
+    def __init__(self):
+        self.told = {}
+
+    def format(self, name):
+        self.told["format"] = name
+        return self
+
+    def option(self, name, value):
+        self.told[name] = value
+        return self
+
+    def options(self, **more):
+        self.told |= more
+        return self
+
+    def load(self):
+        return self.told
+
+
+def test_kafka_options():
+    session = type("Session", (), {"readStream": property(lambda self: RecordingReader())})()
+    assert messages.kafka_messages(session, "b:9092") == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "b:9092",
+        "subscribe": "fintech_transactions",
+        "startingOffsets": "earliest",
+    }
+    told = messages.kafka_messages(
+        session, "b", "t", "latest", messages.DEMO_OFFSETS_PER_TRIGGER, {"failOnDataLoss": "false"}
+    )
+    assert (told["subscribe"], told["startingOffsets"]) == ("t", "latest")
+    assert (told["maxOffsetsPerTrigger"], told["failOnDataLoss"]) == (1000, "false")
+
+
 def test_kafka_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         messages.kafka_messages(spark, "broker:9092")
@@ -250,6 +347,16 @@ def test_shared_folder_is_under_the_checkpoint_folder(spark):
     assert first != second
 
 
+def test_without_a_shared_folder_there_is_an_error():
+    context = type("C", (), {})()
+    context._jsc = type("J", (), {"sc": lambda self: self, "getCheckpointDir": lambda self: self,
+                                  "isDefined": lambda self: False})()
+    conf = type("F", (), {"get": lambda self, key, default: default})()
+    session = type("S", (), {"conf": conf, "sparkContext": context})()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session, "x")
+
+
 def test_csv_has_a_header(spark, tmp_path):
     path = str(tmp_path / "csv")
     tables.export_csv(catalog.gold_daily_metrics(spark, SF_DIR), path)

@@ -8,11 +8,10 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from tallygate.plans.catalog import QUERIES
+from tallygate.plans.oracle import ORACLES
 
 SF_DIR = "/root/testdata/sf0.01"
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
 
 SQL_TYPES = {
     "BIGINT": "bigint",
@@ -71,3 +70,18 @@ def test_query_matches_sql(spark, database, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+
+
+def test_driver_contract(spark):
+    import __spark_entry__ as contract
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        elsewhere = sorted(map(tuple, contract.entry(spark).collect()), key=str)
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert elsewhere == sorted(map(tuple, contract.entry(spark).collect()), key=str)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())

@@ -7,8 +7,9 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import plan_text, small_bronze
+from helpers import SF_DIR, plan_text, small_bronze
 from tallygate.operators import checks, gate, gold, reliability
+from tallygate.plans import catalog, jobs
 from tallygate.sources import tables
 
 
@@ -26,7 +27,7 @@ def test_filtering_a_gate_does_not_repeat_the_parse(spark, stored):
     assert "Exchange" not in lenient
     for side in (gate.silver, gate.quarantine):
         strict = plan_text(side(gate.strict_gate(bronze)))
-        assert strict.count("from_json(") == 1
+        assert strict.count("from_json(") == 1  # in the branch for messages that need a look
         assert strict.count("parseJson(concat([") == 1
         assert "Exchange" not in strict
 
@@ -76,13 +77,78 @@ def test_a_scan_is_one_aggregation(spark, stored):
     assert "SinglePartition" in plan and "partial_count" in plan
 
 
-def test_incremental_join_reads_positions_only(spark, stored, tmp_path):
-    path = str(tmp_path / "silver")
-    bronze = tables.read_table(spark, stored)
-    tables.overwrite_table(gate.silver(gate.lenient_gate(bronze)), path)
-    loaded = tables.read_table(spark, path)
-    plan = plan_text(reliability.not_yet_loaded(bronze.filter(F.col("offset") > 0), loaded))
-    reads = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
-    assert any("raw_value" not in read for read in reads)
-    assert "LeftAnti" in plan
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+def test_splitting_moves_no_rows(spark, stored):
+    """Not for sorting the two sides apart, and not when days are loaded that are new."""
+    days = [datetime.date(2024, 1, 10), datetime.date(2024, 1, 11)]
+    bronze = tables.bronze_of_days(spark, stored, days)
+    for gated in (gate.lenient_gate(bronze), gate.strict_gate(bronze)):
+        plan = plan_text(gate.labelled(gated).sortWithinPartitions("layer"))
+        assert "Exchange" not in plan
+        assert "ingest_date" in next(x for x in plan.splitlines() if "PartitionFilters" in x)
+
+
+def test_finding_new_days_reads_positions_only(spark, stored, tmp_path, monkeypatch):
+    path = str(tmp_path / "layers")
+    jobs.split_days(tables.read_table(spark, stored), path)
+    plans = []
+    frame = type(spark.range(0))
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda df: plans.append(plan_text(df)) or collect(df))
+    days = reliability.days_to_load(tables.read_table(spark, stored), tables.read_table(spark, path))
+    assert days == []
+    reads = [line for line in plans[0].splitlines() if line.startswith("ReadSchema")]
+    assert len(reads) == 2
+    for read in reads:
+        assert "raw_value" not in read and "offset" in read
+    assert "raw_value" not in plans[0] and "partial_count" in plans[0]
+    assert "CartesianProduct" not in plans[0] and "NestedLoop" not in plans[0]
+
+
+def test_gold_update_reads_only_the_days_given(spark, stored, tmp_path, monkeypatch):
+    layers, partials, gold_path = (str(tmp_path / name) for name in ("layers", "sums", "gold"))
+    jobs.split_days(tables.read_table(spark, stored), layers)
+    day = datetime.date(2024, 1, 10)
+    plans = []
+    write = tables.overwrite_partitions
+
+    def watched(df, path, *columns):
+        plans.append(plan_text(df))
+        write(df, path, *columns)
+
+    monkeypatch.setattr(tables, "overwrite_partitions", watched)
+    jobs.update_gold(spark, layers, [day], partials, gold_path)
+    silver_plan, merge_plan = plans
+    assert "2024-01-10" in next(x for x in silver_plan.splitlines() if "PartitionFilters" in x)
+    assert "raw_value" not in silver_plan
+    assert "raw_value" not in merge_plan
+    assert tables.read_table(spark, gold_path).count() > 0
+
+
+def test_lag_is_counted_before_it_is_ranked(spark, stored):
+    silver = gate.typed(gate.silver(gate.lenient_gate(tables.read_table(spark, stored))))
+    plan = plan_text(reliability.layer_lag(silver))
+    assert "percentile" not in plan
+    tree = plan[: plan.index("\n\n\n")]
+    # Rows are summed up by lag before the first exchange; the window sees the counts.
+    assert tree.index("Window") < tree.rindex("Exchange") < tree.rindex("HashAggregate")
+
+
+def test_one_scan_for_two_layers(spark, stored):
+    judged = gate.labelled(gate.lenient_gate(tables.read_table(spark, stored)))
+    plan = plan_text(
+        checks.scan_together(
+            judged,
+            {
+                "s": (F.col("layer") == "silver", checks.of_metric(checks.SILVER_CHECKS, "row_count")),
+                "q": (F.col("layer") == "quarantine", checks.QUARANTINE_CHECKS),
+            },
+        )
+    )
+    assert plan.count("from_json(") == 1
+    assert plan.count("Scan parquet") == 2  # tree line and detail
+
+
+def test_no_exchange_before_the_gate(spark):
+    """The registered queries read their table as it is, however few pieces it has."""
+    for name in ("silver_lenient", "silver_strict", "bronze_parse"):
+        assert "Exchange" not in plan_text(catalog.QUERIES[name](spark, SF_DIR))

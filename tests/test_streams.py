@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from helpers import SF_DIR, rows, small_bronze
 from tallygate.operators import gate, gold
 from tallygate.plans import jobs
-from tallygate.sources import fixture, messages, tables
+from tallygate.simulation import fixture
+from tallygate.sources import messages, tables
 from tallygate.streaming import daily, landing, splitting
 
 
@@ -52,10 +53,8 @@ def test_restart_takes_up_only_new_files(spark, inbox, tmp_path):
 
 
 def split(spark, root, gate_name):
-    bronze_path = f"{root}/bronze"
-    schema = tables.read_table(spark, bronze_path).schema
     splitting.split(
-        splitting.bronze_stream(spark, bronze_path, schema, max_files_per_trigger=40),
+        splitting.bronze_stream(spark, f"{root}/bronze", max_files_per_trigger=40),
         f"{root}/layers-{gate_name}",
         f"{root}/checkpoint-{gate_name}",
         gate_name=gate_name,
@@ -76,44 +75,90 @@ def test_split_equals_batch(spark, inbox, tmp_path, gate_name):
     assert rows(jobs.read_layer(spark, path, "quarantine")) == rows(gate.quarantine(gated, as_of))
 
 
-def test_closed_days_equal_batch(spark, inbox, tmp_path):
-    stream = messages.message_files(spark, inbox, max_files_per_trigger=1)
-    bronze = messages.envelope(stream, fixture.landing_time())
-    metrics = daily.windowed_metrics(gate.silver(gate.lenient_gate(bronze)), delay="40 days")
-    # With a delay longer than the data nothing is late, and nothing closes either.
-    daily.publish(
-        metrics, f"{tmp_path}/open", f"{tmp_path}/c1", until_drained=True
-    ).awaitTermination()
-    assert tables.read_table(spark, f"{tmp_path}/open").count() == 0
+def test_following_begins_before_there_is_bronze(spark, inbox, tmp_path):
+    split(spark, str(tmp_path), "lenient")
+    land(spark, inbox, tmp_path)
+    split(spark, str(tmp_path), "lenient")
+    path = f"{tmp_path}/layers-lenient"
+    assert jobs.read_layer(spark, path, "silver").count() == 960
+    with pytest.raises(ValueError, match="stream"):
+        jobs.split_days(small_bronze(spark), path)
 
-    stream = messages.message_files(spark, inbox)
-    bronze = messages.envelope(stream, fixture.landing_time())
-    metrics = daily.windowed_metrics(gate.silver(gate.lenient_gate(bronze)), delay="1 day")
-    daily.publish(
-        metrics, f"{tmp_path}/gold", f"{tmp_path}/c2", until_drained=True
-    ).awaitTermination()
-    closed = tables.read_table(spark, f"{tmp_path}/gold")
+
+@pytest.fixture()
+def late_inbox(spark, tmp_path):
+    """Messages in three files, the newest events first."""
+    path = str(tmp_path / "late")
+    sent = fixture.messages_from_events(fixture.event_table(spark, SF_DIR))
+    for first, last in ((21, 31), (1, 10), (11, 20)):
+        days = sent.filter(F.dayofmonth("timestamp").between(first, last))
+        days.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def silver_stream(spark, inbox, files=1):
+    stream = messages.message_files(spark, inbox, max_files_per_trigger=files)
+    return gate.silver(gate.lenient_gate(messages.envelope(stream, fixture.landing_time())))
+
+
+def publish(spark, inbox, root):
+    query = daily.publish(
+        silver_stream(spark, inbox), f"{root}/sums", f"{root}/gold", f"{root}/cp", True
+    )
+    query.awaitTermination()
+    return query
+
+
+def test_streamed_gold_has_every_late_row(spark, late_inbox, tmp_path):
+    query = publish(spark, late_inbox, tmp_path)
+    assert query.lastProgress["batchId"] >= 2
     batch = gold.daily_metrics(gate.silver(gate.lenient_gate(small_bronze(spark))))
-    days = closed.agg(F.max("event_date")).first()[0]
-    assert closed.count() > 100
-    assert rows(closed.select(*batch.columns)) == rows(batch.filter(F.col("event_date") <= days))
+    assert rows(jobs.read_gold(spark, f"{tmp_path}/gold")) == rows(batch)
+    again = fixture.messages_from_events(fixture.event_table(spark, SF_DIR))
+    again.filter("offset < 100").coalesce(1).write.mode("append").parquet(late_inbox)
+    publish(spark, late_inbox, tmp_path)
+    counted = jobs.read_gold(spark, f"{tmp_path}/gold").agg(F.sum("transaction_count"))
+    assert counted.first()[0] == 960 + gate.silver(
+        gate.lenient_gate(small_bronze(spark).filter("offset < 100"))
+    ).count()
+
+
+def test_a_micro_batch_that_comes_again_counts_once(spark, late_inbox, tmp_path, monkeypatch):
+    """As after a failure between the batch's work and its commit."""
+    each = tables.each_batch
 
+    def twice(df, work, *more):
+        def both(batch, number):
+            work(batch, number)
+            work(batch, number)
 
-def first_deliveries(spark, inbox, root, files_per_batch):
-    stream = messages.message_files(spark, inbox, max_files_per_trigger=files_per_batch)
-    silver = gate.silver(gate.lenient_gate(messages.envelope(stream, fixture.landing_time())))
-    splitting.first_deliveries_stream(silver, "40 days").writeStream.format("parquet").option(
-        "checkpointLocation", f"{root}/checkpoint"
-    ).trigger(availableNow=True).start(f"{root}/once").awaitTermination()
+        return each(df, both, *more)
+
+    monkeypatch.setattr(tables, "each_batch", twice)
+    publish(spark, late_inbox, tmp_path)
+    batch = gold.daily_metrics(gate.silver(gate.lenient_gate(small_bronze(spark))))
+    assert rows(jobs.read_gold(spark, f"{tmp_path}/gold")) == rows(batch)
+    once = keep_first(spark, late_inbox, tmp_path)
+    assert once.count() == 960
+
+
+def keep_first(spark, inbox, root, files=1):
+    splitting.keep_first_deliveries(
+        silver_stream(spark, inbox, files), f"{root}/once", f"{root}/once-cp", True
+    ).awaitTermination()
     return tables.read_table(spark, f"{root}/once")
 
 
-@pytest.mark.parametrize("files_per_batch", [None, 2])
-def test_repeats_are_dropped_within_the_delay(spark, inbox, tmp_path, files_per_batch):
-    batch = tables.read_table(spark, inbox)
-    again = batch.withColumn("partition", F.col("partition") + 4)
+def test_no_event_is_lost_for_being_late(spark, late_inbox, tmp_path):
+    once = keep_first(spark, late_inbox, tmp_path)
+    assert once.count() == once.select("event_id").distinct().count() == 960
+
+
+@pytest.mark.parametrize("files", [None, 2])
+def test_repeats_are_dropped_whenever_they_come(spark, inbox, tmp_path, files):
+    again = tables.read_table(spark, inbox).withColumn("partition", F.col("partition") + 4)
     again.withColumn("offset", F.col("offset") + 1_000_001).write.mode("append").parquet(inbox)
-    once = first_deliveries(spark, inbox, tmp_path, files_per_batch)
+    once = keep_first(spark, inbox, tmp_path, files)
     assert once.count() == once.select("event_id").distinct().count() == 960
 
 
@@ -122,6 +167,6 @@ def test_an_event_sent_most_often_is_kept_once(spark, inbox, tmp_path):
     offsets = F.sequence(F.lit(10_000).cast("long"), F.lit(11_999).cast("long"))
     flood = one.withColumn("offset", F.explode(offsets))
     flood.select(*one.columns).write.mode("append").parquet(inbox)
-    once = first_deliveries(spark, inbox, tmp_path, 3)
+    once = keep_first(spark, inbox, tmp_path, 3)
     assert once.count() == 960
     assert once.filter("event_id = 'evt_1'").count() == 1
