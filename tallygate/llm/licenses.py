@@ -78,8 +78,7 @@ TEMPLATES = {
         " above copyright notice and this permission notice appear in all copies",
     ],
     "mpl-2": [
-        "subject to the terms of the Mozilla Public License, v"
-        "<<beginOptional>>ersion<<endOptional>> 2.0",
+        "subject to the terms of the Mozilla Public License, <<var;match=1-1>> 2.0",
     ],
     "unlicense": ["This is free and unencumbered software released into the public domain"],
     "cc-by": [

@@ -32,8 +32,5 @@ ORACLES = {
     "op2_warc": warc.OP2_SQL,
     "op3_url_filters": url_filters.OP3_SQL,
     "op4_quality_rules": quality_rules.OP4_SQL,
-    "op5_license_scans": licenses.op5_license_scans,
-    "op6_document_fingerprints": spotsigs.op6_document_fingerprints,
-    "op7_html_extraction": html_text.op7_html_extraction,
     "op8_mixing_sources": mixing.OP8_SQL,
 }

@@ -1,0 +1,6 @@
+"""Test modules of this folder import their neighbours."""
+
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))

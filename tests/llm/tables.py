@@ -1,0 +1,72 @@
+"""Small tables with everything that is odd, and brute-force helpers."""
+
+from __future__ import annotations
+
+import random
+
+DOC_SCHEMA = (
+    "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+    # names that the operators use for columns of their own
+    "fp bigint, rank int, size string, words string, score string, block int, added string, "
+    "quality int, rows int, row_key string"
+)
+EXTRA = (7, 7, "s", "w", "x", 7, "a", 7, 7, "k")
+WORDS = [a + b for a in "the and lo ver ten ras qui mo".split() for b in "ba ne ti lor sa".split()]
+
+
+def sentence(rng: random.Random, count: int) -> str:
+    picked = [rng.choice(["the", "of", "and", *WORDS]) for _ in range(count)]
+    return " ".join(picked).capitalize() + "."
+
+
+def odd_texts(seed: int = 1) -> list[str | None]:
+    rng = random.Random(seed)
+    plain = [sentence(rng, 60) + "\n" + sentence(rng, 40) for _ in range(12)]
+    return [
+        None,
+        "",
+        "   \t\n \x0b\x0c\r ",
+        "one",
+        "Two words",
+        "İstanbul ÄÖÜ ß     nbsp",
+        "▁ marked ▁▁ text\x00 with ▁ and 😀 ☃",
+        "### *** $$$ %%% &&& ||| <> <>",
+        "Same line here\n" * 30,
+        "For " * 300,
+        *plain,
+        plain[0],
+        plain[0].replace("the", "The"),
+        "\n".join(sentence(rng, 12) for _ in range(3000)),
+        "x" * 100_000,
+    ]
+
+
+def odd_documents(spark, partitions: int = 3):
+    """Null ids, texts and sources; ids with two texts; rows repeated whole."""
+    rows = [
+        (i, text, "en", f"s{i % 3}" if i % 5 else None, 0, *EXTRA)
+        for i, text in enumerate(odd_texts())
+    ]
+    rows += [
+        (3, "another text for an id that is there already", "en", "s0", 0, *EXTRA),
+        (None, "a text without an id", "en", "s1", 0, *EXTRA),
+        (None, None, None, None, None, *EXTRA),
+        rows[12],
+        rows[12],
+    ]
+    return spark.createDataFrame(rows, DOC_SCHEMA).repartition(partitions)
+
+
+def no_documents(spark):
+    return spark.createDataFrame([], DOC_SCHEMA)
+
+
+def plain_rows(df) -> list[tuple]:
+    return sorted((tuple(row) for row in df.collect()), key=str)
+
+
+def write_tables(folder, **tables) -> str:
+    """Tables as a query finds them."""
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)

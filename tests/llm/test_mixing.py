@@ -1,0 +1,83 @@
+"""Targets, copies and rows of the mix."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from tables import no_documents, odd_documents, plain_rows
+
+from tallygate.llm import mixing
+
+
+def brute_targets(sizes: dict) -> dict:
+    """Capping and sharing out anew until no target is above its cap."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode())
+    names += [None] * (None in sizes)
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(names)}
+    total, capped = sum(sizes.values()), {}
+    while True:
+        free = [s for s in names if s not in capped]
+        rest = total - sum(capped.values())
+        shared = sum(weight[s] for s in free)
+        target = {s: rest * weight[s] / shared for s in free}
+        above = [s for s in free if target[s] > 3 * sizes[s]]
+        if not above:
+            return {**capped, **target}
+        capped |= {s: 3 * sizes[s] for s in above}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_targets(spark, seed):
+    rng = random.Random(seed)
+    sizes = {f"s{i}": rng.choice([0, 1, 10, 100, 5000, rng.randint(0, 10**6)]) for i in range(17)}
+    sizes |= {None: 12, "é": 40, "Z": 9}
+    rows = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
+    found = {r.source: r.target for r in mixing.source_targets(rows).collect()}
+    wanted = brute_targets(sizes)
+    assert found == pytest.approx(wanted)
+    assert sum(found.values()) == pytest.approx(sum(sizes.values()))
+
+
+def test_taken_words_come_near_targets(spark):
+    rng = random.Random(3)
+    rows = [
+        (i, "w " * min(2000, int(rng.paretovariate(1)) + 1), rng.choice(["a", "a", "b", "c", None]))
+        for i in range(4000)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    found = mixing.copies(docs).collect()
+    assert len(found) == len(rows)
+    for source in ("a", "b", "c", None):
+        own = [r for r in found if r.source == source]
+        assert sum(r["size"] for r in own) == own[0].source_size
+        missed = sum(r["size"] * r.copies for r in own) - own[0].target
+        assert abs(missed) <= max(r["size"] for r in own)
+        assert all(0 <= r.copies <= 3 for r in own)
+    assert plain_rows(mixing.copies(docs.repartition(2))) == sorted(map(tuple, found), key=str)
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark)
+    rows = mixing.copies(docs).collect()
+    sizes = sorted(len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in docs.collect())
+    assert sorted(r["size"] for r in rows) == sizes
+    mixed = mixing.mixed(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.count() == sum(r.copies for r in rows)
+
+
+def test_a_source_without_words(spark):
+    docs = spark.createDataFrame(
+        [(1, None, "a"), (2, "", "a"), (3, "x y z", "b")],
+        "doc_id bigint, text string, source string",
+    )
+    rows = {r.doc_id: r for r in mixing.copies(docs).collect()}
+    assert (rows[1].target, rows[1].copies, rows[2].copies) == (0.0, 0, 0)
+    assert (rows[3].target, rows[3].copies) == (3.0, 1)
+
+
+def test_no_documents(spark):
+    assert plain_rows(mixing.copies(no_documents(spark))) == []
+    assert plain_rows(mixing.mixed(no_documents(spark))) == []

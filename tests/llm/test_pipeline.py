@@ -1,0 +1,60 @@
+"""The corpus pipeline, stage by stage."""
+
+from __future__ import annotations
+
+import pytest
+from tables import no_documents, odd_documents, write_tables
+
+import corpus_pipeline
+from tallygate.llm import quality_cnn, quality_rules, simhash
+
+SF_DIR = "/root/testdata/sf0.001"
+NAMES = [name for name, _ in corpus_pipeline.STAGES]
+
+
+def test_order_of_stages():
+    assert NAMES == [
+        "quality rules", "quality classifier", "simhash near-dedup", "mixing sources",
+        "sentencepiece",
+    ]
+
+
+def test_each_stage_takes_effect(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    good = stages["quality rules"](spark, docs, SF_DIR).cache()
+    wanted = {r.doc_id for r in quality_rules.verdicts(docs).where("kept").collect()}
+    assert {r.doc_id for r in good.collect()} == wanted < {r.doc_id for r in docs.collect()}
+    network = quality_cnn.learn(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    better = stages["quality classifier"](spark, docs, SF_DIR)
+    scores = quality_cnn.scored(docs, network)
+    assert {r.doc_id for r in better.collect()} == {
+        r.doc_id for r in scores.where("score >= 0.5").collect()
+    }
+    single = stages["simhash near-dedup"](spark, good, SF_DIR)
+    groups = simhash.near_groups(good).collect()
+    assert {r.doc_id for r in single.collect()} == {r.component_id for r in groups}
+    mixed = stages["mixing sources"](spark, single, SF_DIR)
+    for stage in (good, better, single, mixed):
+        assert stage.columns == docs.columns
+    tokens = stages["sentencepiece"](spark, mixed, SF_DIR)
+    assert tokens.count() == mixed.count()
+
+
+def test_run_is_its_stages_and_repeats_itself(spark):
+    first = corpus_pipeline.run(spark, SF_DIR)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF_DIR)
+    key = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    ours = sorted(map(tuple, first.select(key).collect()))
+    assert ours == sorted(map(tuple, docs.select(key).collect())) and ours
+
+
+@pytest.mark.parametrize("make", [odd_documents, no_documents])
+def test_odd_and_empty_tables(spark, tmp_path, make):
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    folder = write_tables(tmp_path, documents=make(spark), labels=labels)
+    result = corpus_pipeline.run(spark, folder)
+    assert "ids" in result.columns
+    assert result.count() >= 0

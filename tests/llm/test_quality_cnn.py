@@ -1,0 +1,141 @@
+"""Learning, scoring, and what must not matter."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+from tables import no_documents, odd_documents, odd_texts, plain_rows
+
+from tallygate.llm import quality_cnn as cnn
+
+SMALL = cnn.Training(texts=400, epochs=8, filters=16)
+
+
+def made_texts(count: int) -> tuple[list[bytes], list[int]]:
+    rng = np.random.default_rng(4)
+    words = ["the", "river", "of", "stone", "and", "light", "under", "a", "wide", "sky"]
+    texts, labels = [], []
+    for i in range(count):
+        picked = rng.choice(words, rng.integers(20, 300))
+        label = int(i % 4 != 0)
+        texts.append(" ".join(w if label else w.upper() + "!!" for w in picked).encode())
+        labels.append(label)
+    return texts, labels
+
+
+@pytest.fixture(scope="module")
+def network():
+    return cnn.train(*made_texts(300), SMALL)
+
+
+def test_learns_and_repeats_itself(network):
+    texts, labels = made_texts(300)
+    right = [(network.score(t) >= 0.5) == bool(y) for t, y in zip(texts, labels)]
+    assert np.mean(right) > 0.98
+    again = cnn.train(texts, labels, SMALL)
+    assert (again.kernel == network.kernel).all() and again.offset == network.offset
+
+
+def test_gradients_are_those_of_the_loss():
+    texts, labels = made_texts(12)
+    texts = [t[:700] for t in texts]
+    rng = np.random.default_rng(0)
+    params = {
+        "embedding": rng.normal(0, 0.5, (257, 4)),
+        "kernel": rng.normal(0, 0.3, (cnn.WIDTH * 4, 5)),
+        "bias": rng.normal(0, 0.1, 5),
+        "output": rng.normal(0, 0.5, 10),
+        "offset": np.array([0.1]),
+    }
+    params["embedding"][256] = 0
+    wanted = np.array(labels, float)
+
+    def loss():
+        scores = np.array([cnn._network(params).score(t) for t in texts])
+        return -np.mean(wanted * np.log(scores) + (1 - wanted) * np.log(1 - scores))
+
+    gradients = cnn._gradients(params, texts, wanted)
+    for name, spot in (("kernel", (3, 2)), ("bias", (1,)), ("output", (7,)), ("offset", (0,)),
+                       ("embedding", (ord("e"), 1))):
+        before = params[name][spot]
+        params[name][spot] = before + 1e-4
+        up = loss()
+        params[name][spot] = before - 1e-4
+        down = loss()
+        params[name][spot] = before
+        assert gradients[name][spot] == pytest.approx((up - down) / 2e-4, rel=0.05, abs=1e-4)
+
+
+def test_every_byte_counts(network, monkeypatch):
+    clean = made_texts(2)[0][1]
+    for length in (0, 1, 3, 255, 256, 257, 511, 513, 5000):
+        text = (clean * 40)[:length]
+        padded = network.chunk_maxima(text)
+        assert np.isfinite(padded).all() and len(padded) >= 1
+    text = (clean * 400)[:300_000]
+    whole = network.score(text)
+    monkeypatch.setattr(cnn, "BLOCK", 2 * cnn.HOP * cnn.STRIDE)
+    assert network.score(text) == pytest.approx(whole, rel=1e-5)
+    junk = text[:-2000] + b"ZZ!!" * 500
+    assert network.score(junk) != pytest.approx(whole, rel=1e-6)
+
+
+def test_one_label_only():
+    texts, _ = made_texts(10)
+    assert cnn.train(texts, [1] * 10, SMALL).score(b"x") > 0.99
+    assert cnn.train([], [], SMALL).score(b"") == pytest.approx(0.5)
+
+
+def test_held_out(spark):
+    ids = [0, 1, 2, 17, -5, 10**12, None]
+    rows = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
+    found = {r.doc_id: r.h for r in rows.select("doc_id", cnn.held_out().alias("h")).collect()}
+    assert found == {
+        i: i is not None and zlib.crc32(str(i).encode()) % 3 == 1 for i in ids
+    }
+
+
+def test_spark_learns_from_its_fold_only(spark):
+    texts, labels = made_texts(300)
+    docs = spark.createDataFrame(
+        [(i, t.decode()) for i, t in enumerate(texts)], "doc_id bigint, text string"
+    )
+    held = {i for i in range(300) if zlib.crc32(str(i).encode()) % 3 == 1}
+    rows = [(i, y, 0) for i, y in enumerate(labels)]
+    wrong = [(i, 1 - y if i in held else y, 0) for i, y in enumerate(labels)]
+    wrong += [(None, 0, 0), (5, None, 0)]
+    schema = "doc_id bigint, quality int, toxic int"
+    first = cnn.learn(docs, spark.createDataFrame(rows, schema), SMALL)
+    second = cnn.learn(docs.repartition(7), spark.createDataFrame(wrong, schema), SMALL)
+    assert (first.kernel == second.kernel).all()
+
+
+def test_odd_documents(spark, network):
+    docs = odd_documents(spark)
+    scores = {(r.doc_id, r.score) for r in cnn.scored(docs, network).collect()}
+    assert all(0 <= s <= 1 for _, s in scores)
+    texts = odd_texts()
+    wanted = network.score(texts[12].encode())
+    assert any(i == 12 and s == pytest.approx(wanted) for i, s in scores)
+    kept = cnn.keep_good(docs, network)
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(r.score >= 0.5 for r in cnn.scored(docs, network).collect())
+
+
+def test_no_documents(spark, network):
+    assert plain_rows(cnn.scored(no_documents(spark), network)) == []
+
+
+def test_held_out_accuracy(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    network = cnn.learn(docs, labels)
+    unseen = docs.join(labels.where(cnn.held_out()), "doc_id").cache()
+    truth = {r.doc_id: r.quality for r in unseen.select("doc_id", "quality").collect()}
+    scores = {r.doc_id: r.score for r in cnn.scored(unseen, network).collect()}
+    assert np.mean([(scores[i] >= 0.5) == (y == 1) for i, y in truth.items()]) > 0.96
+    lost = [i for i, y in truth.items() if y == 1 and scores[i] < 0.5]
+    assert len(lost) < 0.01 * len(truth)
