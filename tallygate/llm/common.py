@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallygate import session
+
+#: Rows of a few numbers or short texts that are sent to every executor, some 20 MB.
+BROADCAST_ROWS = 250_000
+
 # --- Fixed values: the contract's word, in Java's notation -----------------
 WORD = r"[^\x20\x09-\x0D]+"
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -21,24 +26,31 @@ def lower_ascii(text: Column) -> Column:
 
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, stored in the cluster's shared folder, without their lineage."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_base(df.sparkSession))
+    shared_base(df.sparkSession)
     return df.checkpoint()
 
 
 def shared_base(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where a local session (a test) has none."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    base = tempfile.mkdtemp(prefix="tallygate-llm-")
-    spark.conf.set("spark.checkpoint.dir", base)
+    """The cluster's shared folder. Where a local session (a test) has none, it is given one."""
+    context = spark.sparkContext
+    base = session.shared_base(spark)
+    if base is None:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="tallygate-llm-")
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(base)
     return base
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of ``rows`` narrow rows, to be broadcast in a join if that is few enough.
+
+    Beyond the bound the join is left to Spark, which shuffles both sides.
+    """
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def ranked(df: DataFrame, order: list[Column], group: str | None = None) -> DataFrame:
     """``df`` with ``rank``: 1, 2, ... in ``order``, within ``group`` if one is named.
 

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallygate.llm.common import cut, ranked
+from tallygate.llm.common import cut, ranked, small
 
 # --- Fixed values: very common words that anchor signatures ---------------------
 ANCHORS = (
@@ -103,19 +103,20 @@ def with_next(docs: DataFrame) -> DataFrame:
     the added documents more; null ids are one block.)
     """
     narrow = docs.select(
-        F.floor(F.col("doc_id") / BLOCK).alias("block"),
+        F.expr(f"doc_id div {BLOCK}").alias("block"),
         "doc_id",
         F.coalesce("text", F.lit("")).alias("text"),
     )
     heads = narrow.groupBy("block").agg(F.max("doc_id").alias("head"))
     blocks = cut(ranked(heads, [F.col("block").desc_nulls_last()]))
-    count = F.lit(max(1, blocks.count()))
+    known = blocks.count()
+    count = F.lit(max(1, known))
     followers = (
         blocks.select(F.col("block").alias("to_block"), (F.col("rank") % count + 1).alias("rank"))
         .join(blocks.select("rank", "head"), "rank")
         .select("to_block", "head")
     )
-    added = narrow.join(followers, F.col("doc_id").eqNullSafe(F.col("head"))).select(
+    added = narrow.join(small(followers, known), F.col("doc_id").eqNullSafe(F.col("head"))).select(
         F.col("to_block").alias("block"), "doc_id", "text", F.lit(True).alias("added")
     )
     order = Window.partitionBy("block").orderBy(
