@@ -29,7 +29,8 @@ def brute(text: str | None) -> dict[str, int]:
 
 
 def test_measures(spark):
-    texts = odd_texts() + ["a b c a b c", "a a a", "a a a a", "a b a b a", "x\n\nx\n \nx", "a\x0bb\x1cc"]
+    texts = odd_texts() + ["a b c a b c", "a a a", "a a a a", "a b a b a"]
+    texts += ["x\n\nx\n \nx", "a\x0bb\x1cc"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     for row in rules.verdicts(docs).collect():
         wanted = brute(texts[row.doc_id])
