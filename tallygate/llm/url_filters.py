@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.llm.common import lower_ascii
+from tallygate.llm.common import lower_ascii, small
 
 #: Bits of filter for each listed URL; about one in a thousand others then passes.
 BITS_PER_URL = 16
@@ -146,7 +146,7 @@ def judged(
         all_set &= F.col(f"lane{lane}").bitwiseAND(mask) == mask
     probed = (
         parts.select("*", block.alias("block"), *_masks(key))
-        .join(bloom_filter(listed, blocks), "block", "left")
+        .join(small(bloom_filter(listed, blocks), blocks), "block", "left")
         .select(*parts.columns,
                 F.coalesce(all_set & key.isNotNull(), F.lit(False)).alias("possible"))
     )
