@@ -73,72 +73,100 @@ class Encoder:
         for piece in pieces:
             self.automaton.add_word(piece, len(piece))
         self.automaton.make_automaton()
-        self.digits = [b"%d" % i for i in range(len(vocabulary.names))]
         self.spelled = [name.replace(SPACE, " ").encode() for name in vocabulary.names]
         for value, i in enumerate(vocabulary.byte_ids):
             self.spelled[i] = bytes([value])
         for i in vocabulary.hidden:
             self.spelled[i] = b""
         self.spelled[vocabulary.unknown] = " ⁇ ".encode()
-        self.segments = re.compile(self._segment_pattern()).findall
+        self.entries = {piece: self._entry([i]) for piece, (i, _) in pieces.items()}
+        self._find_cuts()
 
-    def _segment_pattern(self) -> str:
-        """Cuts a text where no piece can lie across the cut.
+    def _find_cuts(self) -> None:
+        """Where a text can be cut because no piece lies across.
 
         Neighbouring characters that no piece contains are never merged. Where the
         vocabulary allows it, cuts are made before spaces, around line ends, and between
-        punctuation and anything else but a space before it.
+        ASCII punctuation and anything but a space before it. Texts with one of the few
+        characters that some piece joins to such a sign are only cut at spaces and lines.
         """
         joined = {p[i : i + 2] for p in self.vocabulary.pieces for i in range(len(p) - 1)}
-        if any(SPACE in pair[1] and pair[0] != SPACE for pair in joined):
-            return "(?s:.+)"
-        line = "\n" if not any("\n" in pair for pair in joined) else ""
-        marks = set(string.punctuation)
-        while mixed := {
-            c for a, b in joined if SPACE not in a + b and (a in marks) != (b in marks)
-            for c in (a, b) if c in marks
-        }:
-            marks -= mixed
-        marked = re.escape("".join(sorted(marks)))
-        word = f"{SPACE}*[^{SPACE}{line}{marked}]+"
-        signs = f"{SPACE}*[{marked}]+|" if marks else ""
-        lines = f"{line}+|" if line else ""
-        return f"{word}|{signs}{lines}{SPACE}+"
+        if any(b == SPACE and a != SPACE for a, b in joined):
+            self.segments = self.coarse = re.compile("(?s:.+)").findall
+            self.bridged = re.compile("(?!)").search
+            return
+        signs = set(string.punctuation)
+        bridges = {
+            c
+            for a, b in joined
+            if SPACE not in a + b and (a in signs) != (b in signs)
+            for c in (a, b)
+            if c not in signs
+        }
+        line = "" if any("\n" in pair for pair in joined) else "\n"
+        lines, marked = f"{line}+|" if line else "", re.escape(string.punctuation)
+        self.coarse = re.compile(f" *[^ {line}]+|{lines} +").findall
+        word, run = f" *[^ {line}{marked}]+", f" *[{marked}]+"
+        self.segments = re.compile(f"{word}|{run}|{lines} +").findall
+        bridging = f"[{re.escape(''.join(sorted(bridges)))}]" if bridges else "(?!)"
+        self.bridged = re.compile(bridging).search
 
     # --- Encoding -----------------------------------------------------------
 
     def split(self, text: str) -> list[str]:
-        """Segments that can be encoded one by one; together they are the text as marked."""
-        return self.segments(SPACE + text.replace(" ", SPACE)) if text else []
+        """Segments that can be encoded one by one; together a space and the text.
+
+        Spaces stand for the mark that takes their place, which itself counts as a space.
+        """
+        if not text:
+            return []
+        find = self.coarse if self.bridged(text) else self.segments
+        return find(" " + (text.replace(SPACE, " ") if SPACE in text else text))
 
     def look_up(self, segment: str) -> tuple[bytes, int, bytes]:
         """Ids as text, their number, and the decoded bytes of one segment."""
         found = self.known.get(segment)
         if found is None:
-            ids = self._ids(segment)
-            found = (
-                b",".join([self.digits[i] for i in ids]),
-                len(ids),
-                b"".join([self.spelled[i] for i in ids]),
-            )
+            entries = self.entries
+            pieces = self.pieces_of(segment.replace(" ", SPACE))
+            own = [entries.get(piece) or self._spelled_out(piece) for piece in pieces]
+            if len(own) == 1:
+                found = own[0]
+            else:
+                digits, counts, spelled = zip(*own)
+                found = (b",".join(digits), sum(counts), b"".join(spelled))
             if len(segment) < 200:
                 if len(self.known) > REMEMBERED:
                     self.known.clear()
                 self.known[segment] = found
         return found
 
-    def _ids(self, segment: str) -> list[int]:
-        pieces, byte_ids, ids = self.vocabulary.pieces, self.vocabulary.byte_ids, []
-        for piece in self.pieces_of(segment):
-            entry = pieces.get(piece)
-            if entry:
-                ids.append(entry[0])
-            else:  # a character without a piece
-                ids.extend([byte_ids[b] for b in piece.encode()])
-        return ids
+    def _entry(self, ids: list[int]) -> tuple[bytes, int, bytes]:
+        return (
+            b",".join([b"%d" % i for i in ids]),
+            len(ids),
+            b"".join([self.spelled[i] for i in ids]),
+        )
+
+    def _spelled_out(self, character: str) -> tuple[bytes, int, bytes]:
+        """A character without a piece: a byte piece for each of its bytes."""
+        return self._entry([self.vocabulary.byte_ids[b] for b in character.encode()])
 
     def pieces_of(self, text: str) -> list[str]:
-        """The split of ``text`` into pieces (and single characters that have none)."""
+        """The split of ``text`` into pieces (and single characters that have none).
+
+        The longest matches one after another, if they go together, else backtracking.
+        """
+        taken, at, before = [], 0, None
+        for last, length in self.automaton.iter_long(text):
+            piece = text[at : last + 1]
+            if len(piece) != length or not (before is None or self.go(before, piece)):
+                return self._backtrack(text)
+            taken.append(piece)
+            at, before = last + 1, piece
+        return taken if at == len(text) else self._backtrack(text)
+
+    def _backtrack(self, text: str) -> list[str]:
         size, go_on = len(text), self.go
         lengths_at: list[list[int]] = [[] for _ in text]  # of pieces that match there, growing
         for last, length in self.automaton.iter(text):
