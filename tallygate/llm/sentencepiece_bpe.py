@@ -15,7 +15,6 @@ with the tasks. Nothing else of the library is used for encoding or decoding.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 import string
 from collections.abc import Iterator
@@ -29,6 +28,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 #: Segments and pairs remembered by one task before its memory is emptied.
 REMEMBERED = 400_000
+NEVER = float("-inf")
 
 
 @dataclass(frozen=True)
@@ -79,6 +79,13 @@ class Encoder:
         for i in vocabulary.hidden:
             self.spelled[i] = b""
         self.spelled[vocabulary.unknown] = " ⁇ ".encode()
+        self.scores = {piece: score for piece, (_, score) in pieces.items()}
+        # All pieces that match at a place are beginnings of the longest one there.
+        self.shorter = {
+            piece: next((piece[:n] for n in range(len(piece) - 1, 0, -1) if piece[:n] in pieces),
+                        piece[0] if len(piece) > 1 else None)
+            for piece in pieces
+        }
         self.entries = {piece: self._entry([i]) for piece, (i, _) in pieces.items()}
         self._find_cuts()
 
@@ -152,47 +159,38 @@ class Encoder:
         """A character without a piece: a byte piece for each of its bytes."""
         return self._entry([self.vocabulary.byte_ids[b] for b in character.encode()])
 
-    def pieces_of(self, text: str) -> list[str]:
-        """The split of ``text`` into pieces (and single characters that have none).
+    def longest(self, text: str, at: int) -> str:
+        """The longest piece that matches at a position, or the character there."""
+        for last, length in self.automaton.iter_long(text, at):
+            if last - length + 1 == at:
+                return text[at : last + 1]
+            break
+        return text[at]
 
-        The longest matches one after another, if they go together, else backtracking.
-        """
-        taken, at, before = [], 0, None
-        for last, length in self.automaton.iter_long(text):
-            piece = text[at : last + 1]
-            if len(piece) != length or not (before is None or self.go(before, piece)):
-                return self._backtrack(text)
-            taken.append(piece)
-            at, before = last + 1, piece
-        return taken if at == len(text) else self._backtrack(text)
-
-    def _backtrack(self, text: str) -> list[str]:
-        size, go_on = len(text), self.go
-        lengths_at: list[list[int]] = [[] for _ in text]  # of pieces that match there, growing
-        for last, length in self.automaton.iter(text):
-            lengths_at[last - length + 1].append(length)
+    def pieces_of(self, text: str) -> list[str]:
+        """The split of ``text`` into pieces (and single characters that have none)."""
+        size, go_on, shorter = len(text), self.go, self.shorter
         failed = bytearray(size + 1)  # positions from which no split goes on
         taken: list[str] = []
-        tries: list[int] = []  # which of the lengths at its start each taken piece has
-        at, trying, before = 0, -1, None
+        at, before = 0, None
+        piece: str | None = self.longest(text, 0) if text else None
         while at < size:
-            lengths = lengths_at[at] or (1,)
-            choice = len(lengths) + trying if trying < 0 else trying - 1
-            while choice >= 0:
-                end = at + lengths[choice]
-                piece = text[at:end]
-                if not failed[end] and (before is None or go_on(before, piece)):
-                    break
-                choice -= 1
-            if choice >= 0:
+            while piece and (
+                failed[at + len(piece)] or before is not None and not go_on(before, piece)
+            ):
+                piece = shorter.get(piece)
+            if piece:
                 taken.append(piece)
-                tries.append(choice)
-                at, trying, before = end, -1, piece
+                at += len(piece)
+                before = piece
+                if at < size:
+                    piece = self.longest(text, at)
             elif taken:
                 failed[at] = 1
-                at -= len(taken.pop())
-                trying = tries.pop()
+                last = taken.pop()
+                at -= len(last)
                 before = taken[-1] if taken else None
+                piece = shorter.get(last)
             else:
                 raise ValueError("no split; the vocabulary is not of the merge type")
         return taken
@@ -203,39 +201,26 @@ class Encoder:
         if found is None:
             if len(self.pairs) > REMEMBERED:
                 self.pairs.clear()
-            found = self.merge(left + right) == [left, right]
-            self.pairs[left, right] = found
+            found = self.pairs[left, right] = self._stay_apart(left, right)
         return found
 
-    def merge(self, text: str) -> list[str]:
-        """Merging as defined: best score first, then leftmost. For short texts."""
-        pieces, parts = self.vocabulary.pieces, list(text)
-        after = [*range(1, len(parts)), -1]
-        before = [*range(-1, len(parts) - 1)]
-        queue: list = []
-
-        def offer(left: int, right: int) -> None:
-            entry = pieces.get(parts[left] + parts[right])
-            if entry:
-                heapq.heappush(queue, (-entry[1], left, right, len(parts[left] + parts[right])))
-
-        for i in range(len(parts) - 1):
-            offer(i, i + 1)
-        while queue:
-            _, left, right, length = heapq.heappop(queue)
-            if not parts[left] or not parts[right] or after[left] != right:
-                continue
-            if len(parts[left]) + len(parts[right]) != length:
-                continue
-            parts[left] += parts[right]
-            parts[right] = ""
-            after[left] = after[right]
-            if after[left] >= 0:
-                before[after[left]] = left
-                offer(left, after[left])
-            if before[left] >= 0:
-                offer(before[left], left)
-        return [p for p in parts if p]
+    def _stay_apart(self, left: str, right: str) -> bool:
+        """Merge both from their characters, best score first, then leftmost: do they come
+        out as two, without a merge across their border?"""
+        parts, border, score = [*left, *right], len(left), self.scores.get
+        joins = [score(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while joins and (best := max(joins)) > NEVER:
+            at = joins.index(best)
+            if at == border - 1:
+                return False
+            border -= at < border - 1
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del joins[at]
+            if at:
+                joins[at - 1] = score(parts[at - 1] + parts[at], NEVER)
+            if at < len(joins):
+                joins[at] = score(parts[at] + parts[at + 1], NEVER)
+        return len(parts) == 2
 
     def encode(self, text: str) -> list[int]:
         ids = b",".join([self.look_up(s)[0] for s in self.split(text)])

@@ -59,7 +59,6 @@ def test_whole_segments_without_cuts(encoder, library):
         assert b",".join(
             [(encoder.entries.get(p) or encoder._spelled_out(p))[0] for p in pieces]
         ) == ",".join(map(str, library.encode(text))).encode()
-        assert encoder._backtrack(marked) == pieces
 
 
 def test_documents(spark, library):
