@@ -66,6 +66,8 @@ def build_gold(
     silver: DataFrame, path: str, amounts: str = "decimal", date_basis: str = "written"
 ) -> None:
     """Replace the Gold table with the daily metrics of all of Silver."""
+    if _kept_up_to_date(silver.sparkSession, path):
+        raise ValueError(f"{path} is kept up to date from sums; build Gold in another place")
     tables.overwrite_table(gold.daily_metrics(silver, date_basis, amounts), path)
 
 
@@ -103,6 +105,8 @@ def publish_gold(
     spark: SparkSession, partials_path: str, gold_path: str, days: list[datetime.date | None]
 ) -> None:
     """Replace these event days in Gold by what the sums of all slices add up to."""
+    if tables.exists(spark, gold_path) and not _kept_up_to_date(spark, gold_path):
+        raise ValueError(f"{gold_path} was built whole; its rows are not in the sums")
     of_days = F.col("event_date").isin([d for d in days if d is not None])
     if None in days:
         of_days = of_days | F.col("event_date").isNull()
@@ -111,6 +115,11 @@ def publish_gold(
     tables.replace_partitions(spark, merged, gold_path, "day", days)
 
 
+def _kept_up_to_date(spark: SparkSession, path: str) -> bool:
+    """Whether a Gold table is one of ``publish_gold``, which has a partition for each day."""
+    return tables.exists(spark, path) and "day" in tables.read_table(spark, path).columns
+
+
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return tables.read_table(spark, path).select(*gold.GOLD_COLUMNS)
 

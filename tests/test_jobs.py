@@ -121,6 +121,14 @@ def test_gold_kept_up_to_date_equals_gold_built_anew(spark, tmp_path):
     check()
     jobs.update_gold(spark, layers, [], partials, gold_path)
     check()
+    # The two ways to make Gold do not share a place.
+    silver = jobs.read_layer(spark, layers, "silver")
+    with pytest.raises(ValueError, match="another place"):
+        jobs.build_gold(silver, gold_path)
+    whole = str(tmp_path / "whole")
+    jobs.build_gold(silver, whole)
+    with pytest.raises(ValueError, match="built whole"):
+        jobs.update_gold(spark, layers, [one], partials, whole)
 
 
 def test_first_delivery_with_one_event_sent_most_often(spark):
