@@ -34,11 +34,17 @@ def shared_base(spark: SparkSession) -> str | None:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder every executor can reach, under the cluster's checkpoint folder.
+    """A place for an intermediate table that every executor can reach; nothing is there yet.
 
-    There must be one: a folder on one machine would be lost with it.
+    It lies under the cluster's checkpoint folder, which must be set: a folder on one machine
+    would be lost with it. What is written there is deleted when the session's JVM ends.
     """
     base = shared_base(spark)
     if not base:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{base}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{base}/{purpose}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return f"{folder}/data"

@@ -353,6 +353,24 @@ def test_shared_folder_is_under_the_checkpoint_folder(spark):
     first, second = (shared_folder(spark, "x") for _ in range(2))
     assert first.startswith(f"{base}/x-")
     assert first != second
+    assert not tables.exists(spark, first)
+
+
+def test_intermediate_folders_go_away_with_the_session(tmp_path):
+    import subprocess
+    import sys
+
+    program = f"""
+from pyspark.sql import SparkSession
+from tallygate.session import shared_folder
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+path = shared_folder(spark, "left")
+spark.range(3).write.parquet(path)
+assert spark.read.parquet(path).count() == 3
+"""
+    subprocess.run([sys.executable, "-c", program], check=True, timeout=120)
+    assert not list(tmp_path.glob("left-*"))
 
 
 def test_without_a_shared_folder_there_is_an_error():
