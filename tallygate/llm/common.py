@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -82,8 +81,14 @@ def ranked(df: DataFrame, order: list[Column], group: str | None = None) -> Data
     )
 
 
+def shared_place(spark: SparkSession, purpose: str) -> str:
+    """A place in the shared folder where nothing is yet; it goes away with the session."""
+    shared_base(spark)
+    return session.shared_folder(spark, purpose)
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to a new place in the shared folder, and read again."""
-    path = f"{shared_base(df.sparkSession)}/{name.replace(' ', '-')}-{uuid.uuid4().hex}"
+    path = shared_place(df.sparkSession, name.replace(" ", "-"))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.llm.common import shared_base, shared_table
+from tallygate.llm.common import shared_place, shared_table
 
 #: Payloads of fewer bytes are never replaced by a reference to an equal one.
 LEAST_REVISITED = 0
@@ -236,7 +236,7 @@ def _fields(data: bytes) -> tuple:
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives, and what reading them back finds."""
-    folder = f"{shared_base(spark)}/warc-{uuid.uuid4().hex}"
+    folder = shared_place(spark, "warc")
     index = write(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
     return read(index, folder).drop("url")
 
