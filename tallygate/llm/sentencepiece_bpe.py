@@ -21,14 +21,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Segments and pairs remembered by one task before its memory is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+#: Tokens of one batch of results; a longer text is a batch of its own.
+BATCH_TOKENS = 500_000
 NEVER = float("-inf")
+NO_IDS = np.zeros(0, np.int32)
 
 
 @dataclass(frozen=True)
@@ -250,25 +254,11 @@ def tokens(
     def batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for rows in batches:
-            counts, id_digests, text_digests, ids = [], [], [], []
-            for text in rows.column(1):
-                found = [encoder.look_up(s) for s in encoder.split(text.as_py() or "")]
-                joined = b",".join([f[0] for f in found])
-                decoded = b"".join([f[2] for f in found]).removeprefix(b" ")
-                counts.append(sum([f[1] for f in found]))
-                id_digests.append(hashlib.sha256(joined).hexdigest())
-                text_digests.append(hashlib.sha256(decoded).hexdigest())
-                if with_ids:
-                    ids.append([int(i) for i in joined.split(b",")] if joined else [])
-            columns = {
-                "doc_id": rows.column(0),
-                "n_tokens": pa.array(counts, pa.int64()),
-                "ids_sha256": pa.array(id_digests, pa.string()),
-                "decoded_sha256": pa.array(text_digests, pa.string()),
-            }
-            if with_ids:
-                columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            start = 0
+            while start < rows.num_rows:
+                done = _some_rows(encoder, rows.slice(start), with_ids)
+                yield done
+                start += done.num_rows
 
     kind = docs.schema[id_column].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -276,6 +266,35 @@ def tokens(
     return narrow.mapInArrow(batch, schema + (", ids array<int>" if with_ids else ""))
 
 
+def _some_rows(encoder: Encoder, rows: pa.RecordBatch, with_ids: bool) -> pa.RecordBatch:
+    """The first rows of a batch, up to ``BATCH_TOKENS`` of them: bounds what is held at once."""
+    counts, id_digests, text_digests, ids = [], [], [], []
+    held = 0
+    for text in rows.column(1):
+        found = [encoder.look_up(s) for s in encoder.split(text.as_py() or "")]
+        joined = b",".join([f[0] for f in found])
+        decoded = b"".join([f[2] for f in found]).removeprefix(b" ")
+        counts.append(sum([f[1] for f in found]))
+        id_digests.append(hashlib.sha256(joined).hexdigest())
+        text_digests.append(hashlib.sha256(decoded).hexdigest())
+        if with_ids:
+            spelled = joined.decode()
+            ids.append(np.fromstring(spelled, np.int32, sep=",") if spelled else NO_IDS)
+        held += counts[-1]
+        if held > BATCH_TOKENS:
+            break
+    columns = {
+        "doc_id": rows.column(0).slice(0, len(counts)),
+        "n_tokens": pa.array(counts, pa.int64()),
+        "ids_sha256": pa.array(id_digests, pa.string()),
+        "decoded_sha256": pa.array(text_digests, pa.string()),
+    }
+    if with_ids:
+        ends = np.cumsum([0, *counts], dtype=np.int32)
+        columns["ids"] = pa.ListArray.from_arrays(ends, np.concatenate(ids))
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
 def default_model() -> str:
     """Where the public vocabulary lies that the queries use."""
     import public_tokenizers
