@@ -26,7 +26,7 @@ from itertools import product
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallygate.functions.event_model import CONTRACT, EVENT_FIELDS, EVENT_SCHEMA, FieldRule
+from tallygate.functions.event_model import CONTRACT, EVENT_FIELDS, FieldRule
 
 # --- Reason codes: two whole codes, and the families that name a field -----
 MALFORMED = "MALFORMED_JSON"
@@ -116,39 +116,28 @@ def plain_signatures() -> list[str]:
 def is_plain(conditional: bool = False) -> Column:
     """True for a message that plainly keeps every rule; false or null if it needs a look.
 
-    Needs ``raw_value`` and ``doc``.
+    Needs ``raw_value``, ``doc`` and the flattened event columns, which hold the document's
+    own values once the schema text matches. Only a whole number beyond 32 bits is null
+    there, and is then taken from the document.
     """
     checks = [f"schema_of_variant(doc) IN ({_quoted(plain_signatures())})", NOTHING_FOLLOWS]
     for rule in CONTRACT:
-        value = _get(rule.name, "string" if rule.kind == "string" else "double")
+        value = rule.name
+        if rule.kind == "integer":
+            value = f"coalesce({rule.name}, {_get(rule.name, 'bigint')})"
         for holds in _value_rules(rule, value).values():
             checks.append(f"coalesce({holds}, true)" if rule.nullable else holds)
     if conditional:
-        given = _get("failure_reason", "string")
-        checks.append(f"({_get('status', 'string')} = 'failed') = ({given} IS NOT NULL)")
+        checks.append("(status = 'failed') = (failure_reason IS NOT NULL)")
     return F.expr(" AND ".join(checks))
 
 
-def event() -> Column:
-    """The event as a struct, whole numbers as bigint; needs ``raw_value``, ``doc``, ``plain``.
-
-    A plain message's fields are already in its document. Only the others are parsed as
-    the lenient gate parses them, to show in Quarantine what could be read.
-    """
-    types = {"string": "string", "integer": "bigint"}
-    plain = ", ".join(f"'{r.name}', {_get(r.name, types[r.kind])}" for r in CONTRACT)
-    parsed = ", ".join(
-        f"'{r.name}', cast(e.{r.name} AS {types[r.kind]})" for r in CONTRACT
-    )
-    return F.expr(f"""CASE WHEN plain THEN named_struct({plain})
-        ELSE transform(array(from_json(raw_value, '{EVENT_SCHEMA.simpleString()[7:-1]
-        .replace(":", " ")}')), e -> named_struct({parsed}))[0] END""")
-
-
 def whole_numbers() -> dict[str, Column]:
     """The integer fields by value, however spelled (95.0, 9e1): for messages that passed."""
     return {
-        rule.name: F.expr(_get(rule.name, "bigint")) for rule in CONTRACT if rule.kind == "integer"
+        rule.name: F.expr(f"coalesce({rule.name}, {_get(rule.name, 'bigint')})")
+        for rule in CONTRACT
+        if rule.kind == "integer"
     }
 
 

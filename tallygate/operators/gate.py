@@ -43,26 +43,21 @@ def parse(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("parsed", F.from_json("raw_value", EVENT_SCHEMA))
 
 
-def carried(bronze: DataFrame, **also: Column) -> DataFrame:
-    """Bronze's columns that go on. ``also`` names further columns to compute from Bronze.
+def flatten(bronze: DataFrame, **also: Column) -> DataFrame:
+    """Message columns and the 15 event fields side by side, parsed once.
 
-    Bronze's ``ingested_at`` becomes ``bronze_ingested_at``: the event has its own.
+    Bronze's ``ingested_at`` becomes ``bronze_ingested_at``: the event has its own. Whole
+    numbers are read as 32-bit ones, and kept as bigint, as both gates show them. ``also``
+    names further columns to compute from Bronze.
     """
-    return bronze.select(
+    carried = bronze.select(
         "raw_value",
         *POSITION,
         "kafka_timestamp",
         F.col("ingested_at").alias("bronze_ingested_at"),
         *[column.alias(name) for name, column in also.items()],
     )
-
-
-def flatten(bronze: DataFrame) -> DataFrame:
-    """Message columns and the 15 event fields side by side, parsed once.
-
-    Whole numbers are read as 32-bit ones, and kept as bigint, as both gates show them.
-    """
-    rows = evaluate_once(carried(bronze), F.from_json("raw_value", EVENT_SCHEMA))
+    rows = evaluate_once(carried, F.from_json("raw_value", EVENT_SCHEMA))
     return rows.withColumns({name: F.col(name).cast("bigint") for name in WHOLE_NUMBERS})
 
 
@@ -89,11 +84,14 @@ def strict_gate(bronze: DataFrame, conditional: bool = False) -> DataFrame:
     ``conditional`` also asks for a failure reason exactly when the status is
     failed; the contract states that only in words, so it is off by default.
     """
-    documents = carried(bronze, doc=contract.document())
-    sorted_out = documents.withColumn("plain", contract.is_plain(conditional))
-    read = evaluate_once(
-        sorted_out.withColumn("kinds", contract.kinds()), contract.event()
-    ).withColumns({"broken": contract.broken_rules(conditional), "extra": contract.extra_keys()})
+    read = (
+        flatten(bronze, doc=contract.document())
+        .withColumn("plain", contract.is_plain(conditional))
+        .withColumn("kinds", contract.kinds())
+        .withColumns(
+            {"broken": contract.broken_rules(conditional), "extra": contract.extra_keys()}
+        )
+    )
     judged = evaluate_once(read, F.struct(contract.reasons().alias("reasons")))
     bad = F.size("reasons") > 0
     exact = {
