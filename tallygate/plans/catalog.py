@@ -215,6 +215,17 @@ def silver_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def audit_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When each row was loaded or set aside; exactly one of the two."""
+    judged = gate.labelled(_lenient(spark, sf_dir), _load_time())
+    return judged.select(
+        "offset",
+        "layer",
+        F.unix_micros("silver_loaded_at").alias("loaded_micros"),
+        F.unix_micros("quarantined_at").alias("quarantined_micros"),
+    )
+
+
 def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     lifecycle_type = lookup(F.col("event_type"), fixture.LIFECYCLE_OF_EVENT)
     return (
@@ -571,6 +582,7 @@ QUERIES: dict[str, Query] = {
     "contract_extra_keys": _contract_rule(contract.EXTRA),
     "contract_conditional": _contract_rule(contract.COND, conditional=True),
     "silver_typed": silver_typed,
+    "audit_stamps": audit_stamps,
     "lifecycle_status": lifecycle,
     "gold_daily_metrics": gold_daily_metrics,
     "gold_daily_metrics_double": gold_daily_metrics_double,

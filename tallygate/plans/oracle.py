@@ -494,6 +494,14 @@ SELECT reason, count(*) AS row_count FROM broken GROUP BY reason""",
     "silver_typed": f"""{_LENIENT}
 SELECT "offset", CAST(amount_num AS DOUBLE) AS amount_num,
   epoch_us(event_time_ts) AS event_time_micros, event_date FROM silver""",
+    "audit_stamps": f"""{_LENIENT},
+stamps AS (
+  SELECT "offset", is_bad,
+    epoch_us(bronze_ingested_at + to_seconds(90 + "offset" % 30)) AS stamp FROM flat
+)
+SELECT "offset", CASE WHEN is_bad THEN 'quarantine' ELSE 'silver' END AS layer,
+  CASE WHEN NOT is_bad THEN stamp END AS loaded_micros,
+  CASE WHEN is_bad THEN stamp END AS quarantined_micros FROM stamps""",
     "lifecycle_status": f"""WITH {_EVENTS}
 SELECT event_id, lifecycle_type, life_status AS status, life_status = 'failed' AS is_failure
 FROM ev""",
