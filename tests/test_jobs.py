@@ -359,6 +359,7 @@ def test_shared_folder_is_under_the_checkpoint_folder(spark):
 def test_intermediate_folders_go_away_with_the_session(tmp_path):
     import subprocess
     import sys
+    import time
 
     program = f"""
 from pyspark.sql import SparkSession
@@ -370,6 +371,10 @@ spark.range(3).write.parquet(path)
 assert spark.read.parquet(path).count() == 3
 """
     subprocess.run([sys.executable, "-c", program], check=True, timeout=120)
+    for _ in range(60):  # the JVM ends a little after Python
+        if not list(tmp_path.glob("left-*")):
+            break
+        time.sleep(0.5)
     assert not list(tmp_path.glob("left-*"))
 
 
