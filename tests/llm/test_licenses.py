@@ -110,3 +110,45 @@ def test_documents(spark):
 
 def test_no_documents(spark):
     assert plain_rows(licenses.scanned(no_documents(spark))) == []
+
+
+GRANT = filled(licenses._MIT_GRANT, True, 1)
+AS_IS = filled(licenses._AS_IS, True, 1)
+BSD = licenses._BSD_GRANT + ": 1. " + filled(licenses._BSD_CONDITIONS, True, 0).replace("any", "2.")
+BSD_END = filled(licenses._BSD_DISCLAIMER, True, 2)
+
+
+@pytest.mark.parametrize(
+    "text, wanted, score",
+    [
+        (f"{GRANT}. {AS_IS}.", {"mit"}, 1.0),
+        (f"{GRANT}. The Software shall be used for Good, not Evil. {AS_IS}.", {"json"}, 1.0),
+        (f"{GRANT}. {AS_IS}. Except as contained in this notice, the name of the X Consortium shall"
+         " not be used in advertising or otherwise to promote the sale, use or other dealings in"
+         " this Software without prior written authorization from the X Consortium.", {"x11"}, 1.0),
+        (f"{GRANT}. All use must be reported to us.", {"mit-like"}, 0.5),
+        (f"{BSD} {BSD_END}", {"bsd-2"}, 1.0),
+        (f"{BSD} 3. Neither the name of X nor the names of its contributors may be used to endorse"
+         " or promote products derived from this software without specific prior written"
+         f" permission. {BSD_END}", {"bsd-3"}, 1.0),
+        # As Apache 1.1 and OpenSSL go on.
+        (f"{BSD} 3. The end-user documentation included with the redistribution, if any, must"
+         f" include the following acknowledgment. {BSD_END}", {"bsd-like"}, 0.5),
+        (f"{BSD} 3. All advertising materials mentioning features or use of this software must"
+         " display the following acknowledgment: This product includes software developed by the"
+         " OpenSSL Project. 4. The names OpenSSL Toolkit and OpenSSL Project must not be used to"
+         f" endorse or promote products. {BSD_END}", {"bsd-like"}, 0.5),
+        ("This is free and unencumbered software released into the public domain",
+         {"unlicense-like"}, 0.5),
+        (f"{GRANT}. Under the MIT License", {"mit", "mit-like"}, 1.0),
+    ],
+)
+def test_licenses_count_as_a_whole(scanner, text, wanted, score):
+    scan = scanner.scan(text.encode())
+    assert ({label for label, _, _ in scan.spans}, scan.score) == (wanted, score)
+
+
+def test_license_files(scanner):
+    site = "/usr/share/common-licenses"
+    scan = scanner.scan(open(f"{site}/BSD", "rb").read())
+    assert [label for label, _, _ in scan.spans] == ["bsd-3"]
