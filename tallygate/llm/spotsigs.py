@@ -5,9 +5,11 @@ follow it; other common words in between are stepped over. A text's fingerprint
 its signatures, as sorted 32-bit numbers. The k-th anchor of a text, at word i, has i - k
 content words before it, so its chain is a lookup in the list of content words and no search.
 
-Sets of a and b signatures can be alike by min(a, b) / max(a, b) at most. Sets are put into
-partitions by length such that two that are more than one partition apart can not reach the
-least likeness asked for; only the others are compared. Everything is built-in functions.
+Sets of a and b signatures can be alike by min(a, b) / max(a, b) at most. Where a least
+likeness is asked for, ``likeness`` puts sets into partitions by length such that two that are
+more than one partition apart can not reach it, and compares only the others. ``compared``
+looks at neighbouring documents, whose sets are together anyway, and asks for none: its
+likenesses are exact. Everything is built-in functions.
 """
 
 from __future__ import annotations
@@ -27,10 +29,12 @@ ANCHORS = (
     " el los las y por con para es se su al lo como del"
 )
 CHAIN = 2
-#: Likeness under which two fingerprints need not be told apart from unlike ones.
+#: Likeness to which figures are compared in tests; nothing is cut off at it.
 LEAST = 0.05
 #: Ids that are put in order together: rows of a block are sorted in one task.
 BLOCK = 1024
+#: Blocks of null ids have the numbers from here down; those of ids do not reach so low.
+NULL_BLOCKS = -(1 << 54)
 
 
 def signatures(text: str) -> str:
@@ -80,12 +84,14 @@ def length_partition(length: Column, least: float) -> Column:
     return F.floor(F.log(F.greatest(length, F.lit(1)).cast("double")) / math.log(1 / least))
 
 
-def likeness(one: Column, other: Column, least: float = LEAST) -> Column:
-    """Jaccard likeness of two sets: 1 for two empty ones; 0, uncompared, where their lengths
-    put them more than one partition apart, so that it is under ``least``."""
+def likeness(one: Column, other: Column, least: float | None = None) -> Column:
+    """Jaccard likeness of two sets: 1 for two empty ones. With ``least`` it is 0, uncompared,
+    where their lengths put them more than one partition apart, so that it is under that."""
     a, b = F.size(one), F.size(other)
     both = F.size(F.array_intersect(one, other)).cast("double")
-    apart = F.abs(length_partition(a, least) - length_partition(b, least)) > 1
+    apart = F.lit(False)
+    if least is not None:
+        apart = F.abs(length_partition(a, least) - length_partition(b, least)) > 1
     return (
         F.when((a == 0) & (b == 0), F.lit(1.0))
         .when((a == 0) | (b == 0) | apart, F.lit(0.0))
@@ -99,28 +105,37 @@ def with_next(docs: DataFrame) -> DataFrame:
     After means descending doc_id, null ids last, equal ids by text; the last is followed by
     the first. Documents are sorted in blocks of ids, a task for each. To every block the
     first document of the next lower block that has any is added at the end. Texts are
-    shuffled once, to their block. (Ids far apart make many blocks of few documents, and
-    the added documents more; null ids are one block.)
+    shuffled once, to their block. Null ids are dealt to blocks by a hash of their text, as
+    many as they need, and are in the order of block and hash. (Ids far apart make many blocks
+    of few documents, and the added documents more; copies without an id share a block.)
     """
+    text = F.coalesce("text", F.lit(""))
+    nulls = docs.where("doc_id IS NULL").count()
+    null_block = F.lit(NULL_BLOCKS) - F.pmod(F.xxhash64(text), F.lit(max(1, -(-nulls // BLOCK))))
     narrow = docs.select(
-        F.expr(f"doc_id div {BLOCK}").alias("block"),
+        F.coalesce(F.expr(f"doc_id div {BLOCK}"), null_block).alias("block"),
         "doc_id",
-        F.coalesce("text", F.lit("")).alias("text"),
+        text.alias("text"),
+        F.when(F.col("doc_id").isNull(), F.xxhash64(text)).alias("null_at"),
     )
-    heads = narrow.groupBy("block").agg(F.max("doc_id").alias("head"))
-    blocks = cut(ranked(heads, [F.col("block").desc_nulls_last()]))
+    heads = narrow.groupBy("block").agg(
+        F.max("doc_id").alias("head"), F.min("null_at").alias("head_at")
+    )
+    blocks = cut(ranked(heads, [F.col("block").desc()]))
     known = blocks.count()
     count = F.lit(max(1, known))
     followers = (
         blocks.select(F.col("block").alias("to_block"), (F.col("rank") % count + 1).alias("rank"))
-        .join(blocks.select("rank", "head"), "rank")
-        .select("to_block", "head")
+        .join(blocks.select("rank", "head", "head_at"), "rank")
+        .select("to_block", "head", "head_at")
     )
-    added = narrow.join(small(followers, known), F.col("doc_id").eqNullSafe(F.col("head"))).select(
-        F.col("to_block").alias("block"), "doc_id", "text", F.lit(True).alias("added")
+    first = F.col("doc_id").eqNullSafe(F.col("head"))
+    first &= F.col("null_at").eqNullSafe(F.col("head_at"))
+    added = narrow.join(small(followers, known), first).select(
+        F.col("to_block").alias("block"), "doc_id", "text", "null_at", F.lit(True).alias("added")
     )
     order = Window.partitionBy("block").orderBy(
-        "added", F.col("doc_id").desc_nulls_last(), "text"
+        "added", F.col("doc_id").desc_nulls_last(), "null_at", "text"
     )
     return (
         narrow.withColumn("added", F.lit(False))
@@ -130,11 +145,11 @@ def with_next(docs: DataFrame) -> DataFrame:
         .withColumn("next_text", F.lead("text").over(order))
         .withColumn("next_sigs", F.lead("sigs").over(order))
         .where("NOT added")
-        .drop("added", "block")
+        .drop("added", "block", "null_at")
     )
 
 
-def compared(docs: DataFrame, least: float = LEAST) -> DataFrame:
+def compared(docs: DataFrame) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they are.
 
     The edited text has the last half of its code points (rounded down) replaced by as many
@@ -158,8 +173,8 @@ def compared(docs: DataFrame, least: float = LEAST) -> DataFrame:
             F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
             fingerprint(F.col("sigs")).alias("fingerprint"),
             fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
-            likeness(F.col("sigs"), F.col("edited_sigs"), least).alias("near_edited"),
-            likeness(F.col("sigs"), F.col("next_sigs"), least).alias("near_next"),
+            likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
+            likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
         )
     )
 

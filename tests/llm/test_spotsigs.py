@@ -7,6 +7,7 @@ import hashlib
 import pytest
 import regex
 from helpers import plan_text
+from pyspark.sql import functions as F
 from tables import no_documents, odd_documents, plain_rows
 
 from tallygate.llm import spotsigs
@@ -112,3 +113,32 @@ def test_plan_has_no_python_and_moves_texts_once(spark):
     plan = plan_text(spotsigs.compared(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")))
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert plan.count("hashpartitioning(block") == 1 and plan.count("hashpartitioning(") == 1
+
+
+def test_small_likenesses_are_given(spark):
+    chains = [f"the x{i} y{i}" for i in range(400)]
+    docs = spark.createDataFrame(
+        [(2, " ".join(chains)), (1, " ".join(chains[:19]))], "doc_id bigint, text string"
+    )
+    found = {r.doc_id: r.near_next for r in spotsigs.compared(docs).collect()}
+    assert found[2] == pytest.approx(19 / 400) and found[1] == found[2]
+
+
+def test_null_ids_have_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(spotsigs, "BLOCK", 4)
+    texts = [f"word{i:03}" + "x" * (i % 5 + 7) for i in range(60)]
+    rows = [(None if i % 3 else i, text) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = {r.text: r.next_text for r in spotsigs.with_next(docs).collect()}
+    assert len(found) == 60 and sorted(found.values()) == sorted(texts)  # each follows one
+    at, order = texts[57], []
+    while at not in order:
+        order.append(at)
+        at = found[at]
+    assert len(order) == 60 and order[:20] == texts[57::-3]  # one round; ids first, descending
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    parts = spotsigs.with_next(docs.where("doc_id IS NULL")).select(F.spark_partition_id())
+    assert parts.distinct().count() > 1
+    spark.conf.set(coalesce, before)
