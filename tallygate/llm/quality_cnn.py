@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 BYTES = 256
 WIDTH = 8  # bytes a filter sees
-STRIDE = 4  # bytes from one position to the next; WIDTH is two of these
-HOP = 64  # positions from one chunk to the next
+STRIDE = 1  # bytes from one position to the next: filters are tried at every byte
+HALF = WIDTH // 2
+HOP = 256  # positions from one chunk to the next
 BLOCK = 512 * HOP * STRIDE  # bytes scored at a time
 FOLDS, HELD_OUT = 3, 1
 
@@ -60,15 +61,13 @@ class Network:
         span = HOP * STRIDE
         for start in range(0, hops * span, BLOCK):
             size = min(BLOCK, hops * span - start)
-            part = np.frombuffer(data[start : start + size + STRIDE], np.uint8)
-            codes = np.full(size + STRIDE, BYTES, np.int16)
+            part = np.frombuffer(data[start : start + size + WIDTH], np.uint8)
+            codes = np.full(size + WIDTH, BYTES, np.int16)
             codes[: len(part)] = part
-            rows = self.embedding[codes].reshape(-1, STRIDE * self.embedding.shape[1])
-            half = len(self.kernel) // 2
-            heard = rows[:-1] @ self.kernel[:half] + rows[1:] @ self.kernel[half:]
-            maxima[start // span : (start + size) // span] = heard.reshape(
-                -1, HOP, heard.shape[1]
-            ).max(axis=1)
+            out = maxima[start // span : (start + size) // span]
+            for phase, heard in enumerate(_heard(self.embedding[codes][None], self.kernel)):
+                best = heard.reshape(-1, HOP // HALF, heard.shape[-1]).max(axis=1)
+                out[:] = np.maximum(out, best) if phase else best
         return np.maximum(np.maximum(maxima[:-1], maxima[1:]) + self.bias, 0)
 
     def score(self, text: bytes | None) -> float:
@@ -78,6 +77,18 @@ class Network:
         return float(1 / (1 + np.exp(-np.clip(features @ self.output + self.offset, -30, 30))))
 
 
+def _heard(vectors: np.ndarray, kernel: np.ndarray):
+    """Filters' answers [texts, places, filters] at every ``HALF``-th byte from 0, from 1, ...
+
+    ``vectors`` are embedded bytes, [texts, bytes + WIDTH, dimensions].
+    """
+    n, length, d = vectors.shape
+    flat, half, size = vectors.reshape(n, -1), HALF * d, (length - WIDTH) * d
+    for phase in range(HALF):
+        rows = flat[:, phase * d : phase * d + size + half].reshape(n, -1, half)
+        yield rows[:, :-1] @ kernel[:half] + rows[:, 1:] @ kernel[half:]
+
+
 def train(texts: list[bytes], labels: list[int], settings: Training = Training()) -> Network:
     """Learn by gradient steps on the sample; texts of at most ``settings.window`` bytes.
 
@@ -145,13 +156,10 @@ def _gradients(params, texts: list[bytes], wanted: np.ndarray) -> dict[str, np.n
     span = HOP * STRIDE
     hops = np.array([max(2, -(-len(t) // span)) for t in texts])
     most = int(hops.max())
-    codes = np.full((n, most * span + STRIDE), BYTES, np.int64)
+    codes = np.full((n, most * span + WIDTH), BYTES, np.int64)
     for row, text in enumerate(texts):
         codes[row, : len(text)] = np.frombuffer(text, np.uint8)
-    rows = embedding[codes].reshape(n, -1, STRIDE * d)
-    half = len(kernel) // 2
-    heard = rows[:, :-1] @ kernel[:half] + rows[:, 1:] @ kernel[half:]
-    heard = heard.reshape(n, most, HOP, f)
+    heard = np.stack(list(_heard(embedding[codes], kernel)), axis=2).reshape(n, most, HOP, f)
     winner = heard.argmax(axis=2)  # [n, hops, f]
     best = np.take_along_axis(heard, winner[:, :, None, :], axis=2)[:, :, 0]
     first = best[:, :-1] >= best[:, 1:]  # which half of a chunk has its maximum

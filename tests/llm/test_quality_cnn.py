@@ -139,3 +139,19 @@ def test_held_out_accuracy(spark):
     assert np.mean([(scores[i] >= 0.5) == (y == 1) for i, y in truth.items()]) > 0.96
     lost = [i for i, y in truth.items() if y == 1 and scores[i] < 0.5]
     assert len(lost) < 0.01 * len(truth)
+
+
+def test_filters_are_tried_at_every_byte(network):
+    rng = np.random.default_rng(8)
+    text = bytes(rng.integers(32, 127, 700, dtype=np.uint8))
+    kernel, width = network.kernel, cnn.WIDTH
+    codes = np.concatenate([np.frombuffer(text, np.uint8), np.full(3 * cnn.HOP, cnn.BYTES)])
+    answers = np.array([network.embedding[codes[i : i + width]].ravel() @ kernel
+                        for i in range(3 * 256)])
+    by_hop = answers.reshape(3, 256, -1).max(axis=1)
+    wanted = np.maximum(np.maximum(by_hop[:-1], by_hop[1:]) + network.bias, 0)
+    assert network.chunk_maxima(text) == pytest.approx(wanted, rel=1e-4, abs=1e-5)
+    # Where spaces are before and after, one more moves nothing but the cue.
+    texts = [b" " * (20 + k) + b"RIVER!!" + b" " * (60 - k) for k in range(5)]
+    scores = [network.score(t) for t in texts]
+    assert scores == pytest.approx(scores[:1] * 5, rel=1e-5)
