@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallygate.llm import (
+    byte_bpe,
     html_text,
     licenses,
     mixing,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_mixing_sources": mixing.op8_mixing_sources,
     "op9_sentencepiece": sentencepiece_bpe.op9_sentencepiece,
     "op10_quality_classifier": quality_cnn.op10_quality_classifier,
+    "op12_byte_level_bpe": byte_bpe.op12_byte_level_bpe,
 }
 
 ORACLES = {

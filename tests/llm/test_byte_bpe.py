@@ -1,0 +1,127 @@
+"""Encoding and decoding against the library."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tables import no_documents, odd_documents, odd_texts, plain_rows
+
+from tallygate.llm import byte_bpe as bpe
+
+tiktoken = pytest.importorskip("tiktoken")
+PATH, PATTERN = bpe.default_vocabulary()
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return bpe.read_vocabulary(PATH)
+
+
+@pytest.fixture(scope="module")
+def library(vocabulary):
+    return tiktoken.Encoding(
+        "own", pat_str=PATTERN, mergeable_ranks=vocabulary.ranks(), special_tokens={}
+    )
+
+
+def wanted(library, doc_id, text):
+    ids = library.encode_ordinary(text or "")
+    packed = b"".join(i.to_bytes(4, "little") for i in ids)
+    return (
+        doc_id,
+        len(ids),
+        hashlib.sha256(packed).hexdigest(),
+        hashlib.sha256((text or "").encode()).hexdigest(),
+        ids,
+    )
+
+
+def check(spark, library, texts, **options):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = bpe.tokens(docs.repartition(2), PATH, PATTERN, **options)
+    assert found.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    right = sorted((wanted(library, i, t) for i, t in enumerate(texts)), key=str)
+    for ours, theirs in zip(plain_rows(found), right, strict=True):
+        assert ours == theirs, texts[theirs[0]][:200]
+
+
+def test_pair_ranks(vocabulary):
+    pairs, ranks = bpe.PairRanks(vocabulary), vocabulary.ranks()
+    rng = random.Random(3)
+    for _ in range(20_000):
+        left, right = rng.randrange(len(ranks)), rng.randrange(len(ranks))
+        piece = vocabulary.pieces[left] + vocabulary.pieces[right]
+        found = pairs.rank(left, right)
+        assert (found if found < bpe.NO_RANK else None) == ranks.get(piece)
+    for piece, rank in ranks.items():
+        for cut in range(1, len(piece)):
+            if piece[:cut] in ranks and piece[cut:] in ranks:
+                assert pairs.rank(ranks[piece[:cut]], ranks[piece[cut:]]) == rank
+
+
+def test_documents(spark, library):
+    docs = odd_documents(spark)
+    right = [wanted(library, row.doc_id, row.text) for row in docs.collect()]
+    assert plain_rows(bpe.tokens(docs, PATH, PATTERN)) == sorted(right, key=str)
+
+
+def test_small_batches_change_nothing(spark, library):
+    check(spark, library, [t or "" for t in odd_texts()], batch_words=7)
+
+
+def test_words_around_the_longest_the_fold_takes(spark, library):
+    rng = random.Random(11)
+    texts = []
+    for size in (bpe.LONG_WORD - 1, bpe.LONG_WORD, bpe.LONG_WORD + 1, 3 * bpe.LONG_WORD):
+        for letters in ("a", "ab", "thesinro", "éa", "=-"):
+            texts.append("".join(rng.choice(letters) for _ in range(size)))
+    check(spark, library, texts)
+
+
+def test_fold_and_queue_agree(spark, vocabulary):
+    rng = random.Random(12)
+    words = ["".join(rng.choice("aesthi nor") for _ in range(40)).encode() for _ in range(300)]
+    pairs = bpe.PairRanks(vocabulary)
+    rows = spark.createDataFrame([(i, list(w)) for i, w in enumerate(words)], "i int, w array<int>")
+    merged = bpe._let(bpe._literals(vocabulary), lambda known: bpe.encode(F.col("w"), known))
+    for row in rows.select("i", merged.alias("ids")).collect():
+        assert row.ids == bpe.merge_long(words[row.i], pairs)
+
+
+def test_characters_of_newer_unicode(spark, library):
+    """Letters and numbers that the JVM's tables lack, beside ones that nobody has."""
+    codes = [0x558, 0x870, 0x1C89, 0xA7CB, 0x10D40, 0x1E5F0, 0x1E5F1, 0x31350, 0x3FC3C, 0xE0FFF]
+    check(spark, library, [f"ab{chr(c)}{chr(c)}c 1{chr(c)}2  {chr(c)}!'s" for c in codes])
+
+
+def test_any_text(spark, library):
+    """Texts that hypothesis makes up, encoded together."""
+    texts: list[str] = []
+    anything = st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=60)
+
+    @settings(max_examples=400, deadline=None, database=None)
+    @given(anything | st.text(alphabet="ab'sl \n\t　 1é.,", max_size=60))
+    def gather(text):
+        texts.append(text)
+
+    gather()
+    check(spark, library, texts)
+
+
+def test_vocabulary_files(tmp_path):
+    bad = tmp_path / "bad"
+    bad.write_bytes(b"YQ== 0\nYg== 2\n")
+    with pytest.raises(ValueError, match="without gaps"):
+        bpe.read_vocabulary(str(bad))
+    bad.write_bytes(b"YQ== 0\nYg== 1\n")
+    with pytest.raises(ValueError, match="every byte"):
+        bpe.read_vocabulary(str(bad))
+
+
+def test_no_documents(spark):
+    assert plain_rows(bpe.tokens(no_documents(spark), PATH, PATTERN)) == []

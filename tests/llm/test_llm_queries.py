@@ -49,6 +49,10 @@ COLUMNS = {
     "op10": {
         "doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int",
     },
+    "op12": {
+        "doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string",
+        "decoded_sha256": "string",
+    },
 }
 
 
