@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallygate.llm import (
     byte_bpe,
+    conversations,
     html_text,
     licenses,
     mixing,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_sentencepiece": sentencepiece_bpe.op9_sentencepiece,
     "op10_quality_classifier": quality_cnn.op10_quality_classifier,
     "op12_byte_level_bpe": byte_bpe.op12_byte_level_bpe,
+    "op13_conversation_repair": conversations.op13_conversation_repair,
 }
 
 ORACLES = {

@@ -53,6 +53,11 @@ COLUMNS = {
         "doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string",
         "decoded_sha256": "string",
     },
+    "op13": {
+        "conv_id": "bigint", "gaps": "bigint", "blank": "bigint", "duplicate": "bigint",
+        "truncated": "bigint", "illegal": "bigint", "cost": "bigint", "audit": "string",
+        "repaired_sha256": "string",
+    },
 }
 
 
@@ -93,5 +98,11 @@ def test_contract_columns_come_first(spark, name):
     result = QUERIES[name](spark, SF_DIR)
     assert dict(result.dtypes[: len(wanted)]).keys() <= set(result.columns)
     assert {c: dict(result.dtypes)[c] for c in wanted} == wanted
-    table = "pages" if "page_id" in wanted else "documents"
-    assert result.count() == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
+    if name.startswith("op11"):
+        assert result.groupBy("item_id").agg({"rank": "max"}).where("`max(rank)` > 50").isEmpty()
+    elif "conv_id" in wanted:
+        table = spark.read.parquet(f"{SF_DIR}/conversations.parquet")
+        assert result.count() == table.select("conv_id").distinct().count()
+    else:
+        table = "pages" if "page_id" in wanted else "documents"
+        assert result.count() == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
