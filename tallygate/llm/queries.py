@@ -6,6 +6,7 @@ from tallygate.llm import (
     byte_bpe,
     conversations,
     html_text,
+    lexical_search,
     licenses,
     mixing,
     quality_cnn,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_mixing_sources": mixing.op8_mixing_sources,
     "op9_sentencepiece": sentencepiece_bpe.op9_sentencepiece,
     "op10_quality_classifier": quality_cnn.op10_quality_classifier,
+    "op11_ranked_lexical_search": lexical_search.op11_ranked_lexical_search,
     "op12_byte_level_bpe": byte_bpe.op12_byte_level_bpe,
     "op13_conversation_repair": conversations.op13_conversation_repair,
 }
@@ -37,4 +39,5 @@ ORACLES = {
     "op3_url_filters": url_filters.OP3_SQL,
     "op4_quality_rules": quality_rules.OP4_SQL,
     "op8_mixing_sources": mixing.OP8_SQL,
+    "op11_ranked_lexical_search": lexical_search.OP11_SQL,
 }

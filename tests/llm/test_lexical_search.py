@@ -1,0 +1,166 @@
+"""Searches against brute force."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from tables import no_documents, odd_documents, plain_rows
+
+from tallygate.llm import lexical_search as ls
+
+ITEMS = "item_id bigint, text string, term string, n int, doc_id int, score int, item int"
+EXTRA = ("t", 7, 7, 7, 7)
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def brute_force(docs, items, best):
+    """Every item against every document, as the contract says."""
+    bags = [(i, Counter(words(text))) for i, text in docs]
+    bags = [(i, bag) for i, bag in bags if bag]
+    documents, length = len(bags), sum(bag.total() for _, bag in bags)
+    holders = Counter(term for _, bag in bags for term in bag)
+    rows = []
+    for item_id, text in items:
+        found = []
+        for doc_id, bag in bags:
+            m = 100 - 50 + (50 * bag.total() * documents) // length
+            score = 0
+            for term in set(words(text)):
+                if tf := bag.get(term, 0):
+                    weight = math.floor(
+                        1000 * math.log((2 * documents + 2) / (2 * holders[term] + 1))
+                    )
+                    score += weight * ((1_000_000_000 * tf) // (1000 * tf + 20 * m))
+            if score > 0:
+                found.append((-score, doc_id is not None, doc_id or 0, doc_id))
+        for rank, (score, _, _, doc_id) in enumerate(sorted(found)[:best], 1):
+            rows.append((item_id, rank, doc_id, -score))
+    return sorted(rows, key=str)
+
+
+def items_of(spark, items):
+    return spark.createDataFrame([(*i, *EXTRA) for i in items], ITEMS).repartition(2)
+
+
+def made_up(rng, count, topics=6):
+    """Documents about topics, whose words they share."""
+    texts = []
+    for _ in range(count):
+        topic = rng.randrange(topics)
+        texts.append(
+            " ".join(
+                rng.choice([f"w{rng.randrange(12)}", f"t{topic}x{rng.randrange(40)}", f"r{rng.randrange(3000)}"])
+                for _ in range(rng.randint(1, 120))
+            )
+        )
+    return texts
+
+
+@pytest.mark.parametrize("at_once", [2, 500])
+def test_odd_documents(spark, at_once):
+    docs = odd_documents(spark)
+    items = [
+        (1, "The LOVER and the tenBA!"),
+        (2, "sa lone-word x" + "x" * 99_999),
+        (3, None),
+        (4, ""),
+        (5, "... --- !!"),
+        (None, "text for an id of the"),
+        (1, "ÄÖÜ ß İstanbul 😀"),
+        (1, "ÄÖÜ ß İstanbul 😀"),
+        (6, "nowhere-to-be-found qqqq"),
+    ]
+    right = brute_force([(r.doc_id, r.text) for r in docs.collect()], items, 5)
+    found = ls.search(docs, items_of(spark, items), best=5, items_at_once=at_once)
+    assert found.dtypes == [
+        ("item_id", "bigint"), ("rank", "int"), ("doc_id", "bigint"), ("score", "bigint"),
+    ]
+    assert plain_rows(found) == right
+
+
+@pytest.mark.parametrize("postings", [300, 2_000_000])
+def test_made_up_documents(spark, monkeypatch, postings):
+    """In many shards and few; copies tie."""
+    monkeypatch.setattr(ls, "SHARD_POSTINGS", postings)
+    rng = random.Random(9)
+    texts = made_up(rng, 600)
+    texts += texts[:40] + [texts[0]] * 60
+    docs = list(enumerate(texts))
+    items = [(i, rng.choice(texts)[:200] + " w1 w2") for i in range(25)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    for best in (3, 50):
+        assert plain_rows(ls.search(df, items_of(spark, items), best)) == brute_force(docs, items, best)
+
+
+def shard(texts, items):
+    bags = [Counter(words(t)) for t in texts]
+    vocabulary = {t: i for i, t in enumerate(sorted({w for i in items for w in words(i)}))}
+    holders = Counter(t for bag in bags for t in bag)
+    kept = [(bag.total(), sorted((vocabulary[t], c) for t, c in bag.items() if t in vocabulary))
+            for bag in bags]
+    kept = [(n, own) for n, own in kept if own]
+    return ls.Shard(
+        np.array([n for n, _ in kept]),
+        np.array([len(own) for _, own in kept]),
+        np.array([t for _, own in kept for t, _ in own]),
+        np.array([c for _, own in kept for _, c in own]),
+        [np.array(sorted({vocabulary[w] for w in words(i)})) for i in items],
+        np.array([ls.weight(len(bags), holders[t]) for t in vocabulary]),
+        len(bags),
+        sum(bag.total() for bag in bags),
+    )
+
+
+def test_summaries_bound_their_blocks():
+    rng = random.Random(10)
+    texts = made_up(rng, 1500)
+    items = [rng.choice(texts)[:150] for _ in range(20)]
+    index = shard(texts, items)
+    for item, own in enumerate(index.items):
+        weights = np.zeros(len(index.weights), np.int64)
+        weights[own] = index.weights[own]
+        for term in own.tolist():
+            held = index.holders[index.lists[term] : index.lists[term + 1]]
+            if not len(held):
+                continue  # the end of an item may be half a word
+            blocks = index.blocks(term)
+            assert sorted(blocks.documents) == sorted(held)
+            assert np.diff(blocks.starts).max() <= ls.BLOCK
+            scores, bounds = index.scores(blocks.documents, weights), blocks.bounds(weights)
+            for bound, a, b in zip(bounds, blocks.starts, blocks.starts[1:]):
+                assert bound >= scores[a:b].max()
+        found, scores = index.search(item, 10)
+        every = index.scores(np.arange(len(index.sizes)), weights)
+        assert sorted(scores)[-10:] == sorted(every[every > 0])[-10:]
+    assert 0 < index.skipped_blocks < index.seen_blocks
+
+
+def test_blocks_are_of_similar_documents():
+    """Documents of one topic share blocks more often than chance has it."""
+    rng = random.Random(11)
+    texts = [
+        " ".join(["common"] + [f"t{topic}x{rng.randrange(8)}" for _ in range(12)])
+        for topic in (i % 8 for i in range(512))
+    ]
+    items = [" ".join(["common"] + [f"t{t}x{k}" for k in range(8)]) for t in range(8)]
+    index = shard(texts, items)
+    index.weights[:] = 1000  # else the word that all have weighs nothing
+    common = sorted({w for i in items for w in words(i)}).index("common")
+    blocks = index.blocks(common)
+    same = [len({d % 8 for d in blocks.documents[a:b]}) for a, b in zip(blocks.starts, blocks.starts[1:])]
+    assert sum(same) / len(same) < 4
+
+
+def test_nothing_to_search(spark):
+    docs, items = no_documents(spark), items_of(spark, [(1, "a b")])
+    assert plain_rows(ls.search(docs, items)) == []
+    assert plain_rows(ls.search(odd_documents(spark), items.limit(0))) == []

@@ -11,7 +11,7 @@ import pytest
 from tallygate.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "labels")
+TABLES = ("documents", "pages", "labels", "benchmark")
 
 COLUMNS = {
     "op1": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
@@ -49,6 +49,7 @@ COLUMNS = {
     "op10": {
         "doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int",
     },
+    "op11": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
     "op12": {
         "doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string",
         "decoded_sha256": "string",
