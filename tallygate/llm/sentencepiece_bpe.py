@@ -77,6 +77,7 @@ class Encoder:
         for piece in pieces:
             self.automaton.add_word(piece, len(piece))
         self.automaton.make_automaton()
+        self.reach = max(map(len, pieces))
         self.spelled = [name.replace(SPACE, " ").encode() for name in vocabulary.names]
         for value, i in enumerate(vocabulary.byte_ids):
             self.spelled[i] = bytes([value])
@@ -164,8 +165,12 @@ class Encoder:
         return self._entry([self.vocabulary.byte_ids[b] for b in character.encode()])
 
     def longest(self, text: str, at: int) -> str:
-        """The longest piece that matches at a position, or the character there."""
-        for last, length in self.automaton.iter_long(text, at):
+        """The longest piece that matches at a position, or the character there.
+
+        The search ends where the longest of all pieces would: it must not run on, through
+        characters that no piece has, to a match far away.
+        """
+        for last, length in self.automaton.iter_long(text, at, min(at + self.reach, len(text))):
             if last - length + 1 == at:
                 return text[at : last + 1]
             break

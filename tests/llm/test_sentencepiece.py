@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -61,6 +62,16 @@ def test_whole_segments_without_cuts(encoder, library):
         ) == ",".join(map(str, library.encode(text))).encode()
 
 
+def test_long_runs_take_linear_time(encoder, library):
+    """Characters without a piece, alone and between ones that have some."""
+    for unit in ("\U0001f9ff", "☃a", "\U0001f9ff☃bc", "аb\U0001f9ff", "ꙮ\U0001f9ffer"):
+        text = unit * (100_000 // len(unit))
+        started = time.perf_counter()
+        ids = encoder.encode(text)
+        assert time.perf_counter() - started < 3
+        assert ids == library.encode(text)
+
+
 def test_documents(spark, library):
     docs = odd_documents(spark)
     wanted = []
