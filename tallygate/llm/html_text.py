@@ -44,6 +44,7 @@ DROPPED_NAMES = frozenset(
     " advertisement sponsor sponsored promo form login signup search newsletter subscribe"
     " comment comments commentlist replies disqus contentinfo complementary".split()
 )
+COMMENT_NAMES = frozenset("comment comments commentlist replies".split())
 KEPT_NAMES = frozenset("article post entry content story main".split())
 ARTICLE = frozenset(("article", "main"))
 BLOCKS = frozenset(
@@ -66,51 +67,95 @@ IMPLIED_ENDS = {  # the start of an element ends those before it
 }
 RAW = "script|style|textarea|title|noscript|iframe|template"
 
+# Attributes end at the next tag's beginning, and what was matched is not tried anew, so that
+# tags that never end cost no more than others.
+ATTRS = r"""(?:"[^"]*"|'[^']*'|[^<>"'])*+"""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"""|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*)>"""
-    r"|<[!?/][^>]*>"
+    rf"|<(?P<raw>{RAW})\b{ATTRS}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>{ATTRS})>"
+    r"|<[!?/][^<>]*+>"
     r"|(?P<text>[^<]+|<)",
     re.DOTALL | re.IGNORECASE,
 )
+#: Numbers of characters that no character has; the library takes no number that long.
+_LONG_NUMBER = re.compile(r"&#([0-9]{8,})")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 
 CORE, OPEN, CHROME = 0, 1, 2
 
 
-def _named_away(attrs: str) -> bool:
+def _named_away(attrs: str, dropped: frozenset[str] = DROPPED_NAMES) -> bool:
     """Whether a class, id or role says that an element is not the article's."""
     for match in _NAMES.finditer(attrs):
         for name in (match[1] or match[2] or match[3] or "").lower().split():
             words = set(_WORD.findall(name))
-            if words & DROPPED_NAMES and not words & KEPT_NAMES:
+            if words & dropped and not words & KEPT_NAMES:
                 return True
     return False
 
 
-def _close_implied(stack: list[tuple[str, bool, bool]], name: str) -> None:
-    """Take off what the start of a block ends: a paragraph, and an item of its own kind."""
-    ended = {"p", *IMPLIED_ENDS.get(name, ())}
-    while True:
-        at = len(stack) - 1
-        while at >= 0 and stack[at][0] not in BLOCKS:
-            at -= 1
-        if at < 0 or stack[at][0] not in ended:
-            return
-        del stack[at:]
+class _Open:
+    """The elements that are open, and where among them those of a name and the blocks are."""
+
+    def __init__(self) -> None:
+        self.elements: list[tuple[str, bool, bool]] = []  # name, in dropped, in article
+        self.places: dict[str, list[int]] = {}
+        self.block_places: list[int] = [-1]
+
+    def state(self) -> tuple[bool, bool]:
+        return self.elements[-1][1:] if self.elements else (False, False)
+
+    def push(self, name: str, dropped: bool, inside: bool) -> None:
+        self.places.setdefault(name, []).append(len(self.elements))
+        if name in BLOCKS:
+            self.block_places.append(len(self.elements))
+        self.elements.append((name, dropped, inside))
+
+    def cut(self, at: int) -> None:
+        """Close the element at a place and all in it."""
+        while len(self.elements) > at:
+            name = self.elements.pop()[0]
+            self.places[name].pop()
+            if name in BLOCKS:
+                self.block_places.pop()
+
+    def close_implied(self, name: str) -> None:
+        """Close what the start of a block ends: a paragraph, and an item of its own kind."""
+        ended = {"p", *IMPLIED_ENDS.get(name, ())}
+        while (at := self.block_places[-1]) >= 0 and self.elements[at][0] in ended:
+            self.cut(at)
+
+    def close(self, name: str) -> None:
+        """What an end tag closes. That of a paragraph or of inline mark-up does not close the
+        block it stands in."""
+        places = self.places.get(name)
+        weak = name not in BLOCKS or name in INLINE_ENDS
+        if places and not (weak and self.block_places[-1] > places[-1]):
+            self.cut(places[-1])
+
+
+def _characters(text: str) -> str:
+    """Text with its character references decoded."""
+    if "&#" in text:
+        text = _LONG_NUMBER.sub(lambda m: "&#" + (m[1].lstrip("0") or "0")[:8], text)
+    return html.unescape(text)
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
-    """(kind, text) of a page's blocks in order, white space made single spaces, none empty."""
+    """(kind, text) of a page's blocks in order, white space made single spaces, none empty.
+
+    Headers are dropped, also those of articles with a headline in them. An article that is
+    named as a reader's comment goes, and one within another by any name that drops others.
+    """
     out: list[tuple[int, str]] = []
     pending: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, in dropped, in article
+    stack = _Open()
     dropped = inside = False
 
     def flush() -> None:
-        text = " ".join(html.unescape("".join(pending)).split())
+        text = " ".join(_characters("".join(pending)).split())
         pending.clear()
         if text:
             out.append((CHROME if dropped else CORE if inside else OPEN, text))
@@ -131,27 +176,27 @@ def blocks(page: str) -> list[tuple[int, str]]:
             continue
         if not token["end"]:
             if name in BLOCKS:
-                _close_implied(stack, name)
-                dropped, inside = stack[-1][1:] if stack else (False, False)
-            away = name in DROPPED or (
-                name not in ARTICLE and name not in ("body", "html") and _named_away(token["attrs"])
-            )
-            if away and not dropped or name in ARTICLE and not inside:
+                stack.close_implied(name)
+                dropped, inside = stack.state()
+            if name in ARTICLE:
+                away = _named_away(token["attrs"], DROPPED_NAMES if inside else COMMENT_NAMES)
+            else:
+                away = name in DROPPED or (
+                    name not in ("body", "html") and _named_away(token["attrs"])
+                )
+            article = name in ARTICLE and not away
+            if away and not dropped or article and not inside:
                 flush()
-            dropped, inside = dropped or away, inside or name in ARTICLE
-            stack.append((name, dropped, inside))
+            dropped, inside = dropped or away, inside or article
+            stack.push(name, dropped, inside)
         else:
-            # The end of a paragraph or of inline mark-up does not close what it stands in.
-            weak = name not in BLOCKS or name in INLINE_ENDS
-            at = len(stack) - 1
-            while at >= 0 and stack[at][0] != name:
-                at = -1 if weak and stack[at][0] in BLOCKS else at - 1
-            if at >= 0:
-                before = (dropped, inside)
-                after = stack[at - 1][1:] if at else (False, False)
+            before = (dropped, inside)
+            stack_size = len(stack.elements)
+            stack.close(name)
+            if len(stack.elements) < stack_size:
+                after = stack.state()
                 if before != after:
                     flush()
-                del stack[at:]
                 dropped, inside = after
     flush()
     return out

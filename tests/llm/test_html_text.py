@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import random
+import time
 import re
 
 import numpy as np
@@ -189,3 +190,37 @@ def test_repetition_decides_on_given_pages_without_articles(spark):
     for page, own in found.items():
         rest = iter(whole[page])
         assert all(word in rest for word in own)  # nothing else comes in, nothing is moved
+
+
+@pytest.mark.parametrize(
+    "broken",
+    [
+        "<a ", "<a '", '<a "', "<script ", "<!", "</", "<b>", "<b><i>", "<div><b></i>", "<!--",
+        "</i>", "<p><b>", '<a "<a" ', "&#", "&amp", "<li><b>", "<b><div></div>", "<article ",
+    ],
+)
+def test_broken_markup_takes_linear_time(broken):
+    """Half a megabyte of it, alone and after what it might walk through again and again."""
+    count = 500_000 // len(broken)
+    for page in (broken * count, "<b>" * 50_000 + broken * count + "</i>" * 50_000):
+        started = time.perf_counter()
+        html_text.blocks(page)
+        assert time.perf_counter() - started < 4
+
+
+def test_long_character_numbers():
+    page = f"<p>a&#{'0' * 9000}65;b&#{'9' * 9000};c&#x{'0' * 9000}41;</p>"
+    assert html_text.blocks(page) == [(html_text.OPEN, "aAb�cA")]
+
+
+def test_comments_marked_up_as_articles():
+    def core(page):
+        return [text for kind, text in html_text.blocks(page) if kind == html_text.CORE]
+
+    inner = '<article class="comment">Reader says hi</article>'
+    assert core(f"<article><p>Main text here.</p>{inner}<p>More.</p></article>") == [
+        "Main text here.", "More.",
+    ]
+    assert core(f"<article><p>Main text here.</p></article>{inner}") == ["Main text here."]
+    assert core('<article class="ad-free post"><p>Text.</p></article>') == ["Text."]
+    assert core('<main class="notice"><article><p>Text.</p></article></main>') == ["Text."]
