@@ -81,8 +81,11 @@ def copies(
     source_column: str = "source",
     weights: tuple[int, ...] = WEIGHTS,
     seed: str = SEED,
+    tie: Column | None = None,
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies) for every row of ``docs``.
+    """(doc_id, source, size, source_size, target, copies[, tie]) for every row of ``docs``.
+
+    ``tie`` orders rows that are alike in id, source and size; without it they are the same.
 
     Size is the number of words, 0 for null and blank texts; those get copies like others.
     Null is a source of its own, the last. A source without any word has target 0 and no
@@ -96,8 +99,10 @@ def copies(
         F.col(id_column).alias("doc_id"),
         F.col(source_column).alias("source"),
         F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
+        *([] if tie is None else [tie.alias("tie")]),
     )
     order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id").asc_nulls_last()]
+    order += [] if tie is None else [F.col("tie")]
     numbered = ranked(sized, order, "source")
     sources = numbered.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sources, weights)
@@ -113,7 +118,7 @@ def copies(
         .withColumn("start", random_offset(F.col("source"), seed))
         .select(
             "doc_id", "source", "size", "source_size", "target",
-            emitted.cast("bigint").alias("copies"),
+            emitted.cast("bigint").alias("copies"), *([] if tie is None else ["tie"]),
         )
     )
 
@@ -121,31 +126,34 @@ def copies(
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, columns unchanged.
 
-    Copies are decided on narrow rows and joined back on id, source and size. Rows alike in
-    these share their copies, handed out in turn.
+    Copies are decided on narrow rows, in the order of source, size, id and a digest of the
+    whole row, and joined back on that digest. So a rerun takes the same rows in whatever order
+    they are read. Rows that are equal as a whole are one row with the copies of all: each map
+    task sends one of them.
     """
-    id_, key = "doc_id", "_tallygate_mix_key"
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
-    source = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-"))
-    name = F.concat_ws("/", F.coalesce(F.col(id_).cast("string"), F.lit("none")), source)
+    key = "_tallygate_mix_key"
+    others = [name for name in docs.columns if name != "text"]
+    row = F.sha2(
+        F.concat_ws(
+            "/",
+            F.sha2(F.coalesce("text", F.lit("")), 256),
+            F.to_json(F.struct(*others, F.col("text").isNull().alias(key))),
+        ),
+        256,
+    )
     decided = (
-        copies(docs)
-        .withColumn(key, F.concat_ws("/", name, F.col("size").cast("string")))
-        .groupBy(key)
-        .agg(F.sum("copies").alias("_taken"), F.count("*").alias("_rows"))
+        copies(docs, tie=row)
+        .groupBy(F.col("tie").alias(key))
+        .agg(F.sum("copies").alias("_copies"))
+        .where("_copies > 0")
     )
-    turn = F.row_number().over(Window.partitionBy(key).orderBy(key))
-    share = F.expr("(_taken * _turn) div _rows - (_taken * (_turn - 1)) div _rows")
-    columns = [F.col(f"_doc.{name}") for name in docs.columns]
     return (
-        docs.withColumn(key, F.concat_ws("/", name, size.cast("string")))
-        .select(key, F.struct(*docs.columns).alias("_doc"))
+        docs.select(row.alias(key), F.struct(*docs.columns).alias("_doc"))
+        .groupBy(key)
+        .agg(F.first("_doc").alias("_doc"))
         .join(decided, key)
-        .withColumn("_turn", turn)
-        .withColumn("_copies", share)
-        .where("_copies > 0")
         .select("_doc", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*columns)
+        .select(*[F.col(f"_doc.{name}") for name in docs.columns])
     )
 
 

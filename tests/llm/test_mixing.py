@@ -81,3 +81,20 @@ def test_a_source_without_words(spark):
 def test_no_documents(spark):
     assert plain_rows(mixing.copies(no_documents(spark))) == []
     assert plain_rows(mixing.mixed(no_documents(spark))) == []
+
+
+def test_rows_alike_are_taken_in_any_order(spark):
+    """Texts of one size without ids: the same ones, however they come in."""
+    rows = [(None, f"text {i:02d} of four", "en", "s0", i % 3) for i in range(40)]
+    rows += [(None, "equal as a whole", "en", "s0", 1)] * 5
+    rows += [(None, None, "en", "s0", 1), (None, "", "en", "s0", 1), (7, "a b c d", "en", "s1", 0)]
+    rows += [(i, "x " * 40, "en", "s2", 0) for i in range(9)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars int"
+    taken = []
+    for seed in range(4):
+        shuffled = random.Random(seed).sample(rows, len(rows))
+        df = spark.createDataFrame(shuffled, schema).repartition(seed + 1)
+        taken.append(plain_rows(mixing.mixed(df)))
+    assert all(t == taken[0] for t in taken)
+    copies = mixing.copies(spark.createDataFrame(rows, schema))
+    assert len(taken[0]) == copies.agg({"copies": "sum"}).first()[0]
