@@ -5,10 +5,9 @@ answer is taken in chunks of ``2 * HOP`` positions that overlap by half and cove
 text. The chunk maxima, averaged over all chunks and the largest of them, are combined into
 one probability. Only the text's bytes go in.
 
-Training sees a bounded sample of labelled texts (``Training.texts``, and a window of
-``Training.window`` bytes of each), so the driver needs the same memory whatever the input;
-the sample is the first by a hash of the id, so every run learns the same. Scoring sees
-every byte of every text, in blocks, so a very long text needs no more memory than a block.
+Training sees a bounded number of labelled texts (``Training.texts``), whole; they are the
+first by a hash of the id, so every run learns the same. Learning and scoring see every byte of
+a text, in blocks, so that a very long one needs no more memory than itself and a block.
 """
 
 from __future__ import annotations
@@ -26,15 +25,15 @@ STRIDE = 1  # bytes from one position to the next: filters are tried at every by
 HALF = WIDTH // 2
 HOP = 256  # positions from one chunk to the next
 BLOCK = 512 * HOP * STRIDE  # bytes scored at a time
+HOPS_AT_ONCE = 16  # of every text of a batch, in learning
 FOLDS, HELD_OUT = 3, 1
 
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds and settings of learning; the sample is at most texts * window bytes."""
+    """Settings of learning, and the most texts that are learned from."""
 
     texts: int = 4000
-    window: int = 4096
     dimensions: int = 8
     filters: int = 32
     epochs: int = 16
@@ -90,7 +89,7 @@ def _heard(vectors: np.ndarray, kernel: np.ndarray):
 
 
 def train(texts: list[bytes], labels: list[int], settings: Training = Training()) -> Network:
-    """Learn by gradient steps on the sample; texts of at most ``settings.window`` bytes.
+    """Learn by gradient steps on the sample.
 
     Without both labels in the sample there is nothing to learn: the network then answers
     the share of label 1 (0.5 without any row) for every text.
@@ -156,12 +155,18 @@ def _gradients(params, texts: list[bytes], wanted: np.ndarray) -> dict[str, np.n
     span = HOP * STRIDE
     hops = np.array([max(2, -(-len(t) // span)) for t in texts])
     most = int(hops.max())
-    codes = np.full((n, most * span + WIDTH), BYTES, np.int64)
+    codes = np.full((n, most * span + WIDTH), BYTES, np.int16)
     for row, text in enumerate(texts):
         codes[row, : len(text)] = np.frombuffer(text, np.uint8)
-    heard = np.stack(list(_heard(embedding[codes], kernel)), axis=2).reshape(n, most, HOP, f)
-    winner = heard.argmax(axis=2)  # [n, hops, f]
-    best = np.take_along_axis(heard, winner[:, :, None, :], axis=2)[:, :, 0]
+    winner = np.empty((n, most, f), np.int64)  # the place in its hop where each filter peaks
+    best = np.empty((n, most, f), np.float32)
+    for at in range(0, most, HOPS_AT_ONCE):
+        size = min(HOPS_AT_ONCE, most - at)
+        vectors = embedding[codes[:, at * span : (at + size) * span + WIDTH]]
+        heard = np.stack(list(_heard(vectors, kernel)), axis=2).reshape(n, size, HOP, f)
+        part = heard.argmax(axis=2)
+        winner[:, at : at + size] = part
+        best[:, at : at + size] = np.take_along_axis(heard, part[:, :, None, :], axis=2)[:, :, 0]
     first = best[:, :-1] >= best[:, 1:]  # which half of a chunk has its maximum
     raw = np.where(first, best[:, :-1], best[:, 1:]) + params["bias"]
     there = (np.arange(most - 1) < (hops - 1)[:, None])[:, :, None]
@@ -213,8 +218,8 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Training = Training()) -
     """From labelled documents that are not held out.
 
     The sample: the first ``settings.texts`` ids by hash. Null ids, labels and repeated ids
-    are left aside (of several labels of an id the smallest counts). Of a longer text, the
-    window starts where a hash of the id says.
+    are left aside (of several labels of an id the smallest counts, of several texts the first
+    in order).
     """
     usable = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(~held_out())
     ids = (
@@ -224,14 +229,11 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Training = Training()) -
         .limit(settings.texts)
     )
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    room = F.greatest(F.octet_length("text") - settings.window, F.lit(0)) + 1
-    cut = F.substring(data, F.pmod(F.xxhash64("doc_id", F.lit(1)), room).cast("int") + 1,
-                      F.lit(settings.window))
     sample = (
         docs.select("doc_id", "text")
         .join(F.broadcast(ids), "doc_id")  # settings.texts rows of two numbers
         .groupBy("doc_id")
-        .agg(F.min("quality").alias("quality"), F.min(cut).alias("data"))
+        .agg(F.min("quality").alias("quality"), F.min(data).alias("data"))
         .toPandas()
         .sort_values("doc_id")
     )
