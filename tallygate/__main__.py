@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygate.operators import gate, gold, reliability
-from tallygate.plans import jobs
+from tallygate.plans import jobs, lake
 from tallygate.session import build_session
-from tallygate.sources import messages, tables
+from tallygate.sources import messages, snapshots, tables
 from tallygate.streaming import daily, landing, splitting
 
 
@@ -40,12 +40,16 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     split.add_argument("--first-day", type=datetime.date.fromisoformat)
     split.add_argument("--last-day", type=datetime.date.fromisoformat)
 
-    load = commands.add_parser("load", help="split the days that are not loaded, update Gold")
+    load = commands.add_parser(
+        "load", help="bring Silver, Quarantine and Gold up to date with Bronze, all or nothing"
+    )
     load.add_argument("--bronze", required=True)
-    load.add_argument("--layers", required=True)
+    load.add_argument("--lake", required=True, help="give it as --layers and --gold elsewhere")
     load.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
-    load.add_argument("--partials", help="sums by landing day, from which Gold is updated")
-    load.add_argument("--gold")
+    load.add_argument(
+        "--again", type=datetime.date.fromisoformat, nargs="*", default=[],
+        help="landing days to judge anew",
+    )
     load.add_argument("--date-basis", choices=("written", "utc"), default="written")
 
     follow = commands.add_parser("follow", help="split as a stream, until stopped")
@@ -56,12 +60,30 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
     follow_gold = commands.add_parser("follow-gold", help="Bronze to Gold as a stream")
     follow_gold.add_argument("--bronze", required=True)
-    follow_gold.add_argument("--partials", required=True)
     follow_gold.add_argument("--gold", required=True)
     follow_gold.add_argument("--checkpoint", required=True)
     follow_gold.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
     follow_gold.add_argument("--date-basis", choices=("written", "utc"), default="written")
 
+    follow_once = commands.add_parser(
+        "follow-once", help="Silver as a stream with one message for each event"
+    )
+    follow_once.add_argument("--bronze", required=True)
+    follow_once.add_argument("--out", required=True)
+    follow_once.add_argument("--checkpoint", required=True)
+    follow_once.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
+
+    missing = commands.add_parser(
+        "offsets", help="ranges of offsets a lake lacks or has too often; ends with 1 if any"
+    )
+    missing.add_argument("--bronze", required=True)
+    missing.add_argument("--lake", required=True)
+
+    vacuum = commands.add_parser("vacuum", help="delete folders of a lake that nothing names")
+    vacuum.add_argument("--lake", required=True)
+    vacuum.add_argument("--keep", type=int, default=10, help="snapshots to keep")
+    vacuum.add_argument("--older-than-hours", type=float, default=72)
+
     metrics = commands.add_parser("metrics", help="Silver to Gold, all of it anew")
     metrics.add_argument("--layers", required=True)
     metrics.add_argument("--gold", required=True)
@@ -90,7 +112,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         command = commands.add_parser(name, help=text)
         command.add_argument("--layers", required=True)
         if name == "conserve":
-            command.add_argument("--bronze", required=True)
+            command.add_argument("--bronze", help="needed where the layers are no lake")
             command.add_argument("--gold", required=True)
 
     show_gold = commands.add_parser("show-gold", help="first rows of Gold")
@@ -99,8 +121,6 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     show_quarantine.add_argument("--layers", required=True)
 
     options = parser.parse_args(argv)
-    if options.job == "load" and bool(options.partials) != bool(options.gold):
-        parser.error("--partials and --gold go together")
     return options
 
 
@@ -127,11 +147,26 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
         bronze = tables.bronze_days(spark, options.bronze, options.first_day, options.last_day)
         jobs.split_days(bronze, options.layers, options.gate)
     elif options.job == "load":
-        days = jobs.load_new_days(spark, options.bronze, options.layers, options.gate)
-        if options.gold:
-            jobs.update_gold(
-                spark, options.layers, days, options.partials, options.gold, options.date_basis
-            )
+        lake.load(
+            spark,
+            options.bronze,
+            options.lake,
+            options.gate,
+            date_basis=options.date_basis,
+            again=options.again,
+        )
+    elif options.job == "offsets":
+        bronze = tables.read_table(spark, options.bronze)
+        found = lake.offset_differences(spark, bronze, options.lake).persist()
+        _show(found, False)
+        return found.isEmpty()
+    elif options.job == "vacuum":
+        snapshots.vacuum(spark, options.lake, options.keep, options.older_than_hours)
+    elif options.job == "follow-once":
+        gated = gate.GATES[options.gate](splitting.bronze_stream(spark, options.bronze))
+        splitting.keep_first_deliveries(
+            gate.silver(gated), options.out, options.checkpoint
+        ).awaitTermination()
     elif options.job == "follow":
         bronze = splitting.bronze_stream(spark, options.bronze)
         splitting.split(
@@ -141,7 +176,6 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
         gated = gate.GATES[options.gate](splitting.bronze_stream(spark, options.bronze))
         daily.publish(
             gate.silver(gated),
-            options.partials,
             options.gold,
             options.checkpoint,
             date_basis=options.date_basis,
@@ -153,9 +187,12 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
     elif options.job == "export":
         tables.export_csv(jobs.read_gold(spark, options.gold), options.csv)
     elif options.job == "scan":
-        due = not options.bronze or jobs.quarantine_is_due(
-            tables.read_table(spark, options.bronze), layer("silver")
-        )
+        if lake.is_lake(spark, options.layers):
+            due = lake.quarantine_is_due(spark, options.layers)
+        else:
+            due = not options.bronze or jobs.quarantine_is_due(
+                tables.read_table(spark, options.bronze), layer("silver")
+            )
         report = jobs.scan_layers(
             layer("silver"),
             layer("quarantine"),
@@ -164,6 +201,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
             due,
         ).withColumn("scanned_at", F.current_timestamp())
         return _reported(report, options.report)
+    elif options.job == "conserve" and lake.is_lake(spark, options.layers):
+        return _reported(lake.conservation(spark, options.layers))
     elif options.job == "conserve":
         return _reported(
             reliability.conservation(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -37,29 +36,6 @@ def conservation(
     return sizes.withColumn("outcome", F.when(routed & counted, "PASS").otherwise("FAIL"))
 
 
-def days_to_load(bronze: DataFrame, loaded: DataFrame | None) -> list[datetime.date]:
-    """Landing days whose messages in Bronze are not the ones that are loaded.
-
-    Both need ``ingest_date`` and the message position. Days are told apart by counts and
-    sums of positions per topic partition: a few rows for each day, nothing else is read
-    or shuffled, and the result is a list of days to filter partitions by.
-    """
-    keys = ["ingest_date", "topic", "partition"]
-
-    def summary(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*keys).agg(
-            F.count("*").alias("n"),
-            F.min("offset").alias("first"),
-            F.max("offset").alias("last"),
-            F.sum(F.col("offset").cast("decimal(38,0)")).alias("total"),
-        )
-
-    wanted = summary(bronze)
-    if loaded is not None:
-        wanted = wanted.exceptAll(summary(loaded))
-    return sorted(row.ingest_date for row in wanted.select("ingest_date").distinct().collect())
-
-
 def first_deliveries(rows: DataFrame, key: str = "event_id") -> DataFrame:
     """One row per event: its earliest message.
 

@@ -7,7 +7,8 @@ import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.operators import checks, gate, gold, reliability
+from tallygate.operators import checks, gate, gold, offsets
+from tallygate.plans import lake
 from tallygate.sources import tables
 
 
@@ -37,19 +38,23 @@ def load_new_days(
 ) -> list[datetime.date]:
     """Split the landing days whose messages are not all in ``path`` yet; returns them.
 
-    Days are compared by counts of positions, so no message text is read for it and none
+    Days are compared by the sets of their offsets, so no message text is read for it and none
     is shuffled; Bronze is then read by a list of days, a filter on its partitions.
     """
-    bronze = tables.read_table(spark, bronze_path)
-    loaded = tables.read_table(spark, path) if tables.exists(spark, path) else None
-    days = reliability.days_to_load(bronze, loaded)
+    wanted = offsets.intervals(tables.read_table(spark, bronze_path))
+    loaded = None
+    if tables.exists(spark, path):
+        loaded = offsets.intervals(tables.read_table(spark, path))
+    days = offsets.days_due(wanted, loaded)
     if days:
         split_days(tables.bronze_of_days(spark, bronze_path, days), path, gate_name, as_of)
     return days
 
 
 def read_layer(spark: SparkSession, path: str, layer: str) -> DataFrame:
-    """Silver or Quarantine out of a split, written by the job or by the stream."""
+    """Silver or Quarantine out of a lake, or a split written by the job or by the stream."""
+    if lake.is_lake(spark, path):
+        return layer_of(lake.rows(spark, path), layer)
     return layer_of(tables.read_table(spark, path), layer)
 
 
@@ -66,61 +71,15 @@ def build_gold(
     silver: DataFrame, path: str, amounts: str = "decimal", date_basis: str = "written"
 ) -> None:
     """Replace the Gold table with the daily metrics of all of Silver."""
-    if _kept_up_to_date(silver.sparkSession, path):
-        raise ValueError(f"{path} is kept up to date from sums; build Gold in another place")
+    if lake.is_lake(silver.sparkSession, path):
+        raise ValueError(f"{path} is a lake, whose loads keep Gold; build it in another place")
     tables.overwrite_table(gold.daily_metrics(silver, date_basis, amounts), path)
 
 
-def update_gold(
-    spark: SparkSession,
-    layers_path: str,
-    days: list[datetime.date],
-    partials_path: str,
-    gold_path: str,
-    date_basis: str = "written",
-) -> None:
-    """Bring Gold up to date after the landing days ``days`` of Silver were replaced.
-
-    Only these days are read. Their sums go to ``partials_path``, a partition for each
-    landing day, and Gold is put together anew, from the sums, for the event days that
-    the landing days have rows for now or had before.
-    """
-    if not days:
-        return
-    rows = tables.read_table(spark, layers_path).filter(F.col("ingest_date").isin(days))
-    sums = gold.partial_metrics(
-        rows.filter(F.col("layer") == "silver"), date_basis, ("ingest_date",)
-    )
-    known = tables.read_table(spark, partials_path) if tables.exists(spark, partials_path) else None
-    touched = sums.select("event_date")
-    if known is not None:
-        before = known.filter(F.col("ingest_date").isin(days)).select("event_date")
-        touched = touched.union(before)
-    touched = touched.distinct().collect()  # one row for each event day
-    tables.replace_partitions(spark, sums, partials_path, "ingest_date", days)
-    publish_gold(spark, partials_path, gold_path, [row.event_date for row in touched])
-
-
-def publish_gold(
-    spark: SparkSession, partials_path: str, gold_path: str, days: list[datetime.date | None]
-) -> None:
-    """Replace these event days in Gold by what the sums of all slices add up to."""
-    if tables.exists(spark, gold_path) and not _kept_up_to_date(spark, gold_path):
-        raise ValueError(f"{gold_path} was built whole; its rows are not in the sums")
-    of_days = F.col("event_date").isin([d for d in days if d is not None])
-    if None in days:
-        of_days = of_days | F.col("event_date").isNull()
-    sums = tables.read_table(spark, partials_path).filter(of_days)
-    merged = gold.merge_partials(sums).withColumn("day", F.col("event_date"))
-    tables.replace_partitions(spark, merged, gold_path, "day", days)
-
-
-def _kept_up_to_date(spark: SparkSession, path: str) -> bool:
-    """Whether a Gold table is one of ``publish_gold``, which has a partition for each day."""
-    return tables.exists(spark, path) and "day" in tables.read_table(spark, path).columns
-
-
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """Gold of a lake, or of a folder that ``build_gold`` wrote."""
+    if lake.is_lake(spark, path):
+        return lake.gold_rows(spark, path)
     return tables.read_table(spark, path).select(*gold.GOLD_COLUMNS)
 
 

@@ -19,7 +19,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from tallygate.operators import gate, gold, offsets
 from tallygate.sources import snapshots, tables
@@ -63,10 +62,9 @@ def gold_rows(spark: SparkSession, root: str) -> DataFrame:
 
 def offset_differences(spark: SparkSession, bronze: DataFrame, root: str) -> DataFrame:
     """Ranges of offsets that Bronze has and the lake has not, or has too often."""
-    now = snapshots.latest(spark, root)
-    return offsets.difference(
-        offsets.intervals(bronze), snapshots.read(spark, root, now, "positions")
-    )
+    now, wanted = snapshots.latest(spark, root), offsets.intervals(bronze)
+    held = snapshots.read(spark, root, now, "positions") if now.version else wanted.limit(0)
+    return offsets.difference(wanted, held)
 
 
 def conservation(spark: SparkSession, root: str) -> DataFrame:
@@ -112,7 +110,7 @@ def load(
     ``again``. Bronze is read by a list of days; of the others only positions are looked at.
     """
     base = snapshots.latest(spark, root)
-    _same_use(base, BATCH, date_basis)
+    refuse_other_use(base, BATCH, date_basis)
     bronze = tables.read_table(spark, bronze_path)
     wanted = offsets.intervals(bronze).persist()  # some rows for each day
     try:
@@ -160,7 +158,7 @@ def load(
     touches.update(_event_days(spark, root, schemas, new_sums, replaced))
     current = {**base.parts("layers"), **{day: layers.get(day, []) for day in replaced}}
     valid = [(_day(day), own[0].load) for day, own in current.items() if own]
-    all_sums, new_gold, schemas["gold"] = _regild(
+    all_sums, new_gold, schemas["gold"] = regild(
         spark, root, name, base, schemas, new_sums, touched, valid, step
     )
     facts = {
@@ -185,7 +183,8 @@ def load(
     return days
 
 
-def _same_use(base: Snapshot, use: str, date_basis: str) -> None:
+def refuse_other_use(base: Snapshot, use: str, date_basis: str) -> None:
+    """A lake is kept by batch loads or by one stream, with one meaning of an event's day."""
     if base.version and (base.facts["use"], base.facts["date_basis"]) != (use, date_basis):
         raise ValueError(
             f"this lake is kept by {base.facts['use']} loads with {base.facts['date_basis']} dates"
@@ -230,7 +229,7 @@ def _event_days(spark, root, schemas, new_sums: Parts, landing_days: list[str])
     return found
 
 
-def _regild(
+def regild(
     spark: SparkSession,
     root: str,
     name: str,
@@ -238,10 +237,13 @@ def _regild(
     schemas: dict[str, str],
     new_sums: Parts,
     touched: set[str],
-    valid: list[tuple] | None,
-    step: Step,
+    valid: list[tuple] | None = None,
+    step: Step = _nothing,
 ) -> tuple[Parts, Parts, str]:
-    """Gold of the touched event days from their sums, and sums with full levels merged."""
+    """Gold of the touched event days from their sums, and sums with full levels merged.
+
+    ``valid``: the landing days and the loads whose rows count for them; all rows, without it.
+    """
     old = base.parts("sums")
     sums = dict(old)
     for day in touched:
@@ -281,46 +283,3 @@ def _regild(
         level += 1
     step("merged")
     return sums, gilded, snapshots.schema_of(merged)
-
-
-# --- Streams ------------------------------------------------------------------------------------
-
-
-def follow(
-    silver: DataFrame,
-    root: str,
-    checkpoint: str,
-    until_drained: bool = False,
-    date_basis: str = "written",
-) -> StreamingQuery:
-    """Keep Gold up to date with every row of a Silver stream, however late it comes.
-
-    No watermark: each micro-batch leaves its sums by event day, and the days it touched are put
-    together anew, in one snapshot with the batch's number. A batch that comes again is
-    already in and is left out. Another stream, or this one from a new checkpoint, would count
-    its messages a second time: it is refused.
-    """
-
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        base = snapshots.latest(spark, root)
-        _same_use(base, STREAM, date_basis)
-        if base.facts.get("stream", stream) != stream:
-            raise ValueError(
-                f"{root} is kept by a stream with another checkpoint; start with an empty place"
-            )
-        if base.facts.get("last_batch", -1) >= batch_id:
-            return
-        name = snapshots.new_load()
-        sums = gold.partial_metrics(batch, date_basis).withColumn("day", F.col("event_date"))
-        schemas = {"sums": snapshots.schema_of(sums)}
-        new_sums = snapshots.write(sums, root, "sums", name, "day")
-        all_sums, new_gold, schemas["gold"] = _regild(
-            spark, root, name, base, schemas, new_sums, set(new_sums), None, _nothing
-        )
-        facts = {"use": STREAM, "date_basis": date_basis, "stream": stream, "last_batch": batch_id}
-        changed = {"sums": all_sums, "gold": {**base.parts("gold"), **new_gold}}
-        snapshots.publish(spark, root, base.following(changed, schemas, facts))
-
-    return tables.each_batch(silver, refresh, checkpoint, until_drained)

@@ -585,6 +585,27 @@ SELECT CASE WHEN len(reasons) > 0 THEN 'quarantine' ELSE 'silver' END AS layer,
     "stream_first_deliveries": f"{_LENIENT} SELECT {_SHOWN} FROM silver",
     "stream_gold_windowed": f"{_LENIENT} {_gold_select()}",
     "gold_incremental": f"{_LENIENT} {_gold_select()}",
+    "stream_shifted_repeats": f"{_LENIENT} SELECT {_EVENT} FROM silver",
+    "load_after_crashes": f"""{_LENIENT}, gold AS ({_gold_select()})
+SELECT 'silver' AS layer, CAST(bronze_ingested_at AS DATE) AS day, count(*) AS row_count
+FROM silver GROUP BY 2
+UNION ALL
+SELECT 'quarantine', CAST(bronze_ingested_at AS DATE), count(*) FROM quarantine GROUP BY 2
+UNION ALL
+SELECT 'gold', event_date, CAST(sum(transaction_count) AS BIGINT) FROM gold GROUP BY 2""",
+    "offset_ranges": f"""WITH {_messages('simulated')}, runs AS (
+  SELECT ingest_date, "partition", "offset",
+    "offset" - row_number() OVER (PARTITION BY ingest_date, "partition" ORDER BY "offset") AS run
+  FROM bronze
+)
+SELECT ingest_date, "partition", min("offset") AS first, max("offset") AS last,
+  CAST(1 AS BIGINT) AS copies
+FROM runs GROUP BY ingest_date, "partition", run""",
+    "offset_differences": f"""WITH {_messages('simulated')}
+SELECT ingest_date, "partition", "offset" AS first, "offset" AS last,
+  CAST(CASE WHEN "offset" // 4 % 10 = 4 THEN 0 ELSE 1 END AS BIGINT) AS missing,
+  CAST(CASE WHEN "offset" // 4 % 10 = 4 THEN 2 ELSE 0 END AS BIGINT) AS surplus
+FROM bronze WHERE "offset" // 40 % 7 = 0 AND "offset" // 4 % 10 IN (3, 4, 5)""",
     "layer_replay": f"""{_LENIENT}
 SELECT CASE WHEN is_bad THEN 'quarantine' ELSE 'silver' END AS layer, count(*) AS row_count,
   CAST(sum("offset") AS BIGINT) AS offset_sum FROM flat GROUP BY 1""",

@@ -93,21 +93,6 @@ def overwrite_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
     )
 
 
-def replace_partitions(
-    spark: SparkSession, df: DataFrame, path: str, column: str, values: list
-) -> None:
-    """Replace the partitions ``values`` of a table by ``df``, also those it has no rows for.
-
-    ``df`` is a few rows a partition: it is computed again to see which are gone.
-    """
-    overwrite_partitions(df, path, column)
-    there = {row[0] for row in df.select(column).distinct().collect()}
-    for value in set(values) - there:
-        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={name}")
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def bronze_of_days(spark: SparkSession, path: str, days: list[datetime.date]) -> DataFrame:
     """Bronze of the landing days listed; other days' files are not opened."""
     return read_table(spark, path).filter(F.col("ingest_date").isin(days))

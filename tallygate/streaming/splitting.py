@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallygate.functions.casts import written_date
-from tallygate.operators import gate, reliability
+from tallygate.operators import gate
 from tallygate.sources import tables
 from tallygate.sources.messages import BRONZE_SCHEMA
 from tallygate.sources.tables import append_stream
 
-KEPT_IDS = "event_id string, batch_id bigint, event_day date"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def bronze_stream(
@@ -47,34 +47,21 @@ def split(
 def keep_first_deliveries(
     rows: DataFrame, path: str, checkpoint: str, until_drained: bool = False
 ) -> StreamingQuery:
-    """Keep one message of every event in ``path``, whatever order messages come in.
+    """Keep one message of every event in ``path``: the first to come, whatever comes later.
 
-    A repeat is a message with the id and the event day of one kept before. There is no
-    watermark, so only repeats are dropped. Each micro-batch is thinned by itself (see
-    ``first_deliveries``: an event sent most often is cut down in every map task) and
-    compared with the ids kept earlier for the days it has, whose partitions alone are
-    read. A batch goes to a folder of its own: when it is retried it replaces it.
+    A repeat is a message with the id of one that was kept, whatever day, zone or topic it is
+    written for. Ids seen are keyed state in RocksDB, on the executors' disks and in the
+    checkpoint: a micro-batch looks up its own ids and reads nothing that was written before.
+    There is no watermark, so no repeat is too late and the state grows with the events. Which of
+    two messages of one micro-batch is kept is not said. Messages without an id are all kept.
     """
-
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        day = written_date(F.col("event_time"))
-        once = reliability.first_deliveries(batch.withColumn("event_day", day)).persist()
-        try:
-            fresh = once
-            if batch_id and tables.exists(spark, path):
-                span = once.agg(F.min("event_day").alias("a"), F.max("event_day").alias("b")).first()
-                of_days = F.col("event_day").between(span.a, span.b) | F.col("event_day").isNull()
-                kept = (
-                    spark.read.schema(KEPT_IDS)
-                    .parquet(path)
-                    .filter((F.col("batch_id") < batch_id) & of_days)
-                )
-                same = F.col("n.event_id") == F.col("k.event_id")
-                same &= F.col("n.event_day").eqNullSafe(F.col("k.event_day"))
-                fresh = once.alias("n").join(kept.alias("k"), same, "left_anti")
-            tables.overwrite_table(fresh, f"{path}/batch_id={batch_id}", "event_day")
-        finally:
-            once.unpersist()
-
-    return tables.each_batch(rows, keep, checkpoint, until_drained)
+    spark = rows.sparkSession
+    position = F.concat_ws("/", F.lit("position"), "topic", "partition", "offset")
+    key = F.when(F.col("event_id").isNull(), position).otherwise(F.concat(F.lit("="), "event_id"))
+    once = rows.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)  # a stream keeps the settings it is started with
+    try:
+        return append_stream(once, path, checkpoint, until_drained)
+    finally:
+        spark.conf.set(STATE_STORE, before)

@@ -64,18 +64,21 @@ def test_one_day_only(spark, tmp_path):
 
 
 def test_loading_what_is_new(spark, tmp_path):
-    bronze, layers, sums, gold_path = (str(tmp_path / name) for name in "blsg")
+    bronze, lake = str(tmp_path / "b"), str(tmp_path / "l")
     rows = small_bronze(spark)
-    load = ["load", "--bronze", bronze, "--layers", layers, "--partials", sums, "--gold", gold_path]
+    places = ["--bronze", bronze, "--lake", lake]
     for days in ("ingest_date <= '2024-01-10'", "ingest_date > '2024-01-10'", "false"):
         tables.append_table(rows.filter(days), bronze, "ingest_date")
-        run(spark, arguments(load))
-    stored = jobs.read_gold(spark, gold_path)
+        assert run(spark, arguments(["offsets", *places])) == (days == "false")
+        run(spark, arguments(["load", *places]))
+        assert run(spark, arguments(["offsets", *places]))
+    run(spark, arguments(["load", *places, "--again", "2024-01-04", "2024-01-09"]))
+    run(spark, arguments(["vacuum", "--lake", lake, "--older-than-hours", "0"]))
+    stored = jobs.read_gold(spark, lake)
     assert stored.groupBy().sum("transaction_count").first()[0] == 960
-    assert run(
-        spark,
-        arguments(["conserve", "--bronze", bronze, "--layers", layers, "--gold", gold_path]),
-    )
+    assert run(spark, arguments(["conserve", "--layers", lake, "--gold", lake]))
+    run(spark, arguments(["scan", "--layers", lake, "--gold", lake]))
+    run(spark, arguments(["export", "--gold", lake, "--csv", str(tmp_path / "csv")]))
 
 
 def test_a_clean_load_needs_no_quarantine(spark, tmp_path, capsys):
@@ -128,7 +131,8 @@ def test_no_intake_cap_unless_asked_for():
     [
         ["metrics", "--gold", "g"],
         ["split", "--bronze", "b"],
-        ["load", "--bronze", "b", "--layers", "l", "--gold", "g"],
+        ["load", "--bronze", "b"],
+        ["follow-once", "--bronze", "b", "--out", "o"],
     ],
 )
 def test_missing_places_are_refused(argv):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from helpers import SF_DIR, rows, small_bronze
 from tallygate.functions import casts
 from tallygate.operators import checks, gate, gold, reliability
-from tallygate.plans import catalog, jobs
+from tallygate.plans import catalog, jobs, lake
 from tallygate.session import shared_folder
 from tallygate.simulation import fixture, lifecycle
 from tallygate.sources import messages, tables
@@ -99,36 +99,28 @@ def test_loading_new_days(spark, tmp_path):
 
 
 def test_gold_kept_up_to_date_equals_gold_built_anew(spark, tmp_path):
-    layers, partials, gold_path = (str(tmp_path / name) for name in ("layers", "sums", "gold"))
+    bronze_path, root = str(tmp_path / "bronze"), str(tmp_path / "lake")
     bronze = small_bronze(spark)
-    days = [r[0] for r in bronze.select("ingest_date").distinct().collect()]
+    tables.overwrite_table(bronze, bronze_path, "ingest_date")
 
     def check():
-        silver = jobs.read_layer(spark, layers, "silver")
-        assert rows(jobs.read_gold(spark, gold_path)) == rows(gold.daily_metrics(silver))
+        silver = jobs.read_layer(spark, root, "silver")
+        assert rows(jobs.read_gold(spark, root)) == rows(gold.daily_metrics(silver))
 
-    jobs.split_days(bronze, layers)
-    jobs.update_gold(spark, layers, days, partials, gold_path)
+    lake.load(spark, bronze_path, root)
     check()
-    one = days[3]
+    one = datetime.date(2024, 1, 4)
     # Other verdicts on a day, then no message at all that passes.
-    jobs.split_days(bronze.filter(F.col("ingest_date") == one), layers, "strict")
-    jobs.update_gold(spark, layers, [one], partials, gold_path)
+    lake.load(spark, bronze_path, root, "strict", again=[one])
     check()
     bad = bronze.filter(F.col("ingest_date") == one).withColumn("raw_value", F.lit("{"))
-    jobs.split_days(bad, layers)
-    jobs.update_gold(spark, layers, [one], partials, gold_path)
-    check()
-    jobs.update_gold(spark, layers, [], partials, gold_path)
+    tables.overwrite_partitions(bad, bronze_path, "ingest_date")
+    lake.load(spark, bronze_path, root, again=[one])
     check()
+    assert lake.load(spark, bronze_path, root) == []
     # The two ways to make Gold do not share a place.
-    silver = jobs.read_layer(spark, layers, "silver")
     with pytest.raises(ValueError, match="another place"):
-        jobs.build_gold(silver, gold_path)
-    whole = str(tmp_path / "whole")
-    jobs.build_gold(silver, whole)
-    with pytest.raises(ValueError, match="built whole"):
-        jobs.update_gold(spark, layers, [one], partials, whole)
+        jobs.build_gold(jobs.read_layer(spark, root, "silver"), root)
 
 
 def test_first_delivery_with_one_event_sent_most_often(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from helpers import SF_DIR, rows, small_bronze
@@ -103,7 +104,7 @@ def silver_stream(spark, inbox, files=1):
 
 def publish(spark, inbox, root):
     query = daily.publish(
-        silver_stream(spark, inbox), f"{root}/sums", f"{root}/gold", f"{root}/cp", True
+        silver_stream(spark, inbox), f"{root}/gold", f"{root}/cp", True
     )
     query.awaitTermination()
     return query
@@ -170,3 +171,30 @@ def test_an_event_sent_most_often_is_kept_once(spark, inbox, tmp_path):
     once = keep_first(spark, inbox, tmp_path, 3)
     assert once.count() == 960
     assert once.filter("event_id = 'evt_1'").count() == 1
+
+
+def test_a_new_checkpoint_on_old_sums_is_refused(spark, late_inbox, tmp_path):
+    publish(spark, late_inbox, tmp_path)
+    before = rows(jobs.read_gold(spark, f"{tmp_path}/gold"))
+    again = daily.publish(
+        silver_stream(spark, late_inbox), f"{tmp_path}/gold", f"{tmp_path}/other-cp", True
+    )
+    with pytest.raises(StreamingQueryException, match="another checkpoint"):
+        again.awaitTermination()
+    assert rows(jobs.read_gold(spark, f"{tmp_path}/gold")) == before
+
+
+@pytest.mark.parametrize("files", [1, 50])
+def test_repeats_written_for_another_day_are_dropped(spark, tmp_path, files):
+    """48 events, each sent again for another day and zone: 48, however they fall into batches."""
+    inbox = str(tmp_path / "inbox")
+    sent = fixture.messages_from_events(fixture.event_table(spark, SF_DIR)).filter("offset < 50")
+    text = F.col("value").cast("string")
+    for copy, (date, zone) in enumerate((("2024-01", "Z"), ("2023-07", "+05:30"), ("2031-01", "Z"))):
+        moved = F.regexp_replace(text, "2024-01(-[^Z]*)Z", f"{date}$1{zone}").cast("binary")
+        again = sent.withColumns({"value": moved, "partition": F.col("partition") + 4 * copy})
+        again.coalesce(1).write.mode("append").parquet(inbox)
+    once = keep_first(spark, inbox, tmp_path, files)
+    kept = gate.silver(gate.lenient_gate(small_bronze(spark).filter("offset < 50"))).count()
+    assert once.count() == once.select("event_id").distinct().count() == kept == 48
+    assert list(tmp_path.rglob("once-cp/state/0/*/*.zip"))  # RocksDB's files
