@@ -30,13 +30,17 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     land.add_argument(
         "--max-offsets-per-trigger", type=int, help="intake cap of one micro-batch, if any"
     )
+    land.add_argument(
+        "--option", action="append", default=[], metavar="NAME=VALUE",
+        help="any option of the Kafka source, e.g. kafka.security.protocol=SASL_SSL; repeatable",
+    )
     land.add_argument("--bronze", required=True)
     land.add_argument("--checkpoint", required=True)
 
     split = commands.add_parser("split", help="Bronze to Silver and Quarantine, whole days anew")
     split.add_argument("--bronze", required=True)
     split.add_argument("--layers", required=True)
-    split.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
+    split.add_argument("--gate", choices=tuple(gate.GATES), default="lenient")
     split.add_argument("--first-day", type=datetime.date.fromisoformat)
     split.add_argument("--last-day", type=datetime.date.fromisoformat)
 
@@ -45,24 +49,31 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     )
     load.add_argument("--bronze", required=True)
     load.add_argument("--lake", required=True, help="give it as --layers and --gold elsewhere")
-    load.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
+    load.add_argument("--gate", choices=tuple(gate.GATES), default="lenient")
     load.add_argument(
         "--again", type=datetime.date.fromisoformat, nargs="*", default=[],
         help="landing days to judge anew",
     )
+    load.add_argument(
+        "--rebalance", action="store_true",
+        help="for Bronze whose files mix many days: few files a day, for a shuffle",
+    )
     load.add_argument("--date-basis", choices=("written", "utc"), default="written")
 
     follow = commands.add_parser("follow", help="split as a stream, until stopped")
     follow.add_argument("--bronze", required=True)
     follow.add_argument("--layers", required=True)
     follow.add_argument("--checkpoint", required=True)
-    follow.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
+    follow.add_argument("--gate", choices=tuple(gate.GATES), default="lenient")
 
-    follow_gold = commands.add_parser("follow-gold", help="Bronze to Gold as a stream")
-    follow_gold.add_argument("--bronze", required=True)
+    follow_gold = commands.add_parser(
+        "follow-gold", help="Gold as a stream, out of what follow writes or out of Bronze"
+    )
+    follow_gold.add_argument("--bronze")
+    follow_gold.add_argument("--layers", help="Silver as follow judges it; nothing is judged again")
     follow_gold.add_argument("--gold", required=True)
     follow_gold.add_argument("--checkpoint", required=True)
-    follow_gold.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
+    follow_gold.add_argument("--gate", choices=tuple(gate.GATES), default="lenient")
     follow_gold.add_argument("--date-basis", choices=("written", "utc"), default="written")
 
     follow_once = commands.add_parser(
@@ -71,7 +82,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     follow_once.add_argument("--bronze", required=True)
     follow_once.add_argument("--out", required=True)
     follow_once.add_argument("--checkpoint", required=True)
-    follow_once.add_argument("--gate", choices=("lenient", "strict"), default="lenient")
+    follow_once.add_argument("--gate", choices=tuple(gate.GATES), default="lenient")
 
     missing = commands.add_parser(
         "offsets", help="ranges of offsets a lake lacks or has too often; ends with 1 if any"
@@ -121,6 +132,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     show_quarantine.add_argument("--layers", required=True)
 
     options = parser.parse_args(argv)
+    if options.job == "land":
+        pairs = [given.partition("=") for given in options.option]
+        if not all(name and equals for name, equals, _ in pairs):
+            parser.error("--option takes NAME=VALUE")
+        options.option = [(name, value) for name, _, value in pairs]
+    if options.job == "follow-gold" and bool(options.bronze) == bool(options.layers):
+        parser.error("give either --bronze, to be judged, or --layers, as follow writes them")
     return options
 
 
@@ -141,6 +159,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
             options.topic,
             options.starting_offsets,
             options.max_offsets_per_trigger,
+            dict(options.option),
         )
         landing.land(stream, options.bronze, options.checkpoint).awaitTermination()
     elif options.job == "split":
@@ -154,6 +173,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
             options.gate,
             date_basis=options.date_basis,
             again=options.again,
+            rebalance=options.rebalance,
         )
     elif options.job == "offsets":
         bronze = tables.read_table(spark, options.bronze)
@@ -173,9 +193,13 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
             bronze, options.layers, options.checkpoint, options.gate
         ).awaitTermination()
     elif options.job == "follow-gold":
-        gated = gate.GATES[options.gate](splitting.bronze_stream(spark, options.bronze))
+        if options.layers:
+            passed = splitting.silver_stream(spark, options.layers)
+        else:
+            bronze = splitting.bronze_stream(spark, options.bronze)
+            passed = gate.silver(gate.GATES[options.gate](bronze))
         daily.publish(
-            gate.silver(gated),
+            passed,
             options.gold,
             options.checkpoint,
             date_basis=options.date_basis,
@@ -186,13 +210,14 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
         tables.overwrite_table(reliability.first_deliveries(layer("silver")), options.out)
     elif options.job == "export":
         tables.export_csv(jobs.read_gold(spark, options.gold), options.csv)
+    elif options.job == "scan" and lake.is_lake(spark, options.layers):
+        now = F.current_timestamp()
+        report = lake.scan(spark, options.layers, now).withColumn("scanned_at", now)
+        return _reported(report, options.report)
     elif options.job == "scan":
-        if lake.is_lake(spark, options.layers):
-            due = lake.quarantine_is_due(spark, options.layers)
-        else:
-            due = not options.bronze or jobs.quarantine_is_due(
-                tables.read_table(spark, options.bronze), layer("silver")
-            )
+        due = not options.bronze or jobs.quarantine_is_due(
+            tables.read_table(spark, options.bronze), layer("silver")
+        )
         report = jobs.scan_layers(
             layer("silver"),
             layer("quarantine"),

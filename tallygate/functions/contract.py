@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 from tallygate.functions.event_model import CONTRACT, EVENT_FIELDS, FieldRule
 
+Rules = tuple[FieldRule, ...]
+
 # --- Reason codes: two whole codes, and the families that name a field -----
 MALFORMED = "MALFORMED_JSON"
 ROOT_TYPE = "ROOT_TYPE"
@@ -98,13 +100,13 @@ def _value_rules(rule: FieldRule, value: str) -> dict[str, str]:
     return rules
 
 
-def plain_signatures() -> list[str]:
+def plain_signatures(rules: Rules = CONTRACT) -> list[str]:
     """Schema texts of a document that has all it must, and nothing else.
 
     One for each way the optional or nullable fields may appear.
     """
     forms = []
-    for rule in sorted(CONTRACT, key=lambda rule: rule.name):
+    for rule in sorted(rules, key=lambda rule: rule.name):
         kinds = ["STRING" if rule.kind == "string" else "BIGINT"]
         if rule.nullable:
             kinds.append("VOID")
@@ -113,17 +115,19 @@ def plain_signatures() -> list[str]:
     return [f"ARRAY<OBJECT<{', '.join(filter(None, choice))}>>" for choice in product(*forms)]
 
 
-def is_plain(conditional: bool = False) -> Column:
+def is_plain(conditional: bool = False, rules: Rules = CONTRACT) -> Column:
     """True for a message that plainly keeps every rule; false or null if it needs a look.
 
     Needs ``raw_value``, ``doc`` and the flattened event columns, which hold the document's
     own values once the schema text matches. Only a whole number beyond 32 bits is null
     there, and is then taken from the document.
     """
-    checks = [f"schema_of_variant(doc) IN ({_quoted(plain_signatures())})", NOTHING_FOLLOWS]
-    for rule in CONTRACT:
+    checks = [f"schema_of_variant(doc) IN ({_quoted(plain_signatures(rules))})", NOTHING_FOLLOWS]
+    for rule in rules:
         value = rule.name
-        if rule.kind == "integer":
+        if rule.name not in EVENT_FIELDS:
+            value = _get(rule.name, "string" if rule.kind == "string" else "bigint")
+        elif rule.kind == "integer":
             value = f"coalesce({rule.name}, {_get(rule.name, 'bigint')})"
         for holds in _value_rules(rule, value).values():
             checks.append(f"coalesce({holds}, true)" if rule.nullable else holds)
@@ -141,8 +145,8 @@ def whole_numbers() -> dict[str, Column]:
     }
 
 
-def _type_holds(rule: FieldRule) -> str:
-    kind = f"kinds.{rule.name}"
+def _type_holds(rule: FieldRule, kinds: str) -> str:
+    kind = f"{kinds}.{rule.name}"
     if rule.kind == "string":
         holds = f"{kind} = 'STRING'"
     else:
@@ -155,12 +159,12 @@ def _type_holds(rule: FieldRule) -> str:
     return f"({holds} OR {kind} = 'VOID')" if rule.nullable else holds
 
 
-def _rule_codes(conditional: bool) -> list[str]:
+def _rule_codes(conditional: bool, rules: Rules, kinds: str) -> list[str]:
     """Per rule, an expression that gives its reason code where the rule is broken."""
     missing, types, values = [], [], []
-    for rule in CONTRACT:
-        kind = f"kinds.{rule.name}"
-        holds = _type_holds(rule)
+    for rule in rules:
+        kind = f"{kinds}.{rule.name}"
+        holds = _type_holds(rule, kinds)
         if rule.required:
             missing.append((f"{MISSING}:{rule.name}", f"{kind} IS NULL"))
         types.append((f"{TYPE}:{rule.name}", f"{kind} IS NOT NULL AND NOT ({holds})"))
@@ -169,22 +173,26 @@ def _rule_codes(conditional: bool) -> list[str]:
             # A value is judged only where its type is right.
             values.append((f"{family}:{rule.name}", f"({holds}) AND NOT ({value_holds})"))
     if conditional:
-        given = "coalesce(kinds.failure_reason, 'VOID')"
-        judged = f"kinds.status = 'STRING' AND {given} IN ('STRING', 'VOID')"
+        given = f"coalesce({kinds}.failure_reason, 'VOID')"
+        judged = f"{kinds}.status = 'STRING' AND {given} IN ('STRING', 'VOID')"
         agrees = f"({_get('status', 'string')} = 'failed') = ({given} = 'STRING')"
         values.append((f"{COND}:failure_reason", f"{judged} AND NOT ({agrees})"))
     return [f"CASE WHEN {when} THEN '{code}' END" for code, when in missing + types + values]
 
 
-def kinds() -> Column:
-    """JSON type name of each field, null where the key is absent; null for plain rows."""
+def kinds(rules: Rules = CONTRACT, where: str = "true") -> Column:
+    """JSON type name of each field, null where the key is absent; null for plain rows, and
+    where the contract is not the row's (``where``)."""
     fields = ", ".join(
-        f"'{field}', schema_of_variant({_get(field, 'variant')})" for field in EVENT_FIELDS
+        f"'{rule.name}', schema_of_variant({_get(rule.name, 'variant')})" for rule in rules
     )
-    return F.expr(f"CASE WHEN NOT coalesce(plain, false) THEN named_struct({fields}) END")
+    needed = f"{where} AND NOT coalesce(plain, false)"
+    return F.expr(f"CASE WHEN {needed} THEN named_struct({fields}) END")
 
 
-def broken_rules(conditional: bool = False) -> Column:
+def broken_rules(
+    conditional: bool = False, rules: Rules = CONTRACT, kinds: str = "kinds"
+) -> Column:
     """One entry per rule, the reason code where it is broken and null where it holds.
 
     Needs ``raw_value``, ``doc``, ``plain`` and ``kinds``; null for plain rows.
@@ -193,16 +201,28 @@ def broken_rules(conditional: bool = False) -> Column:
         WHEN plain THEN NULL
         WHEN NOT coalesce({ONE_VALUE}, false) THEN array('{MALFORMED}')
         WHEN NOT startswith(schema_of_variant(doc), 'ARRAY<OBJECT<') THEN array('{ROOT_TYPE}')
-        ELSE array({", ".join(_rule_codes(conditional))}) END""")
+        ELSE array({", ".join(_rule_codes(conditional, rules, kinds))}) END""")
 
 
-def extra_keys() -> Column:
+def extra_keys(rules: Rules = CONTRACT) -> Column:
     """A reason code for each key the contract does not know, sorted; null for plain rows."""
-    unknown = f"array_except(json_object_keys(raw_value), array({_quoted(EVENT_FIELDS)}))"
+    names = _quoted(rule.name for rule in rules)
+    unknown = f"array_except(json_object_keys(raw_value), array({names}))"
     return F.expr(f"""CASE WHEN NOT coalesce(plain, false)
         THEN transform(sort_array({unknown}), key -> concat('{EXTRA}:', key)) END""")
 
 
+def version(known: list[int]) -> Column:
+    """The contract that judges a message: that of its own version, or the first one where the
+    message names none of the known. Only a number names a version."""
+    written = _get("schema_version", "variant")
+    number = f"CASE WHEN schema_of_variant({written}) <> 'STRING' THEN " + _get(
+        "schema_version", "double"
+    ) + " END"
+    listed = ", ".join(map(str, known))
+    return F.expr(f"CASE WHEN {number} IN ({listed}) THEN int({number}) ELSE {known[0]} END")
+
+
 def reasons() -> Column:
     """All the reasons a message breaks the contract, in a fixed order; empty if none.
 

@@ -75,6 +75,20 @@ class Check:
             return (F.unix_micros(as_of) - F.unix_micros(latest)) / 1e6
         raise ValueError(f"unknown metric {self.metric!r}")
 
+    def state(self, rows: Column) -> Column:
+        """What a slice of the rows has to say about the metric, as a whole number that merges
+        with those of other slices: counts add up, of times the latest counts."""
+        if self.metric == FRESHNESS:
+            return F.max(F.when(rows, F.unix_micros(self.column)))
+        return self.measure(None, rows)
+
+    def merged(self, state: Column, as_of: Column | None) -> Column:
+        """The metric out of the states of all slices."""
+        if self.metric == FRESHNESS:
+            now = F.current_timestamp() if as_of is None else as_of
+            return (F.unix_micros(now) - F.max(state)) / 1e6
+        return F.coalesce(F.sum(state), F.lit(0))
+
 
 # --- Fixed values: the datasets and the checks on each of them -------------
 SILVER = "silver_fintech_transactions"
@@ -131,17 +145,62 @@ def scan_together(
 
     Each dataset is the rows where its condition holds.
     """
-    listed = [
+    listed = _listed(datasets)
+    measured = rows.agg(
+        *[
+            check.measure(as_of, condition).cast("double").alias(f"value_{position}")
+            for position, (_, condition, check) in enumerate(listed)
+        ]
+    )
+    return _report(measured, listed)
+
+
+Datasets = dict[str, tuple[Column, tuple[Check, ...]]]
+
+
+def _listed(datasets: Datasets) -> list[tuple[str, Column, Check]]:
+    return [
         (name, condition, check)
         for name, (condition, checks) in datasets.items()
         for check in checks
     ]
-    measured = rows.agg(
+
+
+def slice_states(rows: DataFrame, datasets: Datasets, slice_column: str) -> DataFrame:
+    """(slice, dataset, check_id, state): one row for each check and slice of the rows, in a single
+    pass over them. Stored, they stand for the rows: a scan merges them (``scan_states``)."""
+    listed = _listed(datasets)
+    states = [check.state(condition).alias(f"s{i}") for i, (_, condition, check) in enumerate(listed)]
+    told = [
+        F.struct(
+            F.lit(name).alias("dataset"),
+            F.lit(check.check_id).alias("check_id"),
+            F.col(f"s{i}").cast("bigint").alias("state"),
+        )
+        for i, (name, _, check) in enumerate(listed)
+    ]
+    return rows.groupBy(slice_column).agg(*states).select(slice_column, F.inline(F.array(*told)))
+
+
+def scan_states(states: DataFrame, datasets: Datasets, as_of: Column | None = None) -> DataFrame:
+    """The report that ``scan_together`` gives of all the rows, out of the states of their slices."""
+    listed = _listed(datasets)
+
+    def own(name: str, check: Check) -> Column:
+        of_check = (F.col("dataset") == name) & (F.col("check_id") == check.check_id)
+        return F.when(of_check, F.col("state"))
+
+    measured = states.agg(
         *[
-            check.measure(as_of, condition).cast("double").alias(f"value_{position}")
-            for position, (_, condition, check) in enumerate(listed)
+            check.merged(own(name, check), as_of).cast("double").alias(f"value_{position}")
+            for position, (name, _, check) in enumerate(listed)
         ]
     )
+    return _report(measured, listed)
+
+
+def _report(measured: DataFrame, listed: list[tuple[str, Column, Check]]) -> DataFrame:
+    """A row for each check out of one row with all their values."""
     report = []
     for position, (name, _, check) in enumerate(listed):
         value = F.col(f"value_{position}")

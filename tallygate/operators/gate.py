@@ -8,6 +8,9 @@ sides writes them in one pass (``plans.jobs.split_days``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,6 +95,11 @@ def strict_gate(bronze: DataFrame, conditional: bool = False) -> DataFrame:
             {"broken": contract.broken_rules(conditional), "extra": contract.extra_keys()}
         )
     )
+    return _judged(read)
+
+
+def _judged(read: DataFrame) -> DataFrame:
+    """Reasons and verdicts of rows with what they break."""
     judged = evaluate_once(read, F.struct(contract.reasons().alias("reasons")))
     bad = F.size("reasons") > 0
     exact = {
@@ -101,7 +109,48 @@ def strict_gate(bronze: DataFrame, conditional: bool = False) -> DataFrame:
     return judged.withColumns(exact).select(*FLATTENED, "reasons", bad.alias("is_bad"))
 
 
-GATES = {"lenient": lenient_gate, "strict": strict_gate}
+def versioned_gate(
+    bronze: DataFrame, contracts: dict[int, contract.Rules], conditional: bool = False
+) -> DataFrame:
+    """Rows judged by the contract of the version that each message names.
+
+    ``contracts``: the rules of each version (see ``functions.json_contract``). A message that
+    names none of them is judged by the lowest. Fields that the event has not had from the
+    beginning are judged, and stay in the raw text; the columns are those of ``strict_gate``.
+    """
+    known = sorted(contracts)
+    rows = flatten(bronze, doc=contract.document()).withColumn("version", contract.version(known))
+
+    def by_version(judge: Callable[[int], Column]) -> Column:
+        chosen = F.when(F.col("version") == known[0], judge(known[0]))
+        for number in known[1:]:
+            chosen = chosen.when(F.col("version") == number, judge(number))
+        return chosen
+
+    read = (
+        rows.withColumn(
+            "plain", by_version(lambda n: contract.is_plain(conditional, contracts[n]))
+        )
+        .withColumns(
+            {f"kinds_{n}": contract.kinds(contracts[n], f"version = {n}") for n in known}
+        )
+        .withColumns(
+            {
+                "broken": by_version(
+                    lambda n: contract.broken_rules(conditional, contracts[n], f"kinds_{n}")
+                ),
+                "extra": by_version(lambda n: contract.extra_keys(contracts[n])),
+            }
+        )
+    )
+    return _judged(read)
+
+
+GATES = {
+    "lenient": lenient_gate,
+    "strict": strict_gate,
+    "strict-conditional": partial(strict_gate, conditional=True),
+}
 
 
 def error_reason() -> Column:

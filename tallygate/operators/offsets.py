@@ -122,9 +122,10 @@ def days_due(wanted: DataFrame, loaded: DataFrame | None) -> list[datetime.date]
 
     Days that only ``loaded`` has are left alone: Bronze may keep fewer days.
     """
+    days = wanted.select("ingest_date").distinct()
     if loaded is None:
-        due = wanted.select("ingest_date").distinct()
-    else:
-        differing = difference(wanted, loaded).select("ingest_date").distinct()
-        due = wanted.select("ingest_date").distinct().join(differing, "ingest_date", "left_semi")
-    return sorted(row.ingest_date for row in due.collect())
+        return sorted(row.ingest_date for row in days.collect())
+    differing = difference(wanted, loaded).select("ingest_date").distinct().collect()
+    if not differing:
+        return []
+    return sorted({row.ingest_date for row in differing} & {row.ingest_date for row in days.collect()})

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tallygate.operators.gate import POSITION
 
+#: Milliseconds of a bucket of lags.
+COARSE = 1 << 16
+
 
 def conservation(
     bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, gold: DataFrame
@@ -54,9 +57,10 @@ def first_deliveries(rows: DataFrame, key: str = "event_id") -> DataFrame:
 def layer_lag(typed_silver: DataFrame, rank: float = 0.95) -> DataFrame:
     """Seconds from event to Kafka, to Bronze and to Silver, per topic.
 
-    Rows are first counted by topic and lag in whole milliseconds, which every map task
-    does for its own; the percentile is then read off the counts, so that one busy topic
-    does not bring its rows together.
+    The percentile is found in two passes: rows are counted by lag in coarse buckets, which
+    every map task does for its own; then, of the bucket that holds the rank, by millisecond. So
+    what is put in order is a list of buckets and at most ``COARSE`` milliseconds of one, however
+    many messages a topic has and however far its lags are spread.
     """
     stages = {
         "event_to_kafka": ("event_time_ts", "kafka_timestamp"),
@@ -77,26 +81,61 @@ def layer_lag(typed_silver: DataFrame, rank: float = 0.95) -> DataFrame:
             )
         ),
     )
-    counted = lags.groupBy("topic", "stage", F.expr("micros div 1000").alias("millis")).agg(
+    group, millis = ["topic", "stage"], F.expr("micros div 1000")
+    counted = lags.groupBy(*group, F.floor(millis / COARSE).alias("bucket")).agg(
         F.count("*").alias("n"),
         F.count("micros").alias("known"),
         F.sum(F.col("micros").cast("decimal(38,0)")).alias("micros"),
         F.max("micros").alias("most"),
     )
-    group = Window.partitionBy("topic", "stage")
-    up_to = group.orderBy("millis").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = counted.withColumn(
-        "reached", F.sum("known").over(up_to) >= F.sum("known").over(group) * rank
+    placed = _placed(counted, group, "bucket", rank)
+    wanted = placed.filter("before < wanted AND before + known >= wanted")
+    # The second pass counts the milliseconds of those buckets only: one of each topic and stage.
+    within = (
+        lags.withColumns({"millis": millis, "bucket": F.floor(millis / COARSE)})
+        .join(wanted.select(*group, "bucket"), [*group, "bucket"], "left_semi")
+        .groupBy(*group, "millis")
+        .agg(F.count("micros").alias("own"))
+    )
+    reached = (
+        within.join(wanted.select(*group, "before", "wanted"), group)
+        .withColumn(
+            "so_far",
+            F.col("before")
+            + F.sum("own").over(Window.partitionBy(*group).orderBy("millis")),
+        )
+        .filter("so_far >= wanted")
+        .groupBy(*group)
+        .agg(F.min("millis").alias("at_rank"))
     )
-    measures = [F.sum(F.when(F.col("stage") == next(iter(stages)), F.col("n"))).alias("row_count")]
+    known = F.sum("known")
+    per_stage = counted.groupBy(*group).agg(
+        F.sum("n").alias("n"),
+        known.alias("known"),
+        (F.sum("micros").cast("double") / F.nullif(known, F.lit(0)) / 1e6).alias("mean"),
+        F.max("most").alias("most"),
+    ).alias("s")
+    same = F.col("s.topic").eqNullSafe(F.col("r.topic")) & (F.col("s.stage") == F.col("r.stage"))
+    measured = per_stage.join(reached.alias("r"), same, "left").select("s.*", "r.at_rank")
+    first = next(iter(stages))
+    measures = [F.sum(F.when(F.col("stage") == first, F.col("n"))).alias("row_count")]
     for stage in stages:
         own = F.col("stage") == stage
-        known = F.sum(F.when(own, F.col("known")))
-        mean = F.sum(F.when(own, F.col("micros"))).cast("double") / F.nullif(known, F.lit(0)) / 1e6
-        at_rank = own & F.col("reached") & F.col("millis").isNotNull()
         measures += [
-            F.round(mean, 3).alias(f"{stage}_avg"),
-            (F.min(F.when(at_rank, F.col("millis"))) / 1e3).alias(f"{stage}_p95"),
+            F.round(F.max(F.when(own, F.col("mean"))), 3).alias(f"{stage}_avg"),
+            (F.max(F.when(own, F.col("at_rank"))) / 1e3).alias(f"{stage}_p95"),
             (F.max(F.when(own, F.col("most"))) / 1e6).alias(f"{stage}_max"),
         ]
-    return reached.groupBy("topic").agg(*measures)
+    return measured.groupBy("topic").agg(*measures)
+
+
+def _placed(counted: DataFrame, group: list[str], by: str, rank: float) -> DataFrame:
+    """Counts with how many come before them in their group, and which place is looked for."""
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    return counted.filter(F.col(by).isNotNull()).withColumns(
+        {
+            "before": F.coalesce(F.sum("known").over(before), F.lit(0)),
+            "wanted": F.sum("known").over(whole) * rank,
+        }
+    )

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygate.functions import casts, contract
-from tallygate.functions.event_model import EVENT_FIELDS, LENIENT_REQUIRED
+from tallygate.functions.event_model import CONTRACT, EVENT_FIELDS, LENIENT_REQUIRED, FieldRule
 from tallygate.operators import checks, gate, gold, offsets, reliability
 from tallygate.plans import jobs, lake
 from tallygate.session import shared_folder
@@ -206,6 +207,28 @@ def _contract_rule(*prefixes: str, **options) -> Query:
     return query
 
 
+#: Version 2 of the contract, for a query: two currencies, scores to 50, and a new field.
+SECOND_VERSION = (
+    *[
+        replace(rule, allowed=("USD", "EUR")) if rule.name == "currency"
+        else replace(rule, maximum=50) if rule.name == "risk_score"
+        else rule
+        for rule in CONTRACT
+    ],
+    FieldRule("channel", required=False, allowed=("web", "app")),
+)
+
+
+def contract_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every broken rule where half the messages name version 2, each judged by its own."""
+    second = F.replace("raw_value", F.lit('"schema_version": 1'), F.lit('"schema_version": 2'))
+    bronze = _bronze(spark, sf_dir, "contract").withColumn(
+        "raw_value", F.when(F.col("offset") % 20 < 10, second).otherwise(F.col("raw_value"))
+    )
+    gated = gate.versioned_gate(bronze, {1: CONTRACT, 2: SECOND_VERSION})
+    return gated.select("offset", F.explode("reasons").alias("reason"))
+
+
 def silver_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.typed(_silver(spark, sf_dir)).select(
         "offset",
@@ -326,13 +349,27 @@ def _scan_metric(metric: str) -> Query:
 
 def dq_clean_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nothing bad came in, so nothing is asked of Quarantine but that its rows are whole."""
-    bronze = _bronze(spark, sf_dir).filter("offset % 10 <> 0")
+    events = fixture.event_table(spark, sf_dir)
+    # The fixture damages events whose id ends in 0; these ids do not.
+    bronze = fixture.bronze_from_events(events.withColumn("event_id", F.col("event_id") * 10 + 1))
     gated = gate.lenient_gate(bronze)
     silver, quarantine = gate.silver(gated, _load_time()), gate.quarantine(gated, _load_time())
     due = jobs.quarantine_is_due(bronze, silver)
     return checks.scan(checks.QUARANTINE, quarantine, checks.quarantine_checks(due))
 
 
+def dq_scan_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on a lake after two loads and a day judged anew: states of days are merged, no
+    row of Silver or Quarantine is read for it."""
+    bronze_path, root = shared_folder(spark, "bronze"), shared_folder(spark, "lake")
+    bronze = _bronze(spark, sf_dir)
+    for days in (F.col("ingest_date") > LOADED_THROUGH, F.col("ingest_date") <= LOADED_THROUGH):
+        tables.append_table(bronze.filter(days), bronze_path, "ingest_date")
+        lake.load(spark, bronze_path, root)
+    lake.load(spark, bronze_path, root, again=[SLICE_FIRST])
+    return lake.scan(spark, root, _report_time())
+
+
 def dq_invalid_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amounts that are no number are invalid, as negative ones are."""
     odd = F.expr("CASE offset % 97 WHEN 0 THEN 'NaN' WHEN 1 THEN '-1.00' ELSE amount END")
@@ -655,6 +692,7 @@ QUERIES: dict[str, Query] = {
     "contract_ranges": _contract_rule(contract.RANGE),
     "contract_extra_keys": _contract_rule(contract.EXTRA),
     "contract_conditional": _contract_rule(contract.COND, conditional=True),
+    "contract_versions": contract_versions,
     "silver_typed": silver_typed,
     "audit_stamps": audit_stamps,
     "lifecycle_status": lifecycle,
@@ -678,6 +716,7 @@ QUERIES: dict[str, Query] = {
     "dq_scan_gold": dq_scan_gold,
     "dq_scan_customer": dq_scan_customer,
     "dq_clean_load": dq_clean_load,
+    "dq_scan_merged": dq_scan_merged,
     "dq_invalid_nan": dq_invalid_nan,
     "layer_conservation": layer_conservation,
     "silver_incremental": silver_incremental,

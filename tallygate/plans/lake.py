@@ -1,8 +1,9 @@
 """All layers as one: a load judges new days and brings Gold up to date, or changes nothing.
 
 Silver and Quarantine (``layers``, by landing day), the offsets they hold (``positions``, by
-landing day), the sums that Gold is made of (``sums``, by event day) and Gold itself (``gold``,
-by event day) are tables of one lake. A load writes folders of its own and publishes them all
+landing day), what checks have to say of them (``checks``, by landing day), the sums that Gold
+is made of (``sums``, by event day) and Gold itself (``gold``, by event day) are tables of one
+lake. A load writes folders of its own and publishes them all
 by one snapshot (``sources.snapshots``); wherever it dies, readers see the load before, and a
 rerun does it anew.
 
@@ -20,14 +21,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.operators import gate, gold, offsets
+from tallygate.operators import checks, gate, gold, offsets
 from tallygate.sources import snapshots, tables
 from tallygate.sources.snapshots import NULL, Parts, Snapshot
 
 #: Parts of one level, and of one event day, that are merged into one of the next level.
 FANOUT = 8
 BATCH, STREAM = "batch", "stream"
-
 Step = Callable[[str], None]
 
 
@@ -91,6 +91,29 @@ def quarantine_is_due(spark: SparkSession, root: str) -> bool:
     return any(c[2] for c in snapshots.latest(spark, root).facts["counts"].values())
 
 
+def _checked(bad_rows_expected: bool = True) -> checks.Datasets:
+    """The checks of which every load stores the state of its landing days."""
+    return {
+        checks.SILVER: (
+            F.col("layer") == "silver", checks.SILVER_CHECKS + checks.FRESHNESS_CHECKS
+        ),
+        checks.QUARANTINE: (
+            F.col("layer") == "quarantine", checks.quarantine_checks(bad_rows_expected)
+        ),
+    }
+
+
+def scan(spark: SparkSession, root: str, as_of: Column | None = None) -> DataFrame:
+    """The full check report, without reading Silver or Quarantine: their checks are merged from
+    the states that the loads left, Gold is small."""
+    now = snapshots.latest(spark, root)
+    states = snapshots.read(spark, root, now, "checks")
+    report = checks.scan_states(states, _checked(quarantine_is_due(spark, root)), as_of)
+    return report.unionByName(
+        checks.scan(checks.GOLD, gold_rows(spark, root), checks.GOLD_CHECKS, as_of)
+    )
+
+
 # --- Loading ------------------------------------------------------------------------------------
 
 
@@ -102,12 +125,14 @@ def load(
     as_of: Column | None = None,
     date_basis: str = "written",
     again: list[datetime.date] = (),
+    rebalance: bool = False,
     step: Step = _nothing,
 ) -> list[datetime.date]:
     """Bring the lake up to date with Bronze; returns the landing days that were judged.
 
     Those are the days whose offsets in the lake are not exactly Bronze's, and the days
-    ``again``. Bronze is read by a list of days; of the others only positions are looked at.
+    ``again``. Bronze is read by a list of days; of the others only positions are looked at. A
+    load whose two sides do not add up to what Bronze has of a day publishes nothing.
     """
     base = snapshots.latest(spark, root)
     refuse_other_use(base, BATCH, date_basis)
@@ -130,16 +155,26 @@ def load(
     finally:
         wanted.unpersist()
     name = snapshots.new_load()
-    layers, schemas, counts = _split(
-        spark, tables.bronze_of_days(spark, bronze_path, days), root, name, gate_name, as_of
+    layers, schemas, written = _split(
+        spark, tables.bronze_of_days(spark, bronze_path, days), root, name, gate_name, as_of,
+        rebalance,
     )
-    observed = {day: counts.get(day, (0, 0)) for day in days}
-    for day, sides in observed.items():
-        if sum(sides) != sent.get(day, 0):
-            raise RuntimeError(f"{day}: {sent.get(day, 0)} messages came in, {sides} went out")
     step("layers")
 
     judged = snapshots.read(spark, root, Snapshot(schemas=schemas), "layers", layers)
+    states = checks.slice_states(gate.typed(judged), _checked(), "ingest_date")
+    schemas["checks"] = snapshots.schema_of(states)
+    told = snapshots.write(states, root, "checks", name, "ingest_date")
+    observed = _sides(snapshots.read(spark, root, Snapshot(schemas=schemas), "checks", told))
+    if tuple(map(sum, zip((0, 0), *observed.values()))) != written:
+        raise RuntimeError(f"{written} rows were written, {observed} can be read")
+    for day in days:
+        if sum(observed.get(day, (0, 0))) != sent.get(day, 0):
+            raise RuntimeError(
+                f"{day}: {sent.get(day, 0)} messages came in, {observed.get(day)} went out"
+            )
+    step("checks")
+
     held = offsets.intervals(judged)
     schemas["positions"] = snapshots.schema_of(held)
     positions = snapshots.write(held, root, "positions", name, "ingest_date")
@@ -167,7 +202,7 @@ def load(
         "touches": touches,
         "counts": {
             **base.facts.get("counts", {}),
-            **{str(day): [sent.get(day, 0), *sides] for day, sides in observed.items()},
+            **{str(day): [sent.get(day, 0), *observed.get(day, (0, 0))] for day in days},
         },
     }
     changed = {
@@ -175,6 +210,7 @@ def load(
         "positions": {
             **base.parts("positions"), **{day: positions.get(day, []) for day in replaced}
         },
+        "checks": {**base.parts("checks"), **{day: told.get(day, []) for day in replaced}},
         "sums": all_sums,
         "gold": {**base.parts("gold"), **{day: new_gold.get(day, []) for day in touched}},
     }
@@ -191,33 +227,36 @@ def refuse_other_use(base: Snapshot, use: str, date_basis: str) -> None:
         )
 
 
-def _split(spark, bronze_slice, root, name, gate_name, as_of):
-    """Write both sides of the days; (parts, schemas, what was written of each side by day).
+def _split(spark, bronze_slice, root, name, gate_name, as_of, rebalance):
+    """Write both sides of the days: (parts, schemas, rows of either side as the write saw them).
 
-    Counts are observed in the write itself. Only where a write is of several days, its rows are
-    looked at once more, by day and side alone.
+    Map-only, unless the rows are to be rebalanced: then Spark brings those of a day together
+    first, a large day in several pieces, so that days come in few files whatever order
+    their messages lay in.
     """
     seen = Observation()
     gated = gate.GATES[gate_name](bronze_slice)
     rows = gate.labelled(gated, as_of).withColumn("ingest_date", F.to_date("bronze_ingested_at"))
-    silver = F.sum(F.when(F.col("layer") == "silver", 1).otherwise(0))
-    watched = rows.sortWithinPartitions("ingest_date", "layer").observe(
-        seen, F.count("*").alias("n"), F.coalesce(silver, F.lit(0)).alias("silver")
-    )
+    if rebalance:
+        rows = rows.hint("rebalance", "ingest_date")
+
+    def of(layer: str) -> Column:
+        return F.count_if(F.col("layer") == layer).alias(layer)
+
+    watched = rows.observe(seen, of("silver"), of("quarantine"))
     schemas = {"layers": snapshots.schema_of(rows)}
-    layers = snapshots.write(watched, root, "layers", name, "ingest_date")
-    total = seen.get
-    if len(layers) == 1:
-        day = _day(next(iter(layers)))
-        return layers, schemas, {day: (total["silver"], total["n"] - total["silver"])}
-    stored = snapshots.read(spark, root, Snapshot(schemas=schemas), "layers", layers)
-    by_day = stored.groupBy("ingest_date").agg(
-        F.count("*").alias("n"), F.coalesce(silver, F.lit(0)).alias("silver")
-    )
-    counts = {r.ingest_date: (r.silver, r.n - r.silver) for r in by_day.collect()}
-    if sum(map(sum, counts.values())) != total["n"]:
-        raise RuntimeError("rows that were written can not be read")
-    return layers, schemas, counts
+    sorted_rows = watched.sortWithinPartitions("ingest_date", "layer")
+    layers = snapshots.write(sorted_rows, root, "layers", name, "ingest_date")
+    return layers, schemas, (seen.get["silver"], seen.get["quarantine"])
+
+
+def _sides(states: DataFrame) -> dict[datetime.date, tuple[int, int]]:
+    """Rows of Silver and of Quarantine by landing day: the states of the checks of row counts."""
+    counted = states.filter(F.col("check_id").startswith(checks.ROW_COUNT))
+    found: dict[datetime.date, dict[str, int]] = {}
+    for row in counted.collect():  # two rows for each day of the load
+        found.setdefault(row.ingest_date, {})[row.dataset] = row.state
+    return {day: (n[checks.SILVER], n[checks.QUARANTINE]) for day, n in found.items()}
 
 
 def _event_days(spark, root, schemas, new_sums: Parts, landing_days: list[str]) -> dict:

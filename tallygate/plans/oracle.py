@@ -203,7 +203,7 @@ bronze AS (
 _NEEDED = " OR ".join(f"{name} IS NULL" for name in LENIENT_REQUIRED)
 
 
-def _flat(payload: str) -> str:
+def _flat(payload: str, source: str = "bronze") -> str:
     """CTEs ending in ``flat``: each message's fields as the lenient parse sees them."""
     fields = []
     for name in FIELDS:
@@ -220,7 +220,7 @@ docs AS (
   SELECT topic, "partition", "offset", raw_value, kafka_timestamp,
     ingested_at AS bronze_ingested_at, ingest_date, mode,
     CASE WHEN json_valid(raw_value) THEN CAST(raw_value AS JSON) END AS doc
-  FROM bronze
+  FROM {source}
 ),
 fields AS (
   SELECT topic, "partition", "offset", raw_value, kafka_timestamp, bronze_ingested_at,
@@ -248,7 +248,7 @@ _SHOWN = ", ".join(
 _EVENT = f'"partition", "offset", {_SHOWN}'
 
 
-def _judged(payload: str, conditional: bool = False) -> str:
+def _judged(payload: str, conditional: bool = False, source: str = "bronze") -> str:
     """CTEs ending in ``judged``: each message with its list of broken contract rules."""
 
     def kind(name: str) -> str:
@@ -325,7 +325,7 @@ def _judged(payload: str, conditional: bool = False) -> str:
         f"AS {name}"
         for name in INTEGERS
     )
-    return f"""{_flat(payload)},
+    return f"""{_flat(payload, source)},
 verdicts AS (
   SELECT *, CASE
       WHEN doc IS NULL THEN ['MALFORMED_JSON']
@@ -345,6 +345,30 @@ broken AS (SELECT "offset", unnest(reasons) AS reason FROM judged)
 SELECT "offset", reason FROM broken WHERE split_part(reason, ':', 1) IN {_in(prefixes)}"""
 
 
+_HALF_SECOND = """(SELECT * REPLACE (CASE WHEN "offset" % 20 < 10
+    THEN replace(raw_value, '"schema_version": 1', '"schema_version": 2')
+    ELSE raw_value END AS raw_value) FROM bronze)"""
+_VERSIONS = f"""WITH {_judged("contract", source=_HALF_SECOND)},
+named AS (
+  SELECT "offset", doc, reasons,
+    coalesce(json_type(doc, '$.schema_version') IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+      AND TRY_CAST(json_extract_string(doc, '$.schema_version') AS DOUBLE) = 2, false) AS second
+  FROM verdicts
+),
+first_rules AS (SELECT "offset", second, unnest(reasons) AS reason FROM named)
+SELECT "offset", reason FROM first_rules WHERE NOT (second AND reason = 'EXTRA:channel')
+UNION ALL
+SELECT "offset", 'ENUM:currency' FROM named
+WHERE second AND json_type(doc, '$.currency') = 'VARCHAR'
+  AND json_extract_string(doc, '$.currency') NOT IN ('USD', 'EUR')
+UNION ALL
+SELECT "offset", 'RANGE:risk_score' FROM named
+WHERE second AND json_type(doc, '$.risk_score') IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+  AND TRY_CAST(json_extract_string(doc, '$.risk_score') AS DOUBLE) > 50
+  AND TRY_CAST(json_extract_string(doc, '$.risk_score') AS DOUBLE) <= 100
+  AND NOT list_contains(reasons, 'TYPE:risk_score')"""
+
+
 # --- Gold -------------------------------------------------------------------
 _MEASURES = {
     "transaction_count": "count(*) AS transaction_count",
@@ -425,6 +449,18 @@ _INVALID = {
 }
 
 
+_FRESH = _check(
+    _SILVER_SET,
+    "silver",
+    "freshness",
+    "event_time_ts",
+    "<",
+    3600,
+    "(epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(event_time_ts))) / 1e6",
+    "value < 3600",
+)
+
+
 def _report(prefix: str, checks) -> str:
     return f"{prefix} " + " UNION ALL ".join(checks)
 
@@ -489,6 +525,7 @@ SELECT reason, count(*) AS row_count FROM broken GROUP BY reason""",
     "contract_enums": _rule("ENUM"),
     "contract_formats": _rule("FORMAT"),
     "contract_ranges": _rule("RANGE"),
+    "contract_versions": _VERSIONS,
     "contract_extra_keys": _rule("EXTRA"),
     "contract_conditional": _rule("COND", conditional=True),
     "silver_typed": f"""{_LENIENT}
@@ -528,16 +565,15 @@ FROM quarantine ORDER BY topic, "partition", "offset" LIMIT 50""",
     "dq_row_count": _all_sets(_ROWS),
     "dq_missing_count": _all_sets(_MISSING),
     "dq_invalid_min": _all_sets(_INVALID),
-    "dq_freshness": f"{_LENIENT} "
-    + _check(
-        _SILVER_SET,
-        "silver",
-        "freshness",
-        "event_time_ts",
-        "<",
-        3600,
-        "(epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(event_time_ts))) / 1e6",
-        "value < 3600",
+    "dq_freshness": f"{_LENIENT} {_FRESH}",
+    "dq_scan_merged": _report(
+        _GOLD,
+        [
+            check
+            for name in (_SILVER_SET, _QUARANTINE_SET, _GOLD_SET)
+            for check in _ROWS[name] + _MISSING[name] + _INVALID[name]
+        ]
+        + [_FRESH],
     ),
     "dq_scan_silver": _one_set(_SILVER_SET),
     "dq_scan_quarantine": _one_set(_QUARANTINE_SET),
@@ -628,7 +664,7 @@ FROM parts""",
 kept AS (SELECT * FROM judged WHERE len(reasons) = 0)
 {_gold_select('high_risk_txn_count', source='kept')}""",
     "dq_clean_load": f"""{_LENIENT},
-none AS (SELECT * FROM quarantine WHERE "offset" % 10 <> 0) """
+none AS (SELECT * FROM quarantine WHERE false) """
     + " UNION ALL ".join(
         _missing_check(_QUARANTINE_SET, "none", column) for column in ("error_reason", "raw_value")
     ),

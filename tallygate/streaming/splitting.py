@@ -44,6 +44,15 @@ def split(
     return append_stream(rows, path, checkpoint, until_drained, "layer")
 
 
+def silver_stream(spark: SparkSession, path: str) -> DataFrame:
+    """New rows of Silver as ``split`` writes them to ``path``; there need not be any yet."""
+    tables.make_folder(spark, path)
+    nothing = spark.createDataFrame([], BRONZE_SCHEMA)
+    schema = gate.labelled(gate.lenient_gate(nothing)).schema
+    rows = spark.readStream.schema(schema).parquet(path)
+    return rows.filter(F.col("layer") == "silver").select(*gate.SILVER_COLUMNS)
+
+
 def keep_first_deliveries(
     rows: DataFrame, path: str, checkpoint: str, until_drained: bool = False
 ) -> StreamingQuery:

@@ -126,9 +126,29 @@ def test_no_intake_cap_unless_asked_for():
     assert arguments([*land, "--max-offsets-per-trigger", "1000"]).max_offsets_per_trigger == 1000
 
 
+def test_options_of_the_kafka_source():
+    land = ["land", "--bootstrap-servers", "b", "--bronze", "x", "--checkpoint", "c"]
+    secured = [*land, "--option", "kafka.security.protocol=SASL_SSL", "--option", "a=b=c"]
+    assert dict(arguments(secured).option) == {"kafka.security.protocol": "SASL_SSL", "a": "b=c"}
+    with pytest.raises(SystemExit):
+        arguments([*land, "--option", "kafka.security.protocol"])
+
+
+@pytest.mark.parametrize("gate_name", ["lenient", "strict", "strict-conditional"])
+def test_every_gate_can_be_asked_for(spark, tmp_path, gate_name):
+    bronze, lake = str(tmp_path / "b"), str(tmp_path / "l")
+    tables.overwrite_table(small_bronze(spark, "contract"), bronze, "ingest_date")
+    run(spark, arguments(["load", "--bronze", bronze, "--lake", lake, "--gate", gate_name]))
+    reasons = jobs.read_layer(spark, lake, "quarantine").selectExpr("explode(reasons) AS reason")
+    asked = not reasons.filter("reason LIKE 'COND:%'").isEmpty()
+    assert asked == (gate_name == "strict-conditional")
+
+
 @pytest.mark.parametrize(
     "argv",
     [
+        ["follow-gold", "--gold", "g", "--checkpoint", "c"],
+        ["follow-gold", "--gold", "g", "--checkpoint", "c", "--bronze", "b", "--layers", "l"],
         ["metrics", "--gold", "g"],
         ["split", "--bronze", "b"],
         ["load", "--bronze", "b"],

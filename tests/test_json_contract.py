@@ -1,0 +1,115 @@
+"""Contracts compiled from their text, and rows judged by the version they name."""
+
+from __future__ import annotations
+
+import json
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import plan_text, rows, small_bronze
+from tallygate.functions import json_contract
+from tallygate.functions.event_model import CONTRACT, FieldRule
+from tallygate.operators import gate
+
+
+def as_text(rules) -> str:
+    """A contract written as JSON Schema, from the rules."""
+    properties = {}
+    for rule in rules:
+        said = {"type": [rule.kind, "null"] if rule.nullable else rule.kind}
+        if rule.pattern:
+            said["pattern"] = "^" + rule.pattern[2:-2] + "$"
+        if rule.allowed:
+            said["enum"] = list(rule.allowed)
+        if rule.date_time:
+            said["format"] = "date-time"
+        said |= {k: v for k in ("minimum", "maximum") if (v := getattr(rule, k)) is not None}
+        properties[rule.name] = said | {"description": f"the {rule.name}"}
+    return json.dumps(
+        {
+            "$schema": "http://json-schema.org/draft-07/schema#",
+            "title": "Event",
+            "type": "object",
+            "required": [rule.name for rule in rules if rule.required],
+            "properties": properties,
+            "additionalProperties": False,
+        }
+    )
+
+
+def test_the_first_version():
+    assert json_contract.compiled(as_text(CONTRACT)) == CONTRACT
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda c: c.update(additionalProperties=True),
+        lambda c: c.pop("additionalProperties"),
+        lambda c: c.update(type="array"),
+        lambda c: c.update(allOf=[]),
+        lambda c: c["required"].append("nowhere"),
+        lambda c: c["properties"]["amount"].update(pattern="[0-9]"),
+        lambda c: c["properties"]["amount"].update(pattern="^a'b$"),
+        lambda c: c["properties"]["amount"].update(minLength=1),
+        lambda c: c["properties"]["amount"].update(type="number"),
+        lambda c: c["properties"]["amount"].update(type=["string", "integer"]),
+        lambda c: c["properties"]["status"].update(enum=["a", 1]),
+        lambda c: c["properties"]["event_time"].update(format="date"),
+        lambda c: c["properties"]["risk_score"].update(multipleOf=2),
+        lambda c: c["properties"].update({"a.b": {"type": "string"}}),
+    ],
+)
+def test_what_is_not_understood_is_refused(change):
+    contract = json.loads(as_text(CONTRACT))
+    change(contract)
+    with pytest.raises(ValueError):
+        json_contract.compiled(json.dumps(contract))
+
+
+def test_one_version_judges_as_the_strict_gate(spark):
+    bronze = small_bronze(spark, "contract")
+    compiled = json_contract.compiled(as_text(CONTRACT))
+    assert rows(gate.versioned_gate(bronze, {1: compiled})) == rows(gate.strict_gate(bronze))
+
+
+def test_each_row_by_the_version_it_names(spark):
+    second = json_contract.compiled(
+        as_text(
+            (
+                *[replace(r, maximum=50) if r.name == "risk_score" else r for r in CONTRACT],
+                FieldRule("channel", allowed=("web", "app")),
+            )
+        )
+    )
+    good = {
+        "event_id": "e", "transaction_id": "t", "user_id": "u", "merchant_id": "m",
+        "amount": "1.00", "currency": "USD", "payment_method": "card",
+        "transaction_type": "refund", "status": "failed", "event_time": "2024-01-01T00:00:00Z",
+        "ingested_at": "2024-01-01T00:00:00Z", "source_system": "s", "schema_version": 1,
+    }
+    wanted = {
+        json.dumps(good): [],
+        json.dumps(good | {"channel": "web"}): ["EXTRA:channel"],
+        json.dumps(good | {"schema_version": 2}): ["MISSING:channel"],
+        json.dumps(good | {"schema_version": 2.0, "channel": "web"}): [],
+        json.dumps(good | {"schema_version": 2, "channel": "tv"}): ["ENUM:channel"],
+        json.dumps(good | {"schema_version": 2, "channel": 1}): ["TYPE:channel"],
+        json.dumps(good | {"schema_version": 2, "channel": "app", "risk_score": 51}): [
+            "RANGE:risk_score"
+        ],
+        json.dumps(good | {"schema_version": 2, "channel": "app", "x": 1}): ["EXTRA:x"],
+        json.dumps(good | {"schema_version": 7}): [],
+        json.dumps(good | {"schema_version": "2"}): ["TYPE:schema_version"],
+        "[]": ["ROOT_TYPE"],
+        "{": ["MALFORMED_JSON"],
+    }
+    one = small_bronze(spark).limit(1).drop("raw_value")
+    texts = spark.createDataFrame([(t,) for t in wanted], "raw_value string")
+    gated = gate.versioned_gate(one.join(F.broadcast(texts)), {1: CONTRACT, 2: second})
+    found = {r.raw_value: r.reasons for r in gated.collect()}
+    assert found == wanted
+    plan = plan_text(gate.versioned_gate(small_bronze(spark), {1: CONTRACT, 2: second}))
+    assert plan.count("parseJson(concat([") == 1

@@ -13,7 +13,7 @@ from tallygate.operators import gate, gold, offsets
 from tallygate.plans import jobs, lake
 from tallygate.sources import snapshots, tables
 
-STEPS = ("layers", "positions", "sums", "gold", "merged")
+STEPS = ("layers", "checks", "positions", "sums", "gold", "merged")
 EARLY = "ingest_date <= '2024-01-10'"
 LATE = "ingest_date > '2024-01-10'"
 
@@ -188,7 +188,7 @@ def test_vacuum(spark, tmp_path):
         lake.load(spark, path, root, step=kill_after("gold"))
     lake.load(spark, path, root)
     assert snapshots.vacuum(spark, root) == 0  # too young
-    assert snapshots.vacuum(spark, root, older_than_hours=0) == 4
+    assert snapshots.vacuum(spark, root, older_than_hours=0) == 5
     lake.load(spark, path, root, again=[datetime.date(2024, 1, 4)])
     check(spark, root, bronze)
     snapshots.vacuum(spark, root, keep=1, older_than_hours=0)
@@ -229,3 +229,44 @@ def test_nothing_to_load(spark, tmp_path):
     tables.overwrite_table(small_bronze(spark).limit(0), path)
     assert lake.load(spark, path, root) == []
     assert not lake.is_lake(spark, root)
+
+
+def test_merged_checks_are_those_of_all_rows(spark, tmp_path):
+    """After loads, a replay and a day by another gate; and only new days are read for them."""
+    root, path = str(tmp_path / "lake"), str(tmp_path / "bronze")
+    bronze, now = small_bronze(spark), F.to_timestamp(F.lit("2024-02-01 00:00:00"))
+
+    def check():
+        sides = [jobs.read_layer(spark, root, layer) for layer in ("silver", "quarantine")]
+        whole = jobs.scan_layers(*sides, lake.gold_rows(spark, root), now)
+        assert rows(lake.scan(spark, root, now)) == rows(whole)
+
+    for days in (EARLY, LATE):
+        stored(spark, path, bronze.filter(days))
+        lake.load(spark, path, root)
+        check()
+    lake.load(spark, path, root, "strict", again=[datetime.date(2024, 1, 4)])
+    check()
+    plan = plan_text(lake.scan(spark, root, now))
+    assert "/checks/" in plan and "/layers/" not in plan
+    last = snapshots.latest(spark, root)
+    loads = {p.load for some in last.parts("checks").values() for p in some}
+    newest = last.parts("checks")["2024-01-04"][0].load
+    assert len(loads) == 3 and [
+        day for day, (p, *_) in last.parts("checks").items() if p.load == newest
+    ] == ["2024-01-04"]
+
+
+def test_rebalanced_days_are_in_few_files(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    mixed = small_bronze(spark).withColumn("ingest_date", F.lit("all")).repartition(12)
+    days = F.to_date("ingested_at")
+    mixed.withColumn("ingest_date", days).write.parquet(path)
+    files = {}
+    for rebalance in (False, True):
+        root = tmp_path / f"lake-{rebalance}"
+        lake.load(spark, path, str(root), rebalance=rebalance)
+        check(spark, str(root), small_bronze(spark))
+        found = list(root.glob("layers/load=*/ingest_date=*/*.parquet"))
+        files[rebalance] = len(found) / 30
+    assert files[True] <= 2 < files[False]

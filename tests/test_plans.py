@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import SF_DIR, plan_text, small_bronze
-from tallygate.operators import checks, gate, gold, reliability
-from tallygate.plans import catalog, jobs
-from tallygate.sources import tables
+from tallygate.operators import checks, gate, gold, offsets, reliability
+from tallygate.plans import catalog, jobs, lake
+from tallygate.sources import snapshots, tables
 
 
 @pytest.fixture(scope="module")
@@ -94,7 +95,8 @@ def test_finding_new_days_reads_positions_only(spark, stored, tmp_path, monkeypa
     frame = type(spark.range(0))
     collect = frame.collect
     monkeypatch.setattr(frame, "collect", lambda df: plans.append(plan_text(df)) or collect(df))
-    days = reliability.days_to_load(tables.read_table(spark, stored), tables.read_table(spark, path))
+    sets = [offsets.intervals(tables.read_table(spark, place)) for place in (stored, path)]
+    days = offsets.days_due(*sets)
     assert days == []
     reads = [line for line in plans[0].splitlines() if line.startswith("ReadSchema")]
     assert len(reads) == 2
@@ -105,23 +107,25 @@ def test_finding_new_days_reads_positions_only(spark, stored, tmp_path, monkeypa
 
 
 def test_gold_update_reads_only_the_days_given(spark, stored, tmp_path, monkeypatch):
-    layers, partials, gold_path = (str(tmp_path / name) for name in ("layers", "sums", "gold"))
-    jobs.split_days(tables.read_table(spark, stored), layers)
-    day = datetime.date(2024, 1, 10)
-    plans = []
-    write = tables.overwrite_partitions
-
-    def watched(df, path, *columns):
-        plans.append(plan_text(df))
-        write(df, path, *columns)
-
-    monkeypatch.setattr(tables, "overwrite_partitions", watched)
-    jobs.update_gold(spark, layers, [day], partials, gold_path)
-    silver_plan, merge_plan = plans
-    assert "2024-01-10" in next(x for x in silver_plan.splitlines() if "PartitionFilters" in x)
-    assert "raw_value" not in silver_plan
-    assert "raw_value" not in merge_plan
-    assert tables.read_table(spark, gold_path).count() > 0
+    """A load of one day again: Bronze's other partitions are not opened, nor the sums and Gold of
+    event days that it does not touch."""
+    root, day = str(tmp_path / "lake"), datetime.date(2024, 1, 10)
+    lake.load(spark, stored, root)
+    plans = {}
+    write = snapshots.write
+    monkeypatch.setattr(
+        snapshots,
+        "write",
+        lambda df, *more, **options: plans.setdefault(more[1], plan_text(df))
+        and write(df, *more, **options),
+    )
+    lake.load(spark, stored, root, again=[day])
+    filters = next(line for line in plans["layers"].splitlines() if "PartitionFilters" in line)
+    assert "ingest_date" in filters
+    assert "raw_value" not in plans["sums"] and "raw_value" not in plans["positions"]
+    read = set(re.findall(r"day=(\d{4}-\d\d-\d\d)", plans["gold"]))
+    touched = set(snapshots.latest(spark, root).facts["touches"][str(day)])
+    assert read and read <= touched
 
 
 def test_lag_is_counted_before_it_is_ranked(spark, stored):
@@ -152,3 +156,24 @@ def test_no_exchange_before_the_gate(spark):
     """The registered queries read their table as it is, however few pieces it has."""
     for name in ("silver_lenient", "silver_strict", "bronze_parse"):
         assert "Exchange" not in plan_text(catalog.QUERIES[name](spark, SF_DIR))
+
+
+def test_lag_orders_buckets_and_never_all_milliseconds(spark):
+    """Lags from a millisecond to a century: windows see buckets, or one bucket's milliseconds."""
+    seconds = F.when(F.col("id") % 2 == 0, F.col("id") % 90).otherwise(F.col("id") * 3_000_000)
+    start = F.timestamp_micros(F.lit(0))
+    end = F.timestamp_micros((seconds * 1_000_003).cast("bigint"))
+    lags = spark.range(1000).select(
+        F.lit("t").alias("topic"), start.alias("event_time_ts"), end.alias("kafka_timestamp"),
+        end.alias("bronze_ingested_at"), end.alias("silver_loaded_at"),
+    )
+    for rank in (0.25, 0.5, 0.95, 1.0):
+        row = reliability.layer_lag(lags, rank).first()
+        exact = sorted(r[0] for r in lags.select(F.unix_millis("kafka_timestamp")).collect())
+        place = next(i for i in range(1000) if i + 1 >= 1000 * rank)
+        assert row.event_to_kafka_p95 == exact[place] / 1e3
+        assert row.kafka_to_bronze_p95 == 0 and row.row_count == 1000
+    plan = plan_text(reliability.layer_lag(lags))
+    windows = [line for line in plan.splitlines() if "windowspecdefinition(" in line]
+    assert windows and all("bucket" in line or "own" in line for line in windows)
+    assert "LeftSemi" in plan

@@ -198,3 +198,14 @@ def test_repeats_written_for_another_day_are_dropped(spark, tmp_path, files):
     kept = gate.silver(gate.lenient_gate(small_bronze(spark).filter("offset < 50"))).count()
     assert once.count() == once.select("event_id").distinct().count() == kept == 48
     assert list(tmp_path.rglob("once-cp/state/0/*/*.zip"))  # RocksDB's files
+
+
+def test_gold_out_of_what_a_stream_has_judged(spark, inbox, tmp_path):
+    """Silver is read as it was judged, by whichever gate; Bronze is not judged again."""
+    bronze = messages.envelope(messages.message_files(spark, inbox), fixture.landing_time())
+    layers = str(tmp_path / "layers")
+    splitting.split(bronze, layers, f"{tmp_path}/cp", "strict", True).awaitTermination()
+    silver = splitting.silver_stream(spark, layers)
+    daily.publish(silver, f"{tmp_path}/gold", f"{tmp_path}/gold-cp", True).awaitTermination()
+    judged = jobs.read_layer(spark, layers, "silver")
+    assert rows(jobs.read_gold(spark, f"{tmp_path}/gold")) == rows(gold.daily_metrics(judged))
