@@ -46,8 +46,7 @@ _AS_IS = (
     " THE <<var;match=1-3>> IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,"
     " INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR"
     " PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<var;match=1-8>> BE LIABLE FOR ANY CLAIM,"
-    # The hyphen is a gap as any other: a test puts "otherwise" in the place of each piece.
-    " DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR-OTHERWISE, ARISING"
+    " DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING"
     " FROM, OUT OF OR IN CONNECTION WITH THE <<var;match=1-3>> OR THE USE OR OTHER DEALINGS IN"
     " THE <<var;match=1-3>>"
 )
@@ -108,25 +107,35 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0"
         " <<beginOptional>>(the License); you may not use this file except in compliance with"
         " the License<<endOptional>>",
+        "Apache License<<beginOptional>>, Version<<endOptional>> 2.0",
+        "SPDX-License-Identifier: Apache-2.0",
     ],
     "gpl-2": [
+        "SPDX-License-Identifier: GPL-2.0 <<beginOptional>>only<<endOptional>>",
+        "GPL-2.0-only",
+        "GPL-2.0-or-later",
         "GNU General Public License <<beginOptional>>as published by the Free Software"
         " Foundation<<endOptional>> <<beginOptional>>either<<endOptional>> version 2"
         " <<beginOptional>>of the License<<endOptional>>"
         " <<beginOptional>>or at your option any later version<<endOptional>>",
     ],
     "gpl-3": [
+        "SPDX-License-Identifier: GPL-3.0 <<beginOptional>>only<<endOptional>>",
+        "GPL-3.0-only",
+        "GPL-3.0-or-later",
         "GNU General Public License <<beginOptional>>as published by the Free Software"
         " Foundation<<endOptional>> <<beginOptional>>either<<endOptional>> version 3"
         " <<beginOptional>>of the License<<endOptional>>"
         " <<beginOptional>>or at your option any later version<<endOptional>>",
     ],
     "lgpl": [
+        "SPDX-License-Identifier: LGPL-<<var;match=1-1>>.<<var;match=1-1>>",
         "GNU Lesser General Public License <<beginOptional>>as published by the Free Software"
         " Foundation<<endOptional>> <<beginOptional>>either<<endOptional>> version"
         " <<var;match=1-2>>",
     ],
     "agpl-3": [
+        "SPDX-License-Identifier: AGPL-3.0",
         "GNU Affero General Public License <<beginOptional>>as published by the Free Software"
         " Foundation<<endOptional>> <<beginOptional>>either<<endOptional>> version 3",
     ],
@@ -148,6 +157,7 @@ TEMPLATES = {
         " SOFTWARE",
     ],
     "mpl-2": [
+        "SPDX-License-Identifier: MPL-2.0",
         "subject to the terms of the Mozilla Public License, <<var;match=1-1>> 2.0",
     ],
     "unlicense": [
@@ -172,6 +182,25 @@ TEMPLATES = {
         "licensed under <<beginOptional>>a<<endOptional>> CC BY-NC <<var;match=1-1>>.0",
         "Creative Commons Attribution-NonCommercial <<var;match=1-1>>.0",
     ],
+    "cc-by-nd": [
+        "CC BY-ND <<var;match=1-1>>.0",
+        "Creative Commons Attribution-NoDerivatives <<var;match=1-1>>.0",
+        "Creative Commons Attribution-NoDerivs <<var;match=1-1>>.0",
+    ],
+    "cc-by-nc-sa": [
+        "CC BY-NC-SA <<var;match=1-1>>.0",
+        "Creative Commons Attribution-NonCommercial-ShareAlike <<var;match=1-1>>.0",
+    ],
+    "cc-by-nc-nd": [
+        "CC BY-NC-ND <<var;match=1-1>>.0",
+        "Creative Commons Attribution-NonCommercial-NoDerivatives <<var;match=1-1>>.0",
+        "Creative Commons Attribution-NonCommercial-NoDerivs <<var;match=1-1>>.0",
+    ],
+    "cc0": [
+        "CC0 1.0",
+        "Creative Commons Zero",
+        "SPDX-License-Identifier: CC0-1.0",
+    ],
 }
 
 #: How licenses open. What goes on as none of the templates is like one, and no more.
