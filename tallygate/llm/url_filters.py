@@ -3,8 +3,8 @@
 Listed URLs are canonical texts. Each sets eight bits in one block of 256: the filter is a
 table of blocks, looked up by a join on the block's number. Only URLs whose bits are all set
 go on to the exact join with the list, which removes the false positives; the others, nearly
-all, are never shuffled for it. No join is told to broadcast: the filter is when Spark finds
-it small enough, else it is joined by shuffling narrow rows.
+all, are never shuffled for it. The filter is broadcast up to a bound on its rows
+(``common.small``); beyond it, Spark joins it by shuffling narrow rows.
 """
 
 from __future__ import annotations
@@ -65,8 +65,8 @@ def canonical(url: Column) -> Column:
 
     Scheme, default ports, fragment, trailing slashes and utm_ parameters are left out.
     """
-    host = F.regexp_replace(host_of(url), r":(80|443)$", "")
-    path = F.regexp_replace(path_of(url), r"/+$", "")
+    host = F.regexp_replace(host_of(url), r":(80|443)\z", "")
+    path = F.regexp_replace(path_of(url), r"/+\z", "")
     query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*\?([^#]*)", 1)
     query = F.regexp_replace(query, r"(^|&)utm_[^&]*", "")
     query = F.regexp_replace(query, r"^&+", "")
