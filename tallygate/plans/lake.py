@@ -3,9 +3,8 @@
 Silver and Quarantine (``layers``, by landing day), the offsets they hold (``positions``, by
 landing day), what checks have to say of them (``checks``, by landing day), the sums that Gold
 is made of (``sums``, by event day) and Gold itself (``gold``, by event day) are tables of one
-lake. A load writes folders of its own and publishes them all
-by one snapshot (``sources.snapshots``); wherever it dies, readers see the load before, and a
-rerun does it anew.
+lake. A load writes folders of its own and publishes them all by one snapshot
+(``sources.snapshots``); wherever it dies, readers see the load before, and a rerun does it anew.
 
 Sums are kept by event day, so a load reads those of the event days it touches and no others.
 Each load adds a small part to these days; ``FANOUT`` parts of a level are merged into one of
@@ -155,10 +154,10 @@ def load(
     finally:
         wanted.unpersist()
     name = snapshots.new_load()
-    layers, schemas, written = _split(
-        spark, tables.bronze_of_days(spark, bronze_path, days), root, name, gate_name, as_of,
-        rebalance,
-    )
+    # The files of Bronze as they were when its offsets were looked at: messages that land
+    # meanwhile are the next load's.
+    of_days = bronze.filter(F.col("ingest_date").isin(days))
+    layers, schemas, written = _split(spark, of_days, root, name, gate_name, as_of, rebalance)
     step("layers")
 
     judged = snapshots.read(spark, root, Snapshot(schemas=schemas), "layers", layers)

@@ -270,3 +270,20 @@ def test_rebalanced_days_are_in_few_files(spark, tmp_path):
         found = list(root.glob("layers/load=*/ingest_date=*/*.parquet"))
         files[rebalance] = len(found) / 30
     assert files[True] <= 2 < files[False]
+
+
+def test_messages_that_land_during_a_load_are_the_next_ones(spark, tmp_path, monkeypatch):
+    root, bronze = str(tmp_path / "lake"), small_bronze(spark).filter(EARLY)
+    path = stored(spark, str(tmp_path / "bronze"), bronze.filter("offset % 3 <> 0"))
+    split = lake._split
+
+    def while_more_lands(*some):
+        stored(spark, path, bronze.filter("offset % 3 = 0"))
+        return split(*some)
+
+    monkeypatch.setattr(lake, "_split", while_more_lands)
+    assert len(lake.load(spark, path, root)) == 10
+    monkeypatch.setattr(lake, "_split", split)
+    assert lake.rows(spark, root).count() == bronze.filter("offset % 3 <> 0").count()
+    assert len(lake.load(spark, path, root)) == 10
+    check(spark, root, bronze)
