@@ -29,8 +29,6 @@ ANCHORS = (
     " el los las y por con para es se su al lo como del"
 )
 CHAIN = 2
-#: Likeness to which figures are compared in tests; nothing is cut off at it.
-LEAST = 0.05
 #: Ids that are put in order together: rows of a block are sorted in one task.
 BLOCK = 1024
 #: Blocks of null ids have the numbers from here down; those of ids do not reach so low.
