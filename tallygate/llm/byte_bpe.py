@@ -7,7 +7,8 @@ token ids so far and the rank of every two neighbours, each step joins the leftm
 of the lowest rank. Ranks are looked up in a literal map of two arrays (``PairRanks``), as a
 lookup in Spark's own maps walks through all their keys. Decoding concatenates the binary pieces
 of the ids. Documents are put together from their words inside the row; nothing is shuffled,
-and nothing is broadcast but the vocabulary.
+and nothing is broadcast but the vocabulary and a bounded number of common words, which are
+merged once, by the same fold, before all others.
 
 Words of more than ``LONG_WORD`` bytes would cost the fold the square of their length. They are
 merged by a queue of neighbours instead, in the step that gathers the words.
@@ -29,16 +30,17 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallygate.llm.common import cut
+
 #: Words (with repeats) whose distinct ones are merged together; bounds what a task holds.
-BATCH_WORDS = 4_000_000
+BATCH_WORDS = 1_200_000
+#: The commonest words of so many documents are merged beforehand, and not again in every
+#: batch. Which ones they are changes no result.
+SAMPLE_DOCUMENTS, COMMON_WORDS = 40_000, 800_000
 #: Documents of one batch of results.
 DOCS_AT_ONCE = 1_000
 #: Bytes of the longest word that the fold merges.
 LONG_WORD = 200
-#: Stands for "these two make no piece"; more than any rank.
-NO_RANK = 1 << 32
-#: In the rank map, a place that no pair is at: its upper half is no piece's number.
-FREE = 1 << 61
 #: More than any array has, and short of where `slice` runs over.
 MOST = 1 << 30
 
@@ -105,7 +107,7 @@ class PairRanks:
 
     The pairs of one left piece are laid out by their right piece from ``starts[left]`` on, so
     that no two pairs share a place: ``places[starts[left] + right]`` has the left piece in its
-    upper half if the pair makes a piece, and that piece in its lower half.
+    upper bits if the pair makes a piece, and that piece in its lower ``bits``.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -117,23 +119,28 @@ class PairRanks:
                 left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
                 if left is not None and right is not None:
                     rights.setdefault(left, []).append((right, rank))
-        room = 3 * sum(map(len, rights.values())) + 1
+        self.bits = len(ranks).bit_length()
+        #: Stands for "these two make no piece"; more than any rank.
+        self.none = 1 << self.bits
+        room = 4 * sum(map(len, rights.values())) + 1
         rng = np.random.default_rng(0)
         taken = np.zeros(room + len(ranks), bool)
         self.starts = np.zeros(len(ranks), np.int64)
-        self.places = np.full(room + len(ranks), FREE, np.int64)
+        #: A place that no pair is at: its upper bits are no piece's number.
+        self.free = len(ranks) << self.bits
+        self.places = np.full(room + len(ranks), self.free, np.int64)
         for left, found in sorted(rights.items(), key=lambda item: -len(item[1])):
-            pairs = np.array(found)
-            start = int(rng.integers(room))
-            while taken[start + pairs[:, 0]].any():
-                start = int(rng.integers(room))
-            taken[start + pairs[:, 0]] = True
-            self.starts[left] = start
-            self.places[start + pairs[:, 0]] = (left << 32) | pairs[:, 1]
+            pairs, free = np.array(found), np.zeros(0, np.int64)
+            while not len(free):
+                tries = rng.integers(room, size=64)
+                free = tries[~taken[tries[:, None] + pairs[:, 0]].any(axis=1)]
+            self.starts[left] = free[0]
+            taken[free[0] + pairs[:, 0]] = True
+            self.places[free[0] + pairs[:, 0]] = (left << self.bits) | pairs[:, 1]
 
     def rank(self, left: int, right: int) -> int:
-        """``NO_RANK`` or more, if the two make no piece."""
-        return int(self.places[self.starts[left] + right]) ^ (left << 32)
+        """``none`` or more, if the two make no piece."""
+        return int(self.places[self.starts[left] + right]) ^ (left << self.bits)
 
 
 # --- Words ---------------------------------------------------------------------------------
@@ -175,7 +182,7 @@ def merge_long(word: bytes, pairs: PairRanks) -> list[int]:
         if at >= 0 and after[at] < len(ids):
             left, right = ids[at], ids[after[at]]
             rank = pairs.rank(left, right)
-            if rank < NO_RANK:
+            if rank < pairs.none:
                 heapq.heappush(queue, (rank, at, left, right))
 
     for at in range(len(ids)):
@@ -197,11 +204,13 @@ def _in_one_row(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _gathered(pattern: str, vocabulary: Vocabulary, batch_words: int):
+def _gathered(pattern: str, vocabulary: Vocabulary, common: pa.Table, batch_words: int):
     """Rows (doc_id, words, odd text) to fewer rows (words, ready, docs): distinct words as
-    bytes, ids of the long ones, and for each document the places of its words in the two."""
+    bytes, ids and decoded bytes of the common and the long ones, and for each document the places of its words
+    in the two. ``common``: words and their ids."""
+    known_words, known_ids = (c.combine_chunks() for c in common.columns)
 
-    def row(parts: list[pa.RecordBatch], merge: Callable[[bytes], list[int]]) -> pa.RecordBatch:
+    def row(parts: list[pa.RecordBatch], merge: Callable[[bytes], dict]) -> pa.RecordBatch:
         lists = []
         for part in parts:
             found, odd = part.column(1), part.column(2)
@@ -217,14 +226,25 @@ def _gathered(pattern: str, vocabulary: Vocabulary, batch_words: int):
         coded = words.dictionary_encode()
         distinct, places = coded.dictionary, coded.indices.to_numpy()
         lengths = pc.binary_length(distinct).to_numpy()
-        long = lengths > LONG_WORD
-        # Long words are numbered after all the others.
-        number = np.empty(len(long), np.int32)
-        number[np.argsort(long, kind="stable")] = np.arange(len(long), dtype=np.int32)
-        short = b"".join(distinct.filter(pa.array(~long)).to_pylist())
-        ends = np.concatenate([[0], np.cumsum(lengths[~long])]).astype(np.int32)
+        known = pc.index_in(distinct, value_set=known_words)
+        # First come the words still to be merged, then the common ones, then the long ones.
+        order = np.where(lengths > LONG_WORD, 2, known.is_valid().to_numpy(zero_copy_only=False))
+        number = np.empty(len(order), np.int32)
+        number[np.argsort(order, kind="stable")] = np.arange(len(order), dtype=np.int32)
+        short = b"".join(distinct.filter(pa.array(order == 0)).to_pylist())
+        ends = np.concatenate([[0], np.cumsum(lengths[order == 0])]).astype(np.int32)
         letters = np.frombuffer(short, np.uint8).astype(np.int32)
-        ready = [merge(word) for word in distinct.filter(pa.array(long)).to_pylist()]
+        long = [merge(word) for word in distinct.filter(pa.array(order == 2)).to_pylist()]
+        spelled = pa.array([answer["spelled"] for answer in long], pa.binary())
+        ids = pa.array([answer["ids"] for answer in long], known_ids.type)
+        common = pa.array(order == 1)
+        ready = pa.StructArray.from_arrays(
+            [
+                pa.concat_arrays([known_ids.take(known.filter(common)), ids]),
+                pa.concat_arrays([distinct.filter(common), spelled]),
+            ],
+            names=["ids", "spelled"],
+        )
         starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         docs = pa.StructArray.from_arrays(
             [
@@ -235,7 +255,7 @@ def _gathered(pattern: str, vocabulary: Vocabulary, batch_words: int):
         )
         columns = {
             "words": pa.ListArray.from_arrays(ends, pa.array(letters)),
-            "ready": pa.array(ready, pa.list_(pa.int32())),
+            "ready": ready,
             "docs": docs,
         }
         return pa.RecordBatch.from_arrays(
@@ -245,10 +265,11 @@ def _gathered(pattern: str, vocabulary: Vocabulary, batch_words: int):
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = None
 
-        def merge(word: bytes) -> list[int]:
+        def merge(word: bytes) -> dict:
             nonlocal pairs
             pairs = pairs or PairRanks(vocabulary)  # most tasks see no long word
-            return merge_long(word, pairs)
+            ids = merge_long(word, pairs)
+            return {"ids": ids, "spelled": b"".join([vocabulary.pieces[i] for i in ids])}
 
         held, parts = 0, []
         for batch in found:
@@ -258,13 +279,15 @@ def _gathered(pattern: str, vocabulary: Vocabulary, batch_words: int):
                 room = int(np.searchsorted(np.cumsum(sizes[start:]), batch_words - held, "right"))
                 if room == 0 and not parts:
                     room = 1  # a text of more words than that has a row of its own
-                if room:
-                    parts.append(batch.slice(start, room))
-                    held += int(sizes[start : start + room].sum())
-                    start += room
-                if start < batch.num_rows or held >= batch_words:
-                    yield row(parts, merge)
+                some = batch.slice(start, room)
+                start += room
+                if start < batch.num_rows:
+                    yield row([*parts, some] if room else parts, merge)
                     held, parts = 0, []
+                else:
+                    # Copied, so that what waits for more does not keep its whole batch.
+                    parts.append(some.take(pa.array(np.arange(room))))
+                    held += int(sizes[start - room :].sum())
         if parts:
             yield row(parts, merge)
 
@@ -280,31 +303,44 @@ def _let(value: Column, body) -> Column:
 
 
 def _numbers(values, kind: str) -> Column:
-    """A literal array (written as one string, which the optimizer turns into the array)."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
-
-
-def _literals(vocabulary: Vocabulary) -> Column:
-    """The vocabulary as one literal struct of arrays."""
-    pairs, ranks = PairRanks(vocabulary), vocabulary.ranks()
-    letters = [bytes([b]) for b in range(256)]
-    return F.struct(
-        _numbers(pairs.starts, "int").alias("starts"),
-        _numbers(pairs.places, "bigint").alias("places"),
-        _numbers(pairs.byte_ids, "int").alias("byte_ids"),
-        _numbers([ranks.get(a + b, NO_RANK) for a in letters for b in letters], "bigint").alias(
-            "byte_pairs"
-        ),
-        F.split(F.lit(",".join(piece.hex() for piece in vocabulary.pieces)), ",").alias("hex"),
-    )
+    """A literal array, written as one string, which the optimizer turns into the array. What
+    is no number there is null."""
+    return F.split(F.lit(",".join(map(str, values))), ",").try_cast(f"array<{kind}>")
+
+
+@dataclass(frozen=True)
+class Known:
+    """The vocabulary as literals, and what it takes to read them."""
+
+    literals: Column
+    bits: int
+
+    @staticmethod
+    def of(vocabulary: Vocabulary) -> Known:
+        pairs, ranks = PairRanks(vocabulary), vocabulary.ranks()
+        letters = [bytes([b]) for b in range(256)]
+        first = [ranks.get(a + b, pairs.none) for a in letters for b in letters]
+        columns = {
+            "starts": _numbers(pairs.starts, "int"),
+            "places": _numbers(["" if p == pairs.free else p for p in pairs.places], "bigint"),
+            "byte_ids": _numbers(pairs.byte_ids, "int"),
+            "byte_pairs": _numbers(first, "bigint"),
+            "hex": F.split(F.lit(",".join(piece.hex() for piece in vocabulary.pieces)), ","),
+        }
+        return Known(F.struct(*[c.alias(name) for name, c in columns.items()]), pairs.bits)
+
+    def bound(self, body: Callable[[Column], Column]) -> Column:
+        """``body`` of the literals, which stand in the plan once for all its uses."""
+        return _let(self.literals, body)
 
 
-def encode(word: Column, known: Column) -> Column:
-    """Token ids of an array of bytes, by a fold of ranked merges; ``known``: ``_literals``."""
+def encode(word: Column, known: Column, bits: int) -> Column:
+    """Token ids of an array of bytes, by a fold of ranked merges; see ``Known``."""
+    none = F.lit(1 << bits)
 
     def rank(left: Column, right: Column) -> Column:
         place = F.get(known["places"], F.get(known["starts"], left) + right)
-        return place.bitwiseXOR(F.shiftleft(left.cast("bigint"), 32))
+        return place.bitwiseXOR(F.shiftleft(left.cast("bigint"), bits))
 
     def join(*parts: Column) -> Column:
         return F.flatten(F.array(*parts))
@@ -316,7 +352,7 @@ def encode(word: Column, known: Column) -> Column:
 
         def merged(at: Column) -> Column:
             piece = F.get(ranks, at - 1).cast("int")
-            after = F.coalesce(rank(piece, F.get(ids, at + 1)), F.lit(NO_RANK))
+            after = F.coalesce(rank(piece, F.get(ids, at + 1)), none.cast("bigint"))
             around = F.when(at > 1, F.array(rank(F.get(ids, at - 2), piece), after)).otherwise(
                 F.array(after)
             )
@@ -332,7 +368,7 @@ def encode(word: Column, known: Column) -> Column:
             )
 
         place = F.array_position(ranks, lowest).cast("int")
-        return F.when(lowest < NO_RANK, _let(place, merged)).otherwise(state)
+        return F.when(lowest < none, _let(place, merged)).otherwise(state)
 
     next_byte = F.slice(word, F.lit(2), F.lit(MOST))
     first = F.struct(
@@ -355,17 +391,17 @@ def decode(ids: Column, known: Column) -> Column:
 
 
 def _put_together(with_ids: bool):
-    """Rows (found, spelled, docs) to a row for each document."""
+    """Rows (merged, ready, docs) to a row for each document."""
 
-    def some(docs: list, pieces: list[bytes], spelled: list[bytes], kind: pa.DataType):
-        joined = [b"".join([pieces[p] for p in places]) for _, places in docs]
+    def some(docs: list, pieces: np.ndarray, spelled: np.ndarray, kind: pa.DataType):
+        joined = [b"".join(pieces[places].tolist()) for _, places in docs]
         columns = {
             "doc_id": pa.array([i for i, _ in docs], kind),
             "n_tokens": pa.array([len(j) // 4 for j in joined], pa.int64()),
             "ids_sha256": pa.array([hashlib.sha256(j).hexdigest() for j in joined]),
             "decoded_sha256": pa.array(
                 [
-                    hashlib.sha256(b"".join([spelled[p] for p in places])).hexdigest()
+                    hashlib.sha256(b"".join(spelled[places].tolist())).hexdigest()
                     for _, places in docs
                 ]
             ),
@@ -379,11 +415,14 @@ def _put_together(with_ids: bool):
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for at in range(batch.num_rows):
-                found, spelled, docs = (c.slice(at, 1).flatten() for c in batch.columns)
+                merged, ready, docs = (c.slice(at, 1).flatten() for c in batch.columns)
+                answers = zip(merged.flatten(), ready.flatten())
+                found, spelled = (pa.concat_arrays(both) for both in answers)
                 ids = found.flatten().to_numpy().astype("<u4").tobytes()
                 ends = 4 * np.concatenate([[0], np.cumsum(found.value_lengths().to_numpy())])
-                pieces = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-                spelled = spelled.to_pylist()
+                pieces = np.empty(len(found), object)
+                pieces[:] = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                spelled = spelled.to_numpy(zero_copy_only=False)
                 keys, places = docs.flatten()
                 for start in range(0, len(docs), DOCS_AT_ONCE):
                     part = list(
@@ -397,6 +436,47 @@ def _put_together(with_ids: bool):
     return batches
 
 
+def _common(texts: DataFrame, known: Known, most: int) -> pa.Table:
+    """(word, ids) of the commonest words in some documents, at most ``most``, whose ids decode
+    to them, as all do."""
+    words = (
+        texts.select(F.explode("words").alias("word"))
+        .select(F.col("word").cast("binary"))
+        .where(F.length("word") <= LONG_WORD)
+        .groupBy("word")
+        .count()
+        .orderBy(F.desc("count"))
+        .limit(most)
+    )
+    # Stored first, so that the plan with the literals has a single step.
+    spread = cut(words.select("word").repartition("word"))
+    spelled = spread.mapInArrow(_as_bytes, "word binary, bytes array<int>")
+    merged = known.bound(lambda literals: _merged(F.array("bytes"), literals, known.bits)[0])
+    answers = spelled.select("word", merged.alias("m")).where("word = m.spelled")
+    return answers.select("word", "m.ids").toArrow()
+
+
+def _merged(words: Column, literals: Column, bits: int) -> Column:
+    """(ids, spelled) of every word: its token ids, and the bytes that these decode to."""
+    return F.transform(
+        words,
+        lambda word: _let(
+            encode(word, literals, bits),
+            lambda ids: F.struct(ids.alias("ids"), decode(ids, literals).alias("spelled")),
+        ),
+    )
+
+
+def _as_bytes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in rows:
+        words = batch.column(0)
+        lengths = pc.binary_length(words).to_numpy()
+        ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        letters = np.frombuffer(b"".join(words.to_pylist()), np.uint8).astype(np.int32)
+        spelled = pa.ListArray.from_arrays(ends, pa.array(letters))
+        yield pa.RecordBatch.from_arrays([words, spelled], names=["word", "bytes"])
+
+
 def tokens(
     docs: DataFrame,
     vocabulary_path: str,
@@ -405,6 +485,7 @@ def tokens(
     text_column: str = "text",
     with_ids: bool = True,
     batch_words: int = BATCH_WORDS,
+    common_words: int = COMMON_WORDS,
 ) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]) for every row of ``docs``.
 
@@ -419,29 +500,30 @@ def tokens(
     # Characters that the JVM's Unicode tables do not have are cut elsewhere.
     odd = text.rlike(r"\p{Cn}")
     words = F.regexp_extract_all(text, F.lit(java_pattern(pattern)), F.lit(0))
-    cut = docs.select(
-        F.col(id_column).alias("doc_id"),
-        F.when(~odd, words).alias("words"),
-        F.when(odd, text).alias("odd"),
-    )
-    gathered = cut.mapInArrow(
-        _gathered(pattern, vocabulary, batch_words),
-        "words array<array<int>>, ready array<array<int>>, "
-        f"docs array<struct<doc_id: {kind}, places: array<int>>>",
-    )
 
-    def both(known: Column) -> Column:
-        found = F.concat(F.transform("words", lambda w: encode(w, known)), F.col("ready"))
-        return _let(
-            found,
-            lambda f: F.struct(
-                f.alias("found"), F.transform(f, lambda ids: decode(ids, known)).alias("spelled")
-            ),
+    def cut_up(some: DataFrame) -> DataFrame:
+        return some.select(
+            F.col(id_column).alias("doc_id"),
+            F.when(~odd, words).alias("words"),
+            F.when(odd, text).alias("odd"),
         )
 
-    merged = gathered.select(_let(_literals(vocabulary), both).alias("both"), "docs")
+    known = Known.of(vocabulary)
+    share = min(1.0, SAMPLE_DOCUMENTS / max(docs.count(), 1))
+    common = _common(cut_up(docs.sample(share, seed=1)), known, common_words)
+    answer = "struct<ids: array<int>, spelled: binary>"
+    gathered = cut_up(docs).mapInArrow(
+        _gathered(pattern, vocabulary, common, batch_words),
+        f"words array<array<int>>, ready array<{answer}>, "
+        f"docs array<struct<doc_id: {kind}, places: array<int>>>",
+    )
+    merged = gathered.select(
+        known.bound(lambda literals: _merged(F.col("words"), literals, known.bits)).alias("merged"),
+        "ready",
+        "docs",
+    )
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return merged.select("both.found", "both.spelled", "docs").mapInArrow(
+    return merged.mapInArrow(
         _put_together(with_ids), schema + (", ids array<int>" if with_ids else "")
     )
 

@@ -57,7 +57,7 @@ def test_pair_ranks(vocabulary):
         left, right = rng.randrange(len(ranks)), rng.randrange(len(ranks))
         piece = vocabulary.pieces[left] + vocabulary.pieces[right]
         found = pairs.rank(left, right)
-        assert (found if found < bpe.NO_RANK else None) == ranks.get(piece)
+        assert (found if found < pairs.none else None) == ranks.get(piece)
     for piece, rank in ranks.items():
         for cut in range(1, len(piece)):
             if piece[:cut] in ranks and piece[cut:] in ranks:
@@ -71,7 +71,11 @@ def test_documents(spark, library):
 
 
 def test_small_batches_change_nothing(spark, library):
-    check(spark, library, [t or "" for t in odd_texts()], batch_words=7)
+    check(spark, library, [t or "" for t in odd_texts()], batch_words=7, common_words=5)
+
+
+def test_common_words_change_nothing(spark, library):
+    check(spark, library, [t or "" for t in odd_texts()], common_words=0)
 
 
 def test_words_around_the_longest_the_fold_takes(spark, library):
@@ -88,7 +92,8 @@ def test_fold_and_queue_agree(spark, vocabulary):
     words = ["".join(rng.choice("aesthi nor") for _ in range(40)).encode() for _ in range(300)]
     pairs = bpe.PairRanks(vocabulary)
     rows = spark.createDataFrame([(i, list(w)) for i, w in enumerate(words)], "i int, w array<int>")
-    merged = bpe._let(bpe._literals(vocabulary), lambda known: bpe.encode(F.col("w"), known))
+    known = bpe.Known.of(vocabulary)
+    merged = known.bound(lambda literals: bpe.encode(F.col("w"), literals, known.bits))
     for row in rows.select("i", merged.alias("ids")).collect():
         assert row.ids == bpe.merge_long(words[row.i], pairs)
 
