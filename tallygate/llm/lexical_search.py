@@ -33,6 +33,8 @@ from tallygate.llm.common import cut, lower_ascii
 
 # --- Fixed values: terms, and the constants of the scores -----------------------------------
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: The same characters, said by what they are: Java matches that three times as fast.
+SAME_TERM = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 BEST = 50
 LENGTH_SHARE = 50
 
@@ -47,7 +49,7 @@ COMPARED = 16_384
 
 
 def _cut_up(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TERM), F.lit(0))
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SAME_TERM), F.lit(0))
 
 
 def terms(text: Column) -> Column:
@@ -67,6 +69,8 @@ def _counted(vocabulary: pa.Array):
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
+            # Here and not in Spark, where a filter on words would cut every text twice.
+            batch = batch.filter(pc.greater(pc.list_value_length(batch.column(1)), 0))
             words = batch.column(1)
             sizes = words.value_lengths().to_numpy().astype(np.int64)
             found = pc.index_in(pc.ascii_lower(words.flatten()), value_set=vocabulary)
@@ -94,7 +98,7 @@ def vectors(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     """(doc_id, n, terms, counts) of all documents that have a term: the number of their terms,
     and which of ``vocabulary`` they have how often."""
     # Words first and small letters later, in Arrow: ``translate`` costs ten times the cutting.
-    words = docs.select("doc_id", _cut_up(F.col("text")).alias("words")).where(F.size("words") > 0)
+    words = docs.select("doc_id", _cut_up(F.col("text")).alias("words"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return words.mapInArrow(
         _counted(pa.array(vocabulary, pa.string())),

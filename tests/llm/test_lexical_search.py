@@ -164,3 +164,12 @@ def test_nothing_to_search(spark):
     docs, items = no_documents(spark), items_of(spark, [(1, "a b")])
     assert plain_rows(ls.search(docs, items)) == []
     assert plain_rows(ls.search(odd_documents(spark), items.limit(0))) == []
+
+
+def test_terms_are_cut_alike():
+    """What the contract takes out leaves digits, letters, and all beyond ASCII (SAME_TERM)."""
+    contract = re.compile(ls.TERM)
+    for code in (c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF):
+        assert bool(contract.match(chr(code))) == (
+            chr(code).isascii() and chr(code).isalnum() or code >= 0x80
+        )
