@@ -307,7 +307,8 @@ def near_links(nodes: DataFrame) -> DataFrame:
     total = nodes.count()
     entries = _entries(nodes, _make_plan(nodes, total))
     filed = entries.where("not lookup").groupBy("key").agg(F.count("*").alias("n"))
-    known = cut(entries.join(filed, "key").where("n > 1 or lookup"))
+    # One filed alone stays: another fingerprint may look its value up from a few bits away.
+    known = cut(entries.join(filed, "key"))
     small = known.where(F.col("n") <= BUCKET)
     pairs = (
         small.where("not lookup")

@@ -100,6 +100,34 @@ def test_links_of_random_and_clustered_fingerprints(spark, monkeypatch, bucket):
     assert sorted(map(sorted, ours.values())) == sorted(map(sorted, groups.values()))
 
 
+def far_apart_but_one_part(count: int) -> set[int]:
+    """Fingerprints alike in 22 bits, so that lookups go elsewhere, each with a partner whose two
+    bits lie anywhere: often one bit in each of the parts that are looked at."""
+    rng = random.Random(5)
+    top = rng.getrandbits(22) << 42
+    fps = set()
+    for _ in range(count):
+        fp = top | rng.getrandbits(42)
+        fps |= {fp, fp ^ sum(1 << bit for bit in rng.sample(range(42), 2))}
+    return fps
+
+
+def test_partners_filed_alone_are_found(spark, monkeypatch):
+    """A value that one fingerprint is filed under may be looked up from a bit away."""
+    monkeypatch.setattr(simhash, "BUCKET", 10_000)
+    fps = far_apart_but_one_part(600)
+    nodes = spark.createDataFrame([(signed(fp),) for fp in fps], "fp bigint").repartition(3)
+    found = {tuple(row) for row in simhash.near_links(nodes).select("a", "b").collect()}
+    near = {
+        tuple(sorted((signed(a), signed(b))))
+        for a in fps
+        for b in fps
+        if a < b and (a ^ b).bit_count() <= simhash.MAX_BITS
+    }
+    assert len(near) >= 590
+    assert {tuple(sorted(pair)) for pair in found} == near
+
+
 def test_thresholds_always_add_up():
     rng = np.random.default_rng(1)
     for parts in (2, 3):
