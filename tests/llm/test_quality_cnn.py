@@ -155,3 +155,25 @@ def test_filters_are_tried_at_every_byte(network):
     texts = [b" " * (20 + k) + b"RIVER!!" + b" " * (60 - k) for k in range(5)]
     scores = [network.score(t) for t in texts]
     assert scores == pytest.approx(scores[:1] * 5, rel=1e-5)
+
+
+def test_learning_adds_up_as_row_by_row():
+    """Sums by filter are those of adding rows one after another, to the last bit."""
+    rng = np.random.default_rng(2)
+    groups, rows = rng.integers(0, 5, 400), rng.normal(size=(400, 24)).astype(np.float32)
+    wanted = np.zeros((7, 24), np.float32)
+    for group, row in zip(groups, rows):
+        wanted[group] += row
+    assert (cnn._sums(groups, rows, 7) == wanted).all()
+
+
+def test_learning_is_the_same_however_many_hops_are_heard_at_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(32, 127, size).astype(np.uint8).tobytes() for size in range(0, 6000, 60)]
+    labels = [int(rng.integers(0, 2)) for _ in texts]
+    learned = []
+    for hops in (1, 2, 16):
+        monkeypatch.setattr(cnn, "HOPS_AT_ONCE", hops)
+        learned.append(cnn.train(texts, labels, cnn.Training(epochs=2)))
+    assert all((n.kernel == learned[0].kernel).all() for n in learned)
+    assert all((n.embedding == learned[0].embedding).all() for n in learned)
