@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
+from test_simhash import far_apart_but_one_part, signed
 from tables import no_documents, odd_documents, write_tables
 
 import corpus_pipeline
@@ -41,6 +43,24 @@ def test_each_stage_takes_effect(spark):
     assert tokens.count() == mixed.count()
 
 
+def test_near_copies_filed_alone_go(spark, monkeypatch):
+    """Each text stands for its fingerprint; of every two near ones, one stays."""
+    fps = sorted(far_apart_but_one_part(600))
+    rows = [(i, str(signed(fp))) for i, fp in enumerate(fps)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+
+    def as_written(docs, id_column="doc_id", text_column="text"):
+        fp = F.col(text_column).cast("bigint").alias("fp")
+        return docs.select("doc_id", simhash.row_key(id_column, text_column).alias("row_key"), fp)
+
+    monkeypatch.setattr(simhash, "fingerprints", as_written)
+    monkeypatch.setattr(simhash, "BUCKET", 10_000)
+    kept = corpus_pipeline.near_dedup(spark, docs, SF_DIR)
+    left = sorted(int(row.text) & (2**64 - 1) for row in kept.collect())
+    assert len(left) == len(fps) - 600
+    assert not any((a ^ b).bit_count() <= 2 for a in left for b in left if a < b)
+
+
 def test_run_is_its_stages_and_repeats_itself(spark):
     first = corpus_pipeline.run(spark, SF_DIR)
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
