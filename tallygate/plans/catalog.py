@@ -8,6 +8,7 @@ query here is a short composition of them.
 from __future__ import annotations
 
 import datetime
+import math
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -548,7 +549,8 @@ def gold_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Thirds of the month in the order their messages arrive, so that streams see old events
-#: after new ones. A trigger takes one file, so there are several micro-batches.
+#: after new ones. A trigger takes as many files as one arrival brings, so there are several
+#: micro-batches, and as many of them however many files the messages lie in.
 ARRIVAL = (2, 0, 1)
 
 
@@ -570,9 +572,15 @@ def _inbox(spark: SparkSession, sf_dir: str, copies: tuple[int, ...] = (0,)) ->
     return path
 
 
-def _land(spark: SparkSession, inbox: str, root: str) -> str:
+def _files_of_one(spark: SparkSession, inbox: str, arrivals: int) -> int:
+    """How many files one of so many arrivals has brought, on average."""
+    return max(1, math.ceil(len(tables.read_table(spark, inbox).inputFiles()) / arrivals))
+
+
+def _land(spark: SparkSession, inbox: str, root: str, files: int | None = None) -> str:
+    """All that has come; in one micro-batch, unless a trigger takes only some files."""
     landing.land(
-        messages.message_files(spark, inbox, max_files_per_trigger=1),
+        messages.message_files(spark, inbox, max_files_per_trigger=files),
         f"{root}/bronze",
         f"{root}/bronze-checkpoint",
         until_drained=True,
@@ -582,7 +590,9 @@ def _land(spark: SparkSession, inbox: str, root: str) -> str:
 
 
 def stream_bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = _land(spark, _inbox(spark, sf_dir), shared_folder(spark, "stream"))
+    inbox = _inbox(spark, sf_dir)
+    files = _files_of_one(spark, inbox, len(ARRIVAL))
+    landed = _land(spark, inbox, shared_folder(spark, "stream"), files)
     rows = tables.read_table(spark, landed)
     return rows.select("partition", "offset", "kafka_key", "raw_value", "ingest_date")
 
@@ -621,15 +631,16 @@ def stream_silver_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _silver_stream(spark: SparkSession, inbox: str) -> DataFrame:
-    stream = messages.message_files(spark, inbox, max_files_per_trigger=1)
+def _silver_stream(spark: SparkSession, inbox: str, files: int | None = None) -> DataFrame:
+    stream = messages.message_files(spark, inbox, max_files_per_trigger=files)
     return gate.silver(gate.lenient_gate(messages.envelope(stream, fixture.landing_time())))
 
 
 def stream_gold_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily Gold kept up to date by a stream, every late row in it."""
     root = shared_folder(spark, "stream")
-    silver = _silver_stream(spark, _inbox(spark, sf_dir))
+    inbox = _inbox(spark, sf_dir)
+    silver = _silver_stream(spark, inbox, _files_of_one(spark, inbox, len(ARRIVAL)))
     daily.publish(silver, f"{root}/gold", f"{root}/checkpoint", until_drained=True
     ).awaitTermination()
     return _as_double(jobs.read_gold(spark, f"{root}/gold"), "total_amount")
@@ -638,7 +649,8 @@ def stream_gold_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event sent twice; the stream keeps one message of each."""
     root = shared_folder(spark, "stream")
-    silver = _silver_stream(spark, _inbox(spark, sf_dir, copies=(0, 1)))
+    inbox = _inbox(spark, sf_dir, copies=(0, 1))
+    silver = _silver_stream(spark, inbox, _files_of_one(spark, inbox, 2 * len(ARRIVAL)))
     splitting.keep_first_deliveries(
         silver, f"{root}/once", f"{root}/checkpoint", until_drained=True
     ).awaitTermination()
@@ -648,7 +660,8 @@ def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_shifted_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event sent again in later micro-batches, each time with its time written for another
-    day: the first of them is kept."""
+    day: the first of them is kept. The stream is stopped when it has taken what was sent, and
+    started again when everything has been sent anew."""
     root, inbox = shared_folder(spark, "stream"), shared_folder(spark, "inbox")
     sent = fixture.messages_from_events(fixture.event_table(spark, sf_dir))
     text = F.col("value").cast("string")
@@ -657,11 +670,10 @@ def stream_shifted_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         shifted = F.replace(shifted, F.lit('"event_time":"2024-01-'), F.lit(f'"event_time":"{written}'))
         again = sent.withColumn("value", shifted.cast("binary"))
         moved = F.col("partition") + copy * fixture.PARTITIONS
-        tables.append_table(again.withColumn("partition", moved).coalesce(1), inbox)
-    silver = _silver_stream(spark, inbox)
-    splitting.keep_first_deliveries(
-        silver, f"{root}/once", f"{root}/checkpoint", until_drained=True
-    ).awaitTermination()
+        tables.append_table(again.withColumn("partition", moved), inbox)
+        splitting.keep_first_deliveries(
+            _silver_stream(spark, inbox), f"{root}/once", f"{root}/checkpoint", until_drained=True
+        ).awaitTermination()
     return tables.read_table(spark, f"{root}/once").select(*_event_columns())
 
 
