@@ -9,11 +9,12 @@ looked at), any choice with the u of all parts adding up to ``MAX_BITS + 1`` fin
 partner, because a pair that is at least u bits apart in every part is more than
 ``MAX_BITS`` apart. Candidates are verified on all bits.
 
-A value that more than ``BUCKET`` fingerprints share would make a pair of every two of them.
-Its fingerprints (the filed ones and those that look it up) are linked instead through the
-values one bit away from them: two fingerprints at most two bits apart share such a value,
+A value that more than ``BUCKET`` fingerprints share would make a candidate of every two of
+them. Its fingerprints (the filed ones and those that look it up) meet instead at the values
+at most one bit away from them: two fingerprints at most two bits apart share such a value,
 at most 65 fingerprints share one, and any two that share one are at most two bits apart.
-That is exact, and linear in the size of the group.
+Every two that meet are a link, so that the work follows the links there are: at most 2,080
+of a fingerprint (64 one bit away, 2,016 two), however large the group.
 """
 
 from __future__ import annotations
@@ -281,28 +282,34 @@ def _entries(nodes: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _neighbourhood_links(fps: DataFrame) -> DataFrame:
-    """(a, b): fingerprints joined to the smallest of those one bit from a common value."""
+    """(a, b), a < b: every two fingerprints at most two bits apart, once.
+
+    Two of them have two values at most one bit away in common, v and a ^ b ^ v (one bit
+    apart: these are a and b). They are linked at the smaller one.
+    """
     flips = F.transform(
         F.sequence(F.lit(0), F.lit(BITS - 1)),
         lambda i: F.col("fp").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), i)),
     )
     near = fps.select("fp", F.explode(F.concat(F.array("fp"), flips)).alias("value"))
+    other = F.col("a").bitwiseXOR(F.col("b")).bitwiseXOR(F.col("value"))
     return (
         near.groupBy("value")
         .agg(F.collect_list("fp").alias("members"))  # 65 at most: fps are distinct
         .where(F.size("members") > 1)
-        .select(F.array_min("members").alias("a"), F.explode("members").alias("b"))
-        .where("a <> b")
-        .distinct()
+        .select("value", "members", F.explode("members").alias("a"))
+        .select("value", "a", F.explode("members").alias("b"))
+        .where(F.col("a") < F.col("b"))
+        .where(F.col("value") < other)
+        .select("a", "b")
     )
 
 
 def near_links(nodes: DataFrame) -> DataFrame:
-    """(a, b) so that linked fingerprints are within MAX_BITS, and all such are connected.
+    """(a, b), a < b: every two fingerprints within MAX_BITS of each other, and no others.
 
-    ``nodes`` has distinct ``fp``. Within a crowded value links may be fewer than the pairs
-    there are, as they go to a common neighbour's smallest member; what is reachable is
-    the same.
+    ``nodes`` has distinct ``fp``. A link may come more than once, as two fingerprints may
+    meet under several values.
     """
     total = nodes.count()
     entries = _entries(nodes, _make_plan(nodes, total))

@@ -128,6 +128,28 @@ def test_partners_filed_alone_are_found(spark, monkeypatch):
     assert {tuple(sorted(pair)) for pair in found} == near
 
 
+@pytest.mark.parametrize("bucket", [0, 32])
+def test_every_link_within_crowded_values(spark, monkeypatch, bucket):
+    """All pairs within the bits are there, also among those that share a crowded value."""
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    rng = random.Random(7)
+    fps = {rng.getrandbits(64) for _ in range(100)}
+    for center in [rng.getrandbits(64) for _ in range(3)]:  # both signs in each crowd
+        weak = [63, *rng.sample(range(63), 7)]
+        for _ in range(200):
+            fps.add(center ^ sum(1 << bit for bit in rng.sample(weak, rng.randint(0, 8))))
+    nodes = spark.createDataFrame([(signed(fp),) for fp in fps], "fp bigint").repartition(3)
+    found = {tuple(sorted(row)) for row in simhash.near_links(nodes).select("a", "b").collect()}
+    near = {
+        tuple(sorted((signed(a), signed(b))))
+        for a in fps
+        for b in fps
+        if a < b and (a ^ b).bit_count() <= simhash.MAX_BITS
+    }
+    assert len(near) > 5 * len(fps)
+    assert found == near
+
+
 def test_thresholds_always_add_up():
     rng = np.random.default_rng(1)
     for parts in (2, 3):
